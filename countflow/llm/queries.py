@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from countflow.llm import exact_dedup, sharding
+from countflow.llm import byte_bpe, exact_dedup, sharding
 
 QUERIES = {
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op7_shard": sharding.op7_shard,
+    "op9_byte_bpe": byte_bpe.op9_byte_bpe,
 }
 
 ORACLE_SQL = {"op5_exact_dedup": exact_dedup.OP5_SQL}

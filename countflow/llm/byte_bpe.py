@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from countflow.llm.mph import MinimalPerfectHash
+from countflow.llm.text import slices
 
 #: Pre-tokens, and chunks of them, that a Python worker remembers before it starts anew.
 MEMO = 500_000
@@ -119,19 +120,6 @@ class ByteBpe:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(packed, "<u4").tolist()))
 
 
-def _slices(batch: pa.RecordBatch, col: int, most: int) -> Iterator[pa.RecordBatch]:
-    """``batch`` in slices of about ``most`` bytes of text, so that a batch of long texts stays small in Python."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(col)), 0).to_numpy(zero_copy_only=False)
-    begin, total = 0, 0
-    for i, n in enumerate(sizes.tolist()):
-        total += n
-        if total >= most:
-            yield batch.slice(begin, i + 1 - begin)
-            begin, total = i + 1, 0
-    if begin < batch.num_rows:
-        yield batch.slice(begin)
-
-
 _KEPT: dict[tuple, ByteBpe] = {}
 
 
@@ -160,7 +148,7 @@ def encode(df: DataFrame, text: str, tokens: list[bytes], pattern: str, ids: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(*shared.value)
         for batch in batches:
-            for part in _slices(batch, at, 4 << 20):
+            for part in slices(batch, at, 4 << 20):
                 packed = pa.array(coder.encode_batch(part.column(at).to_pylist()), pa.binary())
                 keep = [(n, c) for n, c in zip(part.schema.names, part.columns) if n != ids]
                 yield pa.RecordBatch.from_arrays([*(c for _, c in keep), packed], [*(n for n, _ in keep), ids])

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,3 +34,16 @@ def id_remainder(doc_id: Column | str, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``: the fold that a document belongs to."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.crc32(F.coalesce(col.cast("string"), F.lit(""))) % divisor
+
+
+def slices(batch: pa.RecordBatch, col: int, most: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of about ``most`` bytes of text, so that a batch of long texts stays small in Python."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(col)), 0).to_numpy(zero_copy_only=False)
+    begin, total = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        total += n
+        if total >= most:
+            yield batch.slice(begin, i + 1 - begin)
+            begin, total = i + 1, 0
+    if begin < batch.num_rows:
+        yield batch.slice(begin)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from countflow.llm import byte_bpe, exact_dedup, sharding
+from countflow.llm import byte_bpe, exact_dedup, packing, sharding, token_files
 
 QUERIES = {
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op7_shard": sharding.op7_shard,
+    "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,
+    "op10_token_files": token_files.op10_token_files,
 }
 
 ORACLE_SQL = {"op5_exact_dedup": exact_dedup.OP5_SQL}

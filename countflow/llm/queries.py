@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from countflow.llm import byte_bpe, exact_dedup, packing, sharding, token_files
+from countflow.llm import byte_bpe, exact_dedup, packing, sharding, simhash, token_files
 
 QUERIES = {
+    "op2_simhash": simhash.op2_simhash,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op7_shard": sharding.op7_shard,
     "op8_best_fit_packing": packing.op8_best_fit_packing,

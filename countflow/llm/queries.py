@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from countflow.llm import byte_bpe, exact_dedup, packing, sharding, simhash, token_files
+from countflow.llm import byte_bpe, exact_dedup, packing, quality, sharding, simhash, token_files, toxicity
 
 QUERIES = {
     "op2_simhash": simhash.op2_simhash,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_quality": quality.op6_quality,
     "op7_shard": sharding.op7_shard,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from countflow.llm.mph import MinimalPerfectHash
-from countflow.llm.text import slices
+from countflow.llm.text import slices, trim
 
-#: Pre-tokens, and chunks of them, that a Python worker remembers before it starts anew.
-MEMO = 500_000
+#: Pre-tokens, and chunks of them, that a Python worker remembers; see text.trim.
+MEMO = 200_000
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -98,9 +98,8 @@ class ByteBpe:
         A space before a character that isn't white space always begins a pre-token, so a text without other
         spaces falls into chunks there; a chunk's pre-tokens don't depend on its neighbours and are remembered.
         """
-        if len(self.memo) > MEMO or len(self.chunks) > MEMO:
-            self.memo.clear()
-            self.chunks.clear()
+        trim(self.memo, MEMO)
+        trim(self.chunks, MEMO)
         find, chunks = self.pattern.findall, self.chunks
         first: list[list[str]] = []
         rest: list[list[str]] = []
@@ -148,7 +147,7 @@ def encode(df: DataFrame, text: str, tokens: list[bytes], pattern: str, ids: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(*shared.value)
         for batch in batches:
-            for part in slices(batch, at, 4 << 20):
+            for part in slices(batch, at, 1 << 20):
                 packed = pa.array(coder.encode_batch(part.column(at).to_pylist()), pa.binary())
                 keep = [(n, c) for n, c in zip(part.schema.names, part.columns) if n != ids]
                 yield pa.RecordBatch.from_arrays([*(c for _, c in keep), packed], [*(n for n, _ in keep), ids])

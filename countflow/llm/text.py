@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import string
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -47,3 +48,11 @@ def slices(batch: pa.RecordBatch, col: int, most: int) -> Iterator[pa.RecordBatc
             begin, total = i + 1, 0
     if begin < batch.num_rows:
         yield batch.slice(begin)
+
+
+def trim(memo: dict, most: int) -> None:
+    """Cuts a memo of more than ``most`` entries to the first third, the words that came soonest and so are mostly frequent."""
+    if len(memo) > most:
+        first = list(islice(memo.items(), most // 3))
+        memo.clear()
+        memo.update(first)

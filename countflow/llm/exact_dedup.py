@@ -23,6 +23,13 @@ def _cells(hash64: Column, bits: int) -> list[Column]:
     return [F.pmod(low + high * k, F.lit(bits)) for k in range(HASHES)]
 
 
+def filter_bits(rows: int) -> int:
+    bits = BLOCK_BITS
+    while bits < min(rows * CELLS_PER_ROW, MAX_FILTER_BITS):
+        bits *= 2
+    return bits
+
+
 def repeated_cells(hashes: DataFrame, hash_col: str, bits: int, at_least: int) -> DataFrame:
     """Filter blocks (block, bitmap) of the cells that ``at_least`` rows set. Cells are counted before and
     after a shuffle of cell numbers alone, so a hot hash costs each task one row; the result is at most
@@ -68,9 +75,7 @@ def exact_groups(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     body = lower_ascii(text_or_empty(text))
     digests = checkpoint(documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(body).alias("_hash"), F.unhex(F.sha2(body, 256)).alias("_sha")))
     rows, parts = digests.count(), shuffle_partitions(spark)
-    bits = BLOCK_BITS
-    while bits < min(rows * CELLS_PER_ROW, MAX_FILTER_BITS):
-        bits *= 2
+    bits = filter_bits(rows)
     fair = max(2, rows // parts)
     hashes = digests.select("_hash")
     marked = might_repeat(digests, "_hash", repeated_cells(hashes, "_hash", bits, 2), bits, "_maybe")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from countflow.llm import byte_bpe, exact_dedup, language_model, packing, quality, sharding, simhash, token_files, toxicity
+from countflow.llm import byte_bpe, exact_dedup, language_model, line_dedup, packing, quality, sharding, simhash, token_files, toxicity
 
 QUERIES = {
     "op1_lm_scoring": language_model.op1_lm_scoring,
     "op2_simhash": simhash.op2_simhash,
+    "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_quality": quality.op6_quality,

@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from countflow.llm.skew import join_back
 from countflow.llm.text import slices, words_of
 from countflow.llm.vectors import sum_over_partitions
 from countflow.operators.components import connected_components
-from countflow.session import checkpoint, shuffle_partitions
+from countflow.session import checkpoint
 
 SHINGLE = 3
 SEED = 42
@@ -237,19 +238,7 @@ def near_groups(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     joined = checkpoint(joined.select("fp", "first", "n", "label", "root"))
     named = joined.filter(F.col("label").isNotNull()).groupBy("root").agg(F.min("first").alias("component"))
     groups = checkpoint(joined.join(named, "root", "left").select("fp", "n", F.coalesce("component", "first").alias("component_id")))
-    return join_back(rows, groups, "fp", "n").select("doc_id", "fp", "component_id")
-
-
-def join_back(rows: DataFrame, groups: DataFrame, key: str, count: str) -> DataFrame:
-    """``rows`` with the columns of ``groups`` (one row per ``key`` without null, ``count``: how many rows have it)."""
-    parts = shuffle_partitions(rows.sparkSession)
-    fair = max(2, rows.count() // parts)
-    hot = F.broadcast(groups.filter(F.col(count) > fair).select(key, F.lit(True).alias("_hot")))  # fewer than parts rows
-    spread = F.when(F.coalesce("_hot", F.lit(False)), F.pmod(F.xxhash64("doc_id"), F.lit(parts))).otherwise(F.lit(0).cast("bigint"))
-    left = rows.join(hot, key, "left").withColumn("_salt", spread).drop("_hot")
-    last = F.when(F.col(count) > fair, F.lit(parts - 1)).otherwise(F.lit(0)).cast("bigint")
-    right = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).drop(count)
-    return left.join(right, [key, "_salt"]).drop("_salt")
+    return join_back(rows, groups, "fp", "n", ["doc_id"]).select("doc_id", "fp", "component_id")
 
 
 def drop_near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, distance: int = 3) -> DataFrame:

@@ -11,8 +11,6 @@ from countflow.llm.exact_dedup import filter_bits, might_repeat, repeated_cells
 from countflow.llm.skew import join_back
 from countflow.session import checkpoint
 
-#: A chunk ends where the hash of two lines' hashes is divisible by this, so chunks have about two lines.
-DIVISOR = 2
 #: A line with as many words is a chunk of its own, and is removed if it repeats.
 LONG_LINE = 50
 #: A repeated chunk of several lines goes if it has as many words; less is common by chance.
@@ -32,22 +30,21 @@ def lines_of(text: Column) -> Column:
 def chunks_of(text: Column) -> Column:
     """The text's chunks: array of struct(begin, lines, words, hash, body), without Python and in one pass over its lines.
 
-    A line ends a chunk if the rolling hash over it and the line before says so, if it or the next is long, or if it is the
-    last. Equal passages are cut alike wherever they stand, but for their first lines.
+    A line ends a chunk if the rolling hash over it and the line before is smaller than those of both neighbours, if it or the next
+    is long, or if it is the last. So a cut depends on four lines only, chunks between short lines have about three, at least two but at
+    an edge, and equal passages are cut alike wherever they stand, but for their edges.
     """
 
     def cut(lines: Column) -> Column:
         facts = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("h"), F.regexp_count(x, F.lit(WORD)).alias("w")))
-        return _let(facts, lambda f: assemble(lines, f))
+        return _let(facts, lambda f: _let(F.transform(f, lambda x, i: F.xxhash64(F.coalesce(F.get(f, i - 1)["h"], F.lit(0).cast("bigint")), x["h"])), lambda r: assemble(lines, f, r)))
 
-    def assemble(lines: Column, facts: Column) -> Column:
+    def assemble(lines: Column, facts: Column, rolled: Column) -> Column:
         n = F.size(facts)
 
         def ends(i: Column) -> Column:
-            here, after = F.get(facts, i), F.get(facts, i + 1)
-            before = F.coalesce(F.get(facts, i - 1)["h"], F.lit(0).cast("bigint"))
-            rolled = F.pmod(F.xxhash64(before, here["h"]), F.lit(DIVISOR)) == 0
-            return rolled | (here["w"] >= LONG_LINE) | (F.coalesce(after["w"], F.lit(LONG_LINE)) >= LONG_LINE)
+            least = (F.get(rolled, i) < F.get(rolled, i - 1)) & (F.get(rolled, i) < F.get(rolled, i + 1))
+            return F.coalesce(least, F.lit(False)) | (F.get(facts, i)["w"] >= LONG_LINE) | (F.coalesce(F.get(facts, i + 1)["w"], F.lit(LONG_LINE)) >= LONG_LINE)
 
         begins = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | ends(i - 1))
         return _let(begins, lambda b: F.transform(b, lambda i, k: chunk(lines, facts, i, F.coalesce(F.get(b, k + 1), n) - i)))
@@ -66,7 +63,7 @@ def _counted(chunk: Column) -> Column:
 
 
 def repeated_chunks(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The chunks to remove: doc_id, mark (the text's XXH64), and removed, an array of struct(begin, lines).
+    """The chunks to remove: doc_id, mark (the text's XXH64), and _removed, an array of struct(begin, lines).
 
     Of equal chunks the first in order of doc_id, text hash and line stays. Chunks count as equal only after a comparison of their bytes: where two
     bodies share a hash and differ, none of that hash is removed.
@@ -87,7 +84,7 @@ def repeated_chunks(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     maybe = checkpoint(might_repeat(places, "hash", blocks, bits, "_maybe").filter("_maybe").drop("_maybe"))
     again = join_back(maybe, groups, "hash", "n", ["doc_id", "mark", "begin"])
     again = again.filter(~F.struct("doc_id", "mark", "begin").eqNullSafe(F.col("first")))
-    return again.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("begin", "lines")).alias("removed"))
+    return again.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("begin", "lines")).alias("_removed"))
 
 
 def drop_repeated_chunks(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", removed_lines: str | None = None) -> DataFrame:
@@ -101,16 +98,16 @@ def drop_repeated_chunks(documents: DataFrame, doc_id: str = "doc_id", text: str
     bits = filter_bits(found.count())
     blocks = checkpoint(repeated_cells(found.select("mark"), "mark", bits, 1))
     marked = might_repeat(documents.withColumn("_mark", F.xxhash64(text)), "_mark", blocks, bits, "_maybe")
-    gone = found.select(F.col("doc_id").alias("_gone_id"), F.col("mark").alias("_gone_mark"), "removed")
+    gone = found.select(F.col("doc_id").alias("_gone_id"), F.col("mark").alias("_gone_mark"), "_removed")
     hit = marked.filter(F.col("_maybe") & F.col(text).isNotNull())
     hit = hit.join(gone, hit[doc_id].eqNullSafe(gone["_gone_id"]) & (hit["_mark"] == gone["_gone_mark"]), "left")
-    spans = F.col("removed")
+    spans = F.col("_removed")
     left = F.filter(lines_of(F.col(text)), lambda _, i: ~F.exists(spans, lambda r: (i >= r["begin"]) & (i < r["begin"] + r["lines"])))
     cut = F.when(spans.isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
     lost = F.coalesce(F.aggregate(spans, F.lit(0), lambda acc, r: acc + r["lines"]), F.lit(0))
     rest = marked.filter(~(F.col("_maybe") & F.col(text).isNotNull()))
     names = documents.columns + ([removed_lines] if removed_lines and removed_lines not in documents.columns else [])
-    hit, rest = hit.withColumn(text, cut), rest
+    hit = hit.withColumn(text, cut)
     if removed_lines:
         hit, rest = hit.withColumn(removed_lines, lost.cast("bigint")), rest.withColumn(removed_lines, F.lit(0).cast("bigint"))
     return hit.select(names).unionByName(rest.select(names))

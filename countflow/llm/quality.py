@@ -188,6 +188,12 @@ def judge(df: DataFrame, model: dict | None, text: str = "text", least: float =
     return score(df, model, text).withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("quality_score") >= least))
 
 
+def drop_bad(documents: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
+    """The rows of ``documents`` that ``judge()`` keeps, with their columns whatever their names."""
+    rows = documents.select(F.struct(*(F.col(c) for c in documents.columns)).alias("_row"), F.col(text).alias("text"))
+    return judge(rows, model).filter("kept").select("_row.*")
+
+
 def op6_quality(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))

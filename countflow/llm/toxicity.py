@@ -162,6 +162,12 @@ def score(df: DataFrame, model: dict | None, text: str = "text", out: str = "sco
     return df.mapInArrow(run, schema)
 
 
+def drop_toxic(documents: DataFrame, model: dict | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``documents`` whose score is below ``threshold``, with their columns whatever their names."""
+    rows = documents.select(F.struct(*(F.col(c) for c in documents.columns)).alias("_row"), F.col(text).alias("text"))
+    return score(rows, model).filter(F.col("score") < threshold).select("_row.*")
+
+
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")

@@ -124,7 +124,7 @@ def write(df: DataFrame, key: str, text: str, vocabulary: str, end_id: int | Non
         keys: list = []
         offsets, out = [0], None
         for batch in batches:
-            for part in slices(batch, 1, 4 << 20):
+            for part in slices(batch, 1, 1 << 20):
                 keys += part.column(0).to_pylist()
                 for packed in coder.encode_batch(part.column(1).to_pylist()):
                     ids = word_bpe.ids_of(packed + end)

@@ -10,10 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from countflow.llm.text import slices
+from countflow.llm.text import slices, trim
 
-#: Words that a Python worker remembers before it starts anew.
-MEMO = 600_000
+#: Words that a Python worker remembers; see text.trim.
+MEMO = 450_000
 
 
 class WordTokenizer:
@@ -26,17 +26,48 @@ class WordTokenizer:
 
         self.model = Tokenizer.from_file(path)
         self.memo: dict[bytes, bytes] = {}
+        suffix = getattr(self.model.model, "end_of_word_suffix", None)
+        self.ends = None  # by id: whether the token ends a pre-token
+        if suffix:
+            vocab = self.model.get_vocab(with_added_tokens=True)
+            self.ends = np.zeros(max(vocab.values()) + 1, bool)
+            self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+
+    def _learn_joined(self, words: list[bytes], texts: dict[bytes, str]) -> bool:
+        """Encodes words of letters in one call, which is faster. Each is one pre-token, so its ids run up to a token that ends one; if the numbers
+        differ (a letter that lower-cases into more than letters), nothing is learned."""
+        if not words:
+            return True
+        ids = np.array(self.model.encode_batch_fast([" ".join([texts[w] for w in words])], add_special_tokens=False)[0].ids, "<u4")
+        stop = np.flatnonzero(self.ends[ids]) + 1
+        if len(stop) != len(words) or stop[-1] != len(ids):
+            return False
+        packed, at = ids.tobytes(), 0
+        for w, end in zip(words, (stop * 4).tolist()):
+            self.memo[w] = packed[at:end]
+            at = end
+        return True
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """For each text its ids as packed little-endian unsigned 32-bit integers; null gives none."""
-        if len(self.memo) > MEMO:
-            self.memo.clear()
+        trim(self.memo, MEMO)
         memo = self.memo
         cut = [t.encode("utf-8").split() if t else [] for t in texts]
-        new = list({w for words in cut for w in words if w not in memo})
-        coded = self.model.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
-        for w, e in zip(new, coded):
+        new = {w for words in cut for w in words if w not in memo}
+        # a mark after a letter is a pre-token of its own
+        marked = [w for w in new if len(w) > 1 and w[-1] in b".,;:!?" and w[-2:-1].isalpha()]
+        new.difference_update(marked)
+        new.update(x for w in marked for x in (w[:-1], w[-1:]) if x not in memo)
+        texts_of = {w: w.decode("utf-8") for w in new}
+        letters = [w for w, t in texts_of.items() if t.isalpha()]
+        if self.ends is None or not self._learn_joined(letters, texts_of):
+            letters = []
+        plain = list(new.difference(letters))
+        coded = self.model.encode_batch_fast([texts_of[w] for w in plain], add_special_tokens=False)
+        for w, e in zip(plain, coded):
             memo[w] = b"".join([i.to_bytes(4, "little") for i in e.ids])
+        for w in marked:
+            memo[w] = memo[w[:-1]] + memo[w[-1:]]
         return [b"".join(map(memo.__getitem__, words)) for words in cut]
 
 
@@ -64,7 +95,7 @@ def encode(df: DataFrame, text: str, path: str, end_id: int | None = None, ids:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer(path)
         for batch in batches:
-            for part in slices(batch, at, 4 << 20):
+            for part in slices(batch, at, 1 << 20):
                 packed = pa.array([p + end for p in coder.encode_batch(part.column(at).to_pylist())], pa.binary())
                 keep = [(n, c) for n, c in zip(part.schema.names, part.columns) if n != ids]
                 yield pa.RecordBatch.from_arrays([*(c for _, c in keep), packed], [*(n for n, _ in keep), ids])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from countflow.plans import core
+
 FLAGSHIP = "w1_baseline"
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+QUERIES = {**core.QUERIES}
+ORACLE_SQL = {**core.ORACLE_SQL}

@@ -101,7 +101,9 @@ class Gru:
 
     def _update(self, name: str, grad: np.ndarray, rate: float, rows: np.ndarray | None = None) -> None:
         """Adagrad; for some ``rows`` only of a table."""
-        s = self.sums.setdefault(name, np.full(self.p[name].shape, 1e-6, np.float32))
+        if name not in self.sums:
+            self.sums[name] = np.full(self.p[name].shape, 1e-6, np.float32)
+        s = self.sums[name]
         if rows is None:
             s += grad * grad
             self.p[name] -= rate * grad / np.sqrt(s)

@@ -12,6 +12,7 @@ Words are known by 64-bit hashes; among 10**9 different words two share one with
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -113,8 +114,7 @@ class Reader:
                 self[word] = n
                 return n
 
-        self.other_hash: list[int] = []
-        self.other_kind: list[int] = []
+        self.other_hash, self.other_kind = array("q"), array("q")
         self.memo = Memo()
 
     def numbers(self, text: str | None) -> np.ndarray:
@@ -132,8 +132,10 @@ class Reader:
         out[middle] = heads + self.lex.kinds[numbers[middle]]
         rare = numbers >= known
         at = numbers[rare] - known
-        out[rare] = heads + np.array(self.other_kind, np.int64)[at] if len(at) else 0
-        return out, np.array(self.other_hash, np.int64)[at] if len(at) else np.empty(0, np.int64)
+        if not len(at):
+            return out, np.empty(0, np.int64)
+        out[rare] = heads + np.frombuffer(self.other_kind, np.int64)[at]
+        return out, np.frombuffer(self.other_hash, np.int64)[at]
 
 
 class LanguageModel:

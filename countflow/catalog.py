@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from countflow.plans import core
+from countflow.plans import analyses, core, more
 
 FLAGSHIP = "w1_baseline"
-QUERIES = {**core.QUERIES}
-ORACLE_SQL = {**core.ORACLE_SQL}
+QUERIES = {**core.QUERIES, **more.QUERIES, **analyses.QUERIES}
+ORACLE_SQL = {**core.ORACLE_SQL, **more.ORACLE_SQL, **analyses.ORACLE_SQL}

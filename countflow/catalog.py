@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from countflow.plans import analyses, core, more
+from countflow.plans import analyses, core, io, more
 
 FLAGSHIP = "w1_baseline"
-QUERIES = {**core.QUERIES, **more.QUERIES, **analyses.QUERIES}
-ORACLE_SQL = {**core.ORACLE_SQL, **more.ORACLE_SQL, **analyses.ORACLE_SQL}
+QUERIES = {**core.QUERIES, **more.QUERIES, **analyses.QUERIES, **io.QUERIES}
+ORACLE_SQL = {**core.ORACLE_SQL, **more.ORACLE_SQL, **analyses.ORACLE_SQL, **io.ORACLE_SQL}

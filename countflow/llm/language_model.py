@@ -159,7 +159,14 @@ def train(documents: DataFrame, text: str = "text", part: Column | None = None)
     texts = documents.select(text_or_empty(text).alias("text"), F.pmod(part if part is not None else F.xxhash64(text), F.lit(ROUNDS)).alias("_round"))
     counts = checkpoint(count_words(texts))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.when(F.col("hash") == END, 0).otherwise(1), F.desc("n"), "hash").limit(KNOWN).toArrow()
+    # only counts from the class at which the lexicon is full are sorted, not the whole vocabulary
+    level = F.floor(F.log2("n") * 64)
+    least, found = None, 0
+    for r in sorted(counts.groupBy(level.alias("level")).agg(F.count("*").alias("v")).collect(), key=lambda r: -r["level"]):
+        if found < KNOWN:
+            least, found = r["level"], found + r["v"]
+    frequent = counts if least is None else counts.filter((level >= least) | (F.col("hash") == END))
+    top = frequent.orderBy(F.when(F.col("hash") == END, 0).otherwise(1), F.desc("n"), "hash").limit(KNOWN).toArrow()
     hashes, n, kinds = top.column("hash").to_numpy(), top.column("n").to_numpy().astype(float), top.column("open").to_numpy().astype(np.int64)
     if not len(hashes):
         hashes, n, kinds = np.array([END]), np.zeros(1), np.zeros(1, np.int64)

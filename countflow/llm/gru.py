@@ -14,16 +14,22 @@ import numpy as np
 HIDDEN = 16
 CLASS_SIZE = 64
 STEPS = 16  # of a window: gradients go back this far, states and their values go on
-STREAMS = 256
+STREAMS = 512
+LANES = 1024  # documents that are scored side by side
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities of each row's entries, and the log probability of the entry ``at``. Logits start at 0 or below; beyond 80 they'd overflow and are cut."""
+    np.minimum(x, 80, out=x)
+    logit = x[np.arange(len(x)), at].astype(np.float64)
+    np.exp(x, out=x)
+    total = x @ np.ones(x.shape[1], x.dtype)
+    x /= total[:, None]
+    return x, logit - np.log(total)
 
 
 class Gru:
@@ -41,9 +47,9 @@ class Gru:
                 "table": rng.normal(0, 0.3, (self.heads + self.open, g)),
                 "recur": rng.normal(0, HIDDEN**-0.5, (HIDDEN, g)),
                 "class_w": np.zeros((HIDDEN, self.classes + self.open)),
-                "class_b": np.log(np.concatenate([full.sum(1), opened]) + 1e-30),
+                "class_b": np.maximum(np.log(np.concatenate([full.sum(1), opened]) / (full.sum() + opened.sum())), -30.0),
                 "word_w": np.zeros((self.classes, HIDDEN, CLASS_SIZE)),
-                "word_b": np.maximum(np.log(full), -30.0),
+                "word_b": np.maximum(np.log(full / np.maximum(full.sum(1, keepdims=True), 1e-30)), -30.0),
             }
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
         self.p["table"][:, :HIDDEN] += 1  # gates that keep most of the state to begin with
@@ -72,13 +78,10 @@ class Gru:
         """Natural log probabilities of symbols ``y`` at states ``hs``; with ``grads``, fills in the output layer's and returns the states'."""
         p, scale = self.p, np.float32(1 / max(1, len(y)))
         own = np.where(y < self.heads, y // CLASS_SIZE, y - self.heads + self.classes)
-        rows = np.arange(len(y))
-        logs = _log_softmax(hs @ p["class_w"] + p["class_b"])
-        out = logs[rows, own].astype(np.float64)
+        d, out = _softmax(hs @ p["class_w"] + p["class_b"], own)
         dh = None
         if grads is not None:
-            d = np.exp(logs)
-            d[rows, own] -= 1
+            d[np.arange(len(y)), own] -= 1
             d *= scale
             grads["class_w"], grads["class_b"] = hs.T @ d, d.sum(0)
             grads["word_w"], grads["word_b"] = np.zeros_like(p["word_w"]), np.zeros_like(p["word_b"])
@@ -89,10 +92,9 @@ class Gru:
             at = order[edge[k] : edge[k + 1]]
             if len(at):
                 s, word = hs[at], y[at] - k * CLASS_SIZE
-                w = _log_softmax(s @ p["word_w"][k] + p["word_b"][k])
-                out[at] += w[np.arange(len(at)), word]
+                d, logp = _softmax(s @ p["word_w"][k] + p["word_b"][k], word)
+                out[at] += logp
                 if grads is not None:
-                    d = np.exp(w)
                     d[np.arange(len(at)), word] -= 1
                     d *= scale
                     grads["word_w"][k], grads["word_b"][k] = s.T @ d, d.sum(0)
@@ -154,7 +156,7 @@ class Gru:
         fresh[np.concatenate([[0], np.cumsum([len(d) for d in documents])[:-1]]).astype(int)] = True
         streams = max(1, min(STREAMS, len(y) // (4 * STEPS)))
         length = len(y) // streams
-        x, y, fresh = (a[: streams * length].reshape(streams, length).T for a in (x, y, fresh))
+        x, y, fresh = (a[: streams * length].reshape(streams, length).T.copy() for a in (x, y, fresh))
         h = np.zeros((streams, HIDDEN), np.float32)
         for t in range(0, length, STEPS):
             h = self.train_window(x[t : t + STEPS], y[t : t + STEPS], fresh[t : t + STEPS], h, rate)
@@ -167,7 +169,7 @@ class Gru:
         """
         out = np.zeros(len(documents))
         sizes = np.array([len(d) for d in documents])
-        lanes: list[list[int]] = [[] for _ in range(min(STREAMS, len(documents)))]
+        lanes: list[list[int]] = [[] for _ in range(min(LANES, len(documents)))]
         heap = [(0, k) for k in range(len(lanes))]
         for i in np.argsort(-sizes, kind="stable").tolist():
             n, k = heapq.heappop(heap)
@@ -178,8 +180,8 @@ class Gru:
         begins = np.concatenate([[0], np.cumsum(lengths)])
         order = [i for own in lanes for i in own]
         y = np.concatenate([documents[i] for i in order]) if order else np.empty(0, int)
-        who = np.repeat(order, sizes[order]) if order else np.empty(0, int)
-        x = np.concatenate([[0], y[:-1]]) if len(y) else y
+        who = np.repeat(np.array(order, np.int32), sizes[order]) if order else np.empty(0, np.int32)
+        x = np.concatenate([np.zeros(1, y.dtype), y[:-1]]) if len(y) else y
         fresh = np.concatenate([[True], who[1:] != who[:-1]]) if len(y) else np.empty(0, bool)
         h = np.zeros((len(lanes), HIDDEN), np.float32)
         table = self.p["table"]

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import zlib
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,13 +30,13 @@ from countflow.llm.vectors import sum_over_partitions
 from countflow.session import checkpoint
 
 #: Words with their own softmax row, and words whose counts every task holds. Neither depends on the input's size.
-HEADS, KNOWN = 32 * CLASS_SIZE, 1 << 16
+HEADS, KNOWN = 16 * CLASS_SIZE, 1 << 16
 #: Open classes of rarer words, told apart by their last letters.
-OPEN = 64
+OPEN = 48
 ROUNDS = 3
 SMOOTH = 0.1
 #: Tokens that a task trains on or scores at once.
-LOT = 1_500_000
+LOT = 4_000_000
 #: Different rarer words that a task remembers before it starts anew.
 MEMO = 200_000
 
@@ -56,7 +57,7 @@ def count_words(texts: DataFrame) -> DataFrame:
     """(hash, open, n) over the column ``text``: each different word and the end token, how often it occurs, and its open class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
+        seen: Counter[bytes] = Counter()
         ends = 0
 
         def flush() -> pa.RecordBatch:
@@ -73,8 +74,7 @@ def count_words(texts: DataFrame) -> DataFrame:
             for part in slices(batch, 0, 1 << 20):
                 for t in part.column(0).to_pylist():
                     ends += 1
-                    for w in words_of(t):
-                        seen[w] = seen.get(w, 0) + 1
+                    seen.update(words_of(t))
                 if len(seen) > MEMO:
                     yield flush()
         if ends or seen:

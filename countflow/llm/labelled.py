@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from countflow.llm.text import forget
+
 SEED = 20240229
 
 
@@ -40,6 +42,7 @@ def fit_in_one_task(sample: DataFrame, fit: Callable[[list[tuple[Any, str, int]]
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         rows = [(r["doc_id"], r["text"] or "", int(r["label"])) for b in batches for r in b.to_pylist()]
         if rows:
             rows.sort(key=lambda r: (str(r[0]), r[1]))

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from countflow.llm.labelled import fit_in_one_task, labelled_sample
 from countflow.llm.logistic import fit_dense, fit_sparse, sigmoid
-from countflow.llm.text import slices
+from countflow.llm.text import forget, slices
 
 #: Labelled documents of each class that the model is fitted on at most.
 PER_CLASS = 1500
@@ -172,8 +172,9 @@ def score(df: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
     at = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
-            for part in slices(batch, at, 4 << 20):
+            for part in slices(batch, at, 2 << 20):
                 texts = part.column(at).to_pylist()
                 found = list(zip(*[counts(t) for t in texts])) or [()] * 5
                 new = [*(pa.array(c, pa.int64()) for c in found), pa.array(probability(shared.value, texts), pa.float64())]
@@ -190,8 +191,9 @@ def judge(df: DataFrame, model: dict | None, text: str = "text", least: float =
 
 def drop_bad(documents: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
     """The rows of ``documents`` that ``judge()`` keeps, with their columns whatever their names."""
-    rows = documents.select(F.struct(*(F.col(c) for c in documents.columns)).alias("_row"), F.col(text).alias("text"))
-    return judge(rows, model).filter("kept").select("_row.*")
+    names = {c: "_text" if c == text else f"_c{k}" for k, c in enumerate(documents.columns)}
+    rows = documents.select(*[F.col(c).alias(n) for c, n in names.items()])
+    return judge(rows, model, "_text").filter("kept").select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def op6_quality(spark, sf_dir: str) -> DataFrame:

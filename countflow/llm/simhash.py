@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from countflow.llm.skew import join_back
-from countflow.llm.text import slices, words_of
+from countflow.llm.text import forget, slices, words_of
 from countflow.llm.vectors import sum_over_partitions
 from countflow.operators.components import connected_components
 from countflow.session import checkpoint
@@ -56,6 +56,7 @@ def fingerprints(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for part in slices(batch, 1, 8 << 20):
                 found = np.array([fingerprint(shingle_hashes(t, size)) for t in part.column(1).to_pylist()], np.uint64)

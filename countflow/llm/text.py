@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 from itertools import islice
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -56,3 +57,19 @@ def trim(memo: dict, most: int) -> None:
         first = list(islice(memo.items(), most // 3))
         memo.clear()
         memo.update(first)
+
+
+_KEPT: dict[Hashable, Any] = {}
+
+
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, kept from task to task. A Python worker keeps one such thing at a time, so the memo of a
+    tokenizer isn't held while other operators run."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def forget() -> None:
+    _KEPT.clear()

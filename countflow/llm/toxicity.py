@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from countflow.llm.labelled import class_counts, fit_in_one_task, labelled_sample
 from countflow.llm.logistic import fit_dense, sigmoid
-from countflow.llm.text import id_remainder, slices
+from countflow.llm.text import forget, id_remainder, slices
 
 #: Labelled documents of each class that the model is fitted on at most: two thirds train the dictionaries, a third the curve.
 PER_CLASS = 1800
@@ -154,9 +154,10 @@ def score(df: DataFrame, model: dict | None, text: str = "text", out: str = "sco
     at = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         scorer = Scorer(shared.value)
         for batch in batches:
-            for part in slices(batch, at, 4 << 20):
+            for part in slices(batch, at, 2 << 20):
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scorer.score(part.column(at).to_pylist()), pa.float64())], [*part.schema.names, out])
 
     return df.mapInArrow(run, schema)
@@ -164,8 +165,9 @@ def score(df: DataFrame, model: dict | None, text: str = "text", out: str = "sco
 
 def drop_toxic(documents: DataFrame, model: dict | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``documents`` whose score is below ``threshold``, with their columns whatever their names."""
-    rows = documents.select(F.struct(*(F.col(c) for c in documents.columns)).alias("_row"), F.col(text).alias("text"))
-    return score(rows, model).filter(F.col("score") < threshold).select("_row.*")
+    names = {c: "_text" if c == text else f"_c{k}" for k, c in enumerate(documents.columns)}
+    rows = documents.select(*[F.col(c).alias(n) for c, n in names.items()])
+    return score(rows, model, "_text").filter(F.col("score") < threshold).select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from countflow.llm.text import slices, trim
+from countflow.llm.text import kept, slices, trim
 
 #: Words that a Python worker remembers; see text.trim.
 MEMO = 450_000
@@ -71,15 +71,8 @@ class WordTokenizer:
         return [b"".join(map(memo.__getitem__, words)) for words in cut]
 
 
-_KEPT: dict[str, WordTokenizer] = {}
-
-
 def tokenizer(path: str) -> WordTokenizer:
-    """One tokenizer, with its memo, for each Python worker."""
-    if path not in _KEPT:
-        _KEPT.clear()
-        _KEPT[path] = WordTokenizer(path)
-    return _KEPT[path]
+    return kept(("word_bpe", path), lambda: WordTokenizer(path))
 
 
 def encode(df: DataFrame, text: str, path: str, end_id: int | None = None, ids: str = "ids") -> DataFrame:

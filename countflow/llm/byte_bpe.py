@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from countflow.llm.mph import MinimalPerfectHash
-from countflow.llm.text import slices, trim
+from countflow.llm.text import kept, slices, trim
 
 #: Pre-tokens, and chunks of them, that a Python worker remembers; see text.trim.
 MEMO = 200_000
@@ -119,38 +119,33 @@ class ByteBpe:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(packed, "<u4").tolist()))
 
 
-_KEPT: dict[tuple, ByteBpe] = {}
-
-
 def _coder(tokens: list[bytes], pattern: str) -> ByteBpe:
-    """One coder, with its memo, for each Python worker."""
-    key = (len(tokens), hash(tuple(tokens[-64:])), pattern)
-    if key not in _KEPT:
-        _KEPT.clear()
-        _KEPT[key] = ByteBpe(tokens, pattern)
-    return _KEPT[key]
+    return kept(("byte_bpe", len(tokens), hash(tuple(tokens[-64:])), pattern), lambda: ByteBpe(tokens, pattern))
 
 
-def encode(df: DataFrame, text: str, tokens: list[bytes], pattern: str, ids: str = "ids") -> DataFrame:
+def encode(df: DataFrame, text: str, tokens: list[bytes], pattern: str, ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """``df`` with ``ids``: the packed little-endian 32-bit token ids of the whole text. A null or empty text
-    gives no ids (an empty value, never null). A column of that name is replaced.
+    gives no ids (an empty value, never null). Columns of the new names are replaced. ``decoded`` names a column for the bytes
+    that those ids decode to, so that a round trip passes through one Python worker.
 
     Map-only. The vocabulary is broadcast (its file's size, whatever the data); Arrow batches are cut
     into slices of a few MB, so that very long texts meet in small numbers.
     """
     spark = df.sparkSession
-    df = df.drop(ids) if ids != text else df
+    new = [ids] if decoded is None else [ids, decoded]
+    df = df.drop(*(n for n in new if n != text))
     shared = spark.sparkContext.broadcast((tokens, pattern))
-    schema = T.StructType([*(f for f in df.schema.fields if f.name != ids), T.StructField(ids, T.BinaryType())])
+    schema = T.StructType([*(f for f in df.schema.fields if f.name not in new), *(T.StructField(n, T.BinaryType()) for n in new)])
     at = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(*shared.value)
         for batch in batches:
             for part in slices(batch, at, 1 << 20):
-                packed = pa.array(coder.encode_batch(part.column(at).to_pylist()), pa.binary())
-                keep = [(n, c) for n, c in zip(part.schema.names, part.columns) if n != ids]
-                yield pa.RecordBatch.from_arrays([*(c for _, c in keep), packed], [*(n for n, _ in keep), ids])
+                packed = coder.encode_batch(part.column(at).to_pylist())
+                made = [packed] if decoded is None else [packed, [coder.decode(p) for p in packed]]
+                keep = [(n, c) for n, c in zip(part.schema.names, part.columns) if n not in new]
+                yield pa.RecordBatch.from_arrays([*(c for _, c in keep), *(pa.array(m, pa.binary()) for m in made)], [*(n for n, _ in keep), *new])
 
     return df.mapInArrow(run, schema)
 
@@ -173,6 +168,5 @@ def op9_byte_bpe(spark, sf_dir: str) -> DataFrame:
 
     tokens = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    coded = encode(docs, "text", tokens, public_tokenizers.PATTERN).select("doc_id", "ids")
-    both = decode(coded, "ids", tokens)
+    both = encode(docs, "text", tokens, public_tokenizers.PATTERN, decoded="decoded")
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -1,4 +1,4 @@
-"""Removal of repeated passages: content-defined chunks of lines that occur more than once in the corpus."""
+"""Removal of repeated passages: runs of lines with 50 words or more, and content-defined chunks of lines, that occur more than once in the corpus."""
 
 from __future__ import annotations
 
@@ -11,8 +11,10 @@ from countflow.llm.exact_dedup import filter_bits, might_repeat, repeated_cells
 from countflow.llm.skew import join_back
 from countflow.session import checkpoint
 
-#: A line with as many words is a chunk of its own, and is removed if it repeats.
+#: A line with as many words is a chunk of its own. Any run of lines with as many is removed if it repeats.
 LONG_LINE = 50
+#: Most windows are filled by as many lines.
+FEW_LINES = 8
 #: A repeated chunk of several lines goes if it has as many words; less is common by chance.
 LEAST_WORDS = 16
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -27,64 +29,90 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def chunks_of(text: Column) -> Column:
-    """The text's chunks: array of struct(begin, lines, words, hash, body), without Python and in one pass over its lines.
+def places_of(text: Column) -> Column:
+    """The text's passages that count: array of struct(begin, lines, hash), each once, without Python.
 
-    A line ends a chunk if the rolling hash over it and the line before is smaller than those of both neighbours, if it or the next
-    is long, or if it is the last. So a cut depends on four lines only, chunks between short lines have about three, at least two but at
-    an edge, and equal passages are cut alike wherever they stand, but for their edges.
+    Chunks: a line ends a chunk if the rolling hash over it and the line before is smaller than those of both neighbours, if it or the next
+    is long, or if it is the last. Chunks of several lines count from ``LEAST_WORDS`` words on.
+
+    Windows: from each line with words on, and back from each, the fewest lines that hold ``LONG_LINE`` words. They depend on nothing around
+    them, and any run of lines with so many words is covered by windows that lie in it: a line by the one that ends there if the run has
+    enough words up to it, else by the one from the run's first line.
     """
 
     def cut(lines: Column) -> Column:
         facts = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("h"), F.regexp_count(x, F.lit(WORD)).alias("w")))
-        return _let(facts, lambda f: _let(F.transform(f, lambda x, i: F.xxhash64(F.coalesce(F.get(f, i - 1)["h"], F.lit(0).cast("bigint")), x["h"])), lambda r: assemble(lines, f, r)))
+        return _let(facts, lambda f: _let(F.transform(f, lambda x, i: F.xxhash64(F.coalesce(F.get(f, i - 1)["h"], F.lit(0).cast("bigint")), x["h"])), lambda r: places(f, r)))
+
+    def places(facts: Column, rolled: Column) -> Column:
+        filled = F.filter(F.sequence(F.lit(0), F.size(facts) - 1), lambda i: F.get(facts, i)["w"] > 0)
+        spans = F.array_union(chunks(facts, rolled), _let(filled, lambda own: windows(facts, own)))
+        return F.transform(spans, lambda s: F.struct(s["begin"].alias("begin"), s["lines"].alias("lines"), F.xxhash64(F.slice(facts["h"], s["begin"] + 1, s["lines"])).alias("hash")))
 
-    def assemble(lines: Column, facts: Column, rolled: Column) -> Column:
+    def chunks(facts: Column, rolled: Column) -> Column:
         n = F.size(facts)
 
         def ends(i: Column) -> Column:
             least = (F.get(rolled, i) < F.get(rolled, i - 1)) & (F.get(rolled, i) < F.get(rolled, i + 1))
             return F.coalesce(least, F.lit(False)) | (F.get(facts, i)["w"] >= LONG_LINE) | (F.coalesce(F.get(facts, i + 1)["w"], F.lit(LONG_LINE)) >= LONG_LINE)
 
+        def counts(s: Column) -> Column:
+            words = F.aggregate(F.slice(facts, s["begin"] + 1, s["lines"]), F.lit(0), lambda acc, x: acc + x["w"])
+            return _let(words, lambda w: ((s["lines"] >= 2) & (w >= LEAST_WORDS)) | (w >= LONG_LINE))
+
         begins = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | ends(i - 1))
-        return _let(begins, lambda b: F.transform(b, lambda i, k: chunk(lines, facts, i, F.coalesce(F.get(b, k + 1), n) - i)))
+        return F.filter(_let(begins, lambda b: F.transform(b, lambda i, k: span(i, F.coalesce(F.get(b, k + 1), n) - i))), counts)
 
-    def chunk(lines: Column, facts: Column, begin: Column, count: Column) -> Column:
-        part = F.slice(facts, begin + 1, count)
-        words = F.aggregate(part, F.lit(0), lambda acc, x: acc + x["w"])
-        digest = F.aggregate(part, F.lit(42).cast("bigint"), lambda acc, x: F.xxhash64(acc, x["h"]))
-        return F.struct(begin.alias("begin"), count.alias("lines"), words.alias("words"), digest.alias("hash"), F.array_join(F.slice(lines, begin + 1, count), "\n").alias("body"))
+    def windows(facts: Column, own: Column) -> Column:
+        def reach(part: Column) -> Column:
+            """The line of ``part`` that fills the window, and the words up to it."""
+            start = F.struct(F.lit(0).alias("w"), F.lit(0).alias("at"))
+            return F.aggregate(part, start, lambda acc, i: F.when(acc["w"] >= LONG_LINE, acc).otherwise(F.struct((acc["w"] + F.get(facts, i)["w"]).alias("w"), i.alias("at"))))
 
-    return _let(lines_of(text), cut)
+        def filled(part: Callable[[int], Column]) -> Column:
+            # few lines are enough for most; as many as words always are
+            return _let(reach(part(FEW_LINES)), lambda few: F.when(few["w"] >= LONG_LINE, few).otherwise(reach(part(LONG_LINE))))
+
+        def ahead(i: Column, k: Column) -> Column:
+            return _let(filled(lambda most: F.slice(own, k + 1, most)), lambda r: F.when(r["w"] >= LONG_LINE, span(i, r["at"] - i + 1)))
 
+        def back(i: Column, k: Column) -> Column:
+            return _let(filled(lambda most: F.reverse(F.slice(own, F.greatest(k - most + 2, F.lit(1)), F.least(k + 1, F.lit(most))))), lambda r: F.when(r["w"] >= LONG_LINE, span(r["at"], i - r["at"] + 1)))
 
-def _counted(chunk: Column) -> Column:
-    return ((chunk["lines"] >= 2) & (chunk["words"] >= LEAST_WORDS)) | (chunk["words"] >= LONG_LINE)
+        return F.filter(F.concat(F.transform(own, ahead), F.transform(own, back)), lambda s: s.isNotNull())
+
+    def span(begin: Column, count: Column) -> Column:
+        return F.struct(begin.alias("begin"), count.alias("lines"))
+
+    return _let(lines_of(text), cut)
 
 
 def repeated_chunks(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The chunks to remove: doc_id, mark (the text's XXH64), and _removed, an array of struct(begin, lines).
+    """The lines to remove: doc_id, mark (the text's XXH64), and _removed, an array of struct(begin, lines), which may overlap.
 
-    Of equal chunks the first in order of doc_id, text hash and line stays. Chunks count as equal only after a comparison of their bytes: where two
-    bodies share a hash and differ, none of that hash is removed.
+    Of equal passages the first in order of doc_id, text hash and line stays; one that overlaps it goes from the first's end on. Passages count as
+    equal only after a comparison of their bytes: where two share a hash and differ, none of that hash is removed.
 
-    A Bloom filter over all chunk hashes (see exact_dedup) tells which may repeat. Only their bodies are shuffled, one for each task that
-    has met them; an aggregate keeps the smallest and the largest body, which are equal if all are.
+    A Bloom filter over all passages' hashes (see exact_dedup) tells which may repeat, and a count by hash which do. Only the bodies of those
+    are shuffled, one for each task that has met them; an aggregate keeps the smallest and the largest body, which are equal if all are.
     """
-    rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.col("text").isNotNull())
-    cut = rows.select("doc_id", F.xxhash64("text").alias("mark"), F.explode(chunks_of(F.col("text"))).alias("c")).filter(_counted(F.col("c")))
-    places = checkpoint(cut.select("doc_id", "mark", "c.begin", "c.lines", "c.hash"))
+    rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.col("text").isNotNull()).withColumn("mark", F.xxhash64("text"))
+    places = checkpoint(rows.select("doc_id", "mark", F.explode(places_of(F.col("text"))).alias("c")).select("doc_id", "mark", "c.*"))
     bits = filter_bits(places.count())
     blocks = checkpoint(repeated_cells(places, "hash", bits, 2))
-    bodies = might_repeat(cut.select("doc_id", "mark", "c.begin", "c.hash", "c.body"), "hash", blocks, bits, "_maybe").filter("_maybe")
-    groups = bodies.groupBy("hash").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc_id", "mark", "begin")).alias("first"), F.min("body").alias("low"), F.max("body").alias("high")
-    )
-    groups = checkpoint(groups.filter((F.col("n") > 1) & (F.col("low") == F.col("high"))).select("hash", "n", "first"))
     maybe = checkpoint(might_repeat(places, "hash", blocks, bits, "_maybe").filter("_maybe").drop("_maybe"))
-    again = join_back(maybe, groups, "hash", "n", ["doc_id", "mark", "begin"])
-    again = again.filter(~F.struct("doc_id", "mark", "begin").eqNullSafe(F.col("first")))
-    return again.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("begin", "lines")).alias("_removed"))
+    groups = maybe.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "mark", "begin", "lines")).alias("first"))
+    again = checkpoint(join_back(maybe, checkpoint(groups.filter("n > 1")), "hash", "n", ["doc_id", "mark", "begin"]))
+    spans = again.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_set(F.struct("begin", "lines", "hash")).alias("spans"))
+    met = rows.join(spans, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")))
+    body = _let(lines_of(F.col("text")), lambda x: F.transform("spans", lambda s: F.struct(s["hash"].alias("hash"), F.array_join(F.slice(x, s["begin"] + 1, s["lines"]), "\n").alias("body"))))
+    bodies = met.select(F.explode(body).alias("c")).groupBy("c.hash").agg(F.min("c.body").alias("low"), F.max("c.body").alias("high"))
+    again = again.join(bodies.filter("low <> high").select("hash"), "hash", "left_anti")
+    first, end = F.col("first"), F.col("begin") + F.col("lines")
+    same = F.struct("doc_id", "mark").eqNullSafe(F.struct(first["doc_id"], first["mark"]))
+    begin = F.when(same, F.greatest("begin", first["begin"] + first["lines"])).otherwise(F.col("begin"))
+    left = again.select("doc_id", "mark", begin.alias("begin"), (end - begin).alias("lines")).filter("lines > 0")
+    return left.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("begin", "lines")).alias("_removed"))
 
 
 def drop_repeated_chunks(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", removed_lines: str | None = None) -> DataFrame:
@@ -104,12 +132,12 @@ def drop_repeated_chunks(documents: DataFrame, doc_id: str = "doc_id", text: str
     spans = F.col("_removed")
     left = F.filter(lines_of(F.col(text)), lambda _, i: ~F.exists(spans, lambda r: (i >= r["begin"]) & (i < r["begin"] + r["lines"])))
     cut = F.when(spans.isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
-    lost = F.coalesce(F.aggregate(spans, F.lit(0), lambda acc, r: acc + r["lines"]), F.lit(0))
+    lost = F.when(spans.isNull(), 0).otherwise(F.size(lines_of(F.col(text))) - F.size(left))
     rest = marked.filter(~(F.col("_maybe") & F.col(text).isNotNull()))
     names = documents.columns + ([removed_lines] if removed_lines and removed_lines not in documents.columns else [])
-    hit = hit.withColumn(text, cut)
     if removed_lines:
         hit, rest = hit.withColumn(removed_lines, lost.cast("bigint")), rest.withColumn(removed_lines, F.lit(0).cast("bigint"))
+    hit = hit.withColumn(text, cut)
     return hit.select(names).unionByName(rest.select(names))
 
 

@@ -94,3 +94,34 @@ def test_equal_hashes_of_other_bytes_are_not_removed(spark, monkeypatch):
     long = " ".join(f"w{i}" for i in range(60))
     rows = spark.createDataFrame([(1, long), (2, long), (3, long + " other")], "doc_id long, text string")
     assert line_dedup.repeated_chunks(rows).count() == 0
+
+
+def every_repeat(texts):
+    """Plain search: the lines of each text that lie in a run of 50 words or more which stands in an earlier text too."""
+    out = []
+    for i, text in enumerate(texts):
+        lines, gone = text.split("\n"), set()
+        for begin in range(len(lines)):
+            for end in range(begin + 1, len(lines) + 1):
+                run = lines[begin:end]
+                if sum(len(WORD.findall(x)) for x in run) >= LONG_LINE and any(f"\n{chr(10).join(run)}\n" in f"\n{t}\n" for t in texts[:i]):
+                    gone.update(range(begin, end))
+        out.append("\n".join(x for k, x in enumerate(lines) if k not in gone))
+    return out
+
+
+def test_short_passages_go_whole(spark):
+    """Passages of 2 to 6 short lines, and of one-word and blank lines, between lines of their texts' own."""
+    passages = ["\n".join(" ".join(f"p{n}l{k}w{i}" for i in range(-(-60 // n) - (k == 1))) for k in range(n)) for n in range(2, 7)]
+    passages += ["\n".join(f"one{i}" for i in range(55)), "\n\n".join(f"a blank line follows line {i}" for i in range(10))]
+    texts = ["\n".join([f"own {i} line {k}" for k in range(i % 4 + 1)] + [x for j, p in enumerate(passages) for x in (p, f"between {i} and {j}")]) for i in range(12)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["text"] for r in drop_repeated_chunks(rows, removed_lines="gone").collect()}
+    assert [got[i] for i in range(12)] == every_repeat(texts)
+    assert got[0] == texts[0] and all("w1" not in got[i] and "one1" not in got[i] for i in range(1, 12))
+
+
+def test_a_passage_that_overlaps_itself_keeps_its_first_lines(spark):
+    rows = spark.createDataFrame([(1, "\n".join(["ten words of a line that comes again and again"] * 30))], "doc_id long, text string")
+    left = drop_repeated_chunks(rows, removed_lines="gone").first()
+    assert 5 <= len(left["text"].split("\n")) < 30 and left["gone"] == 30 - len(left["text"].split("\n"))

@@ -155,11 +155,16 @@ class Gru:
         fresh = np.zeros(len(y), bool)
         fresh[np.concatenate([[0], np.cumsum([len(d) for d in documents])[:-1]]).astype(int)] = True
         streams = max(1, min(STREAMS, len(y) // (4 * STEPS)))
-        length = len(y) // streams
-        x, y, fresh = (a[: streams * length].reshape(streams, length).T.copy() for a in (x, y, fresh))
+        length, longer = divmod(len(y), streams)  # so many streams are one symbol longer than the others
+        begins = np.arange(streams) * length + np.minimum(np.arange(streams), longer)
+        at = begins + np.arange(length)[:, None]
         h = np.zeros((streams, HIDDEN), np.float32)
         for t in range(0, length, STEPS):
-            h = self.train_window(x[t : t + STEPS], y[t : t + STEPS], fresh[t : t + STEPS], h, rate)
+            own = at[t : t + STEPS]
+            h = self.train_window(x[own], y[own], fresh[own], h, rate)
+        if longer:
+            own = begins[None, :longer] + length
+            self.train_window(x[own], y[own], fresh[own], h[:longer], rate)
 
     def score(self, documents: list[np.ndarray]) -> np.ndarray:
         """Natural log likelihood of each whole document of symbols, each ending in 0 (open classes: of the class only).

@@ -30,9 +30,9 @@ from countflow.llm.vectors import sum_over_partitions
 from countflow.session import checkpoint
 
 #: Words with their own softmax row, and words whose counts every task holds. Neither depends on the input's size.
-HEADS, KNOWN = 16 * CLASS_SIZE, 1 << 16
+HEADS, KNOWN = 32 * CLASS_SIZE, 1 << 16
 #: Open classes of rarer words, told apart by their last letters.
-OPEN = 48
+OPEN = 64
 ROUNDS = 3
 SMOOTH = 0.1
 #: Tokens that a task trains on or scores at once.

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from countflow.llm.text import kept, slices, trim
+from countflow.llm.text import ASCII_LOWER, kept, slices, trim
 
 #: Words that a Python worker remembers; see text.trim.
-MEMO = 450_000
+MEMO = 800_000
+#: The first byte, in UTF-8, of the combining marks that may form one character with a letter from A to Z.
+MARKS = b"\xcc"
 
 
 class WordTokenizer:
@@ -26,6 +29,8 @@ class WordTokenizer:
 
         self.model = Tokenizer.from_file(path)
         self.memo: dict[bytes, bytes] = {}
+        letters = "".join(map(chr, range(65, 91)))
+        self.lowers = self.model.normalizer is not None and self.model.normalizer.normalize_str(letters) == letters.lower()
         suffix = getattr(self.model.model, "end_of_word_suffix", None)
         self.ends = None  # by id: whether the token ends a pre-token
         if suffix:
@@ -48,12 +53,17 @@ class WordTokenizer:
             at = end
         return True
 
+    def _words(self, text: str | None) -> list[bytes]:
+        """The text's words; in lower case if the vocabulary lower-cases A-Z anyway, but not where a mark may be joined to a letter first."""
+        raw = text.encode("utf-8") if text else b""
+        return (raw.translate(ASCII_LOWER) if self.lowers and MARKS not in raw else raw).split()
+
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """For each text its ids as packed little-endian unsigned 32-bit integers; null gives none."""
         trim(self.memo, MEMO)
         memo = self.memo
-        cut = [t.encode("utf-8").split() if t else [] for t in texts]
-        new = {w for words in cut for w in words if w not in memo}
+        cut = [self._words(t) for t in texts]
+        new = set(chain.from_iterable(cut)).difference(memo)
         # a mark after a letter is a pre-token of its own
         marked = [w for w in new if len(w) > 1 and w[-1] in b".,;:!?" and w[-2:-1].isalpha()]
         new.difference_update(marked)

@@ -24,7 +24,25 @@ def test_same_ids_as_tiktoken(text):
         return
     packed = CODER.encode_batch([text])[0]
     assert np.frombuffer(packed, "<u4").tolist() == ENCODING.encode_ordinary(text)
-    assert CODER.decode(packed) == text.encode()
+    assert CODER.decode_batch([packed, b"", packed]) == [text.encode(), b"", text.encode()]
+
+
+def test_memos_that_are_trimmed_give_the_same_ids(monkeypatch, docs):
+    from countflow.llm import byte_bpe
+
+    monkeypatch.setattr(byte_bpe, "MEMO", 50)
+    monkeypatch.setattr(byte_bpe, "INNER", 5)
+    coder = ByteBpe(TOKENS, public_tokenizers.PATTERN)
+    texts = [r["text"] or "" for r in docs.limit(60).collect()] + ["word, Word,, ǆ, ɐɐ. it's it's, \u02b0a b\u0345 x1, ª.", ""]
+    for k in range(0, len(texts), 7):
+        for t, packed in zip(texts[k : k + 7], coder.encode_batch(texts[k : k + 7])):
+            assert np.frombuffer(packed, "<u4").tolist() == ENCODING.encode_ordinary(t)
+            assert coder.decode_batch([packed]) == [t.encode()]
+
+
+@pytest.mark.parametrize("text", ["ab" * 3000, "x" * 5000, "zq" * 2000 + "the" * 900])
+def test_long_pieces(text):
+    assert CODER.merge(text.encode()) == ENCODING.encode_ordinary(text)
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 20000])

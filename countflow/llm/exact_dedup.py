@@ -2,62 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from countflow.llm.bloom import may_repeat, without
 from countflow.llm.text import lower_ascii, text_or_empty
 from countflow.session import checkpoint, shuffle_partitions
 
-#: Bits of one filter block, as Spark's bitmap functions lay it out (4 KB).
-BLOCK_BITS = 32768
-#: The filter has 16 cells for each row, at most this many: 2**29 bits, 64 MB, whatever the input.
-#: Beyond 2**25 rows more rows pass the filter and shuffle; the result is exact at any size.
-MAX_FILTER_BITS = 1 << 29
-CELLS_PER_ROW = 16
-HASHES = 2
-
-
-def _cells(hash64: Column, bits: int) -> list[Column]:
-    """The filter cells of a hash, by double hashing."""
-    low, high = hash64.bitwiseAND(F.lit(0x7FFFFFFF)), F.shiftrightunsigned(hash64, 33).bitwiseOR(F.lit(1))
-    return [F.pmod(low + high * k, F.lit(bits)) for k in range(HASHES)]
-
-
-def filter_bits(rows: int) -> int:
-    bits = BLOCK_BITS
-    while bits < min(rows * CELLS_PER_ROW, MAX_FILTER_BITS):
-        bits *= 2
-    return bits
-
-
-def repeated_cells(hashes: DataFrame, hash_col: str, bits: int, at_least: int) -> DataFrame:
-    """Filter blocks (block, bitmap) of the cells that ``at_least`` rows set. Cells are counted before and
-    after a shuffle of cell numbers alone, so a hot hash costs each task one row; the result is at most
-    ``bits`` / 8 bytes."""
-    cell = hashes.select(F.explode(F.array(*_cells(F.col(hash_col), bits))).alias("cell"))
-    often = cell.groupBy("cell").agg(F.count("*").alias("n")).filter(F.col("n") >= at_least)
-    return often.groupBy(F.floor(F.col("cell") / BLOCK_BITS).alias("block")).agg(F.expr(f"bitmap_construct_agg(cell % {BLOCK_BITS})").alias("bitmap"))
-
-
-def _bit(bitmap: Column, position: Column) -> Column:
-    """Whether the bit at ``position`` is set; false where the block is missing."""
-    byte = F.conv(F.hex(F.substr(bitmap, F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.coalesce(F.getbit(byte, (position % 8).cast("int")) == 1, F.lit(False))
-
-
-def might_repeat(df: DataFrame, hash_col: str, blocks: DataFrame, bits: int, out: str) -> DataFrame:
-    """``df`` with ``out``: true where all cells of the hash are in the filter. The filter's size is bounded
-    by ``MAX_FILTER_BITS``, so it is broadcast; ``df`` isn't shuffled."""
-    tests = []
-    for k, cell in enumerate(_cells(F.col(hash_col), bits)):
-        df = df.withColumn(f"_cell{k}", cell)
-        df = df.join(F.broadcast(blocks.select(F.col("block").alias(f"_block{k}"), F.col("bitmap").alias(f"_bitmap{k}"))), F.floor(F.col(f"_cell{k}") / BLOCK_BITS) == F.col(f"_block{k}"), "left")
-        tests.append(_bit(F.col(f"_bitmap{k}"), F.col(f"_cell{k}") % BLOCK_BITS))
-    found = tests[0]
-    for t in tests[1:]:
-        found = found & t
-    return df.withColumn(out, found).drop(*[f"_{n}{k}" for k in range(HASHES) for n in ("cell", "block", "bitmap")])
-
 
 def exact_groups(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: its id, the id that stays of its group, the group's size, whether it
@@ -75,12 +26,9 @@ def exact_groups(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     body = lower_ascii(text_or_empty(text))
     digests = checkpoint(documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(body).alias("_hash"), F.unhex(F.sha2(body, 256)).alias("_sha")))
     rows, parts = digests.count(), shuffle_partitions(spark)
-    bits = filter_bits(rows)
-    fair = max(2, rows // parts)
-    hashes = digests.select("_hash")
-    marked = might_repeat(digests, "_hash", repeated_cells(hashes, "_hash", bits, 2), bits, "_maybe")
+    marked = may_repeat(digests, "_hash", rows, {"_maybe": 2, "_hot": max(2, rows // parts) + 1})
     single = marked.filter(~F.col("_maybe")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"), "_sha")
-    maybe = might_repeat(marked.filter("_maybe").drop("_maybe"), "_hash", repeated_cells(hashes, "_hash", bits, fair + 1), bits, "_hot")
+    maybe = marked.filter("_maybe")
     groups = maybe.groupBy("_sha", "_hot").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     salts = F.when(F.col("_hot"), F.lit(parts)).otherwise(F.lit(1))
     members = maybe.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), salts.cast("bigint")))
@@ -91,9 +39,14 @@ def exact_groups(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
 
 
 def drop_exact_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``documents`` without the rows that ``exact_groups`` doesn't keep. Ids must be unique."""
-    gone = exact_groups(documents, doc_id, text).filter(~F.col("kept")).select(F.col("doc_id").alias(doc_id))
-    return documents.join(gone, doc_id, "left_anti")
+    """``documents`` without the rows that ``exact_groups`` doesn't keep. Ids may repeat: a row goes for its own text. Rows that share id and text are
+    one document and stay together; of texts that differ in case only and share an id, all stay."""
+    groups = exact_groups(documents, doc_id, text).filter(~F.col("kept")).select(F.col("doc_id").alias("id"), "text_sha256")
+    rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    body = F.sha2(lower_ascii(text_or_empty("text")), 256)
+    marks = rows.select("doc_id", F.xxhash64("text").alias("mark"), body.alias("text_sha256"))
+    gone = marks.join(groups.distinct(), (marks["doc_id"].eqNullSafe(groups["id"])) & (marks["text_sha256"] == groups["text_sha256"]), "left_semi")
+    return without(documents, checkpoint(gone.select(F.col("doc_id").alias("id"), "mark").distinct()), doc_id, text)
 
 
 def op5_exact_dedup(spark, sf_dir: str) -> DataFrame:

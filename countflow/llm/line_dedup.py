@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from countflow.llm.exact_dedup import filter_bits, might_repeat, repeated_cells
+from countflow.llm.bloom import may_repeat, plain_names, split_members
 from countflow.llm.skew import join_back
 from countflow.session import checkpoint
 
@@ -15,8 +15,8 @@ from countflow.session import checkpoint
 LONG_LINE = 50
 #: Most windows are filled by as many lines.
 FEW_LINES = 8
-#: A repeated chunk of several lines goes if it has as many words; less is common by chance.
-LEAST_WORDS = 16
+#: A repeated chunk of several lines goes if it has as many words: any that isn't blank.
+LEAST_WORDS = 1
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -91,23 +91,28 @@ def repeated_chunks(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     """The lines to remove: doc_id, mark (the text's XXH64), and _removed, an array of struct(begin, lines), which may overlap.
 
     Of equal passages the first in order of doc_id, text hash and line stays; one that overlaps it goes from the first's end on. Passages count as
-    equal only after a comparison of their bytes: where two share a hash and differ, none of that hash is removed.
+    equal only after a comparison of their bytes.
 
-    A Bloom filter over all passages' hashes (see exact_dedup) tells which may repeat, and a count by hash which do. Only the bodies of those
-    are shuffled, one for each task that has met them; an aggregate keeps the smallest and the largest body, which are equal if all are.
+    A Bloom filter over all passages' hashes (see bloom) tells which may repeat, and a count by hash which do. Only the bodies of those
+    are shuffled, one for each task that has met them; an aggregate keeps the smallest and the largest body, which are equal if all are. Where
+    two share a hash and differ, the passages of that hash are told apart by the SHA-256 of their bodies.
     """
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.col("text").isNotNull()).withColumn("mark", F.xxhash64("text"))
     places = checkpoint(rows.select("doc_id", "mark", F.explode(places_of(F.col("text"))).alias("c")).select("doc_id", "mark", "c.*"))
-    bits = filter_bits(places.count())
-    blocks = checkpoint(repeated_cells(places, "hash", bits, 2))
-    maybe = checkpoint(might_repeat(places, "hash", blocks, bits, "_maybe").filter("_maybe").drop("_maybe"))
+    maybe = checkpoint(may_repeat(places, "hash", places.count(), {"_maybe": 2}).filter("_maybe").drop("_maybe"))
     groups = maybe.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "mark", "begin", "lines")).alias("first"))
     again = checkpoint(join_back(maybe, checkpoint(groups.filter("n > 1")), "hash", "n", ["doc_id", "mark", "begin"]))
     spans = again.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_set(F.struct("begin", "lines", "hash")).alias("spans"))
     met = rows.join(spans, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")))
-    body = _let(lines_of(F.col("text")), lambda x: F.transform("spans", lambda s: F.struct(s["hash"].alias("hash"), F.array_join(F.slice(x, s["begin"] + 1, s["lines"]), "\n").alias("body"))))
+    body = _let(lines_of(F.col("text")), lambda x: F.transform("spans", lambda s: F.struct(s["hash"].alias("hash"), F.array_join(F.slice(x, s["begin"] + 1, s["lines"]), "\n").alias("body"), s["begin"].alias("begin"), s["lines"].alias("lines"))))
     bodies = met.select(F.explode(body).alias("c")).groupBy("c.hash").agg(F.min("c.body").alias("low"), F.max("c.body").alias("high"))
-    again = again.join(bodies.filter("low <> high").select("hash"), "hash", "left_anti")
+    clash = checkpoint(bodies.filter("low <> high").select("hash"))
+    if clash.limit(1).count():  # hashes that different bodies share: none in most corpora
+        apart = met.select("doc_id", "mark", F.explode(body).alias("c")).select("doc_id", "mark", "c.begin", "c.lines", "c.hash", F.sha2("c.body", 256).alias("sha"))
+        apart = checkpoint(apart.join(clash, "hash", "left_semi"))
+        firsts = apart.groupBy("hash", "sha").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "mark", "begin", "lines")).alias("first")).filter("n > 1").drop("n")
+        apart = apart.join(firsts, ["hash", "sha"])
+        again = again.join(clash, "hash", "left_anti").select("doc_id", "mark", "begin", "lines", "first").unionByName(apart.select("doc_id", "mark", "begin", "lines", "first"))
     first, end = F.col("first"), F.col("begin") + F.col("lines")
     same = F.struct("doc_id", "mark").eqNullSafe(F.struct(first["doc_id"], first["mark"]))
     begin = F.when(same, F.greatest("begin", first["begin"] + first["lines"])).otherwise(F.col("begin"))
@@ -122,23 +127,23 @@ def drop_repeated_chunks(documents: DataFrame, doc_id: str = "doc_id", text: str
     document: what is removed from one is removed from all. Only documents that may have lost lines are shuffled; a Bloom filter of
     their text hashes lets the others pass.
     """
-    found = checkpoint(repeated_chunks(documents, doc_id, text))
-    bits = filter_bits(found.count())
-    blocks = checkpoint(repeated_cells(found.select("mark"), "mark", bits, 1))
-    marked = might_repeat(documents.withColumn("_mark", F.xxhash64(text)), "_mark", blocks, bits, "_maybe")
-    gone = found.select(F.col("doc_id").alias("_gone_id"), F.col("mark").alias("_gone_mark"), "_removed")
-    hit = marked.filter(F.col("_maybe") & F.col(text).isNotNull())
-    hit = hit.join(gone, hit[doc_id].eqNullSafe(gone["_gone_id"]) & (hit["_mark"] == gone["_gone_mark"]), "left")
-    spans = F.col("_removed")
-    left = F.filter(lines_of(F.col(text)), lambda _, i: ~F.exists(spans, lambda r: (i >= r["begin"]) & (i < r["begin"] + r["lines"])))
-    cut = F.when(spans.isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
-    lost = F.when(spans.isNull(), 0).otherwise(F.size(lines_of(F.col(text))) - F.size(left))
-    rest = marked.filter(~(F.col("_maybe") & F.col(text).isNotNull()))
+    docs, back = plain_names(documents, text=text, **({} if doc_id == text else {"id": doc_id}))
+    key = "id" if "id" in back else "text"
+    found = checkpoint(repeated_chunks(docs, key, "text"))
+    hit, rest = split_members(docs.withColumn("mark", F.xxhash64("text")), "mark", found, "mark")
+    gone = found.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "_removed")
+    hit = hit.join(gone, hit[key].eqNullSafe(gone["_id"]) & (hit["mark"] == gone["_mark"]), "left")
+    lines, spans = lines_of(F.col("text")), F.col("_removed")
+    numbers = F.flatten(F.transform(spans, lambda r: F.sequence(r["begin"], r["begin"] + r["lines"] - 1)))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), numbers)
+    hit = hit.withColumn("_left", F.when(spans.isNotNull(), left))
+    cut = F.when(spans.isNull(), F.col("text")).otherwise(_let(lines, lambda x: F.array_join(F.transform("_left", lambda i: F.get(x, i)), "\n")))
+    lost = F.when(spans.isNull(), 0).otherwise(F.size(lines) - F.size("_left"))
+    out = {c: F.col(n) for n, c in back.items()}
     names = documents.columns + ([removed_lines] if removed_lines and removed_lines not in documents.columns else [])
-    if removed_lines:
-        hit, rest = hit.withColumn(removed_lines, lost.cast("bigint")), rest.withColumn(removed_lines, F.lit(0).cast("bigint"))
-    hit = hit.withColumn(text, cut)
-    return hit.select(names).unionByName(rest.select(names))
+    changed = {**out, text: cut, **({removed_lines: lost.cast("bigint")} if removed_lines else {})}
+    same = {**out, **({removed_lines: F.lit(0).cast("bigint")} if removed_lines else {})}
+    return hit.select(*[changed[c].alias(c) for c in names]).unionByName(rest.select(*[same[c].alias(c) for c in names]))
 
 
 def op3_line_dedup(spark, sf_dir: str) -> DataFrame:

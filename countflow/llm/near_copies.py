@@ -1,4 +1,4 @@
-"""Pairs of documents whose sets of word shingles have a Jaccard similarity from a bound on, found exactly by prefix filtering."""
+"""Removal of documents whose set of word shingles has a Jaccard similarity from a bound on to that of a document that stays, exactly, by prefix filtering."""
 
 from __future__ import annotations
 
@@ -7,13 +7,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from countflow.llm.bloom import may_repeat, split_members, without
 from countflow.llm.simhash import shingle_hashes
+from countflow.llm.skew import join_back
 from countflow.llm.text import forget, slices
-from countflow.operators.components import connected_components
 from countflow.session import checkpoint
 
 SIZE = 5
@@ -22,6 +23,8 @@ LEAST = (4, 5)
 #: One text in so many is looked through for common shingles; those in ``COMMON`` of them come last in the order, the most common ``MOST`` at most.
 #: This changes the cost only.
 ONE_IN, COMMON, MOST = 4, 2, 2_000_000
+#: Rounds in which each shingle's sets meet the first of them only; then what is left of a shingle's sets meets pair by pair.
+ROUNDS = 3
 
 
 def shingle_set(text: str | None, size: int = SIZE) -> np.ndarray:
@@ -40,69 +43,107 @@ def common_shingles(rows: DataFrame, size: int) -> np.ndarray:
     return np.sort(often.orderBy(F.desc("n"), "token").limit(MOST).select("token").toArrow().column(0).to_numpy())
 
 
-def similar_pairs(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:
-    """(a, b), a < b: ids of documents of which the later has the same shingles as the first of its kind, or both are firsts and similar.
-
-    Shingles are known by 64-bit hashes. In any one order of all shingles, two sets of a similarity of 4 / 5 or more share one among the first
-    fifth (and one more) of each, so equality on those finds every pair; the join compares sizes and places too, and whole sets decide. Common
-    shingles come last in the order. Rows without an id are left out.
-    """
-    rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
-    id_type = rows.schema["doc_id"].dataType
+def _prefixes(rows: DataFrame, size: int) -> DataFrame:
+    """``rows`` (doc_id, mark, text) as doc_id, mark, kind (a digest of the text's set of shingles), m (its size) and the first ``tokens`` of the set."""
     common = rows.sparkSession.sparkContext.broadcast(common_shingles(rows, size))
     up, down = LEAST
 
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         for batch in batches:
-            for part in slices(batch, 1, 1 << 20):
+            for part in slices(batch, 2, 1 << 20):
                 digests, sizes, firsts = [], [], []
-                for t in part.column(1).to_pylist():
+                for t in part.column(2).to_pylist():
                     own = shingle_set(t, size)
                     late = np.isin(own, common.value, assume_unique=True)
                     digests.append(xxhash.xxh64_intdigest(own.tobytes()) - (1 << 63))
                     sizes.append(len(own))
                     firsts.append(np.concatenate([own[~late], own[late]])[: len(own) + (-up * len(own)) // down + 1])
-                arrays = [part.column(0), pa.array(digests, pa.int64()), pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "kind", "m", "tokens"])
+                arrays = [part.column(0), part.column(1), pa.array(digests, pa.int64()), pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "mark", "kind", "m", "tokens"])
+
+    schema = T.StructType([rows.schema["doc_id"], T.StructField("mark", T.LongType()), T.StructField("kind", T.LongType()), T.StructField("m", T.IntegerType()), T.StructField("tokens", T.ArrayType(T.LongType()))])
+    return rows.mapInArrow(run, schema)
+
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(texts: DataFrame, size: int) -> DataFrame:
+    """``texts`` (kind, text) as kind and the whole set of shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 0, 1 << 20):
-                found = [shingle_set(t, size).tobytes() for t in part.column(0).to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh64_intdigest(x) - (1 << 63) for x in found], pa.int64()), pa.array(found, pa.binary())], ["kind", "own"])
+            for part in slices(batch, 1, 1 << 20):
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_set(t, size).tobytes() for t in part.column(1).to_pylist()], pa.binary())], ["kind", "own"])
+
+    return texts.mapInArrow(run, "kind long, own binary")
+
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _similar(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """The ``pairs`` (x, y) whose whole sets are similar."""
+    up, down = LEAST
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = np.frombuffer(x.as_py(), np.int64), np.frombuffer(y.as_py(), np.int64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(down * both >= up * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("kind", T.LongType()), T.StructField("m", T.IntegerType()), T.StructField("tokens", T.ArrayType(T.LongType()))])
-    marked = checkpoint(rows.mapInArrow(prefixes, schema))
-    firsts = checkpoint(marked.groupBy("kind").agg(F.min("doc_id").alias("first")))
-    equal = marked.select("doc_id", "kind").join(firsts, "kind").filter("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    one = marked.join(firsts, "kind").filter("doc_id = first").select("kind", "m", F.posexplode("tokens").alias("at", "token"))
-    x, y = one.alias("x"), one.alias("y")
-    fits = (F.col("x.m") * down >= F.col("y.m") * up) & (F.col("y.m") * down >= F.col("x.m") * up)
-    # a shared shingle is the first that two sets share, or an earlier one meets too: so many can be shared from there on
-    most = F.least(F.col("x.m") - F.col("x.at"), F.col("y.m") - F.col("y.at"))
-    fits = fits & (most * (up + down) >= (F.col("x.m") + F.col("y.m")) * up)
-    near = x.join(y, F.col("x.token") == F.col("y.token")).filter((F.col("x.kind") < F.col("y.kind")) & fits).select(F.col("x.kind").alias("x"), F.col("y.kind").alias("y"))
-    pairs = checkpoint(near.distinct())
-    met = pairs.select(F.col("x").alias("kind")).union(pairs.select("y")).distinct().join(firsts, "kind")
-    texts = rows.join(met.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
-    held = checkpoint(texts.mapInArrow(sets, "kind long, own binary").dropDuplicates(["kind"]))
     both = pairs.join(held.select(F.col("kind").alias("x"), F.col("own").alias("xs")), "x").join(held.select(F.col("kind").alias("y"), F.col("own").alias("ys")), "y")
-    good = both.select("x", "y", "xs", "ys").mapInArrow(verify, "x long, y long")
-    good = good.join(firsts.select(F.col("kind").alias("x"), F.col("first").alias("p")), "x").join(firsts.select(F.col("kind").alias("y"), F.col("first").alias("q")), "y")
-    return equal.union(good.filter("p <> q").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))).distinct()
+    return both.select("x", "y", "xs", "ys").mapInArrow(run, "x long, y long")
+
+
+def _fits(x: str, y: str) -> Column:
+    """Whether two sets that share a shingle may be similar, by their sizes and its place in each."""
+    up, down = LEAST
+    xm, ym = F.col(f"{x}.m"), F.col(f"{y}.m")
+    # a shared shingle is the first that two sets share, or an earlier one meets too: so many can be shared from there on
+    most = F.least(xm - F.col(f"{x}.at"), ym - F.col(f"{y}.at"))
+    return (xm * down >= ym * up) & (ym * down >= xm * up) & (most * (up + down) >= (xm + ym) * up)
+
+
+def similar_rows(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:
+    """(id, mark: the text's XXH64) of the rows to drop, so that no two rows that stay are similar. Each is similar to a row with a smaller id, which stays or
+    is dropped for the same reason. Rows without an id are left out.
+
+    Shingles are known by 64-bit hashes. In any one order of all shingles, two sets of a similarity of 4 / 5 or more share one among the first
+    fifth (and one more) of each, so equality on those finds every pair; sizes and places are compared too, and whole sets decide. Common
+    shingles come last in the order; a Bloom filter tells which of the first ones may be in two sets, and only those are shuffled. In a
+    round each set meets the first (by id) of those that share a shingle, so a group of copies costs a pair for each of them, and those similar
+    to it are done. Equal sets count as one from the start.
+    """
+    rows = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
+    marked = checkpoint(_prefixes(rows, size))
+    kinds = marked.groupBy("kind").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.count("*").alias("copies"))
+    marked = checkpoint(join_back(marked, checkpoint(kinds), "kind", "copies", ["doc_id", "mark"]))
+    own = F.struct("doc_id", "mark") == F.col("first")
+    tokens = marked.filter(own).dropDuplicates(["kind"]).select("kind", "first", "m", F.posexplode("tokens").alias("at", "token"))
+    count = marked.agg(F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()[0]
+    met = checkpoint(may_repeat(tokens, "token", count, {"_maybe": 2}).filter("_maybe").drop("_maybe"))
+    need = checkpoint(met.select("kind", F.col("first")["doc_id"].alias("id"), F.col("first")["mark"].alias("mark")).distinct())
+    hit, _ = split_members(rows, "mark", need, "mark")
+    texts = hit.join(need.withColumnRenamed("mark", "_mark"), (F.col("mark") == F.col("_mark")) & (F.col("doc_id") == F.col("id"))).select("kind", "text")
+    held = checkpoint(_sets(texts, size).dropDuplicates(["kind"]))
+    done = None
+    for k in range(ROUNDS + 1):
+        if k < ROUNDS:
+            lead = met.groupBy("token").agg(F.min(F.struct("first", "kind", "m", "at")).alias("lead"), F.count("*").alias("n")).filter("n > 1")
+            both = checkpoint(join_back(met, checkpoint(lead), "token", "n", ["kind"]).filter(F.col("kind") != F.col("lead")["kind"]))
+            near = both.select(F.struct("m", "at").alias("y"), F.col("lead").alias("x"), "kind").filter(_fits("x", "y")).select(F.col("x")["kind"].alias("x"), F.col("kind").alias("y"))
+        else:
+            near = met.alias("x").join(met.alias("y"), F.col("x.token") == F.col("y.token")).filter((F.col("x.first") < F.col("y.first")) & _fits("x", "y")).select(F.col("x.kind").alias("x"), F.col("y.kind").alias("y"))
+        dead = checkpoint(_similar(checkpoint(near.distinct()), held).select(F.col("y").alias("kind")).distinct())
+        done = dead if done is None else done.unionByName(dead)
+        if k < ROUNDS:
+            met = checkpoint(both.select("kind", "first", "m", "at", "token").join(dead, "kind", "left_anti"))
+            if not met.limit(1).count():
+                break
+    copies = marked.filter(~own).select(F.col("doc_id").alias("id"), "mark")
+    return copies.unionByName(marked.join(done.distinct(), "kind", "left_semi").select(F.col("doc_id").alias("id"), "mark")).distinct()
 
 
 def drop_similar(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:
-    """``documents`` with one document of each group linked by ``similar_pairs``, the one with the smallest id. Rows without an id stay."""
-    groups = connected_components(checkpoint(similar_pairs(documents, doc_id, text, size)))
-    return documents.join(groups.filter("node <> label").select(F.col("node").alias(doc_id)), doc_id, "left_anti")
+    """``documents`` without the rows of ``similar_rows``: no two rows that stay are similar. Empty and null texts count as equal. Ids may repeat: a row goes for its
+    own text, and rows that share id and text are one document. Rows without an id stay. An empty table stays empty."""
+    return without(documents, checkpoint(similar_rows(documents, doc_id, text, size)), doc_id, text)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from countflow.llm.bloom import without
 from countflow.llm.skew import join_back
 from countflow.llm.text import forget, slices, words_of
 from countflow.llm.vectors import sum_over_partitions
@@ -51,16 +52,16 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 
 def fingerprints(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
-    """Each document's id and fingerprint (the unsigned value's bits as a signed long). Map-only, over whole texts."""
-    rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("fp", T.LongType())])
+    """Each document's id, mark (its text's XXH64) and fingerprint (the unsigned value's bits as a signed long). Map-only, over whole texts."""
+    rows = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+    schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("mark", T.LongType()), T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         for batch in batches:
-            for part in slices(batch, 1, 8 << 20):
-                found = np.array([fingerprint(shingle_hashes(t, size)) for t in part.column(1).to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found.view(np.int64), pa.int64())], ["doc_id", "fp"])
+            for part in slices(batch, 2, 8 << 20):
+                found = np.array([fingerprint(shingle_hashes(t, size)) for t in part.column(2).to_pylist()], np.uint64)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found.view(np.int64), pa.int64())], ["doc_id", "mark", "fp"])
 
     return rows.mapInArrow(run, schema)
 
@@ -223,30 +224,38 @@ def links(distinct: DataFrame, distance: int = 3, groups: int = 4) -> DataFrame:
     return near.select("a", "b").distinct()
 
 
+def _members(documents: DataFrame, doc_id: str, text: str, size: int, distance: int) -> DataFrame:
+    """doc_id, mark, fp, and ``first``: the struct (doc_id, mark) of the group's first row, null where no row of the group has an id."""
+    rows = checkpoint(fingerprints(documents, doc_id, text, size))
+    own = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "mark"))
+    distinct = checkpoint(rows.groupBy("fp").agg(F.min(own).alias("first"), F.count("*").alias("n")))
+    found = checkpoint(connected_components(checkpoint(links(distinct, distance))))
+    # a component may hold much of the table: its name comes from one row for each component that has several fingerprints
+    linked = checkpoint(distinct.join(found.withColumnRenamed("node", "fp"), "fp"))
+    named = checkpoint(linked.groupBy("label").agg(F.min("first").alias("named"), F.count("*").alias("members")))
+    of = join_back(linked.select("fp", "label"), named, "label", "members", ["fp"]).select("fp", "named")
+    groups = checkpoint(distinct.join(of, "fp", "left").select("fp", "n", F.coalesce("named", "first").alias("first")))
+    return join_back(rows, groups, "fp", "n", ["doc_id", "mark"])
+
+
 def near_groups(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, distance: int = 3) -> DataFrame:
     """One row per input row: doc_id, fp (fingerprint as a signed long) and component_id, the smallest id reachable over
     fingerprints that differ in ``distance`` bits or fewer.
 
     A null text counts as empty; texts without words have fingerprint zero and are linked to each other, and to near ones, like any
     others. Null ids are members but never name a component unless it has no other id. Repeated rows stay. An empty table gives an empty result.
-    Copies meet as one fingerprint before any pair is formed, and in the join back a fingerprint with more rows than a task's fair share is
-    dealt out by a salt; at most as many fingerprints as there are shuffle partitions can be that frequent, so their list is broadcast.
+    Copies meet as one fingerprint before any pair is formed, and in the joins back a fingerprint or component with more rows than a task's fair
+    share is dealt out by a salt; at most as many of them as there are shuffle partitions can be that frequent, so their list is broadcast.
     """
-    rows = checkpoint(fingerprints(documents, doc_id, text, size))
-    distinct = checkpoint(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")))
-    found = connected_components(checkpoint(links(distinct, distance)))
-    joined = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("label", "fp"))
-    joined = checkpoint(joined.select("fp", "first", "n", "label", "root"))
-    named = joined.filter(F.col("label").isNotNull()).groupBy("root").agg(F.min("first").alias("component"))
-    groups = checkpoint(joined.join(named, "root", "left").select("fp", "n", F.coalesce("component", "first").alias("component_id")))
-    return join_back(rows, groups, "fp", "n", ["doc_id"]).select("doc_id", "fp", "component_id")
+    return _members(documents, doc_id, text, size, distance).select("doc_id", "fp", F.col("first")["doc_id"].alias("component_id"))
 
 
 def drop_near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, distance: int = 3) -> DataFrame:
-    """``documents`` with one document of each group, the one with the smallest id. Rows without an id stay."""
-    groups = near_groups(documents, doc_id, text, size, distance)
-    gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(doc_id))
-    return documents.join(gone, doc_id, "left_anti")
+    """``documents`` with one document of each group, the one with the smallest id (of those the text with the smallest hash). Ids may repeat: a row
+    goes for its own text. Rows that share id and text are one document. Rows without an id stay."""
+    rows = _members(documents, doc_id, text, size, distance).filter(F.col("doc_id").isNotNull())
+    gone = rows.filter(F.struct("doc_id", "mark") != F.col("first")).select(F.col("doc_id").alias("id"), "mark").distinct()
+    return without(documents, checkpoint(gone), doc_id, text)
 
 
 def op2_simhash(spark, sf_dir: str) -> DataFrame:

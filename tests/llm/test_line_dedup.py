@@ -4,6 +4,9 @@ from collections import defaultdict
 import xxhash
 
 from countflow.llm import line_dedup
+from countflow.llm.exact_dedup import drop_exact_copies
+from countflow.llm.near_copies import drop_similar
+from countflow.llm.simhash import drop_near_copies
 from countflow.llm.line_dedup import LEAST_WORDS, LONG_LINE, drop_repeated_chunks, op3_line_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -25,28 +28,42 @@ def signed(x):
     return x - (1 << 64) if x >> 63 else x
 
 
-def brute_chunks(text):
+def brute_spans(text):
+    """(begin, lines) of the content-defined chunks and of the least windows of 50 words from and up to each line."""
     lines = text.split("\n")
     h, w = [h_text(x) for x in lines], [len(WORD.findall(x)) for x in lines]
     roll = [signed(h_longs(h[i - 1] if i else 0, h[i])) for i in range(len(h))]
-    begin, out = 0, []
+    begin, out = 0, set()
     for i in range(len(lines)):
         last = i == len(lines) - 1
         if last or (i and roll[i - 1] > roll[i] < roll[i + 1]) or w[i] >= LONG_LINE or w[i + 1] >= LONG_LINE:
-            out.append((begin, i + 1 - begin, sum(w[begin : i + 1]), "\n".join(lines[begin : i + 1])))
+            words, n = sum(w[begin : i + 1]), i + 1 - begin
+            if words >= LONG_LINE or (n >= 2 and words >= LEAST_WORDS):
+                out.add((begin, n))
             begin = i + 1
+    for i in range(len(lines)):
+        for step in (1, -1):
+            j, words = i, w[i]
+            while words and words < LONG_LINE and 0 <= j + step < len(lines):
+                j += step
+                words += w[j]
+            if w[i] and words >= LONG_LINE:
+                out.add((min(i, j), abs(i - j) + 1))
     return out
 
 
 def brute(rows):
-    first, seen = {}, defaultdict(int)
-    keyed = []
-    for i, t in sorted({(r["doc_id"], r["text"]) for r in rows if r["text"] is not None}, key=lambda k: (k[0] is not None, k[0] or 0, signed(h_text(k[1])))):
-        own = [c for c in brute_chunks(t) if c[2] >= LONG_LINE or (c[1] >= 2 and c[2] >= LEAST_WORDS)]
-        keyed.append(((i, t), own))
-        for c in own:
-            first.setdefault(c[3], ((i, t), c[0]))
-    gone = {k: {line for c in own if first[c[3]] != (k, c[0]) for line in range(c[0], c[0] + c[1])} for k, own in keyed}
+    documents = sorted({(r["doc_id"], r["text"]) for r in rows if r["text"] is not None}, key=lambda k: (k[0] is not None, k[0] or 0, signed(h_text(k[1]))))
+    places = defaultdict(list)
+    for k, (_, t) in enumerate(documents):
+        lines = t.split("\n")
+        for begin, n in brute_spans(t):
+            places["\n".join(lines[begin : begin + n])].append((k, begin, n))
+    gone = defaultdict(set)
+    for own in places.values():
+        first, begin, n = min(own)
+        for k, b, _ in own:
+            gone[documents[k]].update(range(max(b, begin + n) if k == first else b, b + n))
     out = []
     for r in rows:
         if r["text"] is None:
@@ -86,14 +103,34 @@ def test_odd_rows(clashing, none):
     assert drop_repeated_chunks(none).count() == 0
 
 
-def test_equal_hashes_of_other_bytes_are_not_removed(spark, monkeypatch):
-    """All chunks share one hash: nothing may go but where all bodies are equal."""
+def test_equal_hashes_of_other_bytes(spark, monkeypatch):
+    """All passages share one hash: each body's repeats go, and nothing else."""
     from pyspark.sql import functions as F
 
-    monkeypatch.setattr(line_dedup.F, "xxhash64", lambda *c: F.lit(7).cast("bigint"))
+    monkeypatch.setattr(line_dedup.F, "xxhash64", lambda *c: F.hash(*c).cast("bigint") if isinstance(c[0], str) else F.lit(7).cast("bigint"))
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = spark.createDataFrame([(1, long), (2, long), (3, long + " other"), (4, long + " more"), (5, long + " more")], "doc_id long, text string")
+    assert {r["doc_id"] for r in line_dedup.repeated_chunks(rows).collect()} == {2, 5}
+
+
+def test_two_short_lines_go_where_they_are_a_chunk(spark):
+    """A repeated chunk of lines goes however few words it has; one line alone stays."""
+    own = "\n".join(" ".join(f"{c}{i}" for i in range(60)) for c in "xy").split("\n")
+    rows = [(1, f"{own[0]}\nNotice one.\nNotice two."), (2, f"{own[1]}\nNotice one.\nNotice two."), (3, "Notice one.")]
+    out = {r["doc_id"]: r["text"] for r in drop_repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[1] == rows[0][1] and out[3] == "Notice one."
+    assert out[2] in (own[1], rows[1][1]) and (out[2] == own[1]) == all((1, 2) in brute_spans(r[1]) for r in rows[:2])
+
+
+def test_columns_named_like_the_operators_own(spark):
+    names = ["_mark", "_cell", "_cell0", "_block", "_block0", "_bitmap0", "_maybe", "_in", "_id", "_gone_id", "_removed", "_left", "mark", "id", "c0", "hash", "body", "first"]
     long = " ".join(f"w{i}" for i in range(60))
-    rows = spark.createDataFrame([(1, long), (2, long), (3, long + " other")], "doc_id long, text string")
-    assert line_dedup.repeated_chunks(rows).count() == 0
+    rows = spark.createDataFrame([(1, long, *["x"] * len(names)), (2, long, *["y"] * len(names))], ", ".join(["doc_id long", "text string", *(f"`{n}` string" for n in names)]))
+    for out in (drop_repeated_chunks(rows, removed_lines="removed"), drop_exact_copies(rows), drop_near_copies(rows), drop_similar(rows)):
+        assert out.columns[: len(rows.columns)] == rows.columns
+        got = sorted(map(tuple, out.collect()))
+        assert all(r[2 : 2 + len(names)] == ("xy"[r[0] - 1],) * len(names) for r in got)
+        assert {r[0] for r in got if r[1]} in ({1}, {2})
 
 
 def every_repeat(texts):

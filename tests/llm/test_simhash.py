@@ -81,3 +81,13 @@ def test_odd_rows(odd, clashing, none):
     kept = drop_near_copies(clashing)
     assert kept.columns == clashing.columns
     assert {r["doc_id"] for r in kept.collect()} == {r["component_id"] for r in got}
+
+
+def test_a_row_goes_for_its_own_text(spark):
+    """Ids that repeat: the row (1, a) has no copy and stays; near copies under one id leave one."""
+    a, b = " ".join(f"a{i}" for i in range(400)), " ".join(f"b{i}" for i in range(400))
+    near = b + " one"
+    assert (brute_fingerprint(b) ^ brute_fingerprint(near)).bit_count() <= 3
+    frame = spark.createDataFrame([(0, b), (1, a), (1, b), (3, a.upper())], "doc_id long, text string")
+    assert sorted(map(tuple, drop_near_copies(frame).collect())) == [(0, b), (1, a)]
+    assert drop_near_copies(spark.createDataFrame([(5, b), (5, near)], "doc_id long, text string")).count() == 1

@@ -16,20 +16,21 @@ CLASS_SIZE = 64
 STEPS = 16  # of a window: gradients go back this far, states and their values go on
 STREAMS = 512
 LANES = 1024  # documents that are scored side by side
+BLOCK = 4096  # rows that go through the class softmax at once
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-def _softmax(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities of each row's entries, and the log probability of the entry ``at``. Logits start at 0 or below; beyond 80 they'd overflow and are cut."""
+def _log_share(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The log probability of each row's entry ``at``, and the rows' sums; ``x`` becomes the entries' exponentials. Logits start at 0 or below; beyond 80
+    they'd overflow and are cut."""
     np.minimum(x, 80, out=x)
     logit = x[np.arange(len(x)), at].astype(np.float64)
     np.exp(x, out=x)
     total = x @ np.ones(x.shape[1], x.dtype)
-    x /= total[:, None]
-    return x, logit - np.log(total)
+    return logit - np.log(total), total
 
 
 class Gru:
@@ -75,31 +76,51 @@ class Gru:
         return n + z * (h - n), z, r, n, un
 
     def output(self, hs: np.ndarray, y: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """Natural log probabilities of symbols ``y`` at states ``hs``; with ``grads``, fills in the output layer's and returns the states'."""
+        """Natural log probabilities of symbols ``y`` at states ``hs``; with ``grads``, fills in the output layer's and returns the states'.
+
+        Rows are sorted by class, so that each class's are next to each other, and go through the class softmax in blocks that a core's cache holds.
+        """
         p, scale = self.p, np.float32(1 / max(1, len(y)))
-        own = np.where(y < self.heads, y // CLASS_SIZE, y - self.heads + self.classes)
-        d, out = _softmax(hs @ p["class_w"] + p["class_b"], own)
+        own = np.where(y < self.heads, y // CLASS_SIZE, y - self.heads + self.classes).astype(np.int16)
+        order = np.argsort(own, kind="stable")
+        hs, own, y = hs[order], own[order], y[order]
+        out = np.empty(len(y))
         dh = None
         if grads is not None:
-            d[np.arange(len(y)), own] -= 1
-            d *= scale
-            grads["class_w"], grads["class_b"] = hs.T @ d, d.sum(0)
-            grads["word_w"], grads["word_b"] = np.zeros_like(p["word_w"]), np.zeros_like(p["word_b"])
-            dh = d @ p["class_w"].T
-        order = np.argsort(own, kind="stable")
-        edge = np.searchsorted(own[order], np.arange(self.classes + 1))
+            dh = np.empty_like(hs)
+            grads |= {n: np.zeros_like(p[n]) for n in ("class_w", "class_b", "word_w", "word_b")}
+        for lo in range(0, len(y), BLOCK):
+            s, c = hs[lo : lo + BLOCK], own[lo : lo + BLOCK]
+            d = s @ p["class_w"]
+            d += p["class_b"]
+            out[lo : lo + BLOCK], total = _log_share(d, c)
+            if grads is not None:
+                d *= (scale / total)[:, None]
+                d[np.arange(len(c)), c] -= scale
+                grads["class_w"] += s.T @ d
+                grads["class_b"] += d.sum(0)
+                dh[lo : lo + BLOCK] = d @ p["class_w"].T
+        edge = np.searchsorted(own, np.arange(self.classes + 1)).tolist()
         for k in range(self.classes):
-            at = order[edge[k] : edge[k + 1]]
-            if len(at):
-                s, word = hs[at], y[at] - k * CLASS_SIZE
-                d, logp = _softmax(s @ p["word_w"][k] + p["word_b"][k], word)
-                out[at] += logp
+            lo, hi = edge[k], edge[k + 1]
+            if lo < hi:
+                s, word = hs[lo:hi], y[lo:hi] - k * CLASS_SIZE
+                d = s @ p["word_w"][k]
+                d += p["word_b"][k]
+                logp, total = _log_share(d, word)
+                out[lo:hi] += logp
                 if grads is not None:
-                    d[np.arange(len(at)), word] -= 1
-                    d *= scale
+                    d *= (scale / total)[:, None]
+                    d[np.arange(hi - lo), word] -= scale
                     grads["word_w"][k], grads["word_b"][k] = s.T @ d, d.sum(0)
-                    dh[at] += d @ p["word_w"][k].T
-        return out, dh
+                    dh[lo:hi] += d @ p["word_w"][k].T
+        logp = np.empty_like(out)
+        logp[order] = out
+        if dh is None:
+            return logp, None
+        back = np.empty_like(dh)
+        back[order] = dh
+        return logp, back
 
     def _update(self, name: str, grad: np.ndarray, rate: float, rows: np.ndarray | None = None) -> None:
         """Adagrad; for some ``rows`` only of a table."""
@@ -118,7 +139,8 @@ class Gru:
         Returns the last state, which the next window starts from."""
         p, kept, states = self.p, [], []
         for t in range(len(x)):
-            h = np.where(fresh[t][:, None], np.float32(0), h)
+            if fresh[t].any():
+                h = np.where(fresh[t][:, None], np.float32(0), h)
             nxt, z, r, n, un = self.step(p["table"][x[t]], h)
             kept.append((h, z, r, n, un))
             states.append(nxt)
@@ -126,22 +148,29 @@ class Gru:
         grads: dict = {}
         _, dhs = self.output(np.concatenate(states), y.ravel(), grads)
         dhs = dhs.reshape(len(x), -1, HIDDEN)
-        dh, d_recur, d_in = np.zeros_like(h), np.zeros_like(p["recur"]), []
+        dh = np.zeros_like(h)
+        gates, back = np.empty((len(x), h.shape[0], 3 * HIDDEN), h.dtype), np.empty((len(x), h.shape[0], 3 * HIDDEN), h.dtype)
+        recur = np.ascontiguousarray(p["recur"].T)
         for t in reversed(range(len(x))):
             prev, z, r, n, un = kept[t]
-            dh = dh + dhs[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (prev - n) * z * (1 - z)
-            dr = dn * un * r * (1 - r)
-            gates = np.concatenate([dz, dr, dn], axis=1)
-            back = np.concatenate([dz, dr, dn * r], axis=1)
-            d_recur += prev.T @ back
-            dh = np.where(fresh[t][:, None], np.float32(0), dh * z + back @ p["recur"].T)
-            d_in.append(gates)
-        ids = x[::-1].ravel()
+            dh += dhs[t]
+            dn = dh * (1 - z)
+            dn *= 1 - n * n
+            g, b = gates[t], back[t]
+            np.multiply(dh * (prev - n), z * (1 - z), out=g[:, :HIDDEN])
+            np.multiply(dn * un, r * (1 - r), out=g[:, HIDDEN : 2 * HIDDEN])
+            g[:, 2 * HIDDEN :] = dn
+            b[:, : 2 * HIDDEN] = g[:, : 2 * HIDDEN]
+            np.multiply(dn, r, out=b[:, 2 * HIDDEN :])
+            dh *= z
+            dh += b @ recur
+            if fresh[t].any():
+                dh[fresh[t]] = 0
+        d_recur = np.concatenate([k[0] for k in kept]).T @ back.reshape(-1, 3 * HIDDEN)
+        ids = x.ravel()
         order = np.argsort(ids, kind="stable")
         rows, first = np.unique(ids[order], return_index=True)
-        d_table = np.add.reduceat(np.concatenate(d_in)[order], first)
+        d_table = np.add.reduceat(gates.reshape(-1, 3 * HIDDEN)[order], first)
         self._update("table", np.clip(d_table, -1, 1), rate, rows)
         for name, g in (("recur", d_recur), *grads.items()):
             self._update(name, np.clip(g, -1, 1), rate)
@@ -196,7 +225,8 @@ class Gru:
                 n = int(np.searchsorted(-lengths, -s, "left"))  # lanes longer than s
                 pos = begins[:n] + s
                 h = h[:n]
-                h = np.where(fresh[pos][:, None], np.float32(0), h)
+                if (begun := fresh[pos]).any():
+                    h = np.where(begun[:, None], np.float32(0), h)
                 h = self.step(table[x[pos]], h)[0]
                 states.append(h)
                 at.append(pos)

@@ -114,9 +114,9 @@ def day_class(weekday: Column, holiday: Column) -> Column:
 
 
 def customary_break(date: Column) -> Column:
-    """The days of mid-August and of the turn of the year on which people are customarily off."""
+    """The days of mid-August and of the turn of the year on which people are customarily off; empty on other days, null without a date."""
     md = F.month(date) * 100 + F.day(date)
-    return F.when(md.between(813, 816), "bon").when((md >= 1229) | (md <= 103), "new_year")
+    return F.when(md.between(813, 816), "obon").when((md >= 1229) | (md <= 103), "new_year").when(md.isNotNull(), "")
 
 
 def register_sql_functions(spark: SparkSession) -> None:

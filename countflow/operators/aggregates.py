@@ -78,29 +78,30 @@ def resolve_duplicates(df: DataFrame, key: Sequence[str], value: str) -> DataFra
 
 def partition_quality(df: DataFrame, partition: str, key: str, ts_ok: str, value: str, value_ok: str, ts: str) -> DataFrame:
     """Counts of each partition and, with a null partition, of all: rows in, rows without a key, key 0, outside the time marks, bad value,
-    repeats, conflicting keys and their rows, rows out and points. A row counts under the first thing that is wrong with it."""
+    repeats, conflicting keys and their rows, rows out and points. A row counts under the first thing that is wrong with it.
+
+    One scan: rows are summed up by (partition, key, time), these by (partition, key), these by partition. Rows that are no candidates
+    for a conflict share one group each kind and are summed up before the shuffle.
+    """
     good_key = F.col(key).isNotNull() & (F.col(key) != 0)
-    usable = good_key & F.col(ts_ok)
-    flat = df.groupBy(F.col(partition).alias("partition")).agg(
-        F.count("*").alias("rows_in"),
-        F.count_if(F.col(key).isNull()).alias("no_key"),
-        F.count_if(F.col(key) == 0).alias("key_zero"),
-        F.count_if(good_key & ~F.col(ts_ok)).alias("outside"),
-        F.count_if(usable & ~F.col(value_ok)).alias("bad_value"),
-    )
-    rows = df.filter(usable).withColumn(value, F.when(F.col(value_ok), F.col(value)))
-    keyed = duplicate_counts(rows, [partition, key, ts], value)
-    conflict = F.col("different") > 1
-    resolved = keyed.groupBy(F.col(partition).alias("partition")).agg(
-        F.coalesce(F.sum(F.when(~conflict, F.col("rows") - 1)), F.lit(0)).alias("repeats"),
-        F.count_if(conflict).alias("conflict_keys"),
-        F.coalesce(F.sum(F.when(conflict, F.col("rows"))), F.lit(0)).alias("conflict_rows"),
-        F.count_if(~conflict).alias("rows_out"),
+    kind = F.when(F.col(key).isNull(), "no_key").when(F.col(key) == 0, "key_zero").when(good_key & ~F.col(ts_ok), "outside").when(good_key & F.col(ts_ok), "usable")
+    own = lambda c: F.when(F.col("_kind") == "usable", F.col(c))
+    good = F.when(F.col(value_ok), F.col(value))
+    rows = df.select(F.col(partition).alias("partition"), kind.alias("_kind"), F.col(key).alias("_key"), F.col(ts).alias("_ts"), good.alias("_v"), (~F.col(value_ok)).alias("_bad"))
+    keyed = rows.groupBy("partition", "_kind", own("_key").alias("_k"), own("_ts").alias("_t")).agg(F.count("*").alias("_n"), F.count("_v").alias("_known"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count_if("_bad").alias("_b"))
+    usable, agree = F.col("_kind") == "usable", (F.col("_known") == 0) | ((F.col("_known") == F.col("_n")) & (F.col("_lo") == F.col("_hi")))
+    count = lambda cond, c: F.coalesce(F.sum(F.when(cond, F.col(c))), F.lit(0))
+    by_key = keyed.groupBy("partition", "_k").agg(
+        F.sum("_n").alias("rows_in"),
+        *[count(F.col("_kind") == k, "_n").alias(k) for k in ("no_key", "key_zero", "outside")],
+        count(usable, "_b").alias("bad_value"),
+        F.coalesce(F.sum(F.when(usable & agree, F.col("_n") - 1)), F.lit(0)).alias("repeats"),
+        F.count_if(usable & ~agree).alias("conflict_keys"),
+        count(usable & ~agree, "_n").alias("conflict_rows"),
+        F.count_if(usable & agree).alias("rows_out"),
     )
-    points = keyed.filter(~conflict).select(F.col(partition).alias("partition"), key).distinct().groupBy("partition").agg(F.count("*").alias("points"))
-    each = flat.join(resolved, "partition", "left").join(points, "partition", "left").na.fill(0)
-    total = each.select(F.lit(None).cast(each.schema["partition"].dataType).alias("partition"), *each.columns[1:]).groupBy("partition").agg(*[F.sum(c).alias(c) for c in each.columns[1:]])
-    return each.unionByName(total)
+    sums = [c for c in by_key.columns if c not in ("partition", "_k")]
+    return by_key.rollup("partition").agg(*[F.sum(c).alias(c) for c in sums], F.count_if(F.col("rows_out") > 0).alias("points"))
 
 
 def point_profile(df: DataFrame, key: Sequence[str], attrs: Sequence[str], ts: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from countflow.functions import haversine_km
 from countflow.operators.sets import assert_unique
+from countflow.session import checkpoint
 
 #: Kilometres of one degree of latitude, a little less than on the sphere of radius 6371 so that cells are never too small.
 DEGREE_KM = 111.0
@@ -107,16 +108,30 @@ def pair_series_join(df: DataFrame, pairs: DataFrame, key: str, ts: str, value:
     return pairs.select("a", "b").join(x, "a").join(y, ["b", ts]).select("a", "b", ts, "value_a", "value_b")
 
 
-def swap_candidates(matches: DataFrame, key: str, own: str, other: str) -> DataFrame:
-    """Pairs a < b of matches whose texts fit each other's section and not their own: text ``own`` of a is the section text ``other`` of b and the
-    other way round. An equality join on both texts."""
-    m = matches.filter(F.col(own) != F.col(other)).select(key, own, other)
-    a = m.select(F.col(key).alias("a"), F.col(own).alias("_p"), F.col(other).alias("_q"))
-    b = m.select(F.col(key).alias("b"), F.col(other).alias("_p"), F.col(own).alias("_q"))
-    pairs = a.join(b, ["_p", "_q"]).filter("a < b").select("a", "b")
-    w1, w2 = Window.partitionBy("a").orderBy("b"), Window.partitionBy("b").orderBy("a")
-    first = pairs.withColumn("_ra", F.row_number().over(w1)).withColumn("_rb", F.row_number().over(w2))
-    return first.filter("_ra = 1 AND _rb = 1").select("a", "b")
+def swap_candidates(matches: DataFrame, key: str, own: str, other: str, check: Column | None = None, least: int = 2) -> DataFrame:
+    """Pairs a < b of matches to be swapped: the text ``own`` (a town, of ``least`` characters or more) stands in the other's text ``other`` (a section's address) for both, and
+    in its own for neither. ``check`` is a further condition on the structs x (the row a) and y (the row b). Of the pairs in order of (a, b), each is taken if neither of
+    its ends is in one taken before.
+
+    Containment is an equality join of towns with the substrings of addresses that are as long as some town. The pairs are taken in rounds: one that
+    comes first at both its ends is taken, and those that touch it go; the rounds end when none is left.
+    """
+    row = F.struct(*[F.col(c) for c in matches.columns])
+    m = matches.filter((F.char_length(own) >= least) & F.col(other).isNotNull() & ~F.contains(other, own)).select(F.col(key).alias("k"), F.col(own).alias("t"), F.col(other).alias("o"), row.alias("row"))
+    lengths = m.agg(F.array_sort(F.collect_set(F.char_length("t"))).alias("_n"))  # one row
+    parts = F.flatten(F.transform("_n", lambda n: F.when(F.char_length("o") >= n, F.transform(F.sequence(F.lit(1), F.char_length("o") - n + 1), lambda i: F.substr("o", i, n))).otherwise(F.array().cast("array<string>"))))
+    inside = m.crossJoin(F.broadcast(lengths)).select(F.col("k").alias("b"), F.col("row").alias("y"), F.col("t").alias("_tb"), F.explode(F.array_distinct(parts)).alias("_p"))
+    pairs = m.select(F.col("k").alias("a"), F.col("row").alias("x"), F.col("t").alias("_p"), F.col("o").alias("_oa")).join(inside, "_p").filter((F.col("a") < F.col("b")) & F.contains("_oa", "_tb"))
+    left = checkpoint((pairs if check is None else pairs.filter(check)).select("a", "b").distinct())
+    taken = left.limit(0)
+    while left.limit(1).count():
+        ends = left.select(F.col("a").alias("n"), F.struct("a", "b").alias("e")).union(left.select("b", F.struct("a", "b")))
+        first = ends.groupBy("n").agg(F.min("e").alias("e"))
+        both = first.groupBy("e").agg(F.count("*").alias("c")).filter("c = 2").select("e.a", "e.b")
+        taken = checkpoint(taken.union(both))
+        gone = both.select(F.col("a").alias("n")).union(both.select("b"))
+        left = checkpoint(left.join(gone.select(F.col("n").alias("a")), "a", "left_anti").join(gone.select(F.col("n").alias("b")), "b", "left_anti").select("a", "b"))
+    return taken
 
 
 def prefix_join(names: DataFrame, prefixes: DataFrame, name: str, prefix: str) -> DataFrame:

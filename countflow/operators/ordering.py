@@ -7,12 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from countflow.session import checkpoint
+
 
 def sort_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Sorted within partitions, which follow one another in order of the key."""
     return df.repartitionByRange(*key).sortWithinPartitions(*key)
 
 
+def number_rows(df: DataFrame, key: Sequence[str], out: str) -> DataFrame:
+    """``df`` with 1, 2, ... in order of the key, which no two rows share. Rows are dealt out by ranges of the key and numbered there; the ranges' sizes, a row for each task, tell
+    where each begins."""
+    parts = checkpoint(sort_key(df, key).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()))
+    sizes = parts.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return parts.join(F.broadcast(before.select("_part", "_first", "_before")), "_part").withColumn(out, F.col("_before") + F.col("_at") - F.col("_first") + 1).drop("_part", "_at", "_first", "_before")
+
+
 def top_n(df: DataFrame, n: int, by: Sequence[Column]) -> DataFrame:
     return df.orderBy(*by).limit(n)
 

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from countflow.functions import log_ratio
 from countflow.operators.aggregates import error_scores
-from countflow.operators.joins import neighbour_join, pair_series_join, shift_join
+from countflow.operators.joins import neighbour_join, pair_series_join
+from countflow.operators.ordering import number_rows
 from countflow.operators.windows import lag_features
+from countflow.session import checkpoint
 
 
 def pair_correlation(df: DataFrame, pairs: DataFrame, key: str, ts: str, value: str, min_n: int = 300) -> DataFrame:
@@ -20,26 +22,51 @@ def pair_correlation(df: DataFrame, pairs: DataFrame, key: str, ts: str, value:
 
 
 def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
-    """Rank correlation with average ranks of ties, per group."""
-    rows = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-
-    def rank(c: str) -> Column:
-        w = Window.partitionBy(*by)
-        return F.rank().over(w.orderBy(c)) + (F.count("*").over(Window.partitionBy(*by, c)) - 1) / 2
-
-    ranked = rows.select(*by, rank(x).alias("_x"), rank(y).alias("_y"))
-    return ranked.groupBy(*by).agg(F.count("*").alias("n"), F.corr("_x", "_y").alias("rho"))
+    """Rank correlation with average ranks of ties, per group. Rows are counted by their values before the shuffle, and ranks are running sums over a group's different values; sums
+    of products about the ranks' mean give the correlation."""
+    pairs = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*by, F.col(x).alias("_x"), F.col(y).alias("_y")).agg(F.count("*").alias("_w"))
+
+    def ranked(rows: DataFrame, c: str) -> DataFrame:
+        before = F.sum("_n").over(Window.partitionBy(*by).orderBy(c).rowsBetween(Window.unboundedPreceding, -1))
+        rank = rows.groupBy(*by, c).agg(F.sum("_w").alias("_n")).withColumn("_r", F.coalesce(before, F.lit(0)) + (F.col("_n") + 1) / 2)
+        right = rank.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)], F.col(c).alias("_v"), F.col("_r").alias(f"{c}_rank"))
+        same = F.col(c) == F.col("_v")
+        for i, k in enumerate(by):
+            same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        return rows.join(right, same).drop("_v", *[f"_k{i}" for i in range(len(by))])
+
+    both = ranked(ranked(pairs, "_x"), "_y")
+    w, a, b = F.col("_w"), F.col("_x_rank"), F.col("_y_rank")
+    g = both.groupBy(*by).agg(F.sum("_w").alias("n"), *[F.sum(e).alias(n) for n, e in (("_a", w * a), ("_ab", w * a * b), ("_aa", w * a * a), ("_bb", w * b * b))])
+    mean = (F.col("n") + 1) / 2  # of either kind of rank
+    square = F.col("n") * mean * mean
+    return g.select(*by, "n", ((F.col("_ab") - square) / F.nullif(F.sqrt((F.col("_aa") - square) * (F.col("_bb") - square)), F.lit(0.0))).alias("rho"))
 
 
 def permutation(df: DataFrame, key: str, seed: int, out: str = "partner") -> DataFrame:
-    """(key, partner): the keys paired with themselves in another order, by a hash; the same for the same seed."""
-    keys = df.select(key).distinct()
-    w = Window.partitionBy(F.lit(0))
-    plain = keys.select(key, F.row_number().over(w.orderBy(key)).alias("_r"))
-    mixed = keys.select(F.col(key).alias(out), F.row_number().over(w.orderBy(F.xxhash64(key, F.lit(seed)), key)).alias("_r"))
+    """(key, partner): the keys paired with themselves in another order, by a hash; the same for the same seed. Keys are numbered by ranges, no task has all of them."""
+    keys = checkpoint(df.select(key).distinct())
+    plain = number_rows(keys, [key], "_r")
+    mixed = number_rows(keys.select(F.col(key).alias(out), F.xxhash64(key, F.lit(seed)).alias("_h")), ["_h", out], "_r").drop("_h")
     return plain.join(mixed, "_r").drop("_r")
 
 
+def null_distribution(df: DataFrame, key: str, own: str, other: str, far: float, draws: int, seed: int = 0) -> DataFrame:
+    """(draw, n, share): how many rows differ by more than ``far`` between ``own`` and their partner's ``other``; draw 0 takes the row's own ``other``, each further one a permutation of its own."""
+    base = df.select(F.col(key).alias("_k"), F.col(own).alias("_a"), F.col(other).alias("_b"))
+    out = None
+    for draw in range(draws + 1):
+        if draw:
+            mixed = permutation(base, "_k", seed + draw, "_p")
+            rows = base.select("_k", "_a").join(mixed, "_k").join(base.select(F.col("_k").alias("_p"), "_b"), "_p")
+        else:
+            rows = base
+        gap = F.abs(F.col("_a") - F.col("_b"))
+        one = rows.agg(F.lit(draw).alias("draw"), F.count(gap).alias("n"), F.avg((gap > far).cast("int")).alias("share"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def time_split(df: DataFrame, ts: str, days: int) -> DataFrame:
     """``df`` with ``is_test``: whether the row lies in the last ``days`` days."""
     last = df.agg(F.max(F.to_date(ts)).alias("_last"))
@@ -47,13 +74,18 @@ def time_split(df: DataFrame, ts: str, days: int) -> DataFrame:
 
 
 def daily_features(df: DataFrame, keys: Sequence[str], date: str, value: str, base: str, day_off: str) -> DataFrame:
-    """Log of the target, logs of the values 1, 7 and 14 days before (exactly), log ratio to the usual value a week before, yesterday's day_off, log of the usual value."""
-    for d in (1, 7, 14):
-        df = shift_join(df, keys, date, [value, base, day_off] if d == 1 else [value, base] if d == 7 else [value], d)
+    """Log of the target, logs of the values 1, 7 and 14 days before (exactly), log ratio to the usual value a week before, yesterday's day_off, log of the usual value.
+    A key has one row a day. Each row goes to its own day and to those 1, 7 and 14 days later, so one shuffle brings all of them together."""
+    days, kept = (0, 1, 7, 14), list(dict.fromkeys((value, base, day_off)))
+    moved = df.select(*keys, date, *kept, F.explode(F.array(*[F.lit(k) for k in days])).alias("_s")).withColumn("_day", F.date_add(date, F.col("_s")))
+    at = lambda c, k: F.max(F.when(F.col("_s") == k, F.col(c)))
+    own = [at(c, 0).alias(c) for c in kept]
+    lags = [at(value, k).alias(f"_v{k}") for k in (1, 7, 14)] + [at(base, 7).alias("_b7"), at(day_off, 1).alias("_o1")]
+    g = moved.groupBy(*keys, F.col("_day").alias(date)).agg(F.count_if(F.col("_s") == 0).alias("_there"), *own, *lags).filter("_there > 0")
     log = lambda c: F.when(F.col(c) > 0, F.log(F.col(c).cast("double")))
-    return df.select(
-        *keys, date, F.col(value), F.col(base), F.col(day_off), log(value).alias("y"), log(f"{value}_lag1").alias("lag1"), log(f"{value}_lag7").alias("lag7"), log(f"{value}_lag14").alias("lag14"),
-        log_ratio(F.col(f"{value}_lag7").cast("double"), F.col(f"{base}_lag7").cast("double")).alias("ratio7"), F.col(f"{day_off}_lag1").alias("prev_day_off"), log(base).alias("log_base"), F.weekday(date).alias("weekday"),
+    return g.select(
+        *keys, date, *kept, log(value).alias("y"), log("_v1").alias("lag1"), log("_v7").alias("lag7"), log("_v14").alias("lag14"),
+        log_ratio(F.col("_v7").cast("double"), F.col("_b7").cast("double")).alias("ratio7"), F.col("_o1").alias("prev_day_off"), log(base).alias("log_base"), F.weekday(date).alias("weekday"),
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from countflow import functions as fn
@@ -10,8 +9,9 @@ from countflow.operators import aggregates as ag
 from countflow.operators import joins, matching, ordering
 from countflow.operators import statistics as stt
 from countflow.operators import windows as wn
-from countflow.plans.core import A5, CANDIDATES, SLOT, candidates, slots
-from countflow.plans.views import KM, daily, five_minutes, flags, hourly, registry, sql, table, weather
+from countflow.plans.core import A5, CANDIDATES, SLOT, candidates, near
+from countflow.plans.views import KM, daily, five_minutes, flags, hourly, hourly_users, registry, sql, table, weather
+from countflow.session import checkpoint
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -113,11 +113,22 @@ def _(s, d):
     return wn.minmax_scale(daily(s, d).join(top, "date", "left_semi").select("counter", "date", "vehicles"), "vehicles").withColumn("scaled", F.round("scaled", 9))
 
 
-@query("q12_slowdown", """WITH x AS (SELECT l_suppkey AS k, avg(l_discount) AS slow, CAST(sum(l_quantity) AS BIGINT) AS load FROM lineitem GROUP BY 1), q AS (SELECT quantile_cont(load, [0.2, 0.4, 0.6, 0.8]) AS e FROM x), g AS (SELECT x.*, 1 + (load > e[1])::INT + (load > e[2])::INT + (load > e[3])::INT + (load > e[4])::INT AS quintile FROM x, q)
-SELECT quintile, count(*) AS n, round(median(slow), 9) AS median FROM g GROUP BY 1""")
+Q12 = """WITH x AS (SELECT l_suppkey AS k, l_linestatus AS direction, CAST(l_suppkey % 3 + 1 AS VARCHAR) AS lanes, avg(l_discount) AS slow, CAST(sum(l_quantity) AS BIGINT) AS load FROM lineitem GROUP BY 1, 2),
+q AS (SELECT quantile_cont(load, [0.2, 0.4, 0.6, 0.8]) AS e FROM x), g AS (SELECT x.*, 1 + (load > e[1])::INT + (load > e[2])::INT + (load > e[3])::INT + (load > e[4])::INT AS quintile FROM x, q),
+l AS (SELECT 'all' AS part, * FROM g UNION ALL SELECT 'lanes ' || lanes, * FROM g UNION ALL SELECT 'direction ' || direction, * FROM g),
+r AS (SELECT part, rank() OVER (PARTITION BY part ORDER BY load) + (count(*) OVER (PARTITION BY part, load) - 1) / 2 AS a, rank() OVER (PARTITION BY part ORDER BY round(slow, 9)) + (count(*) OVER (PARTITION BY part, round(slow, 9)) - 1) / 2 AS b FROM l)
+SELECT part, quintile, count(*) AS n, round(median(slow), 9) AS median, any_value(rho) AS rho FROM l JOIN (SELECT part, round(corr(a, b), 7) AS rho FROM r GROUP BY 1) USING (part) GROUP BY 1, 2"""
+
+
+@query("q12_slowdown", Q12)
 def _(s, d):
-    x = table(s, d, "lineitem").groupBy(c("l_suppkey").alias("k")).agg(F.avg("l_discount").alias("slow"), F.sum("l_quantity").cast("bigint").alias("load"))
-    return ag.pooled_effect(ordering.quantile_groups(x, "load", out="quintile"), ["quintile"], "slow", 1).withColumn("median", F.round("median", 9))
+    """Slowdown by quintile of the load, and their rank correlation: over all, within lanes and by direction."""
+    x = table(s, d, "lineitem").groupBy(c("l_suppkey").alias("k"), c("l_linestatus").alias("direction")).agg(F.avg("l_discount").alias("slow"), F.sum("l_quantity").cast("bigint").alias("load"))
+    x = ordering.quantile_groups(x, "load", out="quintile").withColumn("lanes", (c("k") % 3 + 1).cast("string"))
+    parts = F.array(F.lit("all"), F.concat(F.lit("lanes "), "lanes"), F.concat(F.lit("direction "), "direction"))
+    long = x.withColumn("part", F.explode(parts))
+    rho = stt.spearman(long.withColumn("slow", F.round("slow", 9)), "load", "slow", ["part"]).select("part", F.round("rho", 7).alias("rho"))
+    return ag.pooled_effect(long, ["part", "quintile"], "slow", 1).withColumn("median", F.round("median", 9)).join(rho, "part")
 
 
 @query("q13_national_ratio", sql("daily holidays", ", x AS (SELECT date, vehicles / nullif(median(vehicles) OVER (PARTITION BY counter), 0) AS r FROM daily) SELECT x.date, round(median(r), 9) AS ratio, h.date IS NOT NULL AS is_holiday FROM x LEFT JOIN holidays h ON h.date = x.date GROUP BY x.date, h.date"))
@@ -131,46 +142,63 @@ def _(s, d):
 
 @query("q14_forecast_scores", None)
 def _(s, d):
-    """Scores of a boosted forecast and of two naive ones on the last 200 days."""
-    x = daily(s, d).withColumn("base", c("lines") * 25).withColumn("off", F.weekday("date") >= 5)
+    """Scores of a boosted forecast and of two naive ones (a week ago, and the mean of the counter's days before the last 200) on the last 200 days."""
+    x = stt.time_split(daily(s, d), "date", 200).withColumn("off", F.weekday("date") >= 5)
+    usual = x.filter("NOT is_test").groupBy("counter").agg(F.avg("vehicles").alias("base"))
+    x = x.join(usual, "counter").drop("is_test")
     f = stt.time_split(stt.daily_features(x, ["counter"], "date", "vehicles", "base", "off"), "date", 200).withColumn("prev", c("prev_day_off").cast("int"))
     model = stt.fit_forecast(f.filter("NOT is_test"), ["lag1", "lag7", "lag14", "ratio7", "log_base", "weekday", "prev"], "y", trees=8, depth=4)
     scored = model.transform(f.filter("is_test")).withColumn("predicted", F.exp("prediction")).withColumn("kind", F.when(c("off"), "off").otherwise("work"))
     own = ag.error_scores(scored, "vehicles", "predicted", "kind").withColumn("forecast", F.lit("boosted"))
-    usual = ag.error_scores(scored, "vehicles", "base", "kind").withColumn("forecast", F.lit("usual"))
-    return own.unionByName(usual)
+    return own.unionByName(stt.naive_forecasts(scored.withColumn("last_week", F.exp("lag7")), "vehicles", "last_week", "base", "kind"))
 
 
 @query("q15_neighbour_gain", None)
 def _(s, d):
-    """Does a forecast of the next hour gain from the other counters' counts, or from the counts of a shuffled partner?"""
-    h = hourly(s, d).withColumn("vehicles", c("vehicles").cast("double"))
-    k = h.select("counter").distinct()
-    e = k.select(c("counter").alias("a")).join(k.select(c("counter").alias("b")), c("a") < c("b"))
-    f = stt.hourly_graph_features(h, e, "counter", "ts", "vehicles").withColumn("hour", F.hour("ts"))
-    mixed = stt.permutation(h, "counter", 5)
-    other = h.select(c("counter").alias("partner"), "ts", c("vehicles").alias("placebo")).join(mixed, "partner").select("counter", "ts", "placebo")
-    f = stt.time_split(f.join(other, ["counter", "ts"], "left"), "ts", 7)
+    """Does a forecast of the next hour gain from the road neighbours' counts, or from those of shuffled neighbours (five draws)?"""
+    h = hourly_users(s, d).withColumn("vehicles", c("vehicles").cast("double"))
+    f = stt.hourly_graph_features(h, near(s, d), "counter", "ts", "vehicles").withColumn("hour", F.hour("ts"))
     own = ["vehicles", "vehicles_lag1", "vehicles_lag2", "hour"]
-    return stt.ablation(f.filter("NOT is_test"), f.filter("is_test"), {"own": own, "neighbours": [*own, "near", "near_lag1"], "placebo": [*own, "placebo"]}, "vehicles_lead1", trees=5, depth=3)
+    sets = {"own": own, "neighbours": [*own, "near", "near_lag1"]}
+    for k in range(5):
+        # a counter gets the neighbours' means of its partner
+        other = f.select(c("counter").alias("partner"), "ts", c("near").alias(f"near_{k}"), c("near_lag1").alias(f"near_lag1_{k}"))
+        f = f.join(stt.permutation(h, "counter", k), "counter", "left").join(other, ["partner", "ts"], "left").drop("partner")
+        sets[f"placebo {k}"] = [*own, f"near_{k}", f"near_lag1_{k}"]
+    f = checkpoint(stt.time_split(f, "ts", 7))
+    return stt.ablation(f.filter("NOT is_test"), f.filter("is_test"), sets, "vehicles_lead1", trees=3, depth=3)
 
 
-@query("q16_distance_bands", sql("registry daily", f""", p AS (SELECT a.counter AS a, b.counter AS b, {KM} AS km FROM registry a JOIN registry b ON a.counter < b.counter AND a.counter <= 100 AND b.counter <= 100 AND {KM} <= 400), r AS (SELECT a, b, km, corr(x.vehicles, y.vehicles) AS r FROM p JOIN daily x ON x.counter = a JOIN daily y ON y.counter = b AND y.date = x.date GROUP BY 1, 2, 3 HAVING count(*) >= 10)
+@query("q16_distance_bands", sql("registry daily", f""", p AS (SELECT a.counter AS a, b.counter AS b, {KM} AS km FROM registry a JOIN registry b ON a.counter < b.counter AND {KM} <= 400 WHERE a.counter IN (SELECT counter FROM daily) AND b.counter IN (SELECT counter FROM daily)), r AS (SELECT a, b, km, corr(x.vehicles, y.vehicles) AS r FROM p JOIN daily x ON x.counter = a JOIN daily y ON y.counter = b AND y.date = x.date GROUP BY 1, 2, 3 HAVING count(*) >= 10)
 SELECT CASE WHEN km <= 200 THEN 'near' ELSE 'far' END AS band, count(r) AS n, round(median(r), 8) AS median FROM r WHERE r IS NOT NULL AND NOT isnan(r) GROUP BY 1"""))
 def _(s, d):
-    near = registry(s, d).filter("counter <= 100").select("counter", "lat", "lon")
-    p = joins.within_km(near, near, 400).filter("counter < r_counter").select(c("counter").alias("a"), c("r_counter").alias("b"), "km")
+    known = registry(s, d).join(daily(s, d).select("counter").distinct(), "counter", "left_semi").select("counter", "lat", "lon")
+    p = joins.within_km(known, known, 400).filter("counter < r_counter").select(c("counter").alias("a"), c("r_counter").alias("b"), "km")
     r = stt.pair_correlation(daily(s, d), p, "counter", "date", "vehicles", 10).join(p, ["a", "b"]).filter(c("r").isNotNull() & ~F.isnan("r"))
     return ag.pooled_effect(r.withColumn("band", fn.band(c("km"), [-1, 200, 400], ["near", "far"])), ["band"], "r", 1).withColumn("median", F.round("median", 8))
 
 
-@query("q17_match_audit", sql("hourly", "SELECT x.counter, round(x.p, 9) AS peak_share, round(abs(x.p - y.p), 9) AS gap FROM (SELECT counter, max(v) / sum(v) AS p, row_number() OVER (ORDER BY counter) AS r FROM (" + SLOT + ") GROUP BY 1) x JOIN (SELECT counter, max(v) / sum(v) AS p, row_number() OVER (ORDER BY counter DESC) AS r FROM (" + SLOT + ") GROUP BY 1) y ON x.r = y.r"))
+PEAKS = "SELECT counter, max(v) / sum(v) AS p FROM (" + SLOT + ") GROUP BY 1"
+
+
+@query("q17_match_audit", sql("hourly_users daily", f""", p AS ({PEAKS.replace("hourly", "hourly_users")}), w AS (SELECT counter, sum(large) / sum(vehicles) AS own, avg(large / vehicles) AS other FROM daily GROUP BY 1), m AS (SELECT *, avg(own) OVER () AS mean FROM p JOIN w USING (counter))
+SELECT count(*) AS n, round(avg((abs(p - own) > 0.05)::INT), 9) AS far, round(avg((sign(own - mean) = sign(other - mean))::INT) FILTER (abs(own - mean) >= 0.001), 9) AS agreement FROM m"""))
+def _(s, d):
+    """Shares of counters whose two peak shares are far apart and whose directions agree; as it is, the pairing isn't shuffled (see m3_null_distribution for draws)."""
+    p = hourly_users(s, d).groupBy("counter", F.hour("ts").alias("h")).agg(F.sum("vehicles").alias("v")).groupBy("counter").agg((F.max("v") / F.sum("v")).alias("p"))
+    w = daily(s, d).groupBy("counter").agg((F.sum("large") / F.sum("vehicles")).alias("own"), F.avg(c("large") / c("vehicles")).alias("other"))
+    m = p.join(w, "counter")
+    m = m.crossJoin(F.broadcast(m.agg(F.avg("own").alias("mean")))).withColumn("a", c("own") - c("mean")).withColumn("b", c("other") - c("mean"))
+    far = stt.null_distribution(m, "counter", "p", "own", 0.05, 0).select("n", F.round("share", 9).alias("far"))
+    return far.crossJoin(F.broadcast(stt.sign_agreement(m, "a", "b", 0.001).select(F.round("agreement", 9).alias("agreement"))))
+
+
+@query("q17_shuffled", None)
 def _(s, d):
-    p = slots(s, d).groupBy("counter").agg((F.max("v") / F.sum("v")).alias("p"))
-    w = Window.partitionBy(F.lit(0))
-    x = p.withColumn("r", F.row_number().over(w.orderBy("counter")))
-    y = p.select(c("p").alias("q"), F.row_number().over(w.orderBy(F.desc("counter"))).alias("r"))
-    return x.join(y, "r").select("counter", F.round("p", 9).alias("peak_share"), F.round(F.abs(c("p") - c("q")), 9).alias("gap"))
+    """The same distance with shuffled partners, ten draws; draw 0 is the matched one."""
+    p = hourly_users(s, d).groupBy("counter", F.hour("ts").alias("h")).agg(F.sum("vehicles").alias("v")).groupBy("counter").agg((F.max("v") / F.sum("v")).alias("p"))
+    w = daily(s, d).groupBy("counter").agg((F.sum("large") / F.sum("vehicles")).alias("own"))
+    return stt.null_distribution(p.join(w, "counter"), "counter", "p", "own", 0.05, 10)
 
 
 @query("q18_candidate_quality", sql("registry stations", f""", x AS (SELECT counter, cost, row_number() OVER (PARTITION BY counter ORDER BY cost, station) AS r FROM ({CANDIDATES}))

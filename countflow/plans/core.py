@@ -133,12 +133,12 @@ def _(s, d):
     return daily(s, d).select("counter", "date", fn.safe_ratio(c("vehicles"), c("large"), 3).alias("ratio"))
 
 
-@query("s3_unify_layers", "SELECT 'loop' AS sensor, l_orderkey AS k, CAST(l_quantity AS INT) AS vehicles, CAST(NULL AS INT) AS code FROM lineitem WHERE l_linenumber = 1 UNION ALL SELECT 'cctv', o_orderkey, NULL, CAST(o_orderkey % 3 AS INT) FROM orders")
+@query("s3_unify_layers", "SELECT 'loop' AS sensor, l_orderkey AS k, CAST(l_quantity AS INT) AS vehicles, CAST(NULL AS INT) AS code FROM lineitem UNION ALL SELECT 'cctv', o_orderkey, NULL, CAST(o_orderkey % 3 AS INT) FROM orders")
 def _(s, d):
     from pyspark.sql import types as T
 
     schema = T.StructType([T.StructField("sensor", T.StringType()), T.StructField("k", T.LongType()), T.StructField("vehicles", T.IntegerType()), T.StructField("code", T.IntegerType())])
-    loop = table(s, d, "lineitem").filter("l_linenumber = 1").select(F.lit("loop").alias("sensor"), c("l_orderkey").alias("k"), c("l_quantity").cast("int").alias("vehicles"))
+    loop = table(s, d, "lineitem").select(F.lit("loop").alias("sensor"), c("l_orderkey").alias("k"), c("l_quantity").cast("int").alias("vehicles"))
     return clean.unify_layers([loop, table(s, d, "orders").select((c("o_orderkey") % 3).alias("code"), c("o_orderkey").alias("k"), F.lit("cctv").alias("sensor"))], schema)
 
 
@@ -220,10 +220,15 @@ def _(s, d):
     return joins.pair_series_join(daily(s, d), near(s, d), "counter", "date", "vehicles")
 
 
-@query("j13_swap_candidates", """SELECT a, b FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY b) AS ra, row_number() OVER (PARTITION BY b ORDER BY a) AS rb FROM (
-SELECT x.k AS a, y.k AS b FROM (SELECT p_partkey AS k, p_size AS own, p_partkey % 50 AS other FROM part) x JOIN (SELECT p_partkey AS k, p_size AS own, p_partkey % 50 AS other FROM part) y ON x.own = y.other AND x.other = y.own AND x.own <> x.other AND x.k < y.k)) WHERE ra = 1 AND rb = 1""")
+SWAPS = "SELECT p_partkey AS k, 'town ' || p_size || ';' AS own, 'no. 1, town ' || p_partkey % 50 || '; east' AS other FROM part"
+
+
+@query("j13_swap_candidates", f"""WITH m AS (SELECT * FROM ({SWAPS}) WHERE NOT contains(other, own)), t AS (SELECT list_reduce(list_prepend(CAST([] AS BIGINT[]), list([CAST(x.k AS BIGINT), CAST(y.k AS BIGINT)] ORDER BY x.k, y.k)),
+lambda acc, e: CASE WHEN list_contains(acc, e[1]) OR list_contains(acc, e[2]) THEN acc ELSE list_concat(acc, e) END) AS l FROM m x JOIN m y ON x.k < y.k AND contains(x.other, y.own) AND contains(y.other, x.own)), i AS (SELECT l, unnest(generate_series(1, len(l) // 2)) AS i FROM t)
+SELECT l[2 * i - 1] AS a, l[2 * i] AS b FROM i""")
 def _(s, d):
-    m = table(s, d, "part").select(c("p_partkey").alias("k"), c("p_size").cast("bigint").alias("own"), (c("p_partkey") % 50).alias("other"))
+    k = c("p_partkey")
+    m = table(s, d, "part").select(k.alias("k"), F.concat(F.lit("town "), "p_size", F.lit(";")).alias("own"), F.concat(F.lit("no. 1, town "), (k % 50).cast("string"), F.lit("; east")).alias("other"))
     return joins.swap_candidates(m, "k", "own", "other")
 
 
@@ -447,12 +452,12 @@ def _(s, d):
     return wn.lag_features(hourly(s, d), ["counter"], "ts", "vehicles").drop("vehicles")
 
 
-@query("w9_local_reference", sql("daily weather registry", f""", x AS (SELECT d.counter, d.date, vehicles / lines AS ratio, rain >= 6 AS wet FROM daily d JOIN weather w ON w.station = d.counter AND w.date = d.date WHERE d.counter <= 100), near AS (SELECT a.counter AS a, b.counter AS b FROM registry a JOIN registry b ON a.counter <= 100 AND b.counter <= 100 AND a.counter <> b.counter AND {KM} <= 600)
+@query("w9_local_reference", sql("daily weather registry", f""", x AS (SELECT d.counter, d.date, vehicles / lines AS ratio, rain >= 6 AS wet FROM daily d JOIN weather w ON w.station = d.counter AND w.date = d.date), r AS (SELECT * FROM registry WHERE counter IN (SELECT counter FROM daily)), near AS (SELECT a.counter AS a, b.counter AS b FROM r a JOIN r b ON a.counter <> b.counter AND {KM} <= 200)
 SELECT w.counter, w.date, count(*) AS n, round(median(y.ratio), 9) AS reference, round(any_value(w.ratio) / median(y.ratio), 9) AS effect FROM x w JOIN near ON near.a = w.counter JOIN x y ON y.counter = near.b AND y.date = w.date AND NOT y.wet WHERE w.wet GROUP BY 1, 2 HAVING count(*) >= 2"""))
 def _(s, d):
-    x = daily(s, d).filter("counter <= 100").join(weather(s, d).withColumnRenamed("station", "counter"), ["counter", "date"]).select("counter", "date", (c("vehicles") / c("lines")).alias("ratio"), "rain")
-    r = registry(s, d).filter("counter <= 100").select("counter", "lat", "lon")
-    pairs = joins.within_km(r, r, 600).filter("counter <> r_counter").select(c("counter").alias("a"), c("r_counter").alias("b"))
+    x = daily(s, d).join(weather(s, d).withColumnRenamed("station", "counter"), ["counter", "date"]).select("counter", "date", (c("vehicles") / c("lines")).alias("ratio"), "rain")
+    r = registry(s, d).join(x.select("counter").distinct(), "counter", "left_semi").select("counter", "lat", "lon")
+    pairs = joins.within_km(r, r, 200).filter("counter <> r_counter").select(c("counter").alias("a"), c("r_counter").alias("b"))
     return wn.local_reference(x, pairs, "counter", "date", "ratio", c("rain") >= 6, 2).select("counter", "date", "n", F.round("reference", 9).alias("reference"), F.round("effect", 9).alias("effect"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from countflow import functions as fn
-from countflow.plans.views import hourly, sql, table
+from countflow.plans.views import hourly, hourly_users, sql, table
 from countflow.session import shared_dir
 from countflow.sources import archives, counts, weather
 from countflow.streaming import counts as live
@@ -33,10 +33,12 @@ def folder(spark: SparkSession) -> str:
 
 
 def raw_layer(s: SparkSession, d: str) -> str:
-    """Events as gzip CSV files of text: time code, counter, vehicles."""
+    """Events as gzip CSV files of text: time code, counter, vehicles; those of odd users with the columns in another order."""
     at = folder(s)
     e = table(s, d, "events").select(F.date_format("ts", "yyyyMMddHHmm").alias("time"), F.lpad(c("user_id").cast("string"), 4, "0").alias("code"), F.floor("value").cast("string").alias("n"), F.lit("139").alias("lon"))
-    e.write.option("header", True).option("compression", "gzip").csv(at)
+    odd = c("code").cast("int") % 2 == 1
+    e.filter(~odd).write.option("header", True).option("compression", "gzip").csv(at)
+    e.filter(odd).select("n", "lon", "code", "time").write.mode("append").option("header", True).csv(at)
     return at
 
 
@@ -54,14 +56,27 @@ def _(s, d):
     return found.filter("sensor = 'day'").select(F.lit("typed").alias("kind"), F.regexp_extract("path", r"day=(\d+)", 1).alias("day")).distinct()
 
 
-@query("s4_weather_json", "SELECT l_orderkey AS k, CAST(l_suppkey AS VARCHAR) AS station_id, l_quantity AS rain, CAST(l_linenumber % 2 AS INT) AS rain_aqc, CAST(NULL AS DOUBLE) AS temp FROM lineitem WHERE l_linenumber = 1")
+@query("s4_weather_json", "SELECT l_orderkey * 8 + l_linenumber AS k, CAST(l_suppkey AS VARCHAR) AS station_id, l_quantity AS rain, CAST(l_linenumber % 2 AS INT) AS rain_aqc, CAST(NULL AS DOUBLE) AS temp FROM lineitem")
 def _(s, d):
-    li = table(s, d, "lineitem").filter("l_linenumber = 1")
+    li = table(s, d, "lineitem")
     body = F.to_json(F.create_map(c("l_suppkey").cast("string"), F.create_map(F.lit("rain"), F.array(c("l_quantity"), (c("l_linenumber") % 2).cast("double")))))
-    x = li.select((F.lit("2024-01-01").cast("timestamp_ntz")).alias("at"), c("l_orderkey").alias("k"), body.alias("body"))
+    x = li.select((F.lit("2024-01-01").cast("timestamp_ntz")).alias("at"), (c("l_orderkey") * 8 + c("l_linenumber")).alias("k"), body.alias("body"))
     return _weather_rows(x)
 
 
+@query("s5_weather_csv", sql("weather", "SELECT CAST(station AS VARCHAR) AS station_id, date, rain, rain_aqc FROM weather"))
+def _(s, d):
+    """Weather written as CSV files by year and read back by a fixed schema."""
+    from pyspark.sql import types as T
+
+    from countflow.plans.views import weather as rain
+
+    at = folder(s)
+    rain(s, d).select(c("station").cast("string").alias("station_id"), "date", "rain", "rain_aqc").write.option("header", True).csv(at)
+    schema = T.StructType([T.StructField("station_id", T.StringType()), T.StructField("date", T.DateType()), T.StructField("rain", T.IntegerType()), T.StructField("rain_aqc", T.IntegerType())])
+    return weather.read_weather_csv(s, at, schema)
+
+
 def _weather_rows(x: DataFrame) -> DataFrame:
     keyed = x.select(c("body"), (c("at") + F.make_dt_interval(days=F.lit(0), hours=F.lit(0), mins=F.lit(0), secs=c("k").cast("decimal(18,6)"))).alias("at"))
     w = weather.read_weather_json(keyed, "at", "body", ["rain", "temp"])
@@ -77,6 +92,49 @@ def _(s, d):
     return weather.read_stations_json(table(s, d, "supplier").select(body.alias("body")), "body").select("station_id", "lat")
 
 
+def _archives(s: SparkSession, d: str) -> str:
+    """A zip archive for each return flag, with a CSV member for each supplier and line number: line items, in one of two column orders."""
+    import io
+    import zipfile
+
+    import pandas as pd
+    import pyarrow.fs as pafs
+
+    at = folder(s)
+    li = table(s, d, "lineitem").select("l_returnflag", "l_suppkey", "l_linenumber", "l_orderkey", c("l_quantity").cast("int").alias("n"))
+
+    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        fs, root = pafs.FileSystem.from_uri(at)
+        fs.create_dir(root, recursive=True)
+        body = io.BytesIO()
+        with zipfile.ZipFile(body, "w", zipfile.ZIP_DEFLATED) as z:
+            for (supplier, line), own in rows.groupby(["l_suppkey", "l_linenumber"]):
+                names = {"l_orderkey": "番号", "n": "量"}
+                own = own[list(names)[:: 1 if line % 2 else -1]].rename(columns=names)
+                z.writestr(f"{supplier}-{line}.csv", own.to_csv(index=False, lineterminator="\r\n").encode("cp932"))
+        with fs.open_output_stream(f"{root}/typeB_{key[0].lower()}{key[1]}_2026_08.zip", compression=None) as f:
+            f.write(body.getvalue())
+        return pd.DataFrame({"n": [len(rows)]})
+
+    spread = li.withColumn("_part", c("l_suppkey") % 4)
+    spread.groupBy("l_returnflag", "_part").applyInPandas(pack, "n long").agg(F.sum("n")).collect()
+    return at
+
+
+def _members(s: SparkSession, d: str) -> DataFrame:
+    return archives.read_archive_members(s, _archives(s, d), r"\.csv$", r"typeB_([a-z]+)\d_")
+
+
+@query("s7_archive_members", "SELECT lower(l_returnflag) AS region, l_suppkey || '-' || l_linenumber || '.csv' AS member, CAST(NULL AS VARCHAR) AS problem FROM lineitem GROUP BY ALL")
+def _(s, d):
+    return _members(s, d).select("region", "member", "problem")
+
+
+@query("s9_detector_csv", "SELECT lower(l_returnflag) AS region, CAST(l_orderkey AS VARCHAR) AS point, CAST(CAST(l_quantity AS INT) AS VARCHAR) AS n, CAST(NULL AS VARCHAR) AS link FROM lineitem")
+def _(s, d):
+    return archives.read_detector_csv(_members(s, d), {"番号": "point", "量": "n"}, ["point", "n", "link"], ["link"])
+
+
 @query("s8_drop_identical_members", "SELECT l_returnflag AS region, l_orderkey || '-' || l_linenumber AS member, first_value(l_orderkey || '-' || l_linenumber) OVER (PARTITION BY l_returnflag, l_quantity ORDER BY l_orderkey || '-' || l_linenumber) AS kept_as FROM lineitem")
 def _(s, d):
     name = F.concat(c("l_orderkey").cast("string"), F.lit("-"), c("l_linenumber").cast("string"))
@@ -119,55 +177,83 @@ def _(s, d):
     return s.read.option("header", True).csv(at)
 
 
-# -- streams: each is run to its end over the given table, with an end mark that lets the last windows close
+# -- streams: each is run over the given table, then, from the same checkpoint, over an end mark that lets the last windows close
 
 END = "2100-01-01 00:00:00"
 
 
-def _stream(s: SparkSession, d: str) -> DataFrame:
-    at = folder(s)
-    e = table(s, d, "events").select(c("event_type").alias("source"), c("user_id").alias("point"), F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("ts"), F.floor("value").cast("bigint").alias("vehicles"))
-    e.repartition(1).write.parquet(at)
-    e.limit(0).unionByName(s.sql(f"SELECT 'end' AS source, CAST(0 AS BIGINT) AS point, TIMESTAMP_NTZ '{END}' AS ts, CAST(0 AS BIGINT) AS vehicles")).write.mode("append").parquet(at)
-    return live.stream_counts(s, at, s.read.parquet(at).schema, "parquet")
+def _minutes(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "events").select(c("event_type").alias("source"), c("user_id").alias("point"), F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("ts"), F.floor("value").cast("bigint").alias("vehicles"))
 
 
-def _finish(df: DataFrame) -> DataFrame:
-    """Runs the stream over what is there and gives what it emitted."""
-    s = df.sparkSession
-    at = folder(s)
-    df.writeStream.format("parquet").option("path", at).option("checkpointLocation", f"{at}-state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
-    return s.read.schema(df.schema).parquet(at)
+def _run(rows: DataFrame, live_form) -> DataFrame:
+    """What ``live_form`` of a stream of ``rows`` (columns with ``ts``) emits; the rows are written in their own partitions."""
+    s, at, to = rows.sparkSession, folder(rows.sparkSession), folder(rows.sparkSession)
+    rows.write.parquet(at)
+    df = live_form(live.stream_counts(s, at, rows.schema, "parquet"))
+
+    def finish() -> None:
+        df.writeStream.format("parquet").option("path", to).option("checkpointLocation", f"{to}-state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+
+    finish()
+    end = [F.lit(END).cast(f.dataType).alias(f.name) if f.name == "ts" else (F.lit("end") if f.dataType.simpleString() == "string" else F.lit(0)).cast(f.dataType).alias(f.name) for f in rows.schema]
+    s.range(1).select(*end).write.mode("append").parquet(at)
+    finish()
+    return s.read.schema(df.schema).parquet(to)
 
 
 @query("x1_stream_counts", "SELECT event_type AS source, user_id AS point, date_trunc('minute', ts) AS ts, CAST(floor(value) AS BIGINT) AS vehicles FROM events")
 def _(s, d):
-    return _finish(_stream(s, d)).filter("source <> 'end'")
+    return _run(_minutes(s, d), lambda x: x).filter("source <> 'end'")
 
 
 @query("x2_stream_rollup", "SELECT event_type AS source, date_trunc('hour', ts) AS hour, CAST(sum(floor(value)) AS BIGINT) AS vehicles, count(*) AS n FROM events GROUP BY 1, 2")
 def _(s, d):
-    return _finish(live.stream_rollup(_stream(s, d), ["source"], "ts", "vehicles", late="40 days")).filter("source <> 'end'")
+    return _run(_minutes(s, d), lambda x: live.stream_rollup(x, ["source"], "ts", "vehicles", late="40 days")).filter("source <> 'end'")
 
 
 @query("x3_stream_dedup", "SELECT event_type AS source, user_id % 3 AS point, date_trunc('minute', ts) AS ts, CAST(min(floor(value)) AS BIGINT) AS vehicles FROM events GROUP BY 1, 2, 3 HAVING min(floor(value)) = max(floor(value))")
 def _(s, d):
-    x = _stream(s, d).withColumn("point", c("point") % 3)
-    return _finish(live.stream_dedup(x, ["source", "point"], "ts", "vehicles", "40 days")).filter("source <> 'end'")
+    return _run(_minutes(s, d).withColumn("point", c("point") % 3), lambda x: live.stream_dedup(x, ["source", "point"], "ts", "vehicles", "40 days")).filter("source <> 'end'")
 
 
 @query("x4_stream_completeness", "SELECT CAST(ts AS DATE) AS day, count(DISTINCT hour(ts)) AS hours, count(*) AS rows, CASE WHEN count(DISTINCT hour(ts)) >= 24 THEN 'settled' ELSE 'keep' END AS status FROM events GROUP BY 1")
 def _(s, d):
-    return _finish(live.stream_completeness(_stream(s, d), "ts", late="40 days")).filter("day < DATE '2100-01-01'")
+    return _run(_minutes(s, d), lambda x: live.stream_completeness(x, "ts", late="40 days")).filter("day < DATE '2100-01-01'")
+
+
+@query("x5_baseline_batch", sql("hourly", """, x AS (SELECT counter, CAST(ts AS DATE) AS day, CAST(sum(vehicles) AS BIGINT) AS vehicles FROM hourly GROUP BY 1, 2), y AS (SELECT *, list(vehicles ORDER BY day) FILTER (vehicles IS NOT NULL) OVER (PARTITION BY counter ORDER BY day RANGE BETWEEN INTERVAL 35 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING) AS l FROM x)
+SELECT counter, day, vehicles, CASE WHEN len(l) >= 3 THEN CAST(list_aggregate(list_slice(l, -4, -1), 'median') AS DOUBLE) END AS baseline FROM y"""))
+def _(s, d):
+    """Whole days through the archive of ``baseline_batch``, in three batches in order of the days; the SQL is one window over all days."""
+    at = folder(s)
+    days = hourly(s, d).groupBy("counter", F.to_date("ts").alias("day")).agg(F.sum("vehicles").alias("vehicles"))
+    run = live.baseline_batch(at, ["counter"], "day", "vehicles")
+    for k, (a, b) in enumerate((("2024-01-01", "2024-01-10"), ("2024-01-11", "2024-01-20"), ("2024-01-21", "2024-01-31"))):
+        run(days.filter(c("day").between(F.lit(a).cast("date"), F.lit(b).cast("date"))), k)
+    return s.read.parquet(at).select("counter", "day", "vehicles", "baseline")
 
 
-@query("x7_stream_stopped", sql("hourly", ", x AS (SELECT counter, ts, CASE WHEN vehicles IS NULL THEN NULL WHEN sum(vehicles) OVER (PARTITION BY counter, CAST(ts AS DATE)) < 60 THEN 0 ELSE 1 END AS v FROM hourly) SELECT counter, CAST(ts AS DATE) AS date, CAST(sum(v) AS BIGINT) AS total FROM x GROUP BY 1, 2 HAVING count(v) = 24 AND sum(v) < 24"))
+@query("x6_registry_batch", "SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN c_nationkey + 100 ELSE c_nationkey END AS pos, c_custkey % 30 + CASE WHEN c_custkey % 2 = 0 THEN 100 ELSE 0 END AS last_seen FROM customer")
 def _(s, d):
-    from pyspark.sql import Window
+    """A registry kept over two batches: all customers, then every second one at another place."""
+    from pyspark.sql import types as T
 
     at = folder(s)
-    total = F.sum("vehicles").over(Window.partitionBy("counter", F.to_date("ts")))
-    h = hourly(s, d).select("counter", "ts", F.when(c("vehicles").isNotNull(), F.when(total < 60, 0).otherwise(1)).cast("bigint").alias("v"))
-    h.repartition(1).write.parquet(at)
-    s.sql(f"SELECT 'end' AS counter, TIMESTAMP_NTZ '{END}' AS ts, CAST(0 AS BIGINT) AS v").write.mode("append").parquet(at)
-    return _finish(live.stream_stopped(live.stream_counts(s, at, s.read.parquet(at).schema, "parquet"), ["counter"], "ts", "v", late="40 days")).filter("counter <> 'end'")
+    k, t = c("c_custkey"), table(s, d, "customer")
+    one = t.select(k.alias("k"), c("c_nationkey").cast("bigint").alias("pos"), (k % 30).alias("last_seen"))
+    two = t.filter(k % 2 == 0).select(k.alias("k"), (c("c_nationkey") + 100).cast("bigint").alias("pos"), (k % 30 + 100).alias("last_seen"))
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("k", "pos", "last_seen")])
+    run = live.registry_batch(lambda n: f"{at}/{n}", ["k"], ["pos"], schema)
+    run(one, 0)
+    run(two, 1)
+    return s.read.schema(schema).parquet(f"{at}/1")
+
+
+STOPPED = """, x AS (SELECT counter, CAST(ts AS DATE) AS date, CAST(sum(vehicles) AS BIGINT) AS total, count(*) AS n FROM hourly_users GROUP BY 1, 2) SELECT counter, date, total FROM x WHERE n = 24 AND total < 24"""
+
+
+@query("x7_stream_stopped", sql("hourly_users", STOPPED))
+def _(s, d):
+    h = hourly_users(s, d).select("counter", "ts", "vehicles")
+    return _run(h, lambda x: live.stream_stopped(x, ["counter"], "ts", "vehicles", late="40 days")).filter("counter > 0")

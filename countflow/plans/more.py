@@ -9,7 +9,7 @@ from countflow.operators import calendars, components, gates, matching
 from countflow.operators import statistics as stt
 from countflow.operators import windows as wn
 from countflow.plans.core import CANDIDATES, NEAR, WEEK, candidates, near
-from countflow.plans.views import KM, daily, edges, flags, holidays, hourly, registry, sql, stations, table
+from countflow.plans.views import KM, daily, edges, flags, holidays, hourly_users, registry, sql, stations, table
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -49,14 +49,14 @@ def _(s, d):
     return q.select("n", *[F.round(x, 9).alias(x) for x in ("median_gap", "within_10", "within_20", "within_30")])
 
 
-LINKS = "SELECT DISTINCT p_partkey AS a, p_partkey * 7 % 4096 AS b FROM part WHERE p_size <= 12"
+LINKS = "SELECT DISTINCT p_partkey AS a, p_partkey * 7 % 4096 AS b FROM part"
 CLOSURE = f"""WITH RECURSIVE e AS (SELECT a, b FROM ({LINKS}) UNION SELECT b, a FROM ({LINKS})), r AS (SELECT a AS node, a AS via FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.via)
 SELECT node, min(via) AS label FROM r GROUP BY 1"""
 
 
 @query("g4_connected_components", CLOSURE)
 def _(s, d):
-    p = table(s, d, "part").filter("p_size <= 12").select(c("p_partkey").alias("a"), (c("p_partkey") * 7 % 4096).alias("b"))
+    p = table(s, d, "part").select(c("p_partkey").alias("a"), (c("p_partkey") * 7 % 4096).alias("b"))
     return components.connected_components(p)
 
 
@@ -183,13 +183,32 @@ def _(s, d):
     return _features(s, d).select("counter", "date", *[F.round(x, 9).alias(x) for x in ("y", "lag1", "lag7", "lag14", "ratio7")], "prev_day_off", F.round("log_base", 9).alias("log_base"), "weekday")
 
 
-@query("m6_hourly_graph_features", sql("hourly", """, e AS (SELECT DISTINCT a.counter AS a, b.counter AS b FROM hourly a, hourly b WHERE a.counter < b.counter AND a.ts = b.ts), w AS (SELECT a, b FROM e UNION SELECT b, a FROM e), n AS (SELECT w.a AS counter, ts, avg(vehicles) AS near FROM w JOIN hourly h ON h.counter = w.b GROUP BY 1, 2)
-SELECT h.counter, h.ts, vehicles, lag(vehicles) OVER q AS vehicles_lag1, lag(vehicles, 2) OVER q AS vehicles_lag2, lead(vehicles) OVER q AS vehicles_lead1, round(near, 9) AS near, round(lag(near) OVER q, 9) AS near_lag1 FROM hourly h LEFT JOIN n ON n.counter = h.counter AND n.ts = h.ts WINDOW q AS (PARTITION BY h.counter ORDER BY h.ts)"""))
+@query("m6_hourly_graph_features", sql("hourly_users", f""", w AS (SELECT a, b FROM ({NEAR}) UNION SELECT b, a FROM ({NEAR})), n AS (SELECT w.a AS counter, ts, avg(vehicles) AS near FROM w JOIN hourly_users h ON h.counter = w.b GROUP BY 1, 2)
+SELECT h.counter, h.ts, vehicles, lag(vehicles) OVER q AS vehicles_lag1, lag(vehicles, 2) OVER q AS vehicles_lag2, lead(vehicles) OVER q AS vehicles_lead1, round(near, 9) AS near, round(lag(near) OVER q, 9) AS near_lag1 FROM hourly_users h LEFT JOIN n ON n.counter = h.counter AND n.ts = h.ts WINDOW q AS (PARTITION BY h.counter ORDER BY h.ts)"""))
 def _(s, d):
-    h = hourly(s, d)
-    k = h.select("counter").distinct()
-    e = k.select(c("counter").alias("a")).join(k.select(c("counter").alias("b")), c("a") < c("b"))
-    return stt.hourly_graph_features(h, e, "counter", "ts", "vehicles").withColumn("near", F.round("near", 9)).withColumn("near_lag1", F.round("near_lag1", 9))
+    return stt.hourly_graph_features(hourly_users(s, d), near(s, d), "counter", "ts", "vehicles").withColumn("near", F.round("near", 9)).withColumn("near_lag1", F.round("near_lag1", 9))
+
+
+@query("m7_fit_forecast", None)
+def _(s, d):
+    """The model of the days before the last 200, by counter and day of these: what it predicts of the logarithm."""
+    f = stt.time_split(_features(s, d), "date", 200).withColumn("prev", c("prev_day_off").cast("int"))
+    model = stt.fit_forecast(f.filter("NOT is_test"), ["lag1", "lag7", "lag14", "ratio7", "weekday", "prev"], "y", trees=5, depth=3)
+    return model.transform(f.filter("is_test")).select("counter", "date", F.round("prediction", 6).alias("prediction"))
+
+
+@query("m9_ablation", None)
+def _(s, d):
+    """Mean absolute error on the last 200 days with yesterday's value, and with those of the last weeks too."""
+    f = stt.time_split(_features(s, d), "date", 200)
+    return stt.ablation(f.filter("NOT is_test"), f.filter("is_test"), {"yesterday": ["lag1"], "weeks": ["lag1", "lag7", "lag14"]}, "y", trees=5, depth=3)
+
+
+@query("m3_null_distribution", None)
+def _(s, d):
+    """How often the larger share of a counter differs from its partner's: for its own and for five permutations."""
+    x = daily(s, d).groupBy("counter").agg((F.sum("large") / F.sum("vehicles")).alias("own"), (F.sum("large") / F.sum("vehicles")).alias("other"))
+    return stt.null_distribution(x, "counter", "own", "other", 0.01, 5)
 
 
 @query("m8_naive_forecasts", sql("daily", f""", x AS (SELECT a.*, b.vehicles AS last_week, a.lines * 25 AS usual, CASE WHEN isodow(a.date) >= 6 THEN 'off' ELSE 'work' END AS kind FROM daily a LEFT JOIN daily b ON a.counter = b.counter AND b.date = a.date - 7), y AS (SELECT 'last_week' AS forecast, kind, vehicles, last_week AS f FROM x UNION ALL SELECT 'usual', kind, vehicles, usual FROM x), z AS (SELECT * FROM y UNION ALL SELECT forecast, 'all', vehicles, f FROM y)
@@ -303,7 +322,7 @@ def _(s, d):
 
 CAL = """, days AS (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '1997-12-31', INTERVAL 1 DAY))::DATE AS date), h AS (SELECT days.date, name, name IS NOT NULL AS hol, name IS NOT NULL AND name <> 'holiday' AS named FROM days LEFT JOIN holidays USING (date)),
 f AS (SELECT *, hol OR isodow(date) >= 6 AS off, CASE WHEN hol AND NOT named THEN CASE WHEN coalesce(lag(named) OVER w, false) AND coalesce(lead(named) OVER w, false) THEN 'citizens'' holiday' ELSE 'substitute holiday' END ELSE name END AS hn FROM h WINDOW w AS (ORDER BY date)), i AS (SELECT *, sum((NOT off)::INT) OVER (ORDER BY date) AS g FROM f),
-cal AS (SELECT date, CAST(isodow(date) - 1 AS INT) AS weekday, hol AS is_holiday, hn AS holiday_name, off AS day_off, CASE WHEN off THEN CAST(count(*) OVER (PARTITION BY g, off) AS INT) ELSE 0 END AS days_off_in_run, lead(off, 1, false) OVER (ORDER BY date) AS next_day_off, CASE WHEN month(date) * 100 + day(date) BETWEEN 813 AND 816 THEN 'bon' WHEN month(date) * 100 + day(date) >= 1229 OR month(date) * 100 + day(date) <= 103 THEN 'new_year' END AS customary_break FROM i)"""
+cal AS (SELECT date, CAST(isodow(date) - 1 AS INT) AS weekday, hol AS is_holiday, hn AS holiday_name, off AS day_off, CASE WHEN off THEN CAST(count(*) OVER (PARTITION BY g, off) AS INT) ELSE 0 END AS days_off_in_run, lead(off, 1, false) OVER (ORDER BY date) AS next_day_off, CASE WHEN month(date) * 100 + day(date) BETWEEN 813 AND 816 THEN 'obon' WHEN month(date) * 100 + day(date) >= 1229 OR month(date) * 100 + day(date) <= 103 THEN 'new_year' ELSE '' END AS customary_break FROM i)"""
 
 
 def calendar(s, d):
@@ -320,7 +339,7 @@ def _(s, d):
     return calendar(s, d).select("date", fn.day_class(c("weekday"), c("is_holiday")).alias("class"))
 
 
-@query("c3_customary_break", "SELECT o_orderkey AS k, CASE WHEN month(o_orderdate) * 100 + day(o_orderdate) BETWEEN 813 AND 816 THEN 'bon' WHEN month(o_orderdate) * 100 + day(o_orderdate) >= 1229 OR month(o_orderdate) * 100 + day(o_orderdate) <= 103 THEN 'new_year' END AS b FROM orders")
+@query("c3_customary_break", "SELECT o_orderkey AS k, CASE WHEN month(o_orderdate) * 100 + day(o_orderdate) BETWEEN 813 AND 816 THEN 'obon' WHEN month(o_orderdate) * 100 + day(o_orderdate) >= 1229 OR month(o_orderdate) * 100 + day(o_orderdate) <= 103 THEN 'new_year' ELSE '' END AS b FROM orders")
 def _(s, d):
     return table(s, d, "orders").select(c("o_orderkey").alias("k"), fn.customary_break(c("o_orderdate")).alias("b"))
 

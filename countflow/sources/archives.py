@@ -2,51 +2,83 @@
 
 from __future__ import annotations
 
+import codecs
+import csv
 import hashlib
-import io
 import re
+import uuid
 import zipfile
 from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-MEMBERS = "archive string, region string, member string, bytes long, sha256 string, content binary, problem string"
+from countflow.session import checkpoint, shared_dir
+from countflow.sources.counts import layouts, text_schema
 
+MEMBERS = "archive string, region string, member string, bytes long, sha256 string, file string, problem string"
+#: Bytes of a member that a task holds at once.
+PIECE = 1 << 20
 
-def read_archive_members(spark: SparkSession, path: str, member_pattern: str, region_pattern: str) -> DataFrame:
+
+def _open(uri: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", uri))
+
+
+def read_archive_members(spark: SparkSession, path: str, member_pattern: str, region_pattern: str, encoding: str = "cp932", to: str | None = None) -> DataFrame:
     """One row per member of the zip files below ``path``, one nested level deep. ``region`` is the first group of ``region_pattern`` in the innermost archive's name. A
-    member whose name doesn't fit, an archive that can't be read, and one of another kind give a row with ``problem`` and no content.
+    member whose name doesn't fit, an archive that can't be read, and one of another kind give a row with ``problem`` and no file.
 
-    A task opens one archive at a time.
+    Archives are opened in place, with seeks; each member is copied piece by piece, as UTF-8 text, to a ``file`` below ``to`` (a folder that all machines share), and a
+    nested archive as it is. No task holds an archive or a member, whatever their size. A repeated task leaves files that no row names.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
-
-    def walk(name: str, data: bytes, depth: int) -> Iterator[tuple]:
+    to = to or f"{shared_dir(spark)}/members-{uuid.uuid4().hex}"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
+
+    def copy(z: zipfile.ZipFile, info: zipfile.ZipInfo, name: str, decode: bool) -> tuple[str, int, str]:
+        fs, root = _open(to)
+        fs.create_dir(root, recursive=True)
+        digest, size, text = hashlib.sha256(), 0, codecs.getincrementaldecoder(encoding)()
+        with z.open(info) as source, fs.open_output_stream(f"{root}/{name}", compression=None) as target:
+            while piece := source.read(PIECE):
+                digest.update(piece)
+                size += len(piece)
+                target.write(text.decode(piece).encode("utf-8") if decode else piece)
+            if decode:
+                target.write(text.decode(b"", True).encode("utf-8"))
+        return f"{to}/{name}", size, digest.hexdigest()
+
+    def walk(name: str, uri: str, size: int, depth: int) -> Iterator[tuple]:
         region = m[1] if (m := re.search(region_pattern, name)) else None
-        if not zipfile.is_zipfile(io.BytesIO(data)):
-            yield name, region, None, len(data), None, None, "not a zip file"
-            return
-        with zipfile.ZipFile(io.BytesIO(data)) as z:
+        fs, at = _open(uri)
+        with fs.open_input_file(at) as source:
+            try:
+                z = zipfile.ZipFile(source)
+            except (zipfile.BadZipFile, ValueError):  # pyarrow refuses seeks before the beginning of a tiny file
+                yield name, region, None, size, None, None, "not a zip file"
+                return
             for info in z.infolist():
                 if info.is_dir():
                     continue
                 if info.filename.lower().endswith(".zip") and depth == 0:
-                    yield from walk(info.filename, z.read(info), 1)
+                    inner, n, _ = copy(z, info, f"{uuid.uuid4().hex}.zip", False)
+                    yield from walk(info.filename, inner, n, 1)
                 elif re.search(member_pattern, info.filename):
-                    body = z.read(info)
-                    yield name, region, info.filename, len(body), hashlib.sha256(body).hexdigest(), body, None
+                    file, n, sha = copy(z, info, f"{uuid.uuid4().hex}.csv", True)
+                    yield name, region, info.filename, n, sha, file, None
                 else:
                     yield name, region, info.filename, info.file_size, None, None, "unexpected member"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path, data in zip(batch["path"], batch["content"]):
-                for row in walk(path.rsplit("/", 1)[-1], bytes(data), 0):
+            for path, size in zip(batch["path"], batch["length"]):
+                for row in walk(path.rsplit("/", 1)[-1], path, int(size), 0):
                     yield pd.DataFrame([row], columns=[c.split()[0] for c in MEMBERS.split(", ")])
 
-    return files.mapInPandas(run, MEMBERS)
+    return checkpoint(files.repartition(max(1, min(files.count(), spark.sparkContext.defaultParallelism)), "path").mapInPandas(run, MEMBERS))
 
 
 def drop_identical_members(members: DataFrame) -> DataFrame:
@@ -55,27 +87,25 @@ def drop_identical_members(members: DataFrame) -> DataFrame:
     return members.withColumn("kept_as", F.first("member").over(w)).withColumn("is_kept", F.row_number().over(w) == 1)
 
 
-def read_detector_csv(members: DataFrame, spellings: Mapping[str, str], columns: Sequence[str], optional: Sequence[str], encoding: str = "cp932") -> DataFrame:
-    """The members' rows in canonical ``columns``, all text and trimmed. ``spellings`` maps each header spelling to its column; a missing ``optional`` column is null and any
-    other missing or unknown one is an error. Short rows have nulls; there is no quoting.
+def read_detector_csv(members: DataFrame, spellings: Mapping[str, str], columns: Sequence[str], optional: Sequence[str]) -> DataFrame:
+    """The rows of the members' files in canonical ``columns``, all text and trimmed, after their region. ``spellings`` maps each header spelling to its column; a missing ``optional`` column
+    is null and any other missing or unknown one is an error. Short rows have nulls; there is no quoting.
 
-    Members are decoded in batches, for Spark's CSV reader reads files, not parts of archives.
+    Spark's CSV source reads the files, those of equal header together; the list of files goes to the driver.
     """
-    names = list(columns)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for region, member, content in zip(batch["region"], batch["member"], batch["content"]):
-                lines = bytes(content).decode(encoding).replace("\r\n", "\n").rstrip("\n").split("\n")
-                head = [spellings.get(h.strip(), f"?{h.strip()}") for h in lines[0].split(",")]
-                bad = [h for h in head if h.startswith("?")] + [c for c in names if c not in head and c not in optional]
-                if bad:
-                    raise ValueError(f"{member}: columns {bad}")
-                rows = [[x.strip() for x in line.split(",")] for line in lines[1:] if line]
-                full = [r[: len(head)] + [None] * (len(head) - len(r)) for r in rows]
-                out = pd.DataFrame(full, columns=head, dtype=object).reindex(columns=names)
-                out.insert(0, "region", region)
-                yield out.astype(object).where(out.notna(), None)
-
-    schema = ", ".join(f"`{c}` string" for c in ["region", *names])
-    return members.filter("content IS NOT NULL").select("region", "member", "content").mapInPandas(run, schema)
+    spark = members.sparkSession
+    known = checkpoint(members.filter("file IS NOT NULL").select(F.regexp_extract("file", "([^/]+)$", 1).alias("_file"), "region", "member", "file"))
+    names, parts = list(columns), []
+    files = [r["file"] for r in known.select("file").collect()]
+    for header, own in (layouts(spark, files) if files else {}).items():
+        head = [spellings.get(h.strip(), f"?{h.strip()}") for h in next(csv.reader([header], quoting=csv.QUOTE_NONE), [])]
+        bad = [h for h in head if h.startswith("?")] + [n for n in names if n not in head and n not in optional]
+        if bad:
+            member = known.filter(F.col("_file") == own[0].rsplit("/", 1)[-1]).first()["member"]
+            raise ValueError(f"{member}: columns {bad}")
+        options = {"header": True, "enforceSchema": True, "quote": "", "nullValue": "\x01", "ignoreLeadingWhiteSpace": True, "ignoreTrailingWhiteSpace": True}
+        raw = spark.read.schema(text_schema(head)).options(**options).csv(own)
+        parts.append(raw.select(F.col("_metadata.file_name").alias("_file"), *[(F.col(f"`{n}`") if n in head else F.lit(None).cast("string")).alias(n) for n in names]))
+    if not parts:
+        return spark.createDataFrame([], text_schema(["region", *names]))
+    return reduce(DataFrame.unionByName, parts).join(known.select("_file", "region"), "_file").select("region", *names)

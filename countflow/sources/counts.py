@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,14 +22,29 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
 
 
 def read_layer(spark: SparkSession, path: str, names: Mapping[str, str], drop: Sequence[str] = ()) -> DataFrame:
-    """One layer's CSV files (plain or gzip), all columns text, under their canonical names. ``names`` maps each source column to its canonical name; files must have
-    just these and the columns to ``drop``, in any order. A file with other columns stops the build, which lists them.
+    """One layer's CSV files (plain or gzip), all columns text, under their canonical names. ``names`` maps each source column to its canonical name; every file must have
+    just these and the columns to ``drop``, in an order of its own. A file with other columns stops the build, which names it and lists them.
+
+    The files' first lines are read before, and files of equal layout are read together.
     """
-    found = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    expected = {*names, *drop}
-    if set(found.columns) != expected or len(found.columns) != len(expected):
-        raise GateError(f"missing: {sorted(expected - set(found.columns))}; new: {sorted(set(found.columns) - expected)}")
-    return found.select(*[F.col(f"`{a}`").alias(b) for a, b in names.items()])
+    expected, parts = {*names, *drop}, []
+    for header, files in layouts(spark, path).items():
+        found = next(csv.reader([header]), [])
+        if set(found) != expected or len(found) != len(expected):
+            raise GateError(f"{files[0]}: missing: {sorted(expected - set(found))}; new: {sorted(set(found) - expected)}" + ("; twice: " + str(sorted({c for c in found if found.count(c) > 1})) if len(set(found)) < len(found) else ""))
+        part = spark.read.schema(text_schema(found)).option("header", True).option("enforceSchema", True).csv(files)
+        parts.append(part.select(*[F.col(f"`{a}`").alias(b) for a, b in names.items()]))
+    if not parts:
+        return spark.createDataFrame([], text_schema(list(names.values())))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def layouts(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """The files below ``path`` by their first line, which only the layouts' number and the list of names carry to the driver. Empty files have none."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"), "value")
+    first = lines.filter("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    rows = first.groupBy(F.regexp_replace("header", "^\\ufeff|\r$", "").alias("header")).agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    return {r["header"]: r["files"] for r in rows}
 
 
 def discover_partitions(spark: SparkSession, path: str, pattern: str = FILE_NAME) -> DataFrame:

@@ -27,6 +27,29 @@ def test_layers_and_discovery(spark, tmp_path):
     assert found["loop"]["day"] == dt.date(2026, 10, 3) and found["loop"]["chunk"] == "2026-10_01-10" and found[None]["res"] is None
 
 
+def test_layers_with_columns_in_another_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("time,code,n\n202610030800,12,5\n")
+    (tmp_path / "b.csv").write_text("n,code,time\n77,13,202610030900\n")
+    (tmp_path / "empty.csv").write_text("")
+    names = {"time": "time_code", "code": "counter", "n": "vehicles"}
+    rows = counts.read_layer(spark, str(tmp_path), names).collect()
+    assert {(r["time_code"], r["counter"], r["vehicles"]) for r in rows} == {("202610030800", "12", "5"), ("202610030900", "13", "77")}
+    (tmp_path / "c.csv").write_text("n,code,time,more\n77,13,202610030900,1\n")
+    with pytest.raises(GateError, match="c.csv: .*new: \\['more'\\]"):
+        counts.read_layer(spark, str(tmp_path), names)
+
+
+def test_members_larger_than_a_piece(spark, tmp_path, monkeypatch):
+    lines = [f"2026/8/1 0:{i % 60:02d},地点{i},{i}" for i in range(5000)]
+    with zipfile.ZipFile(tmp_path / "typeB_osaka_2026_08.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("a.csv", "\r\n".join(["時刻,地点,量", *lines]).encode("cp932"))
+        z.writestr("b.csv", "\r\n".join(["量,時刻,地点", "1,x,y"]).encode("cp932"))
+    monkeypatch.setattr(archives, "PIECE", 1001)
+    m = archives.read_archive_members(spark, str(tmp_path), r"\.csv$", r"typeB_([a-z]+)_")
+    rows = archives.read_detector_csv(m, {"時刻": "time", "地点": "point", "量": "n"}, ["time", "point", "n"], []).collect()
+    assert {(r["time"], r["point"], r["n"]) for r in rows} == {tuple(x.split(",")) for x in lines} | {("x", "y", "1")} and {r["region"] for r in rows} == {"osaka"}
+
+
 def test_writers(spark, tmp_path):
     df = spark.sql("SELECT explode(sequence(TIMESTAMP_NTZ '2024-02-09', TIMESTAMP_NTZ '2024-02-22', INTERVAL 1 DAY)) AS ts").withColumn("k", F.lit(1)).withColumn("res", F.lit("1h"))
     counts.write_chunks(df, f"{tmp_path}/c", "ts", ["ts", "k"], "res")
@@ -75,7 +98,7 @@ def test_archives(spark, tmp_path):
     m = archives.read_archive_members(spark, str(tmp_path), r"\.csv$", r"typeB_([a-z]+)_")
     problems = {(r["member"], r["problem"]) for r in m.collect() if r["problem"]}
     assert problems == {("readme.txt", "unexpected member"), (None, "not a zip file")}
-    kept = archives.drop_identical_members(m.filter("content IS NOT NULL"))
+    kept = archives.drop_identical_members(m.filter("file IS NOT NULL"))
     assert {(r["member"], r["kept_as"]) for r in kept.collect()} == {("a.csv", "a.csv"), ("b.csv", "a.csv")}
     rows = archives.read_detector_csv(kept.filter("is_kept"), {"時刻": "time", "地点": "point", "量": "n"}, ["time", "point", "n", "link"], ["link"]).collect()
     assert [tuple(r) for r in rows] == [("tokyo", "2026/8/1 0:00", "5", "7", None), ("tokyo", "2026/8/1 0:05", "5", None, None)]

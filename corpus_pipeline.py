@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from countflow.llm import line_dedup, near_copies, packing, quality, simhash, toxicity
 from countflow.llm.text import id_remainder
-from countflow.session import checkpoint, shared_dir
+from countflow.session import shared_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +40,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays: first of those whose fingerprints nearly agree, then, among
     the documents left, of those whose sets of 5-word shingles have a similarity of 0.8 or more."""
-    return near_copies.drop_similar(checkpoint(simhash.drop_near_copies(docs))).select(docs.columns)
+    return near_copies.drop_similar(simhash.drop_near_copies(docs)).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,7 +28,8 @@ ROUNDS = 3
 
 
 def shingle_set(text: str | None, size: int = SIZE) -> np.ndarray:
-    return np.unique(shingle_hashes(text, size)).view(np.int64)
+    """The hashes of the text's different shingles, in order."""
+    return np.unique(shingle_hashes(text, size).view(np.int64))
 
 
 def common_shingles(rows: DataFrame, size: int) -> np.ndarray:
@@ -43,6 +44,13 @@ def common_shingles(rows: DataFrame, size: int) -> np.ndarray:
     return np.sort(often.orderBy(F.desc("n"), "token").limit(MOST).select("token").toArrow().column(0).to_numpy())
 
 
+def _among(own: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which of ``own`` are in the sorted array ``ordered``."""
+    if not len(ordered):
+        return np.zeros(len(own), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, own), len(ordered) - 1)] == own
+
+
 def _prefixes(rows: DataFrame, size: int) -> DataFrame:
     """``rows`` (doc_id, mark, text) as doc_id, mark, kind (a digest of the text's set of shingles), m (its size) and the first ``tokens`` of the set."""
     common = rows.sparkSession.sparkContext.broadcast(common_shingles(rows, size))
@@ -55,7 +63,7 @@ def _prefixes(rows: DataFrame, size: int) -> DataFrame:
                 digests, sizes, firsts = [], [], []
                 for t in part.column(2).to_pylist():
                     own = shingle_set(t, size)
-                    late = np.isin(own, common.value, assume_unique=True)
+                    late = _among(own, common.value)
                     digests.append(xxhash.xxh64_intdigest(own.tobytes()) - (1 << 63))
                     sizes.append(len(own))
                     firsts.append(np.concatenate([own[~late], own[late]])[: len(own) + (-up * len(own)) // down + 1])
@@ -86,7 +94,7 @@ def _similar(pairs: DataFrame, held: DataFrame) -> DataFrame:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = np.frombuffer(x.as_py(), np.int64), np.frombuffer(y.as_py(), np.int64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
+                both = int(_among(x, y).sum())
                 keep.append(down * both >= up * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
@@ -115,32 +123,39 @@ def similar_rows(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     """
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
     marked = checkpoint(_prefixes(rows, size))
-    kinds = marked.groupBy("kind").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.count("*").alias("copies"))
-    marked = checkpoint(join_back(marked, checkpoint(kinds), "kind", "copies", ["doc_id", "mark"]))
-    own = F.struct("doc_id", "mark") == F.col("first")
-    tokens = marked.filter(own).dropDuplicates(["kind"]).select("kind", "first", "m", F.posexplode("tokens").alias("at", "token"))
+    narrow = checkpoint(marked.select("doc_id", "mark", "kind"))
+    kinds = checkpoint(narrow.groupBy("kind").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.count("*").alias("copies")))
+    copies = join_back(narrow, kinds, "kind", "copies", ["doc_id", "mark"]).filter(F.struct("doc_id", "mark") != F.col("first")).select(F.col("doc_id").alias("id"), "mark")
+    tokens = marked.select("doc_id", "kind", "m", F.posexplode("tokens").alias("at", "token"))
     count = marked.agg(F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()[0]
-    met = checkpoint(may_repeat(tokens, "token", count, {"_maybe": 2}).filter("_maybe").drop("_maybe"))
-    need = checkpoint(met.select("kind", F.col("first")["doc_id"].alias("id"), F.col("first")["mark"].alias("mark")).distinct())
-    hit, _ = split_members(rows, "mark", need, "mark")
-    texts = hit.join(need.withColumnRenamed("mark", "_mark"), (F.col("mark") == F.col("_mark")) & (F.col("doc_id") == F.col("id"))).select("kind", "text")
-    held = checkpoint(_sets(texts, size).dropDuplicates(["kind"]))
-    done = None
+    maybe = may_repeat(tokens, "token", count, {"_maybe": 2}).filter("_maybe")
+    met, held, done = checkpoint(maybe.groupBy("token", "kind").agg(F.min("doc_id").alias("id"), F.first("m").alias("m"), F.first("at").alias("at"))), None, None
     for k in range(ROUNDS + 1):
+        # each set meets the first of those with the shingle, or in the last round every earlier one
+        lead = met.groupBy("token").agg(F.min(F.struct("id", "kind", "m", "at")).alias("x"), F.count("*").alias("n")).filter("n > 1")
+        lead = checkpoint(lead.select("token", F.struct("x.kind", "x.m", "x.at").alias("x"), "n"))
+        both = checkpoint(join_back(met, lead, "token", "n", ["kind"]))
+        if held is None:
+            held = checkpoint(_sets(_texts(rows, kinds, both.select("kind").distinct()), size).dropDuplicates(["kind"]))
         if k < ROUNDS:
-            lead = met.groupBy("token").agg(F.min(F.struct("first", "kind", "m", "at")).alias("lead"), F.count("*").alias("n")).filter("n > 1")
-            both = checkpoint(join_back(met, checkpoint(lead), "token", "n", ["kind"]).filter(F.col("kind") != F.col("lead")["kind"]))
-            near = both.select(F.struct("m", "at").alias("y"), F.col("lead").alias("x"), "kind").filter(_fits("x", "y")).select(F.col("x")["kind"].alias("x"), F.col("kind").alias("y"))
+            near = both.filter(F.col("kind") != F.col("x.kind")).select(F.col("x"), F.struct("m", "at").alias("y"), "kind").filter(_fits("x", "y")).select(F.col("x.kind").alias("x"), F.col("kind").alias("y"))
         else:
-            near = met.alias("x").join(met.alias("y"), F.col("x.token") == F.col("y.token")).filter((F.col("x.first") < F.col("y.first")) & _fits("x", "y")).select(F.col("x.kind").alias("x"), F.col("y.kind").alias("y"))
+            near = both.alias("x").join(both.alias("y"), F.col("x.token") == F.col("y.token")).filter((F.struct("x.id", "x.kind") < F.struct("y.id", "y.kind")) & _fits("x", "y")).select(F.col("x.kind").alias("x"), F.col("y.kind").alias("y"))
         dead = checkpoint(_similar(checkpoint(near.distinct()), held).select(F.col("y").alias("kind")).distinct())
         done = dead if done is None else done.unionByName(dead)
         if k < ROUNDS:
-            met = checkpoint(both.select("kind", "first", "m", "at", "token").join(dead, "kind", "left_anti"))
+            met = checkpoint(both.filter(F.col("kind") != F.col("x.kind")).select("token", "kind", "id", "m", "at").join(dead, "kind", "left_anti"))
             if not met.limit(1).count():
                 break
-    copies = marked.filter(~own).select(F.col("doc_id").alias("id"), "mark")
-    return copies.unionByName(marked.join(done.distinct(), "kind", "left_semi").select(F.col("doc_id").alias("id"), "mark")).distinct()
+    similar = narrow.join(done.distinct(), "kind", "left_semi").select(F.col("doc_id").alias("id"), "mark")
+    return copies.unionByName(similar).distinct()
+
+
+def _texts(rows: DataFrame, kinds: DataFrame, need: DataFrame) -> DataFrame:
+    """(kind, text) of a row of each of the kinds ``need``; only rows that a Bloom filter of their marks lets pass are shuffled."""
+    wanted = checkpoint(kinds.join(need, "kind").select("kind", F.col("first.doc_id").alias("_id"), F.col("first.mark").alias("_mark")))
+    hit, _ = split_members(rows, "mark", wanted, "_mark")
+    return hit.join(wanted, (F.col("mark") == F.col("_mark")) & (F.col("doc_id") == F.col("_id"))).select("kind", "text")
 
 
 def drop_similar(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,10 @@ from countflow.session import checkpoint
 SHINGLE = 3
 SEED = 42
 BITS = 64
+#: Counters of a group's values at most.
+COUNTERS = 1 << 20
+#: What a probe costs, in values met.
+PROBE = 4
 #: For each byte value its bits, lowest first: (256, 8).
 BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
@@ -142,40 +147,67 @@ def allocate(costs: np.ndarray, total: int) -> np.ndarray:
     return out
 
 
-def links(distinct: DataFrame, distance: int = 3, groups: int = 4) -> DataFrame:
+def choose_groups(n: int, distance: int = 3) -> tuple[int, float]:
+    """How many groups cost ``n`` fingerprints least, and what they cost each. Fewer groups are wider, so a probe meets fewer values, but need more probes.
+
+    With m groups thresholds add up to ``distance`` - m + 1. The cost is that of equal thresholds over evenly spread values: the probes, which are
+    shuffled, and the ``n`` / 2**width values that each meets.
+    """
+
+    def cost(m: int) -> float:
+        each, more = divmod(distance - m + 1, m)
+        widths = [(BITS + k) // m for k in range(m)]
+        probes = [sum(comb(w, d) for d in range(each + (k < more) + 1)) for k, w in enumerate(widths)]
+        return sum(p * (PROBE + n / (1 << w)) for p, w in zip(probes, widths))
+
+    return min(((m, cost(m)) for m in range(2, distance + 2)), key=lambda x: x[1])
+
+
+def links(distinct: DataFrame, distance: int = 3, groups: int | None = None) -> DataFrame:
     """Every pair (a, b), a < b, of distinct fingerprints that differ in ``distance`` bits or fewer, once.
 
     If two fingerprints are that close, then for any thresholds that add up to ``distance`` - ``groups`` + 1 some group's values
-    differ in no more bits than its threshold. Each fingerprint gets its own thresholds, by dynamic
+    differ in no more bits than its threshold. ``groups`` follows the number of fingerprints (see choose_groups), so that a probe meets few of them at any
+    size. Each fingerprint gets its own thresholds, by dynamic
     programming on how many fingerprints hold the values it would probe; they are counted over all fingerprints, in at
-    most ``groups`` * 2**16 counters. Its probes meet the index by an equality join on (group, value), and the join tests the
+    most ``groups`` * 2**20 counters (values that share one are counted together). Its probes meet the index by an equality join on (group, value), and the join tests the
     whole distance, so only true links leave it. A value that many fingerprints share is costly, so the allocation turns to other groups; what
     remains is dealt out over salts in proportion to its count.
     """
-    if BITS // groups > 16 or distance < groups - 1:
-        raise ValueError("groups must hold at most 16 bits each and be at most distance + 1")
     spark = distinct.sparkSession
+    number = distinct.count()
+    groups = groups or choose_groups(number, distance)[0]
+    if groups < 2 or distance < groups - 1:
+        raise ValueError("groups must be 2 to distance + 1")
     parts = bit_groups(distinct, groups)
     total = distance - groups + 1
+    cells = [min(1 << len(g), COUNTERS) for g in parts]
+
+    def cell(i: int, v: np.ndarray) -> np.ndarray:
+        if cells[i] == 1 << len(parts[i]):
+            return v
+        with np.errstate(over="ignore"):
+            return ((v.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)  # 20 bits
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = batch.column(0).to_numpy().view(np.uint64)
             for i, g in enumerate(parts):
-                v, n = np.unique(group_values(fps, g), return_counts=True)
+                v, n = np.unique(cell(i, group_values(fps, g)), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), i), pa.int32()), pa.array(v, pa.int64()), pa.array(n, pa.int64())], ["part", "value", "n"])
 
     counted = distinct.select("fp").mapInArrow(values, "part int, value long, n long").groupBy("part", "value").agg(F.sum("n").alias("n")).toArrow()
-    counts = [np.zeros(1 << len(g), np.int64) for g in parts]
+    counts = [np.zeros(c, np.int32) for c in cells]
     at, value, n = (counted.column(c).to_numpy() for c in ("part", "value", "n"))
     for i in range(groups):
-        counts[i][value[at == i]] = n[at == i]
+        counts[i][value[at == i]] = np.minimum(n[at == i], (1 << 31) - 1)
     shared = spark.sparkContext.broadcast(counts)
-    radius = distance  # the largest threshold: all other groups are left out
+    radius = distance if groups > 3 else 2  # the largest threshold of a group; wide groups have too many masks of three bits
     fan = 256
 
     def salts(i: int, v: np.ndarray) -> np.ndarray:
-        return -(-np.maximum(shared.value[i][v], 1) // fan)
+        # what chance puts into a counter beside the value is no reason to deal it out
+        return -(-np.maximum(shared.value[i][cell(i, v)].astype(np.int64) - number // cells[i], 1) // fan)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,21 +217,21 @@ def links(distinct: DataFrame, distance: int = 3, groups: int = 4) -> DataFrame:
                 v = group_values(fps, g)
                 with np.errstate(over="ignore"):
                     salt = ((fps * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % salts(i, v)
-                yield pa.RecordBatch.from_arrays([pa.array((i << 16) | v, pa.int64()), pa.array(salt, pa.int64()), pa.array(signed, pa.int64())], ["bucket", "salt", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array((i << BITS // 2) | v, pa.int64()), pa.array(salt, pa.int64()), pa.array(signed, pa.int64())], ["bucket", "salt", "b"])
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flips = [_flips(len(g), radius) for g in parts]
         for whole in batches:
             for begin in range(0, whole.num_rows, 2000):
                 signed = whole.column(0).slice(begin, 2000).to_numpy()
                 fps = signed.view(np.uint64)
                 vals = [group_values(fps, g) for g in parts]
                 costs = np.zeros((len(fps), groups, radius + 2))
-                flips = [_flips(len(g), radius) for g in parts]
                 for i in range(groups):
                     total_cost = np.zeros(len(fps))
                     for t in range(radius + 1):
-                        near = shared.value[i][vals[i][:, None] ^ flips[i][t][None, :]]
-                        total_cost = total_cost + near.sum(axis=1) + len(flips[i][t])
+                        near = shared.value[i][cell(i, vals[i][:, None] ^ flips[i][t][None, :])]
+                        total_cost = total_cost + near.sum(axis=1, dtype=np.int64) + len(flips[i][t])
                         costs[:, i, t + 1] = total_cost
                 thresholds = allocate(costs, total)
                 for i in range(groups):
@@ -209,14 +241,14 @@ def links(distinct: DataFrame, distance: int = 3, groups: int = 4) -> DataFrame:
                             continue
                         v = (vals[i][who][:, None] ^ flips[i][t][None, :]).ravel()
                         a = np.repeat(signed[who], len(flips[i][t]))
-                        there = shared.value[i][v] > 0  # nothing holds the other values
+                        there = shared.value[i][cell(i, v)] > 0  # nothing holds the other values
                         v, a = v[there], a[there]
                         s = salts(i, v)
                         v, a = np.repeat(v, s), np.repeat(a, s)
                         salt = np.arange(len(v)) - np.repeat(np.cumsum(s) - s, s)
                         for lo in range(0, len(v), 200_000):
                             cut = slice(lo, lo + 200_000)
-                            yield pa.RecordBatch.from_arrays([pa.array((i << 16) | v[cut], pa.int64()), pa.array(salt[cut], pa.int64()), pa.array(a[cut], pa.int64())], ["bucket", "salt", "a"])
+                            yield pa.RecordBatch.from_arrays([pa.array((i << BITS // 2) | v[cut], pa.int64()), pa.array(salt[cut], pa.int64()), pa.array(a[cut], pa.int64())], ["bucket", "salt", "a"])
 
     one = distinct.select("fp")
     near = one.mapInArrow(probes, "bucket long, salt long, a long").join(one.mapInArrow(index, "bucket long, salt long, b long"), ["bucket", "salt"])

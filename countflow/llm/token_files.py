@@ -1,7 +1,7 @@
 """Token shards: raw id payloads with a minimal perfect hash index from document keys to offsets.
 
-A shard is two files. ``NNNNN.ids`` holds the ids of its documents one after another, nothing else, as little-endian
-unsigned 16-bit integers where the vocabulary has at most 65,536 ids, else 32-bit. ``NNNNN.idx`` holds, little-endian:
+A shard is two files of one stem. The ``.ids`` file holds the ids of its documents one after another, nothing else, as little-endian
+unsigned 16-bit integers where the vocabulary has at most 65,536 ids, else 32-bit. The ``.idx`` file holds, little-endian:
 
     8 bytes   magic "CFTOKEN1"
     u4        bytes per id
@@ -100,47 +100,51 @@ class ShardReader:
 
 def write(df: DataFrame, key: str, text: str, vocabulary: str, end_id: int | None, to: str) -> DataFrame:
     """Writes shards of the texts' ids to the folder ``to`` (a URI that all machines reach) in ascending key order, and
-    returns their manifest: shard, n_docs, n_ids, first_key, last_key; shards follow one another in key order.
+    returns their manifest: shard, stem (the files' name), n_docs, n_ids, first_key, last_key; shards follow one another in key order.
 
     A null text counts as empty, a null key sorts first, and documents that share a key are ordered by a hash of their text
-    and found together under it, also where they fill several shards. A task writes each file under a name of its own and moves it into place,
-    so a repeated task leaves the same files. An empty table writes no shard.
+    and found together under it, also where they fill several shards. Texts are encoded before they are sorted, so their ids shuffle, at their width in the files.
+    A task writes files under a name of its own, which the manifest gives, so one that is repeated disturbs nothing; nothing is moved. An empty table writes no shard.
     """
     fs, root = open_dir(to)
     fs.create_dir(root, recursive=True)
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    order = [F.col("key"), F.xxhash64("text")]
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    kind = rows.schema["key"].dataType
-    schema = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("n_docs", T.LongType()), T.StructField("n_ids", T.LongType()), T.StructField("first_key", kind), T.StructField("last_key", kind)])
+    rows = df.select(F.col(key).alias("key"), F.xxhash64(text).alias("order"), F.col(text).alias("text"))
+    kind = rows.schema["key"]
     end = b"" if end_id is None else end_id.to_bytes(4, "little")
+    coded_schema = T.StructType([kind, T.StructField("order", T.LongType()), T.StructField("width", T.IntegerType()), T.StructField("ids", T.BinaryType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = open_dir(to)
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = word_bpe.tokenizer(vocabulary)
         width = 2 if coder.model.get_vocab_size(with_added_tokens=True) <= 1 << 16 and (end_id or 0) < 1 << 16 else 4
+        for batch in batches:
+            for part in slices(batch, 2, 1 << 20):
+                ids = [word_bpe.ids_of(packed + end).astype(f"<u{width}").tobytes() for packed in coder.encode_batch(part.column(2).to_pylist())]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary())], coded_schema.names)
+
+    coded = checkpoint(rows.mapInArrow(code, coded_schema)).repartitionByRange("key", "order").sortWithinPartitions("key", "order")
+    schema = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("stem", T.StringType()), T.StructField("n_docs", T.LongType()), T.StructField("n_ids", T.LongType()), T.StructField("first_key", kind.dataType), T.StructField("last_key", kind.dataType)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = open_dir(to)
         shard = TaskContext.get().partitionId()
-        stem, own = f"{root}/{shard:05d}", f"{root}/.{shard:05d}-{uuid.uuid4().hex}"
+        stem = f"{shard:05d}-{uuid.uuid4().hex}"
         keys: list = []
-        offsets, out = [0], None
+        offsets, out, width = [0], None, 2
         for batch in batches:
-            for part in slices(batch, 1, 1 << 20):
-                keys += part.column(0).to_pylist()
-                for packed in coder.encode_batch(part.column(1).to_pylist()):
-                    ids = word_bpe.ids_of(packed + end)
-                    out = out or fs.open_output_stream(f"{own}.ids")
-                    out.write(ids.astype(f"<u{width}").tobytes())
-                    offsets.append(offsets[-1] + len(ids))
+            keys += batch.column(0).to_pylist()
+            for w, ids in zip(batch.column(2).to_pylist(), batch.column(3)):
+                out, width = out or fs.open_output_stream(f"{root}/{stem}.ids", compression=None), w
+                body = ids.as_buffer()
+                out.write(body)
+                offsets.append(offsets[-1] + body.size // width)
         if not keys:
             return
         out.close()
-        with fs.open_output_stream(f"{own}.idx") as f:
+        with fs.open_output_stream(f"{root}/{stem}.idx", compression=None) as f:
             f.write(index_bytes(keys, offsets, width))
-        for ext in ("ids", "idx"):
-            fs.move(f"{own}.{ext}", f"{stem}.{ext}")
-        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([len(keys)], pa.int64()), pa.array([offsets[-1]], pa.int64()), pa.array(keys[:1], batch.schema.field(0).type), pa.array(keys[-1:], batch.schema.field(0).type)], schema.names)
+        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([stem]), pa.array([len(keys)], pa.int64()), pa.array([offsets[-1]], pa.int64()), pa.array(keys[:1], batch.schema.field(0).type), pa.array(keys[-1:], batch.schema.field(0).type)], schema.names)
 
-    return checkpoint(rows.mapInArrow(run, schema))
+    return checkpoint(coded.mapInArrow(run, schema))
 
 
 def read(keys: DataFrame, key: str, manifest: DataFrame, at: str) -> DataFrame:
@@ -156,7 +160,7 @@ def read(keys: DataFrame, key: str, manifest: DataFrame, at: str) -> DataFrame:
     for r in shards:
         before[r["shard"]] = total
         total += r["n_ids"]
-    shared = spark.sparkContext.broadcast((shards, before))
+    shared = spark.sparkContext.broadcast((shards, before, {r["shard"]: r["stem"] for r in shards}))
     kind = keys.schema[key].dataType
     dealt_schema = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("key", kind)])
 
@@ -185,7 +189,8 @@ def read(keys: DataFrame, key: str, manifest: DataFrame, at: str) -> DataFrame:
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_dir(at)
-        first, reader, held = shared.value[1], None, None
+        _, first, stems = shared.value
+        reader = held = None
         for batch in batches:
             shard, wanted = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             i = 0
@@ -196,7 +201,7 @@ def read(keys: DataFrame, key: str, manifest: DataFrame, at: str) -> DataFrame:
                 if held != shard[i]:
                     if reader:
                         reader.close()
-                    held, reader = shard[i], ShardReader(fs, f"{root}/{shard[i]:05d}")
+                    held, reader = shard[i], ShardReader(fs, f"{root}/{stems[shard[i]]}")
                 out: tuple[list, list, list] = ([], [], [])
                 size = 0
                 for k, documents in zip(wanted[i:j], reader.find(wanted[i:j])):

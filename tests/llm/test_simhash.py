@@ -1,9 +1,10 @@
 from itertools import combinations
 
 import numpy as np
+import pytest
 import xxhash
 
-from countflow.llm.simhash import allocate, drop_near_copies, links, near_groups, op2_simhash
+from countflow.llm.simhash import allocate, choose_groups, drop_near_copies, links, near_groups, op2_simhash
 
 
 def brute_fingerprint(text):
@@ -42,7 +43,8 @@ def test_query_matches_brute_force(spark, sf, docs):
     assert {(r["doc_id"], int(r["fingerprint"], 16)): r["component_id"] for r in got} == want
 
 
-def test_links_are_complete(spark):
+@pytest.mark.parametrize("groups", [None, 2, 3, 4])
+def test_links_are_complete(spark, groups):
     """Clusters around common centres, so that values repeat and thresholds differ."""
     rng = np.random.default_rng(7)
     fps = set(rng.integers(0, 1 << 63, 150, dtype=np.uint64).tolist())
@@ -56,10 +58,26 @@ def test_links_are_complete(spark):
         fps.add((low * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFF0000) | 0x1234)
     signed = [x - (1 << 64) if x >> 63 else x for x in fps]
     want = {(a, b) for a, b in combinations(sorted(signed), 2) if ((a ^ b) & (1 << 64) - 1).bit_count() <= 3}
-    got = [tuple(r) for r in links(spark.createDataFrame([(x,) for x in signed], "fp long").repartition(3)).collect()]
+    got = [tuple(r) for r in links(spark.createDataFrame([(x,) for x in signed], "fp long").repartition(3), groups=groups).collect()]
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 1000
 
 
+def test_groups_follow_the_number_of_fingerprints():
+    assert [choose_groups(n)[0] for n in (1, 100, 10**5, 10**6, 10**7, 10**9)] == [4, 4, 4, 4, 3, 2]
+    # a fingerprint's probes and the values that they meet stay few, so the whole grows with the number and not with its square
+    assert all(choose_groups(n)[1] < 300 for n in (10**k for k in range(10)))
+
+
+def test_probes_of_random_fingerprints_meet_few(spark, monkeypatch):
+    """With far fewer counters than values, and with the least number of groups, links are the same as with exact counts."""
+    rng = np.random.default_rng(11)
+    fps = rng.integers(-(1 << 63), 1 << 63, 3000, dtype=np.int64).tolist()
+    fps += [x ^ (1 << int(rng.integers(0, 63))) ^ (1 << int(rng.integers(0, 63))) for x in fps[:300]]
+    frame = spark.createDataFrame([(x,) for x in set(fps)], "fp long").repartition(3)
+    one = {tuple(r) for r in links(frame, groups=4).collect()}
+    assert one == {tuple(r) for r in links(frame, groups=2).collect()} and len(one) >= 290
+
+
 def test_thresholds_are_the_cheapest():
     rng = np.random.default_rng(3)
     costs = np.concatenate([np.zeros((50, 4, 1)), np.cumsum(rng.integers(1, 100, (50, 4, 4)), axis=2)], axis=2).astype(float)

@@ -81,7 +81,11 @@ def _(s, d):
 
 
 
-@query("g7_bounded_shortest_paths", None)
+#: Distances in hundreds of metres from every part within a limit.
+WAYS = """, e AS (SELECT a, b, CAST(round(km * 10) AS INT) AS h FROM edges UNION SELECT b, a, CAST(round(km * 10) AS INT) FROM edges), r AS (SELECT p_partkey AS source, p_partkey AS node, 0 AS h FROM part UNION SELECT r.source, e.b, r.h + e.h FROM r JOIN e ON e.a = r.node WHERE r.h + e.h <= {})"""
+
+
+@query("g7_bounded_shortest_paths", sql("edges", WAYS.format(10) + " SELECT source, node, CAST(min(h) AS DOUBLE) / 10 AS km FROM r GROUP BY 1, 2").replace("WITH ", "WITH RECURSIVE ", 1))
 def _(s, d):
     sources = table(s, d, "part").select(c("p_partkey").alias("source"))
     return matching.bounded_shortest_paths(edges(s, d), sources, 1.0).withColumn("km", F.round("km", 3))
@@ -91,7 +95,8 @@ def _placed(s, d):
     return table(s, d, "part").select(c("p_partkey").alias("counter"), c("p_partkey").alias("node"), (c("p_partkey") % 3 / 10).alias("offset"))
 
 
-@query("g8_pair_distance", None)
+@query("g8_pair_distance", sql("edges", WAYS.format(30) + """, s AS (SELECT source, node, min(h) AS h FROM r GROUP BY 1, 2), p AS (SELECT least(source, node) AS a, greatest(source, node) AS b, h + source % 3 + node % 3 AS h FROM s WHERE source <> node)
+SELECT a, b, CAST(min(h) AS DOUBLE) / 10 AS km FROM p GROUP BY 1, 2 HAVING min(h) <= 35""").replace("WITH ", "WITH RECURSIVE ", 1))
 def _(s, d):
     sources = table(s, d, "part").select(c("p_partkey").alias("source"))
     paths = matching.bounded_shortest_paths(edges(s, d), sources, 3.0)

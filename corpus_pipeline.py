@@ -18,19 +18,21 @@ from countflow.session import shared_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or the classifier go."""
+    """Documents that fail the base rules or the classifier go, null and empty texts among them; repeated rows share their fate, an empty table stays empty."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.drop_bad(docs, model)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score of 0.3 or more go; labels are learned from the same fold as in the query op4_toxicity."""
+    """Documents with a toxicity score of 0.3 or more go; labels are learned from the same fold as in the query op4_toxicity. Null and empty texts are scored too,
+    repeated rows share their fate, an empty table stays empty."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.drop_toxic(docs, toxicity.train(docs, labels, where=id_remainder("doc_id", 4) != 2))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages go, but for their first place; every document stays. ``n_chars`` follows the text."""
+    """Repeated passages go, but for their first place; every document stays, null and empty texts as they are. Rows that share id and text are one document.
+    ``n_chars`` follows the text. An empty table stays empty."""
     out = line_dedup.drop_repeated_chunks(docs)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
@@ -39,12 +41,13 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays: first of those whose fingerprints nearly agree, then, among
-    the documents left, of those whose sets of 5-word shingles have a similarity of 0.8 or more."""
+    the documents left, of those whose sets of 5-word shingles have a similarity of 0.8 or more. Null and empty texts are copies of each other; rows without an id stay;
+    rows that share id and text are one document. An empty table stays empty."""
     return near_copies.drop_similar(simhash.drop_near_copies(docs)).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of at most 2048 ids."""
+    """Token sequences of at most 2048 ids. A null text counts as empty (the end id alone), repeated rows are packed one by one, an empty table gives an empty result."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -29,18 +29,24 @@ SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 SPACE = np.zeros(256, bool)
 SPACE[list(b" \t\n\x0b\x0c\r")] = True
+#: Characters or bytes that are hashed at once.
+BLOCK = 1 << 20
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse modulo 2**64, at least ``n`` of each."""
-    if len(_POWERS[0]) < n:
-        with np.errstate(over="ignore"):
-            for k, base in enumerate((0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64))):
-                x = np.full(max(n, 1 << 16), np.uint64(base))
-                x[0] = 1
-                _POWERS[k] = np.cumprod(x, dtype=np.uint64)
-    return _POWERS[0], _POWERS[1]
+    """Powers of an odd number and of its inverse modulo 2**64, at least ``n`` of each; those of a block are kept."""
+    if len(_POWERS[0]) >= n:
+        return _POWERS[0], _POWERS[1]
+    made = []
+    with np.errstate(over="ignore"):
+        for base in (0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)):
+            x = np.full(max(n, 1 << 16), np.uint64(base))
+            x[0] = 1
+            made.append(np.cumprod(x, dtype=np.uint64))
+    if n <= BLOCK + 1:
+        _POWERS[:] = made
+    return made[0], made[1]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -49,35 +55,61 @@ def _mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
-def word_hashes(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin, end and 64-bit hash of each word of the UTF-8 bytes ``b``, from one running sum."""
+def word_hashes(b: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word of the UTF-8 bytes ``b``, taken in blocks that end at white space (or with a longer word)."""
+    out, at = [], 0
+    while at < len(b):
+        end = min(at + BLOCK, len(b))
+        if end < len(b):
+            gaps = np.flatnonzero(SPACE[b[at:end]])
+            if len(gaps):
+                end = at + int(gaps[-1]) + 1
+            else:
+                while end < len(b) and not SPACE[b[end]]:
+                    end += 1
+        out.append(_block_hashes(b[at:end]))
+        at = end
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+
+def _block_hashes(b: np.ndarray) -> np.ndarray:
+    """The words' hashes from one running sum."""
     inside = np.concatenate([[False], ~SPACE[b], [False]]).view(np.int8)
     edge = np.diff(inside)
     begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     up, down = _powers(len(b) + 1)
     with np.errstate(over="ignore"):
         run = np.concatenate([np.zeros(1, np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[: len(b)], dtype=np.uint64)])
-        return begin, end, _mixed((run[end] - run[begin]) * down[begin] + (end - begin).astype(np.uint64))
+        return _mixed((run[end] - run[begin]) * down[begin] + (end - begin).astype(np.uint64))
 
 
-def features(text: str) -> list[np.ndarray]:
-    """The buckets of the text's n-grams, a list for each kind: characters (code points) and words."""
-    out = []
-    c = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
-    b = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
+def feature_blocks(text: str) -> Iterator[tuple[int, np.ndarray]]:
+    """The buckets of the text's n-grams, block by block, each with its kind: characters (code points), then words. A very long text never has all of them in memory."""
+    most = max(CHAR_SIZES) - 1
     with np.errstate(over="ignore"):
-        for n in CHAR_SIZES:
-            h = np.zeros(max(0, len(c) - n + 1), np.uint64)
-            for k in range(n):
-                h = h * np.uint64(0x100000001B3) + c[k : len(c) - n + 1 + k]
-            out.append((_mixed(h + np.uint64(n << 56)) % np.uint64(BUCKETS)).astype(np.int32))
-        w = word_hashes(b)[2]
-        for n in WORD_SIZES:
+        for at in range(0, max(1, len(text)), BLOCK):
+            # a block has the characters of the n-grams that begin in it
+            c = np.frombuffer(text[at : at + BLOCK + most].encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+            for kind, n in enumerate(CHAR_SIZES):
+                own = max(0, min(BLOCK, len(c) - n + 1))
+                h = np.zeros(own, np.uint64)
+                for k in range(n):
+                    h = h * np.uint64(0x100000001B3) + c[k : own + k]
+                yield kind, (_mixed(h + np.uint64(n << 56)) % np.uint64(BUCKETS)).astype(np.int32)
+        w = word_hashes(np.frombuffer(text.encode("utf-8", "replace"), np.uint8))
+        for kind, n in enumerate(WORD_SIZES, len(CHAR_SIZES)):
             h = np.zeros(max(0, len(w) - n + 1), np.uint64)
             for k in range(n):
                 h = h * np.uint64(0x100000001B3) + w[k : len(w) - n + 1 + k]
-            out.append((_mixed(h + np.uint64(n << 60)) % np.uint64(BUCKETS)).astype(np.int32))
-    return out
+            yield kind, (_mixed(h + np.uint64(n << 60)) % np.uint64(BUCKETS)).astype(np.int32)
+
+
+def features(text: str) -> list[np.ndarray]:
+    """The buckets of the text's n-grams, a list for each kind."""
+    parts: list[list[np.ndarray]] = [[] for _ in range(len(CHAR_SIZES) + len(WORD_SIZES))]
+    for kind, p in feature_blocks(text):
+        parts[kind].append(p)
+    return [np.concatenate(p) for p in parts]
 
 
 def repeated_words(words: list[bytes], hashes: np.ndarray) -> int:
@@ -111,7 +143,7 @@ def counts(text: str | None) -> tuple[int, int, int, int, int]:
             if line in seen:
                 dup += 1
             seen.add(line)
-    return len(words), len(text) - int(SPACE[b].sum()), int(SYMBOLS[b].sum()), dup, repeated_words(words, word_hashes(b)[2])
+    return len(words), len(text) - int(SPACE[b].sum()), int(SYMBOLS[b].sum()), dup, repeated_words(words, word_hashes(b))
 
 
 def fit(rows: list[tuple[Any, str, int]]) -> dict:
@@ -150,11 +182,17 @@ def probability(model: dict | None, texts: list[str | None]) -> np.ndarray:
         return np.full(len(texts), model["constant"] if model else 1.0)
     w, out = model["w"], np.empty(len(texts))
     for i, t in enumerate(texts):
-        out[i] = model["b"] + SCALE * sum(float(w[p].mean()) for p in features(t or "") if len(p))
+        total, n = np.zeros(len(CHAR_SIZES) + len(WORD_SIZES)), np.zeros(len(CHAR_SIZES) + len(WORD_SIZES))
+        for kind, p in feature_blocks(t or ""):
+            total[kind] += w[p].sum(dtype=np.float64)
+            n[kind] += len(p)
+        out[i] = model["b"] + SCALE * float((total / np.maximum(n, 1)).sum())
     return sigmoid(out * model["platt"][0] + model["platt"][1])
 
 
 def train(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", per_class: int = PER_CLASS) -> dict | None:
+    """The model from a bounded sample of labelled documents. A null text counts as empty, a document that stands in several rows trains once for each. Without labels (or
+    documents) there is no model: None."""
     return fit_in_one_task(labelled_sample(documents, labels, label, per_class, doc_id, text), fit)
 
 
@@ -184,7 +222,8 @@ def score(df: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
 
 
 def judge(df: DataFrame, model: dict | None, text: str = "text", least: float = KEEP) -> DataFrame:
-    """``score()`` with ``base_failed`` (under 50 words, or more than half of them in repeated windows) and ``kept``."""
+    """``score()`` with ``base_failed`` (under 50 words, or more than half of them in repeated windows) and ``kept``. Null and empty texts fail; repeated rows share their fate; an
+    empty table stays empty."""
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return score(df, model, text).withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("quality_score") >= least))
 

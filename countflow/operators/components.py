@@ -15,7 +15,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", node: str
     """Each end of an edge once, with the smallest node that it is connected to.
 
     Every round takes the smallest label next to a node, then the label of that label, and writes the labels to
-    the shared folder. Self loops give their node a component of its own; edges with a null end are ignored.
+    the shared folder. Towards the end much of the table may have one label, and a hub many edges: in either join only the side with many rows is
+    skewed, the other has each key once, so Spark's adaptive skew join (on by default) splits such a partition. Self loops give their node a component of its own; edges with a null end are ignored.
     """
     ends = edges.select(F.col(a).alias("_a"), F.col(b).alias("_b")).filter(F.col("_a").isNotNull() & F.col("_b").isNotNull())
     both = checkpoint(ends.union(ends.select("_b", "_a")).distinct())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -85,8 +85,8 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
     return texts.mapInArrow(run, "kind long, own binary")
 
 
-def _similar(pairs: DataFrame, held: DataFrame) -> DataFrame:
-    """The ``pairs`` (x, y) whose whole sets are similar."""
+def _similar(pairs: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The ``pairs`` (x, y: kinds) whose whole sets are similar. ``sets_of``: the sets of a table of kinds, computed apart for either side, since each has few of the other's."""
     up, down = LEAST
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,8 +98,8 @@ def _similar(pairs: DataFrame, held: DataFrame) -> DataFrame:
                 keep.append(down * both >= up * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    both = pairs.join(held.select(F.col("kind").alias("x"), F.col("own").alias("xs")), "x").join(held.select(F.col("kind").alias("y"), F.col("own").alias("ys")), "y")
-    return both.select("x", "y", "xs", "ys").mapInArrow(run, "x long, y long")
+    xs, ys = (sets_of(pairs.select(F.col(n).alias("kind")).distinct()).select(F.col("kind").alias(n), F.col("own").alias(f"{n}s")) for n in ("x", "y"))
+    return pairs.join(xs, "x").join(ys, "y").select("x", "y", "xs", "ys").mapInArrow(run, "x long, y long")
 
 
 def _fits(x: str, y: str) -> Column:
@@ -129,19 +129,17 @@ def similar_rows(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     tokens = marked.select("doc_id", "kind", "m", F.posexplode("tokens").alias("at", "token"))
     count = marked.agg(F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()[0]
     maybe = may_repeat(tokens, "token", count, {"_maybe": 2}).filter("_maybe")
-    met, held, done = checkpoint(maybe.groupBy("token", "kind").agg(F.min("doc_id").alias("id"), F.first("m").alias("m"), F.first("at").alias("at"))), None, None
+    met, done = checkpoint(maybe.groupBy("token", "kind").agg(F.min("doc_id").alias("id"), F.first("m").alias("m"), F.first("at").alias("at"))), None
     for k in range(ROUNDS + 1):
         # each set meets the first of those with the shingle, or in the last round every earlier one
         lead = met.groupBy("token").agg(F.min(F.struct("id", "kind", "m", "at")).alias("x"), F.count("*").alias("n")).filter("n > 1")
         lead = checkpoint(lead.select("token", F.struct("x.kind", "x.m", "x.at").alias("x"), "n"))
         both = checkpoint(join_back(met, lead, "token", "n", ["kind"]))
-        if held is None:
-            held = checkpoint(_sets(_texts(rows, kinds, both.select("kind").distinct()), size).dropDuplicates(["kind"]))
         if k < ROUNDS:
             near = both.filter(F.col("kind") != F.col("x.kind")).select(F.col("x"), F.struct("m", "at").alias("y"), "kind").filter(_fits("x", "y")).select(F.col("x.kind").alias("x"), F.col("kind").alias("y"))
         else:
             near = both.alias("x").join(both.alias("y"), F.col("x.token") == F.col("y.token")).filter((F.struct("x.id", "x.kind") < F.struct("y.id", "y.kind")) & _fits("x", "y")).select(F.col("x.kind").alias("x"), F.col("y.kind").alias("y"))
-        dead = checkpoint(_similar(checkpoint(near.distinct()), held).select(F.col("y").alias("kind")).distinct())
+        dead = checkpoint(_similar(checkpoint(near.distinct()), lambda need: _sets(_texts(rows, kinds, need), size)).select(F.col("y").alias("kind")).distinct())
         done = dead if done is None else done.unionByName(dead)
         if k < ROUNDS:
             met = checkpoint(both.filter(F.col("kind") != F.col("x.kind")).select("token", "kind", "id", "m", "at").join(dead, "kind", "left_anti"))
@@ -152,7 +150,7 @@ def similar_rows(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
 
 
 def _texts(rows: DataFrame, kinds: DataFrame, need: DataFrame) -> DataFrame:
-    """(kind, text) of a row of each of the kinds ``need``; only rows that a Bloom filter of their marks lets pass are shuffled."""
+    """(kind, text) of the first row of each of the kinds ``need`` (of each of its copies, if rows share id and text); only rows that a Bloom filter of their marks lets pass are shuffled."""
     wanted = checkpoint(kinds.join(need, "kind").select("kind", F.col("first.doc_id").alias("_id"), F.col("first.mark").alias("_mark")))
     hit, _ = split_members(rows, "mark", wanted, "_mark")
     return hit.join(wanted, (F.col("mark") == F.col("_mark")) & (F.col("doc_id") == F.col("_id"))).select("kind", "text")

@@ -9,7 +9,7 @@ from __future__ import annotations
 import heapq
 import json
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 from typing import Any
 
@@ -28,6 +28,10 @@ MEMO = 600_000
 PART = 24
 #: Characters up to here have the same class in every version of Unicode; later ones are cut by the library's own pre-tokenizer.
 LATIN = "ɏ"
+#: Marks that are a pre-token of their own after a letter and before a space.
+MARKS = ".,;:!?"
+#: Bytes of a pre-token from which on its list is held in arrays.
+LONG = 1 << 16
 #: Fixed value: the pattern of the format's byte-level pre-tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -54,6 +58,10 @@ def read_spec(path: str) -> dict[str, Any]:
     return {"vocab": model["vocab"], "merges": merges, "added": {t["content"]: t["id"] for t in spec.get("added_tokens", [])}}
 
 
+def _small_integers(values: Iterable[int]) -> array:
+    return array("i", values)
+
+
 class MergeBpe:
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], added: dict[str, int]):
         letters = byte_letters()
@@ -77,6 +85,7 @@ class MergeBpe:
         self.single = regex.compile(r"(?<=\S) (?=\S)")
         self.other = None
         self.chunks: dict[str, bytes] = {}
+        self.mark = {m: self.byte_id[ord(m)].to_bytes(4, "little") for m in MARKS}
 
     def cut(self, text: str) -> list[str]:
         """The pre-tokens of ``text``."""
@@ -91,11 +100,10 @@ class MergeBpe:
     def merge(self, piece: bytes) -> list[int]:
         """The ids of one pre-token: of all adjacent symbols with a merge, that of the lowest rank, leftmost among equals, is made until none is left."""
         n, rank, made = len(piece), self.rank.get, self.made
-        ids = array("i", map(self.byte_id.__getitem__, piece))
-        if n == 1:
-            return [ids[0]]
-        after, before = array("i", range(1, n + 1)), array("i", range(-1, n))
-        now = array("i", (rank(a << PART | b, -1) for a, b in zip(ids, ids[1:])))  # the rank of each symbol with the next
+        box = list if n <= LONG else _small_integers
+        ids = box(map(self.byte_id.__getitem__, piece))
+        after, before = box(range(1, n + 1)), box(range(-1, n))
+        now = box([rank(a << PART | b, -1) for a, b in zip(ids, ids[1:])])  # the rank of each symbol with the next
         now.append(-1)
         shift = n.bit_length()
         mask = (1 << shift) - 1
@@ -112,9 +120,12 @@ class MergeBpe:
             before[stop] = i
             new = ids[i] = made[r]
             ids[gone] = now[gone] = -1
-            r = now[i] = rank(new << PART | ids[stop], -1) if stop < n else -1
-            if r >= 0:
-                push(queue, r << shift | i)
+            if stop < n:
+                r = now[i] = rank(new << PART | ids[stop], -1)
+                if r >= 0:
+                    push(queue, r << shift | i)
+            else:
+                now[i] = -1
             left = before[i]
             if left >= 0:
                 r = now[left] = rank(ids[left] << PART | new, -1)
@@ -122,6 +133,22 @@ class MergeBpe:
                     push(queue, r << shift | left)
         return [i for i in ids if i >= 0]
 
+    def word(self, word: str) -> bytes:
+        """The packed ids of a pre-token that is a word of letters with the space before it, remembered."""
+        packed = self.chunks.get(word)
+        if packed is None:
+            packed = self.chunks[word] = array("i", self.merge(b" " + word.encode("utf-8"))).tobytes()
+        return packed
+
+    def chunk(self, chunk: str) -> bytes:
+        """The packed ids of a chunk with the space before it. Where it is letters alone, or letters and one mark, its pre-tokens are known without the pattern."""
+        if chunk and max(chunk) <= LATIN:
+            if chunk.isalpha():
+                return self.word(chunk)
+            if chunk[-1] in MARKS and chunk[:-1].isalpha():
+                return self.word(chunk[:-1]) + self.mark[chunk[-1]]
+        return self.pack(" " + chunk)
+
     def pack(self, text: str) -> bytes:
         """The ids of ``text``, which holds no added token, as little-endian 32-bit integers."""
         return array("i", chain.from_iterable(self.merge(p.encode("utf-8")) for p in self.cut(text))).tobytes()
@@ -134,7 +161,7 @@ class MergeBpe:
         head, *tail = text.split(" ") if not self.loose(text) else self.single.split(text)
         chunks = self.chunks
         for c in set(tail).difference(chunks):
-            chunks[c] = self.pack(" " + c)
+            chunks[c] = self.chunk(c)
         return self.pack(head) + b"".join(map(chunks.__getitem__, tail))
 
     def encode(self, text: str | None) -> bytes:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +32,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder, with its lineage cut."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """``df`` written once to the shared folder as Parquet and read back, with its lineage cut. Unlike Spark's own checkpoint the result has the size of its files, not the
+    plan's estimate, which joins multiply from round to round; so small tables are broadcast by the planner and large ones aren't."""
+    spark = df.sparkSession
+    at = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return spark.read.schema(df.schema).parquet(at)

@@ -210,14 +210,14 @@ def score(documents: DataFrame, model: LanguageModel, doc_id: str = "doc_id", te
     """One row per document: doc_id, n_tokens (with the end), n_known, base_score and score, both log10 of the whole text's probability.
 
     A null text counts as empty and has the end token alone. Null ids and repeated rows are scored like any others. An empty table
-    gives an empty result. Documents are scored in lots that a task's memory holds; the join brings counts of the rarer words only, none of which is as
-    frequent as the lexicon's, so no key of it is hot.
+    gives an empty result. Documents are scored in lots that a task's memory holds; the join brings counts of the rarer words only, once for each document that has the
+    word. A word that no training text has may be in any number of documents: its rows are the large side of a join whose other side has each word once, so Spark's adaptive skew join (on by default) splits them.
     """
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast((model.lexicon, model.weights.astype(np.float32)))
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    names = ["doc_id", "_row", "n_tokens", "_known", "_base", "_score", "_rare"]
-    schema = T.StructType([rows.schema["doc_id"], *(T.StructField(n, T.LongType()) for n in names[1:4]), T.StructField("_base", T.DoubleType()), T.StructField("_score", T.DoubleType()), T.StructField("_rare", T.ArrayType(T.LongType()))])
+    names = ["doc_id", "_row", "n_tokens", "_known", "_base", "_score", "_rare", "_times"]
+    schema = T.StructType([rows.schema["doc_id"], *(T.StructField(n, T.LongType()) for n in names[1:4]), T.StructField("_base", T.DoubleType()), T.StructField("_score", T.DoubleType()), T.StructField("_rare", T.ArrayType(T.LongType())), T.StructField("_times", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex, weights = shared.value
@@ -230,15 +230,16 @@ def score(documents: DataFrame, model: LanguageModel, doc_id: str = "doc_id", te
         base: list[float] = []
         more: list[float] = []
         rare: list[np.ndarray] = []
+        times: list[np.ndarray] = []
         kind, size = None, 0
 
         def flush() -> pa.RecordBatch:
             nonlocal row, size
             n = len(ids)
             logp = net.score(symbols) / np.log(10) + np.array(more)
-            out = [pa.array(ids, kind), pa.array(np.arange(row, row + n), pa.int64()), pa.array([len(s) for s in symbols], pa.int64()), pa.array(known_n, pa.int64()), pa.array(base, pa.float64()), pa.array(logp, pa.float64()), pa.array(rare, pa.list_(pa.int64()))]
+            out = [pa.array(ids, kind), pa.array(np.arange(row, row + n), pa.int64()), pa.array([len(s) for s in symbols], pa.int64()), pa.array(known_n, pa.int64()), pa.array(base, pa.float64()), pa.array(logp, pa.float64()), pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))]
             row, size = row + n, 0
-            for x in (ids, symbols, known_n, base, more, rare):
+            for x in (ids, symbols, known_n, base, more, rare, times):
                 x.clear()
             return pa.RecordBatch.from_arrays(out, names)
 
@@ -256,7 +257,9 @@ def score(documents: DataFrame, model: LanguageModel, doc_id: str = "doc_id", te
                     base.append(float(lex.log_count[seen].sum()))
                     # of an open class the network gives the class; the word's share of it is its smoothed count
                     more.append(float(lex.log_count[middle].sum() - open_log[s[s >= lex.heads] - lex.heads].sum()))
+                    others, often = np.unique(others, return_counts=True)
                     rare.append(others)
+                    times.append(often)
                     size += len(s)
                     if len(reader.memo) > MEMO:
                         reader.reset()
@@ -266,12 +269,12 @@ def score(documents: DataFrame, model: LanguageModel, doc_id: str = "doc_id", te
             yield flush()
 
     scored = checkpoint(rows.mapInArrow(run, schema))
-    others = scored.select("_row", F.explode("_rare").alias("hash"))
+    others = scored.select("_row", F.explode(F.arrays_zip("_rare", "_times")).alias("w")).select("_row", F.col("w._rare").alias("hash"), F.col("w._times").alias("times"))
     found = others.join(model.counts.select("hash", "n"), "hash", "left")
-    added = found.groupBy("_row").agg(F.count("n").alias("_more_known"), F.sum(F.log10(F.coalesce("n", F.lit(0)) + F.lit(SMOOTH))).alias("_more"))
+    added = found.groupBy("_row").agg(F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("_more_known"), F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(SMOOTH))).alias("_more"))
     norm = float(np.log10(model.tokens + SMOOTH * (model.distinct + 1)))
     more = F.coalesce("_more", F.lit(0.0))
-    return scored.drop("_rare").join(added, "_row", "left").select(
+    return scored.drop("_rare", "_times").join(added, "_row", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("_known") + F.coalesce("_more_known", F.lit(0))).alias("n_known"),

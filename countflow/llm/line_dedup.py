@@ -46,8 +46,10 @@ def places_of(text: Column) -> Column:
 
     def places(facts: Column, rolled: Column) -> Column:
         filled = F.filter(F.sequence(F.lit(0), F.size(facts) - 1), lambda i: F.get(facts, i)["w"] > 0)
-        spans = F.array_union(chunks(facts, rolled), _let(filled, lambda own: windows(facts, own)))
-        return F.transform(spans, lambda s: F.struct(s["begin"].alias("begin"), s["lines"].alias("lines"), F.xxhash64(F.slice(facts["h"], s["begin"] + 1, s["lines"])).alias("hash")))
+        # a span in one integer, because array_union compares structs pair by pair and integers by a hash set
+        spans = F.array_union(packed(chunks(facts, rolled)), packed(_let(filled, lambda own: windows(facts, own))))
+        parts = F.transform(spans, lambda s: span(F.shiftright(s, 32).cast("int"), s.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")))
+        return _let(facts["h"], lambda h: F.transform(parts, lambda s: F.struct(s["begin"].alias("begin"), s["lines"].alias("lines"), F.xxhash64(F.slice(h, s["begin"] + 1, s["lines"])).alias("hash"))))
 
     def chunks(facts: Column, rolled: Column) -> Column:
         n = F.size(facts)
@@ -81,6 +83,9 @@ def places_of(text: Column) -> Column:
 
         return F.filter(F.concat(F.transform(own, ahead), F.transform(own, back)), lambda s: s.isNotNull())
 
+    def packed(spans: Column) -> Column:
+        return F.transform(spans, lambda s: F.shiftleft(s["begin"].cast("bigint"), 32) + s["lines"].cast("bigint"))
+
     def span(begin: Column, count: Column) -> Column:
         return F.struct(begin.alias("begin"), count.alias("lines"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +22,10 @@ SIZE = 5
 #: The least similarity, as a fraction: 4 / 5.
 LEAST = (4, 5)
 #: One text in so many is looked through for common shingles; those in ``COMMON`` of them come last in the order, the most common ``MOST`` at most.
-#: This changes the cost only.
+#: The order changes the cost only.
 ONE_IN, COMMON, MOST = 4, 2, 2_000_000
-#: Rounds in which each shingle's sets meet the first of them only; then what is left of a shingle's sets meets pair by pair.
-ROUNDS = 3
+#: Rounds in which each shingle's sets meet the first of them only; then what is left of a shingle's sets meets pair by pair, in blocks of about ``BLOCK`` sets.
+ROUNDS, BLOCK = 6, 64
 
 
 def shingle_set(text: str | None, size: int = SIZE) -> np.ndarray:
@@ -32,7 +33,9 @@ def shingle_set(text: str | None, size: int = SIZE) -> np.ndarray:
     return np.unique(shingle_hashes(text, size).view(np.int64))
 
 
-def common_shingles(rows: DataFrame, size: int) -> np.ndarray:
+def common_shingles(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that are in several texts of a sample, in order, and in how many each is."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 0, 1 << 20):
@@ -41,7 +44,18 @@ def common_shingles(rows: DataFrame, size: int) -> np.ndarray:
 
     some = rows.filter(F.pmod(F.xxhash64("text"), F.lit(ONE_IN)) == 0).select("text").mapInArrow(run, "token long")
     often = some.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON)
-    return np.sort(often.orderBy(F.desc("n"), "token").limit(MOST).select("token").toArrow().column(0).to_numpy())
+    found = often.orderBy(F.desc("n"), "token").limit(MOST).select("token", F.least("n", F.lit(1 << 30)).cast("int").alias("n")).toArrow()
+    tokens, counts = found.column(0).to_numpy(), found.column(1).to_numpy()
+    order = np.argsort(tokens)
+    return tokens[order], counts[order]
+
+
+def in_order(own: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The shingles of a set by rising frequency in the sample; those that aren't common in it come first, equally frequent ones go by their hash. One order of all shingles."""
+    tokens, counts = common
+    late = _among(own, tokens)
+    last = own[late]
+    return np.concatenate([own[~late], last[np.argsort(counts[np.searchsorted(tokens, last)], kind="stable")]])
 
 
 def _among(own: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -63,10 +77,9 @@ def _prefixes(rows: DataFrame, size: int) -> DataFrame:
                 digests, sizes, firsts = [], [], []
                 for t in part.column(2).to_pylist():
                     own = shingle_set(t, size)
-                    late = _among(own, common.value)
                     digests.append(xxhash.xxh64_intdigest(own.tobytes()) - (1 << 63))
                     sizes.append(len(own))
-                    firsts.append(np.concatenate([own[~late], own[late]])[: len(own) + (-up * len(own)) // down + 1])
+                    firsts.append(in_order(own, common.value)[: len(own) + (-up * len(own)) // down + 1])
                 arrays = [part.column(0), part.column(1), pa.array(digests, pa.int64()), pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "mark", "kind", "m", "tokens"])
 
@@ -112,14 +125,16 @@ def _fits(x: str, y: str) -> Column:
 
 
 def similar_rows(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:
-    """(id, mark: the text's XXH64) of the rows to drop, so that no two rows that stay are similar. Each is similar to a row with a smaller id, which stays or
-    is dropped for the same reason. Rows without an id are left out.
+    """(id, mark: the text's XXH64) of the rows to drop: in order of ids, a row is dropped if it is similar to an earlier one that stays. So no two rows that stay are similar, and each
+    row that goes has a similar one that stays. Rows without an id are left out.
 
     Shingles are known by 64-bit hashes. In any one order of all shingles, two sets of a similarity of 4 / 5 or more share one among the first
     fifth (and one more) of each, so equality on those finds every pair; sizes and places are compared too, and whole sets decide. Common
-    shingles come last in the order; a Bloom filter tells which of the first ones may be in two sets, and only those are shuffled. In a
-    round each set meets the first (by id) of those that share a shingle, so a group of copies costs a pair for each of them, and those similar
-    to it are done. Equal sets count as one from the start.
+    shingles come last in the order; a Bloom filter tells which of the first ones may be in two sets, and only those are shuffled. Equal sets count as one from the start.
+
+    A set that comes first at all its shingles stays, for what came before it there is gone or was compared with it. In a round such sets meet all others at their shingles; those
+    similar to them go, so a group of copies costs a pair for each of them. What is left after ``ROUNDS`` meets pair by pair, each shingle's sets in blocks that spread over tasks, and the
+    similar pairs are settled in the same order.
     """
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
     marked = checkpoint(_prefixes(rows, size))
@@ -129,24 +144,60 @@ def similar_rows(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     tokens = marked.select("doc_id", "kind", "m", F.posexplode("tokens").alias("at", "token"))
     count = marked.agg(F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()[0]
     maybe = may_repeat(tokens, "token", count, {"_maybe": 2}).filter("_maybe")
-    met, done = checkpoint(maybe.groupBy("token", "kind").agg(F.min("doc_id").alias("id"), F.first("m").alias("m"), F.first("at").alias("at"))), None
-    for k in range(ROUNDS + 1):
-        # each set meets the first of those with the shingle, or in the last round every earlier one
-        lead = met.groupBy("token").agg(F.min(F.struct("id", "kind", "m", "at")).alias("x"), F.count("*").alias("n")).filter("n > 1")
-        lead = checkpoint(lead.select("token", F.struct("x.kind", "x.m", "x.at").alias("x"), "n"))
-        both = checkpoint(join_back(met, lead, "token", "n", ["kind"]))
-        if k < ROUNDS:
-            near = both.filter(F.col("kind") != F.col("x.kind")).select(F.col("x"), F.struct("m", "at").alias("y"), "kind").filter(_fits("x", "y")).select(F.col("x.kind").alias("x"), F.col("kind").alias("y"))
-        else:
-            near = both.alias("x").join(both.alias("y"), F.col("x.token") == F.col("y.token")).filter((F.struct("x.id", "x.kind") < F.struct("y.id", "y.kind")) & _fits("x", "y")).select(F.col("x.kind").alias("x"), F.col("y.kind").alias("y"))
-        dead = checkpoint(_similar(checkpoint(near.distinct()), lambda need: _sets(_texts(rows, kinds, need), size)).select(F.col("y").alias("kind")).distinct())
-        done = dead if done is None else done.unionByName(dead)
-        if k < ROUNDS:
-            met = checkpoint(both.filter(F.col("kind") != F.col("x.kind")).select("token", "kind", "id", "m", "at").join(dead, "kind", "left_anti"))
-            if not met.limit(1).count():
-                break
-    similar = narrow.join(done.distinct(), "kind", "left_semi").select(F.col("doc_id").alias("id"), "mark")
-    return copies.unionByName(similar).distinct()
+    met = checkpoint(maybe.groupBy("token", "kind").agg(F.min("doc_id").alias("id"), F.first("m").alias("m"), F.first("at").alias("at")))
+    similar = lambda pairs: _similar(pairs, lambda need: _sets(_texts(rows, kinds, need), size))
+    gone: list[DataFrame] = []
+    for _ in range(ROUNDS):
+        met, dead = _settle_first(met, similar)
+        gone += dead
+        if not met.limit(1).count():
+            break
+    else:
+        gone += _settle_pairs(checkpoint(similar(checkpoint(_pairs(met)))))
+    out = copies
+    if gone:
+        out = out.unionByName(narrow.join(reduce(DataFrame.unionByName, gone).distinct(), "kind", "left_semi").select(F.col("doc_id").alias("id"), "mark"))
+    return out.distinct()
+
+
+def _settle_first(met: DataFrame, similar: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, list[DataFrame]]:
+    """One round: sets that come first at all their shingles stay, and those similar to them go. ``met`` (token, kind, id, m, at) of the sets that are still open, and the kinds that go (none or one table)."""
+    lead = met.groupBy("token").agg(F.min(F.struct("id", "kind", "m", "at")).alias("x"), F.count("*").alias("n")).filter("n > 1")
+    lead = checkpoint(lead.select("token", F.struct("x.kind", "x.m", "x.at").alias("x"), "n"))
+    both = checkpoint(join_back(met, lead, "token", "n", ["kind"]))
+    second = F.col("kind") != F.col("x.kind")
+    stay = checkpoint(both.groupBy("kind").agg(F.max(second).alias("waits")).filter("NOT waits").select("kind"))
+    near = both.filter(second).select("x", F.struct("m", "at").alias("y"), "kind").filter(_fits("x", "y")).select(F.col("x.kind").alias("x"), F.col("kind").alias("y"))
+    pairs = checkpoint(near.join(stay.select(F.col("kind").alias("x")), "x", "left_semi").distinct())
+    left = both.select("token", "kind", "id", "m", "at").join(stay, "kind", "left_anti")
+    if not pairs.limit(1).count():
+        return checkpoint(left), []
+    dead = checkpoint(similar(pairs).select(F.col("y").alias("kind")).distinct())
+    return checkpoint(left.join(dead, "kind", "left_anti")), [dead]
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    """(x, y): the pairs of open sets that share a shingle and may be similar, x before y. A shingle with many sets is cut into blocks of them, and each pair of blocks meets apart."""
+    blocks = met.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = met.join(blocks, "token").withColumn("b", F.pmod(F.xxhash64("kind"), F.col("blocks")).cast("int"))
+    dealt = own.withColumn("c", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    side = lambda n, low, high: dealt.select("token", F.col(low).alias("_low"), F.col(high).alias("_high"), F.struct("id", "kind", "m", "at").alias(n))
+    # at the blocks (low, high) the sets of the one on the left meet those of the other on the right, so two sets meet once in either order
+    met_pairs = side("x", "b", "c").join(side("y", "c", "b"), ["token", "_low", "_high"])
+    earlier = F.struct("x.id", "x.kind") < F.struct("y.id", "y.kind")
+    return met_pairs.filter(earlier & _fits("x", "y")).select(F.col("x.kind").alias("x"), F.col("y.kind").alias("y")).distinct()
+
+
+def _settle_pairs(pairs: DataFrame) -> list[DataFrame]:
+    """The kinds that go, by all similar ``pairs`` (x, y) of open sets: round by round, sets that are behind no other stay, and those behind them go."""
+    gone = []
+    while pairs.limit(1).count():
+        stay = pairs.select("x").distinct().join(pairs.select(F.col("y").alias("x")).distinct(), "x", "left_anti")
+        dead = checkpoint(pairs.join(stay, "x", "left_semi").select(F.col("y").alias("kind")).distinct())
+        gone.append(dead)
+        lost = dead.select(F.col("kind").alias("x"))
+        pairs = checkpoint(pairs.join(lost, "x", "left_anti").join(lost.select(F.col("x").alias("y")), "y", "left_anti"))
+    return gone
 
 
 def _texts(rows: DataFrame, kinds: DataFrame, need: DataFrame) -> DataFrame:

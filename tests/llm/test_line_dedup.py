@@ -1,4 +1,5 @@
 import re
+import time
 from collections import defaultdict
 
 import xxhash
@@ -162,3 +163,14 @@ def test_a_passage_that_overlaps_itself_keeps_its_first_lines(spark):
     rows = spark.createDataFrame([(1, "\n".join(["ten words of a line that comes again and again"] * 30))], "doc_id long, text string")
     left = drop_repeated_chunks(rows, removed_lines="gone").first()
     assert 5 <= len(left["text"].split("\n")) < 30 and left["gone"] == 30 - len(left["text"].split("\n"))
+
+
+def test_a_text_of_very_many_lines(spark):
+    """50,000 lines (1.4 MB), in time that grows with their number."""
+    lines = [f"line {i} of {i * 7919 % 10007} with some words that differ" for i in range(50_000)]
+    passage = [f"a passage {k} of many words that stands in both of the two texts and so is taken out of one" for k in range(6)]
+    rows = [(1, "\n".join(lines[:25_000] + passage + lines[25_000:])), (2, "\n".join(["other start", *passage, "other end"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    begin = time.monotonic()
+    found = {r["doc_id"]: r["removed_lines"] for r in drop_repeated_chunks(df, removed_lines="removed_lines").collect()}
+    assert found == {1: 0, 2: 6} and time.monotonic() - begin < 120

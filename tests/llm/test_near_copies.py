@@ -2,6 +2,7 @@ from itertools import combinations
 
 import corpus_pipeline
 import numpy as np
+import pytest
 
 from countflow.llm import near_copies
 from countflow.llm.near_copies import drop_similar
@@ -30,18 +31,54 @@ def corpus(docs):
     return [*out, *["", "", "a b", "A b", "one line of words that very many of the texts have"]]
 
 
-def test_no_similar_pair_is_left(spark, docs, monkeypatch):
+def greedy(texts):
+    """The numbers of the texts that stay: in order, each that is similar to none that stays."""
+    sets, left = [shingles(t) for t in texts], []
+    for j, own in enumerate(sets):
+        if not any(alike(sets[i], own) for i in left):
+            left.append(j)
+    return set(left)
+
+
+@pytest.mark.parametrize("rounds, block", [(6, 64), (1, 3)])
+def test_the_same_rows_stay_as_in_a_loop(spark, docs, monkeypatch, rounds, block):
     monkeypatch.setattr(near_copies, "ONE_IN", 2)
+    monkeypatch.setattr(near_copies, "ROUNDS", rounds)
+    monkeypatch.setattr(near_copies, "BLOCK", block)
     texts = corpus(docs)
-    sets = [shingles(t) for t in texts]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    want = {(i, j) for i, j in combinations(range(len(texts)), 2) if alike(sets[i], sets[j])}
-    smaller = {j for _, j in want}
-    for rounds in (3, 0):
-        monkeypatch.setattr(near_copies, "ROUNDS", rounds)
-        left = {r["doc_id"] for r in drop_similar(frame).collect()}
-        assert not any(i in left and j in left for i, j in want)
-        assert set(range(len(texts))) - left <= smaller and len(left) >= 80
+    left = greedy(texts)
+    assert {r["doc_id"] for r in drop_similar(frame).collect()} == left and len(left) >= 80
+
+
+def chains():
+    """Triples of texts: the second is similar to both others, which aren't similar to each other; and longer chains of texts that each differ a little from the one before."""
+    rng = np.random.default_rng(8)
+    word = lambda: f"w{rng.integers(1 << 40)}"
+    texts = []
+    for _ in range(20):
+        middle = [word() for _ in range(60)]
+        texts += [middle[:55] + [word() for _ in range(5)], middle, [word() for _ in range(5)] + middle[5:]]
+    own = [word() for _ in range(80)]
+    for _ in range(9):
+        texts.append(own)
+        at = int(rng.integers(0, 75))
+        own = own[:at] + [word(), word()] + own[at + 2 :]
+    return [" ".join(t) for t in texts]
+
+
+@pytest.mark.parametrize("order, rounds", [(None, 6), ("reversed", 6), ("by remainder", 0)])
+def test_the_order_of_shingles_doesn_t_matter(spark, monkeypatch, order, rounds):
+    monkeypatch.setattr(near_copies, "ROUNDS", rounds)
+    if order == "reversed":
+        monkeypatch.setattr(near_copies, "in_order", lambda own, common: own[::-1])
+    elif order:
+        monkeypatch.setattr(near_copies, "in_order", lambda own, common: own[np.argsort(own % 1009, kind="stable")])
+    texts = chains()
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = greedy(texts)
+    assert {0, 2} <= left and 1 not in left
+    assert {r["doc_id"] for r in drop_similar(frame).collect()} == left
 
 
 def test_a_row_goes_for_its_own_text(spark):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from countflow import functions as fn
-from countflow.operators import calendars, components, gates, matching
+from countflow.operators import calendars, components, gates, matching, roads
 from countflow.operators import statistics as stt
 from countflow.operators import windows as wn
 from countflow.plans.core import CANDIDATES, NEAR, WEEK, candidates, near
@@ -60,15 +60,36 @@ def _(s, d):
     return components.connected_components(p)
 
 
-SECTIONS = "SELECT p_partkey AS k, p_brand AS g, p_size AS s, p_size * 3 % 50 AS e, CASE WHEN p_partkey % 5 = 0 THEN 1 WHEN p_partkey % 5 = 1 THEN 3 ELSE 0 END AS kind FROM part"
+#: Survey sections made from the parts: kinds of ends in turn, codes that are sections or not, borders that are named back or not, names in either order.
+KINDS = (5, 6, 8, 9, 4, 1, 2, 3, 3)
+_END = """CASE WHEN {k} IN (1, 2) THEN CAST(p_partkey * 7 % 2500 AS VARCHAR) WHEN {k} = 3 THEN CAST(p_partkey + 1 - 2 * (p_partkey % 2) AS VARCHAR) WHEN {k} = 4 THEN CAST(p_partkey % 2 AS VARCHAR) END AS {x}_code,
+CASE WHEN {k} = 6 THEN CASE WHEN p_partkey % 2 = 0 THEN 'x・y境' ELSE 'y・x境' END WHEN {k} = 5 AND p_size % 2 = 0 THEN 'dam' ELSE '' END AS {x}_name"""
+SECTIONS = f"""t AS (SELECT *, {list(KINDS)}[p_partkey * 5 % 9 + 1] AS sk, {list(KINDS)}[p_size % 9 + 1] AS ek FROM part),
+x AS (SELECT CAST(p_partkey AS VARCHAR) AS k, p_partkey AS o, p_brand AS g, sk AS start_kind, ek AS end_kind, {_END.format(k="sk", x="start")}, {_END.format(k="ek", x="end")} FROM t)"""
+_PLACE = "CASE WHEN {x}_kind <= 4 THEN coalesce({x}_code, '') WHEN {x}_kind = 6 THEN array_to_string(list_sort(list_distinct(string_split(replace({x}_name, '境', ''), '・'))), '・') ELSE {x}_name END"
 
 
-@query("g5_same_place_edges", f"""WITH x AS ({SECTIONS}), p AS (SELECT k || ':s' AS p, s AS code, kind FROM x UNION ALL SELECT k || ':e', e, kind FROM x)
-SELECT k || ':e' AS a, lead(k || ':s') OVER (PARTITION BY g ORDER BY k) AS b FROM x QUALIFY b IS NOT NULL UNION SELECT * FROM (SELECT min(p) OVER (PARTITION BY code) AS a, p AS b FROM p WHERE kind IN (1, 2)) WHERE a <> b UNION SELECT * FROM (SELECT min(p) OVER (PARTITION BY code) AS a, p AS b FROM p WHERE kind = 3) WHERE a <> b""")
+def sections(s, d):
+    k, size = c("p_partkey"), c("p_size")
+    kinds = F.array(*[F.lit(x) for x in KINDS])
+    t = table(s, d, "part").select(k.alias("k"), c("p_brand").alias("g"), F.get(kinds, (k * 5 % 9).cast("int")).alias("start_kind"), F.get(kinds, (size % 9).cast("int")).alias("end_kind"), size.alias("size"))
+    k = c("k")
+    for x in ("start", "end"):
+        kind = c(f"{x}_kind")
+        code = F.when(kind.isin(1, 2), k * 7 % 2500).when(kind == 3, k + 1 - 2 * (k % 2)).when(kind == 4, k % 2).cast("string")
+        name = F.when(kind == 6, F.when(k % 2 == 0, "x・y境").otherwise("y・x境")).when((kind == 5) & (c("size") % 2 == 0), "dam").otherwise("")
+        t = t.withColumn(f"{x}_code", code).withColumn(f"{x}_name", name)
+    return t
+
+
+@query("g5_same_place_edges", f"""WITH {SECTIONS}, y AS (SELECT *, {_PLACE.format(x="start")} AS sv, {_PLACE.format(x="end")} AS ev FROM x),
+n AS (SELECT *, lead(k) OVER w AS nk, lead(start_kind) OVER w AS nkind, lead(sv) OVER w AS nsv FROM y WINDOW w AS (PARTITION BY g ORDER BY o)),
+e AS (SELECT k, k || ':s' AS p, start_kind AS kind, start_code AS code FROM x UNION ALL SELECT k, k || ':e', end_kind, end_code FROM x)
+SELECT k || ':e' AS a, nk || ':s' AS b, 'next' AS rule FROM n WHERE end_kind = nkind AND ev = nsv AND end_kind <> 8 AND (ev <> '' OR end_kind IN (5, 9))
+UNION ALL SELECT p, code || CASE kind WHEN 1 THEN ':e' ELSE ':s' END, 'junction' FROM e WHERE kind IN (1, 2) AND code IN (SELECT k FROM x)
+UNION ALL SELECT a.p, min(b.p), 'border' FROM e a JOIN e b ON a.kind = 3 AND b.kind = 3 AND a.code = b.k AND b.code = a.k GROUP BY a.p HAVING count(*) = 1""")
 def _(s, d):
-    k = c("p_partkey")
-    x = table(s, d, "part").select(k.alias("k"), c("p_brand").alias("g"), c("p_size").alias("s"), (c("p_size") * 3 % 50).alias("e"), F.when(k % 5 == 0, 1).when(k % 5 == 1, 3).otherwise(0).alias("kind"))
-    return matching.same_place_edges(x, "k", "g", "k", "s", "e", "kind", "kind")
+    return roads.same_place_edges(sections(s, d), "k", "g")
 
 
 @query("g6_contract_edges", sql("edges", "SELECT least(a - a % 3, b - b % 3) AS a, greatest(a - a % 3, b - b % 3) AS b, min(km) AS km FROM edges WHERE a - a % 3 <> b - b % 3 GROUP BY 1, 2"))
@@ -119,13 +140,19 @@ def _(s, d):
     return matching.direct_pairs(distances(s, d)).withColumn("km", F.round("km", 6))
 
 
-@query("g10_place_on_chain", """WITH ch AS (SELECT p_partkey AS section, p_brand AS town, p_size % 4 AS stretch, p_size AS length FROM part WHERE p_partkey % 2 = 0), st AS (SELECT town, stretch, sum(length) AS km FROM ch GROUP BY 1, 2),
-lg AS (SELECT town, stretch FROM st QUALIFY row_number() OVER (PARTITION BY town ORDER BY km DESC, stretch) = 1) SELECT p.p_partkey AS unit, p.p_partkey AS section, p.p_brand AS town, coalesce(ch.stretch, lg.stretch) AS stretch, CAST(st.km AS BIGINT) AS stretch_km, ch.stretch IS NULL AS fallback FROM part p LEFT JOIN ch ON ch.section = p.p_partkey AND ch.town = p.p_brand
-JOIN lg ON lg.town = p.p_brand JOIN st ON st.town = p.p_brand AND st.stretch = coalesce(ch.stretch, lg.stretch)""")
+@query("g10_place_on_chain", """WITH s AS (SELECT p_partkey AS k, p_partkey - p_partkey % 5 AS u, p_brand AS town, p_size AS km, p_partkey // 3 AS sp, (p_partkey + 2) // 3 AS ep FROM part),
+m AS (SELECT p_partkey AS counter, p_partkey - p_partkey % 5 AS own, CASE WHEN p_partkey % 3 = 0 THEN p_brand ELSE 'Brand#' || (p_size % 5 + 1) || (p_partkey % 5 + 1) END AS town FROM part),
+r AS (SELECT counter, own, m.town, k, km, sp, ep, s.town = m.town AS there, bool_or(s.town = m.town) OVER (PARTITION BY counter) AS any_there FROM m JOIN s ON s.u = m.own),
+c AS (SELECT *, sum(new) OVER (PARTITION BY counter ORDER BY k) AS st FROM (SELECT *, (sp IS DISTINCT FROM lag(ep) OVER (PARTITION BY counter ORDER BY k))::INT AS new FROM r WHERE there OR NOT any_there)),
+g AS (SELECT counter, own, town, st, min(k) AS from_section, max(k) AS to_section, CAST(sum(km) AS BIGINT) AS placed_km, any_there AS in_town, bool_or(k = own) AS holds FROM c GROUP BY counter, own, town, st, any_there)
+SELECT counter, own AS section, town, from_section, to_section, placed_km, in_town FROM g QUALIFY row_number() OVER (PARTITION BY counter ORDER BY holds DESC, placed_km DESC, st) = 1""")
 def _(s, d):
-    p = table(s, d, "part").select(c("p_partkey").alias("section"), c("p_brand").alias("town"), (c("p_size") % 4).alias("stretch"), c("p_size").alias("length"))
-    m = p.select(c("section").alias("unit"), "section", "town")
-    return matching.place_on_chain(m, p.filter("section % 2 = 0"), "unit", "section", "town")
+    k = c("p_partkey")
+    p, unit = table(s, d, "part"), k - k % 5
+    sec = p.select(k.alias("section"), unit.alias("unit"), c("p_brand").alias("town"), c("p_size").alias("km"), F.floor(k / 3).alias("start_place"), F.floor((k + 2) / 3).alias("end_place"))
+    other = F.concat(F.lit("Brand#"), (c("p_size") % 5 + 1).cast("string"), (k % 5 + 1).cast("string"))
+    m = p.select(k.alias("counter"), unit.alias("section"), F.when(k % 3 == 0, c("p_brand")).otherwise(other).alias("town"))
+    return roads.place_on_chain(roads.stretches(m, sec, "counter", "section", "town"), "counter", "section", "town")
 
 
 @query("g11_impossible_pairs", sql("registry", f"SELECT a, b FROM ({DIST}) WHERE km > 20 + 0.5 + a % 7"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,6 +14,7 @@ from countflow.session import checkpoint
 
 #: Kilometres of one degree of latitude, a little less than on the sphere of radius 6371 so that cells are never too small.
 DEGREE_KM = 111.0
+EARTH_KM = 6371.0
 
 
 def attach_dimension(df: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
@@ -48,28 +50,39 @@ def asof_prior(left: DataFrame, right: DataFrame, by: Sequence[str], on: str, va
     return both.filter("_left").select(*cols, f"prior_{value}")
 
 
-def _cells(df: DataFrame, lat: str, lon: str, km: float, spread: bool, max_lat: float) -> DataFrame:
-    """``df`` with its grid cell, or each of the nine around it. Cells are at least ``km`` wide up to latitude ``max_lat``."""
-    import math
+def _cells_around(row: Column, km: float) -> Column:
+    """How many cells a row of the grid has. Two points within ``km``, one in this row and the other in it or next to it, differ by at most one cell's width in longitude,
+    so cells get wider towards the poles, and a row near a pole is one cell."""
+    step = km / DEGREE_KM
+    highest = F.greatest(F.abs((row - 1) * step), F.abs((row + 2) * step))
+    half = math.sin(min(math.pi / 2, km * 1.001 / (2 * EARTH_KM)))
+    part = F.lit(half) / F.cos(F.radians(highest))
+    return F.when((highest >= 90) | (part >= 1), F.lit(1)).otherwise(F.greatest(F.lit(1), F.floor(180 / F.degrees(F.asin(part))))).cast("bigint")
 
-    step_lat = km / DEGREE_KM
-    step_lon = step_lat / max(0.01, math.cos(math.radians(min(89.0, max_lat))))
-    y, x = F.floor(F.col(lat) / step_lat), F.floor(F.col(lon) / step_lon)
+
+def _cell(lon: str, around: Column) -> Column:
+    return F.pmod(F.floor(F.pmod(F.col(lon) + 180, F.lit(360.0)) / 360 * around), around)
+
+
+def _cells(df: DataFrame, lat: str, lon: str, km: float, spread: bool) -> DataFrame:
+    """``df`` with its cell (_y, _x) of a grid whose rows are at least ``km`` high; or, if ``spread``, once for each cell that may hold a point within ``km``."""
+    row = F.floor(F.col(lat) / (km / DEGREE_KM))
     if not spread:
-        return df.withColumn("_y", y).withColumn("_x", x)
-    near = F.array(*[F.struct((y + i).alias("_y"), (x + j).alias("_x")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    return df.withColumn("_c", F.explode(near)).withColumn("_y", F.col("_c._y")).withColumn("_x", F.col("_c._x")).drop("_c")
+        return df.withColumn("_y", row).withColumn("_x", _cell(lon, _cells_around(row, km)))
+    out = df.withColumn("_y", F.explode(F.array(row - 1, row, row + 1)))
+    n = _cells_around(F.col("_y"), km)
+    return out.withColumn("_x", F.explode(F.array_distinct(F.array(*[F.pmod(_cell(lon, n) + k, n) for k in (-1, 0, 1)]))))
 
 
-def within_km(left: DataFrame, right: DataFrame, km: float, lat: str = "lat", lon: str = "lon", on: Sequence[str] = (), prefix: str = "r_", max_lat: float = 60.0) -> DataFrame:
+def within_km(left: DataFrame, right: DataFrame, km: float, lat: str = "lat", lon: str = "lon", on: Sequence[str] = (), prefix: str = "r_") -> DataFrame:
     """All pairs of rows within ``km`` (column ``km``), with equal values in ``on``; the right row's columns get ``prefix``.
 
-    Right rows go to the nine cells around theirs and meet left rows by an equality of cells, so only near rows are compared. Rows without
-    a position pair with none. Up to latitude ``max_lat``; not across the 180th meridian.
+    Right rows go to the cells around theirs, at most nine, and meet left rows by an equality of cells, so only near rows are compared. Cells are as wide as each latitude needs, and the
+    first and the last of a row are neighbours, so pairs near the poles and over the 180th meridian are found like others. Rows without a position pair with none.
     """
-    a = _cells(left.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()), lat, lon, km, False, max_lat)
+    a = _cells(left.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()), lat, lon, km, False)
     b = right.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-    b = _cells(b, lat, lon, km, True, max_lat).select(*[F.col(c).alias(prefix + c) if c not in ("_x", "_y") else F.col(c) for c in [*right.columns, "_x", "_y"]])
+    b = _cells(b, lat, lon, km, True).select(*[F.col(c).alias(prefix + c) if c not in ("_x", "_y") else F.col(c) for c in [*right.columns, "_x", "_y"]])
     for c in on:
         b = b.withColumnRenamed(prefix + c, c)
     d = haversine_km(F.col(lat), F.col(lon), F.col(prefix + lat), F.col(prefix + lon))

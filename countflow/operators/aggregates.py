@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from countflow.functions import safe_ratio
+from countflow.operators.quantiles import medians
 
 
 def full_group(value: Column, rows: Column, values: Column, expected: int) -> Column:
@@ -143,7 +144,7 @@ def ratio_of_sums(df: DataFrame, by: Sequence[str], num: str, den: str) -> DataF
 
 def usual_two_sided(df: DataFrame, keys: Sequence[str], value: str, min_n: int = 5, min_median: float = 20) -> DataFrame:
     """Median and number of values per group, for groups with enough of both."""
-    return df.groupBy(*keys).agg(F.median(value).alias("usual"), F.count(value).alias("n")).filter((F.col("n") >= min_n) & (F.col("usual") >= min_median))
+    return medians(df, value, keys, "usual").filter((F.col("n") >= min_n) & (F.col("usual") >= min_median))
 
 
 def volume_profile(df: DataFrame, key: str, ts: str, up: str, down: str, large: str, weekday: Column, min_days: int = 5, slots: int = 24) -> DataFrame:
@@ -204,7 +205,7 @@ def first_last(df: DataFrame, key: Sequence[str], ts: str) -> DataFrame:
 
 def pooled_effect(df: DataFrame, by: Sequence[str], ratio: str, min_n: int) -> DataFrame:
     """Number and median of the ratio per class; the median is null below ``min_n``."""
-    g = df.filter(F.col(ratio).isNotNull()).groupBy(*by).agg(F.count(ratio).alias("n"), F.median(ratio).alias("_m"))
+    g = medians(df, ratio, by, "_m")
     return g.select(*by, "n", F.when(F.col("n") >= min_n, F.col("_m")).alias("median"))
 
 

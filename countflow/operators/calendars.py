@@ -9,14 +9,17 @@ from countflow.functions import customary_break
 from countflow.operators.windows import between_named, next_flag, run_length
 
 
-def build_calendar(holidays: DataFrame, first: str, last: str, generic: str = "holiday", between: str = "citizens' holiday", substitute: str = "substitute holiday") -> DataFrame:
-    """One row per day from ``first`` to ``last``: weekday, holiday and its name, day_off, days_off_in_run, next_day_off, customary_break.
+def build_calendar(holidays: DataFrame, first: str | None = None, last: str | None = None, generic: str = "holiday", between: str = "citizens' holiday", substitute: str = "substitute holiday") -> DataFrame:
+    """One row per day from ``first`` to ``last``, or without them of all years that have a holiday: weekday, holiday and its name, day_off, days_off_in_run, next_day_off, customary_break.
 
     ``holidays`` (date, name); days named ``generic`` get the name of their kind. Runs at the ends are cut there, and the last day's next day counts as
-    a working one. Windows run within year-long stretches' one partition: a calendar has some thousand rows at most.
+    a working one. Windows run in one partition: a calendar has some thousand rows. Without holidays or a span it is empty.
     """
     spark: SparkSession = holidays.sparkSession
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))).alias("date"), F.lit(0).alias("_all"))
+    span = holidays.agg(F.trunc(F.min("date"), "year").alias("a"), F.last_day(F.make_date(F.year(F.max("date")), F.lit(12), F.lit(1))).alias("b"))  # one row
+    if first is not None and last is not None:
+        span = spark.range(1).select(F.lit(first).cast("date").alias("a"), F.lit(last).cast("date").alias("b"))
+    days = span.select(F.explode(F.sequence("a", "b")).alias("date"), F.lit(0).alias("_all"))
     cal = days.join(holidays.select("date", F.col("name").alias("holiday_name")), "date", "left")
     cal = cal.withColumn("is_holiday", F.col("holiday_name").isNotNull()).withColumn("weekday", F.weekday("date"))
     cal = between_named(cal, ["_all"], "date", "is_holiday", "holiday_name", generic, between, substitute)

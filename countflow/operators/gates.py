@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
-from pyspark.sql import Column, DataFrame
+import hashlib
+import re
+from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
+
+import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +17,10 @@ from countflow.operators.ordering import sample_keys
 from countflow.operators.sets import except_keys
 
 
+#: Bytes of a file that a task holds at once.
+PIECE = 8 << 20
+
+
 class GateError(ValueError):
     """A build must stop; the message lists why."""
 
@@ -30,13 +39,9 @@ def check_contract(df: DataFrame, contract: Mapping[str, tuple[T.DataType, str]]
 
 
 def domain_violations(df: DataFrame, rules: Mapping[str, Sequence]) -> DataFrame:
-    """(column, value, rows) of values outside each column's closed set; null is in every set."""
-    out = None
-    for c, allowed in rules.items():
-        bad = df.filter(F.col(c).isNotNull() & ~F.col(c).isin(list(allowed)))
-        one = bad.groupBy(F.col(c).cast("string").alias("value")).agg(F.count("*").alias("rows")).select(F.lit(c).alias("column"), "value", "rows")
-        out = one if out is None else out.unionByName(one)
-    return out
+    """(column, value, rows) of values outside each column's closed set; null is in every set. One scan for all rules."""
+    bad = [F.when(~F.col(c).isin(list(allowed)), F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))) for c, allowed in rules.items()]
+    return df.select(F.explode(F.array_compact(F.array(*bad))).alias("b")).groupBy("b.column", "b.value").agg(F.count("*").alias("rows"))
 
 
 def check_domain(df: DataFrame, rules: Mapping[str, Sequence]) -> DataFrame:
@@ -85,10 +90,51 @@ def code_name_violations(df: DataFrame, codes: DataFrame, code: str, name: str,
     return joined.filter(~F.col(name).eqNullSafe(F.col("_n"))).select(*df.columns, F.col("_n").alias("expected_name"))
 
 
-def file_manifest(spark, path: str) -> DataFrame:
-    """Name, bytes and SHA-256 of each file below ``path``."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+def file_manifest(spark, path: str | list[str]) -> DataFrame:
+    """Path, name, bytes and SHA-256 of each file below ``path``. Tasks read the files piece by piece, so none has to fit in memory. Empty files aren't in Spark's list of files."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"))
+    spread = listed.repartition(F.col("path"))
+    schema = T.StructType([*listed.schema.fields, T.StructField("sha256", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = []
+            for uri in batch.column(0).to_pylist():
+                fs, at = pafs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", uri))
+                digest = hashlib.sha256()
+                with fs.open_input_stream(at, compression=None) as f:
+                    while piece := f.read(PIECE):
+                        digest.update(piece)
+                digests.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string())], schema.names)
+
+    return spread.mapInArrow(run, schema)
+
+
+def manifest(stats: DataFrame, partition: str, counts: Sequence[str], inputs: DataFrame, outputs: DataFrame, expected: DataFrame, rules: Mapping[str, tuple[str, str, float]]) -> DataFrame:
+    """A build's manifest in long form: (section, name, field, value as text).
+
+    Sections: ``partition`` (each partition's ``counts``), ``total`` (their sums, and how many partitions there are), ``missing`` (expected partitions that aren't there), ``input`` and ``output`` (bytes and
+    SHA-256 of each file, see ``file_manifest``), ``failure`` (partitions, and ``all`` of them together, whose share is above a rule's limit, see ``share_failures``). ``expected`` has the column ``partition``.
+    """
+    text = lambda c: F.col(c).cast("string")
+
+    def long(df: DataFrame, section: str, name, fields: Sequence[str]) -> DataFrame:
+        each = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), text(f).alias("value")) for f in fields]))
+        return df.select(F.lit(section).alias("section"), name.cast("string").alias("name"), each.alias("f")).select("section", "name", "f.*")
+
+    totals = stats.agg(*[F.sum(c).alias(c) for c in counts], F.count("*").alias("partitions"))
+    lacking = expected.select(partition).distinct().join(stats, partition, "left_anti").withColumn("missing", F.lit(True))
+    whole = totals.select(F.lit("all").alias(partition), *counts).unionByName(stats.select(text(partition).alias(partition), *counts))
+    failed = share_failures(whole, partition, rules)
+    parts = [
+        long(stats, "partition", F.col(partition), counts),
+        long(totals, "total", F.lit("all"), [*counts, "partitions"]),
+        long(lacking, "missing", F.col(partition), ["missing"]),
+        *[long(files, section, F.col("name"), ["bytes", "sha256"]) for section, files in (("input", inputs), ("output", outputs))],
+        failed.select(F.lit("failure").alias("section"), F.col(partition).alias("name"), F.col("rule").alias("field"), text("share").alias("value")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, name: str = "name", digest: str = "sha256") -> DataFrame:
@@ -126,11 +172,16 @@ def audit_sample(df: DataFrame, key: Sequence[str], rare: Column, n: int, seed:
     return sample_keys(df, key, n, seed).union(odd).distinct()
 
 
-def audit_partitions(sizes: DataFrame, partition: str, size: str, odd: Column, seed: int = 0) -> DataFrame:
-    """Partitions to look at: the two smallest, one by hash, and every odd one."""
-    small = sizes.orderBy(size, partition).limit(2).select(partition)
-    picked = sizes.orderBy(F.xxhash64(partition, F.lit(seed)), partition).limit(1).select(partition)
-    return small.union(picked).union(sizes.filter(odd).select(partition)).distinct()
+def audit_partitions(sizes: DataFrame, partition: str, size: str, odd: Column, month: str) -> DataFrame:
+    """Partitions to recompute: of those that aren't ``odd`` the two smallest and one that a hash of ``month`` chooses among the rest but the largest quarter (at least one is left to
+    choose from); and every odd one. Sizes are ranked in one task: there are as many as partitions."""
+    usual = Window.partitionBy(F.lit(0)).orderBy(size, partition)
+    ranked = sizes.filter(~F.coalesce(odd, F.lit(False))).select(partition, (F.row_number().over(usual) - 1).alias("_at"), F.count("*").over(Window.partitionBy(F.lit(0))).alias("_n"))
+    choice = F.greatest(F.lit(3), F.floor(3 * F.col("_n") / 4)) - 2  # how many there are to choose from, after the first two
+    choice = F.least(choice, F.col("_n") - 2)
+    digest = F.conv(F.substring(F.sha2(F.lit(month), 256), 50, 15), 16, 10).cast("bigint")
+    picked = (choice > 0) & (F.col("_at") == 2 + digest % F.greatest(choice, F.lit(1)))
+    return ranked.filter((F.col("_at") < 2) | picked).select(partition).union(sizes.filter(odd).select(partition)).distinct()
 
 
 def backlog(expected: DataFrame, have: DataFrame, skip: DataFrame, attempts: DataFrame, key: str, max_attempts: int = 3) -> DataFrame:

@@ -35,9 +35,11 @@ def best_per_key(df: DataFrame, key: Sequence[str], score: Column, cols: Sequenc
 
 def quantile_groups(df: DataFrame, value: str, q: int = 5, out: str = "group") -> DataFrame:
     """1 .. ``q`` by interpolated quantiles, right-closed, so equal values share a group."""
-    edges = df.agg(F.percentile(value, F.array(*[F.lit(i / q) for i in range(1, q)])).alias("_e"))
+    from countflow.operators.quantiles import exact_quantiles
+
+    edges = exact_quantiles(df, value, [i / q for i in range(1, q)]).select(F.col("quantiles").alias("_e"))
     group = F.size(F.filter("_e", lambda e: e < F.col(value))) + 1
-    return df.crossJoin(F.broadcast(edges)).withColumn(out, F.when(F.col(value).isNotNull(), group)).drop("_e")
+    return df.join(F.broadcast(edges), how="left").withColumn(out, F.when(F.col(value).isNotNull(), group)).drop("_e")  # one row, or none without a value
 
 
 def sample_keys(df: DataFrame, key: Sequence[str], n: int, seed: int = 0) -> DataFrame:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from countflow.functions import log_ratio
 from countflow.operators.aggregates import error_scores
 from countflow.operators.joins import neighbour_join, pair_series_join
 from countflow.operators.ordering import number_rows
+from countflow.operators.quantiles import average_ranks, exact_quantiles
 from countflow.operators.windows import lag_features
 from countflow.session import checkpoint
 
@@ -22,13 +23,12 @@ def pair_correlation(df: DataFrame, pairs: DataFrame, key: str, ts: str, value:
 
 
 def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
-    """Rank correlation with average ranks of ties, per group. Rows are counted by their values before the shuffle, and ranks are running sums over a group's different values; sums
+    """Rank correlation with average ranks of ties, per group. Rows are counted by their values before the shuffle, and ranks are sums over ranges of a group's different values; sums
     of products about the ranks' mean give the correlation."""
-    pairs = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*by, F.col(x).alias("_x"), F.col(y).alias("_y")).agg(F.count("*").alias("_w"))
+    pairs = checkpoint(df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*by, F.col(x).alias("_x"), F.col(y).alias("_y")).agg(F.count("*").alias("_w")))
 
     def ranked(rows: DataFrame, c: str) -> DataFrame:
-        before = F.sum("_n").over(Window.partitionBy(*by).orderBy(c).rowsBetween(Window.unboundedPreceding, -1))
-        rank = rows.groupBy(*by, c).agg(F.sum("_w").alias("_n")).withColumn("_r", F.coalesce(before, F.lit(0)) + (F.col("_n") + 1) / 2)
+        rank = average_ranks(rows.groupBy(*by, c).agg(F.sum("_w").alias("_n")), by, c, "_n", "_r")
         right = rank.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)], F.col(c).alias("_v"), F.col("_r").alias(f"{c}_rank"))
         same = F.col(c) == F.col("_v")
         for i, k in enumerate(by):
@@ -139,4 +139,6 @@ def sign_agreement(df: DataFrame, a: str, b: str, min_gap: float) -> DataFrame:
 def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per column: number, least, quartiles, median and largest value, exactly."""
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s")).select("s.*")
-    return long.groupBy("column").agg(F.count("v").alias("n"), F.min("v").alias("min"), F.percentile("v", F.lit(0.25)).alias("q1"), F.median("v").alias("median"), F.percentile("v", F.lit(0.75)).alias("q3"), F.max("v").alias("max"))
+    at = lambda i: F.get("quantiles", F.lit(i))
+    found = exact_quantiles(long, "v", [0.25, 0.5, 0.75], ["column"]).select("column", at(0).alias("q1"), at(1).alias("median"), at(2).alias("q3"))
+    return long.groupBy("column").agg(F.count("v").alias("n"), F.min("v").alias("min"), F.max("v").alias("max")).join(found, "column", "left").select("column", "n", "min", "q1", "median", "q3", "max")

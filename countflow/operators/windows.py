@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from countflow.functions import safe_ratio
+from countflow.operators.quantiles import exact_quantiles
 
 
 def _median(values: Column) -> Column:
@@ -160,5 +161,5 @@ def minmax_scale(df: DataFrame, value: str, out: str = "scaled") -> DataFrame:
 
 def sqrt_scale(df: DataFrame, value: str, q: float = 0.99, out: str = "scaled") -> DataFrame:
     """Square root of the value over the table's ``q`` quantile, at most 1."""
-    lim = df.agg(F.percentile(value, F.lit(q)).alias("_p"))
-    return df.crossJoin(F.broadcast(lim)).withColumn(out, F.least(F.lit(1.0), F.sqrt(F.col(value) / F.nullif(F.col("_p"), F.lit(0))))).drop("_p")
+    lim = exact_quantiles(df, value, [q]).select(F.get("quantiles", F.lit(0)).alias("_p"))
+    return df.join(F.broadcast(lim), how="left").withColumn(out, F.least(F.lit(1.0), F.sqrt(F.col(value) / F.nullif(F.col("_p"), F.lit(0))))).drop("_p")

@@ -9,7 +9,7 @@ from countflow import functions as fn
 from countflow.operators import aggregates as ag
 from countflow.operators import clean, joins, ordering, sets
 from countflow.operators import windows as wn
-from countflow.plans.views import KM, daily, five_minutes, flags, hourly, registry, sql, stations, table, weather
+from countflow.plans.views import KM, daily, five_minutes, flags, hourly, hourly_users, registry, sql, stations, table, weather
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -156,9 +156,9 @@ def _(s, d):
     return joins.attach_dimension(table(s, d, "supplier"), n, ["s_nationkey"]).select("s_suppkey", "n_name")
 
 
-@query("j3_unknown_keys", "SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 25)")
+@query("j3_unknown_keys", "SELECT DISTINCT l_partkey * 3 AS k FROM lineitem WHERE l_partkey * 3 NOT IN (SELECT p_partkey FROM part)")
 def _(s, d):
-    return joins.unknown_keys(table(s, d, "lineitem").select(c("l_partkey").alias("k")), table(s, d, "part").filter("p_size > 25").select(c("p_partkey").alias("k")), ["k"])
+    return joins.unknown_keys(table(s, d, "lineitem").select((c("l_partkey") * 3).alias("k")), table(s, d, "part").select(c("p_partkey").alias("k")), ["k"])
 
 
 @query("j4_semi_filter", "SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
@@ -232,15 +232,15 @@ def _(s, d):
     return joins.swap_candidates(m, "k", "own", "other")
 
 
-@query("j14_prefix_join", "SELECT p_partkey AS k, p_name AS name, (SELECT max(n) FROM (SELECT DISTINCT substr(p_name, 1, 3) AS n FROM part WHERE p_partkey % 10 = 0) WHERE starts_with(p_name, n)) AS prefix FROM part")
+@query("j14_prefix_join", "SELECT p_partkey AS k, p_name AS name, (SELECT max(n) FROM (SELECT DISTINCT substr(p_name, 1, CAST(3 + p_size % 5 AS INT)) AS n FROM part) WHERE starts_with(p_name, n)) AS prefix FROM part")
 def _(s, d):
     p = table(s, d, "part")
-    return joins.prefix_join(p.select(c("p_partkey").alias("k"), c("p_name").alias("name")), p.filter("p_partkey % 10 = 0").select(F.substring("p_name", 1, 3).alias("prefix")), "name", "prefix")
+    return joins.prefix_join(p.select(c("p_partkey").alias("k"), c("p_name").alias("name")), p.select(F.substr("p_name", F.lit(1), (F.lit(3) + c("p_size") % 5).cast("int")).alias("prefix")), "name", "prefix")
 
 
-@query("j15_full_outer_diff", "SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'left' ELSE 'right' END AS only_in FROM (SELECT DISTINCT o_custkey AS k FROM orders) a FULL JOIN (SELECT c_custkey AS k FROM customer WHERE c_custkey % 3 <> 0) b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL")
+@query("j15_full_outer_diff", "SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'left' ELSE 'right' END AS only_in FROM (SELECT DISTINCT o_custkey AS k FROM orders) a FULL JOIN (SELECT c_custkey + 40 AS k FROM customer) b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL")
 def _(s, d):
-    return joins.full_outer_diff(table(s, d, "orders").select(c("o_custkey").alias("k")), table(s, d, "customer").filter("c_custkey % 3 <> 0").select(c("c_custkey").alias("k")), ["k"])
+    return joins.full_outer_diff(table(s, d, "orders").select(c("o_custkey").alias("k")), table(s, d, "customer").select((c("c_custkey") + 40).alias("k")), ["k"])
 
 
 @query("j16_rule_chain", "SELECT c_custkey AS k, CASE WHEN c_acctbal < 0 THEN 'debt' WHEN c_mktsegment = 'BUILDING' THEN 'segment' END AS reason FROM customer")
@@ -332,15 +332,12 @@ def _(s, d):
     return ag.usual_two_sided(h, ["counter", "h", "off"], "vehicles", 5, 1)
 
 
-PROFILE = "SELECT counter, ts, coalesce(vehicles, 0) AS up, vehicles AS seen, hour(ts) + 1 AS down, vehicles % 3 AS large FROM hourly"
-
-
-@query("a12_volume_profile", sql("hourly", f"""SELECT counter, count(*) AS days, median(vol) AS vol24, median(large) AS large24, round(sum(large12) / sum(vol12), 9) AS large12_share, round(sum(vol) / sum(vol12), 9) AS day_night, round(sum(up) / sum(vol), 9) AS up_share FROM (
-SELECT counter, CAST(ts AS DATE) AS date, count(*) AS n, count(seen) AS nv, sum(up + down) AS vol, sum(large) AS large, sum(large) FILTER (hour(ts) BETWEEN 7 AND 18) AS large12, sum(up + down) FILTER (hour(ts) BETWEEN 7 AND 18) AS vol12, sum(up) AS up FROM ({PROFILE}) WHERE isodow(ts) <= 5 GROUP BY 1, 2) WHERE n = 24 AND nv >= 20 GROUP BY 1 HAVING count(*) >= 1"""))
+@query("a12_volume_profile", sql("hourly_users", """SELECT counter, count(*) AS days, median(vol) AS vol24, median(large) AS large24, round(sum(large12) / sum(vol12), 9) AS large12_share, round(sum(vol) / sum(vol12), 9) AS day_night, round(sum(up) / sum(vol), 9) AS up_share FROM (
+SELECT counter, CAST(ts AS DATE) AS date, count(*) AS n, sum(vehicles + hour(ts) + 1) AS vol, sum(vehicles % 3) AS large, sum(vehicles % 3) FILTER (hour(ts) BETWEEN 7 AND 18) AS large12, sum(vehicles + hour(ts) + 1) FILTER (hour(ts) BETWEEN 7 AND 18) AS vol12, sum(vehicles) AS up
+FROM hourly_users WHERE isodow(ts) <= 5 GROUP BY 1, 2) WHERE n = 24 GROUP BY 1 HAVING count(*) >= 1"""))
 def _(s, d):
-    h = hourly(s, d).select("counter", "ts", c("vehicles").alias("up"), (F.hour("ts") + 1).alias("down"), (c("vehicles") % 3).alias("large"))
-    h = h.withColumn("_n", F.count("up").over(Window.partitionBy("counter", F.to_date("ts")))).filter("_n >= 20")
-    p = ag.volume_profile(h.fillna({"up": 0}), "counter", "ts", "up", "down", "large", F.weekday("ts"), 1)
+    h = hourly_users(s, d).select("counter", "ts", c("vehicles").alias("up"), (F.hour("ts") + 1).alias("down"), (c("vehicles") % 3).alias("large"))
+    p = ag.volume_profile(h, "counter", "ts", "up", "down", "large", F.weekday("ts"), 1)
     return p.select("counter", "days", "vol24", "large24", *[F.round(x, 9).alias(x) for x in ("large12_share", "day_night", "up_share")])
 
 
@@ -557,9 +554,9 @@ def _(s, d):
     return sets.distinct_rows(table(s, d, "lineitem"), ["l_returnflag", "l_linestatus"])
 
 
-@query("u3_except_keys", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderkey % 9 = 0")
+@query("u3_except_keys", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey * 2 FROM orders")
 def _(s, d):
-    return sets.except_keys(table(s, d, "customer").select(c("c_custkey").alias("k")), table(s, d, "orders").filter("o_orderkey % 9 = 0").select(c("o_custkey").alias("k")), ["k"])
+    return sets.except_keys(table(s, d, "customer").select(c("c_custkey").alias("k")), table(s, d, "orders").select((c("o_custkey") * 2).alias("k")), ["k"])
 
 
 @query("u4_symmetric_diff", "(SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey * 2 FROM orders) UNION (SELECT o_custkey * 2 FROM orders EXCEPT SELECT c_custkey FROM customer)")

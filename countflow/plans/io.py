@@ -77,6 +77,23 @@ def _(s, d):
     return weather.read_weather_csv(s, at, schema)
 
 
+@query("s5_latest_stations", "SELECT CAST(s_suppkey AS VARCHAR) AS station_id, CAST(s_acctbal + 2 AS DOUBLE) AS alt_m FROM supplier")
+def _(s, d):
+    """The station table in three versions, each a CSV file named by its day; the newest one counts."""
+    from pyspark.sql import types as T
+
+    at, t = folder(s), table(s, d, "supplier")
+    for k, day in enumerate(("20240101", "20240301", "20240215")):
+        t.select(c("s_suppkey").cast("string").alias("station_id"), (c("s_acctbal") + (2 if day == "20240301" else k)).cast("double").alias("alt_m")).coalesce(1).write.option("header", True).csv(f"{at}/parts{k}")
+        fs = s._jvm.org.apache.hadoop.fs.Path(at).getFileSystem(s._jsc.hadoopConfiguration())
+        path = s._jvm.org.apache.hadoop.fs.Path
+        for f in fs.globStatus(path(f"{at}/parts{k}/part-*.csv")):
+            fs.rename(f.getPath(), path(f"{at}/stations_{day}.csv"))
+        fs.delete(path(f"{at}/parts{k}"), True)
+    schema = T.StructType([T.StructField("station_id", T.StringType()), T.StructField("alt_m", T.DoubleType())])
+    return weather.latest_file(s, at, schema)
+
+
 def _weather_rows(x: DataFrame) -> DataFrame:
     keyed = x.select(c("body"), (c("at") + F.make_dt_interval(days=F.lit(0), hours=F.lit(0), mins=F.lit(0), secs=c("k").cast("decimal(18,6)"))).alias("at"))
     w = weather.read_weather_json(keyed, "at", "body", ["rain", "temp"])

@@ -174,10 +174,24 @@ def _(s, d):
     return matching.attach_registry(new, old, ["k"], ["pos"])
 
 
-@query("g14_place_names", "SELECT c_nationkey AS code, CASE WHEN count(DISTINCT c_mktsegment) = 1 THEN min(c_mktsegment) END AS label, CASE WHEN count(DISTINCT c_mktsegment) > 1 THEN 'several' END AS problem FROM customer GROUP BY 1")
-def _(s, d):
-    t = table(s, d, "customer").select(c("c_nationkey").alias("code"), F.concat(F.lit(" "), "c_mktsegment", F.lit("　")).alias("label"))
-    return matching.place_names(t, t, "code", "label")
+@query("g14_place_names", """WITH p AS (SELECT c_custkey AS k, c_custkey % 5 AS t, 'O' || lower(c_mktsegment) AS base, CASE WHEN c_custkey % 11 = 0 THEN 'none' WHEN c_custkey % 7 = 0 THEN 'several' WHEN c_custkey % 13 = 0 THEN 'label' WHEN c_custkey % 17 = 0 THEN 'reading' END AS problem FROM customer),
+o AS (SELECT *, base || '-' || ['shi', 'ku', CASE WHEN k % 2 = 0 THEN 'cho' ELSE 'machi' END, 'mura', 'son'][CAST(t + 1 AS INT)] AS own FROM p),
+r AS (SELECT o.k, o.own, c.k IS NOT NULL AS ward, c.own AS city, coalesce(o.problem, CASE WHEN c.k IS NOT NULL AND c.problem IS NOT NULL THEN 'city' END) AS problem FROM o LEFT JOIN o c ON o.t = 1 AND c.k = o.k - 1)
+SELECT k AS code, CASE WHEN problem IS NULL THEN CASE WHEN ward THEN city || ' ' || own ELSE own END END AS label, problem FROM r""")
+def _(s, d):
+    """Customers as places: every fifth a city, the next one its ward, the others towns and villages; some without a label, with two, with a number in it, or with a reading of another type."""
+    k, t = c("c_custkey"), table(s, d, "customer")
+    number, city = k.cast("string"), (k - 1).cast("string")
+    kind = lambda *x: F.get(F.array(*[F.lit(v) if isinstance(v, str) else v for v in x]), (k % 5).cast("int"))
+    name = F.concat(F.when(k % 5 == 1, F.concat(F.lit("N"), city, F.lit("市"))).otherwise(F.lit("")), F.lit("N"), number, kind("市", "区", "町", "村", "村"))
+    ending = F.when(k % 17 == 0, "ナシ".replace("シ", "")).otherwise(kind("シ", "ク", F.when(k % 2 == 0, "チョウ").otherwise("マチ"), "ムラ", "ソン"))
+    half = F.when(k % 5 == 1, F.concat(F.lit("R"), city, F.when((k - 1) % 17 == 0, "ナ").otherwise("ｼ"))).otherwise(F.lit(""))
+    places = t.select(k.alias("code"), name.alias("name"), F.concat(half, F.lit("R"), number, ending).alias("reading"))
+    base = F.concat(F.lit("Ō"), F.lower("c_mktsegment"))
+    one = F.concat(F.when(k % 13 == 0, F.concat(base, F.lit("9"))).otherwise(base), kind("-shi", "-ku, Somewhere", " Town", " village", "-son"))
+    two = t.filter((k % 7 == 0) & (k % 11 != 0)).select(k.alias("code"), F.concat(base, F.lit("x")).alias("label"))
+    labels = t.filter(k % 11 != 0).select(k.alias("code"), one.alias("label")).unionByName(two)
+    return matching.place_names(places, labels, "code", "name", "reading", "label")
 
 
 # -- statistics
@@ -313,9 +327,23 @@ def _(s, d):
     return gates.code_name_violations(t, codes, "code", "name", 1)
 
 
-@query("r9_manifest", None)
+@query("r9_manifest", """WITH s AS (SELECT event_type AS region, count(*) AS rows_in, count(*) FILTER (value >= 10) AS rows_out, count(*) FILTER (value < 10) AS bad_value_rows FROM events GROUP BY 1), t AS (SELECT 'all' AS region, sum(rows_in) AS rows_in, sum(rows_out) AS rows_out, sum(bad_value_rows) AS bad_value_rows FROM s),
+e AS (SELECT DISTINCT event_type || CASE WHEN user_id % 2 = 0 THEN '' ELSE '2' END AS region FROM events), l AS (UNPIVOT s ON rows_in, rows_out, bad_value_rows INTO NAME field VALUE v), lt AS (UNPIVOT (SELECT region, CAST(rows_in AS BIGINT) AS rows_in, CAST(rows_out AS BIGINT) AS rows_out, CAST(bad_value_rows AS BIGINT) AS bad_value_rows FROM t) ON rows_in, rows_out, bad_value_rows INTO NAME field VALUE v)
+SELECT 'partition' AS section, region AS name, field, CAST(v AS VARCHAR) AS value FROM l UNION ALL SELECT 'total', 'all', field, CAST(v AS VARCHAR) FROM lt UNION ALL SELECT 'total', 'all', 'partitions', CAST(count(*) AS VARCHAR) FROM s
+UNION ALL SELECT 'missing', region, 'missing', 'true' FROM e WHERE region NOT IN (SELECT region FROM s) UNION ALL SELECT 'failure', region, 'bad values', 'over' FROM (SELECT * FROM s UNION ALL SELECT * FROM t) WHERE bad_value_rows / rows_in > 0.19""")
+def _(s, d):
+    """The manifest of events by type. The files' rows are in ``r9_files``: their bytes aren't SQL's matter; shares are given as ``over``."""
+    e = table(s, d, "events")
+    stats = e.groupBy(c("event_type").alias("region")).agg(F.count("*").alias("rows_in"), F.count_if(c("value") >= 10).alias("rows_out"), F.count_if(c("value") < 10).alias("bad_value_rows"))
+    expected = e.select(F.concat("event_type", F.when(c("user_id") % 2 == 0, "").otherwise("2")).alias("region"))
+    files = gates.file_manifest(s, f"{d}/events.parquet")
+    out = gates.manifest(stats, "region", ["rows_in", "rows_out", "bad_value_rows"], files, files.limit(0), expected, {"bad values": ("bad_value_rows", "rows_in", 0.19)})
+    return out.filter("section NOT IN ('input', 'output')").withColumn("value", F.when(c("section") == "failure", "over").otherwise(c("value")))
+
+
+@query("r9_files", None)
 def _(s, d):
-    return gates.file_manifest(s, f"{d}/nation.parquet")
+    return gates.file_manifest(s, [f"{d}/{t}.parquet" for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")])
 
 
 @query("r10_snapshot_diff", "SELECT coalesce(a.k, b.k) AS name, CASE WHEN a.k IS NULL THEN 'added' WHEN b.k IS NULL THEN 'removed' ELSE 'changed' END AS change FROM (SELECT p_partkey AS k, p_size AS h FROM part WHERE p_partkey % 3 <> 0) a FULL JOIN (SELECT p_partkey AS k, p_size + (p_partkey % 10 = 0)::INT AS h FROM part WHERE p_partkey % 4 <> 0) b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL OR a.h <> b.h")
@@ -337,6 +365,14 @@ def _(s, d):
     return gates.audit_sample(daily(s, d), ["counter"], c("vehicles") < 2, 20)
 
 
+@query("r12_audit_partitions", """WITH z AS (SELECT c_nationkey AS part, count(*) AS size FROM customer GROUP BY 1), r AS (SELECT part, row_number() OVER (ORDER BY size, part) - 1 AS pos, count(*) OVER () AS n FROM z WHERE part % 9 <> 4),
+c AS (SELECT *, least(greatest(3, 3 * n // 4) - 2, n - 2) AS choice FROM r), h AS (SELECT CAST('0x' || substr(sha256('2026-08'), 50, 15) AS BIGINT) AS h)
+SELECT part FROM c, h WHERE pos < 2 OR (choice > 0 AND pos = 2 + h % greatest(choice, 1)) UNION SELECT part FROM z WHERE part % 9 = 4""")
+def _(s, d):
+    sizes = table(s, d, "customer").groupBy(c("c_nationkey").alias("part")).agg(F.count("*").alias("size"))
+    return gates.audit_partitions(sizes, "part", "size", c("part") % 9 == 4, "2026-08")
+
+
 @query("r15_backlog", "SELECT m AS k, CAST(CASE WHEN month(m) % 5 = 0 THEN 1 + year(m) % 3 ELSE 0 END AS INT) AS attempts, CASE WHEN n > 0 AND month(m) % 3 <> 0 THEN 'complete' WHEN month(m) % 4 = 0 THEN 'skipped' WHEN month(m) % 5 = 0 AND 1 + year(m) % 3 >= 3 THEN 'failed' WHEN month(m) % 5 = 0 THEN 'retry' ELSE 'todo' END AS status FROM (SELECT m, (SELECT count(*) FROM orders WHERE date_trunc('month', o_orderdate) = m) AS n FROM (SELECT unnest(generate_series(TIMESTAMP '1991-01-01', TIMESTAMP '2026-12-01', INTERVAL 1 MONTH))::DATE AS m))")
 def _(s, d):
     months = s.sql("SELECT explode(sequence(DATE '1991-01-01', DATE '2026-12-01', INTERVAL 1 MONTH)) AS k")
@@ -352,13 +388,13 @@ def _(s, d):
 
 # -- calendar
 
-CAL = """, days AS (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '1997-12-31', INTERVAL 1 DAY))::DATE AS date), h AS (SELECT days.date, name, name IS NOT NULL AS hol, name IS NOT NULL AND name <> 'holiday' AS named FROM days LEFT JOIN holidays USING (date)),
+CAL = """, days AS (SELECT unnest(generate_series(date_trunc('year', min(date))::TIMESTAMP, make_date(year(max(date)), 12, 31)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS date FROM holidays), h AS (SELECT days.date, name, name IS NOT NULL AS hol, name IS NOT NULL AND name <> 'holiday' AS named FROM days LEFT JOIN holidays USING (date)),
 f AS (SELECT *, hol OR isodow(date) >= 6 AS off, CASE WHEN hol AND NOT named THEN CASE WHEN coalesce(lag(named) OVER w, false) AND coalesce(lead(named) OVER w, false) THEN 'citizens'' holiday' ELSE 'substitute holiday' END ELSE name END AS hn FROM h WINDOW w AS (ORDER BY date)), i AS (SELECT *, sum((NOT off)::INT) OVER (ORDER BY date) AS g FROM f),
 cal AS (SELECT date, CAST(isodow(date) - 1 AS INT) AS weekday, hol AS is_holiday, hn AS holiday_name, off AS day_off, CASE WHEN off THEN CAST(count(*) OVER (PARTITION BY g, off) AS INT) ELSE 0 END AS days_off_in_run, lead(off, 1, false) OVER (ORDER BY date) AS next_day_off, CASE WHEN month(date) * 100 + day(date) BETWEEN 813 AND 816 THEN 'obon' WHEN month(date) * 100 + day(date) >= 1229 OR month(date) * 100 + day(date) <= 103 THEN 'new_year' ELSE '' END AS customary_break FROM i)"""
 
 
 def calendar(s, d):
-    return calendars.build_calendar(holidays(s, d), "1995-01-01", "1997-12-31")
+    return calendars.build_calendar(holidays(s, d))
 
 
 @query("c1_build_calendar", sql("holidays", CAL + " SELECT * FROM cal"))
@@ -382,9 +418,9 @@ def _(s, d):
     return calendars.holiday_names(h, h.select("name", F.upper("name").alias("name_en")).distinct()).select("date", "name", "name_en")
 
 
-@query("c5_clip_calendar", sql("holidays", CAL + " SELECT date FROM cal WHERE date BETWEEN (SELECT min(CAST(o_orderdate AS DATE)) FROM orders WHERE year(o_orderdate) = 1996) AND (SELECT max(CAST(o_orderdate AS DATE)) FROM orders WHERE year(o_orderdate) = 1996)"))
+@query("c5_clip_calendar", sql("holidays", CAL + " SELECT date FROM cal WHERE date BETWEEN (SELECT min(CAST(o_orderdate AS DATE)) FROM orders) AND (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)"))
 def _(s, d):
-    return calendars.clip_calendar(calendar(s, d), table(s, d, "orders").filter("year(o_orderdate) = 1996"), "o_orderdate").select("date")
+    return calendars.clip_calendar(calendar(s, d), table(s, d, "orders"), "o_orderdate").select("date")
 
 
 @query("j2_attach_calendar", sql("holidays", CAL + " SELECT o_orderkey AS k, is_holiday, day_off, days_off_in_run FROM orders LEFT JOIN cal ON date = CAST(o_orderdate AS DATE)"))

@@ -9,7 +9,6 @@ import re
 import uuid
 import zipfile
 from collections.abc import Iterator, Mapping, Sequence
-from functools import reduce
 
 import pandas as pd
 import pyarrow.fs as pafs
@@ -17,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from countflow.session import checkpoint, shared_dir
-from countflow.sources.counts import layouts, text_schema
+from countflow.sources.counts import read_layouts, text_schema
 
 MEMBERS = "archive string, region string, member string, bytes long, sha256 string, file string, problem string"
 #: Bytes of a member that a task holds at once.
@@ -91,21 +90,21 @@ def read_detector_csv(members: DataFrame, spellings: Mapping[str, str], columns:
     """The rows of the members' files in canonical ``columns``, all text and trimmed, after their region. ``spellings`` maps each header spelling to its column; a missing ``optional`` column
     is null and any other missing or unknown one is an error. Short rows have nulls; there is no quoting.
 
-    Spark's CSV source reads the files, those of equal header together; the list of files goes to the driver.
+    The lines of all files are read in one scan, each by its file's header (counts.read_layouts); of the list of files only their folders go to the driver.
     """
     spark = members.sparkSession
-    known = checkpoint(members.filter("file IS NOT NULL").select(F.regexp_extract("file", "([^/]+)$", 1).alias("_file"), "region", "member", "file"))
-    names, parts = list(columns), []
-    files = [r["file"] for r in known.select("file").collect()]
-    for header, own in (layouts(spark, files) if files else {}).items():
-        head = [spellings.get(h.strip(), f"?{h.strip()}") for h in next(csv.reader([header], quoting=csv.QUOTE_NONE), [])]
-        bad = [h for h in head if h.startswith("?")] + [n for n in names if n not in head and n not in optional]
+    known = checkpoint(members.filter("file IS NOT NULL").select(F.regexp_extract("file", "([^/]+)$", 1).alias("_name"), "region", "member", F.regexp_extract("file", "^(.*)/", 1).alias("folder")))
+    folders = [r["folder"] for r in known.select("folder").distinct().collect()]
+    if not folders:
+        return spark.createDataFrame([], text_schema(["region", *columns]))
+
+    def layout(found: list[str], file: str) -> dict[str, str]:
+        head = [spellings.get(h.strip(), f"?{h.strip()}") for h in found]
+        bad = [h for h in head if h.startswith("?")] + [n for n in columns if n not in head and n not in optional]
         if bad:
-            member = known.filter(F.col("_file") == own[0].rsplit("/", 1)[-1]).first()["member"]
-            raise ValueError(f"{member}: columns {bad}")
-        options = {"header": True, "enforceSchema": True, "quote": "", "nullValue": "\x01", "ignoreLeadingWhiteSpace": True, "ignoreTrailingWhiteSpace": True}
-        raw = spark.read.schema(text_schema(head)).options(**options).csv(own)
-        parts.append(raw.select(F.col("_metadata.file_name").alias("_file"), *[(F.col(f"`{n}`") if n in head else F.lit(None).cast("string")).alias(n) for n in names]))
-    if not parts:
-        return spark.createDataFrame([], text_schema(["region", *names]))
-    return reduce(DataFrame.unionByName, parts).join(known.select("_file", "region"), "_file").select("region", *names)
+            member = known.filter(F.col("_name") == file.rsplit("/", 1)[-1]).first()
+            raise ValueError(f"{member['member'] if member else file}: columns {bad}")
+        return {h: f for h, f in zip(head, found)}
+
+    rows = read_layouts(spark, folders, columns, layout, {"quote": "", "nullValue": "\x01", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}, csv.QUOTE_NONE, known.select("_name"))
+    return rows.withColumn("_name", F.regexp_extract("_file", "([^/]+)$", 1)).join(known.select("_name", "region"), "_name").select("region", *columns)

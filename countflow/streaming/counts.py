@@ -5,11 +5,13 @@ Each gives what the batch operator gives on the same files. Watermarks need TIME
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from countflow.operators.matching import attach_registry
 from countflow.operators.windows import baseline
@@ -43,10 +45,41 @@ def stream_completeness(df: DataFrame, ts: str, expected_hours: int = 24, late:
 
 
 def stream_stopped(df: DataFrame, keys: Sequence[str], ts: str, value: str, slots: int = 24, late: str = "2 hours") -> DataFrame:
-    """Days with a value in every slot and a total below their number, as soon as the day is closed."""
-    g = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late).groupBy(*keys, F.window(ts, "1 day").alias("_w"))
-    d = g.agg(F.count(value).alias("_n"), F.count("*").alias("_rows"), F.sum(value).alias("total"))
-    return d.filter((F.col("_n") == slots) & (F.col("_rows") == slots) & (F.col("total") < slots)).select(*keys, F.to_date("_w.start").alias("date"), "total")
+    """Days with a value in every slot and a total below their number, each in the batch that brings its last slot, whatever the watermark.
+
+    State is kept for each key and day: which slots have come, their total, and whether the day is full. Its timer goes off when the watermark passes the day's end, and the state goes. A slot
+    counts once: a later row for it changes nothing, and of several in a batch the smallest value counts. A null value leaves its slot open.
+    """
+    seconds = 86_400 // slots
+    t = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late).withColumn("_date", F.to_date(ts)).filter(F.col(value).isNotNull())
+    at = F.unix_timestamp(ts) - F.unix_timestamp(F.col("_date").cast("timestamp"))
+    t = t.withColumn("_slot", F.floor(at / seconds).cast("int")).withColumn("_end", (F.unix_timestamp(F.date_add("_date", 1).cast("timestamp")) * 1000))
+    out = T.StructType([*(df.schema[k] for k in keys), T.StructField("date", T.DateType()), T.StructField("total", T.LongType())])
+    state_schema = T.StructType([T.StructField("slots", T.StringType()), T.StructField("total", T.LongType()), T.StructField("full", T.BooleanType())])
+
+    def take(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        seen, total, full = state.get if state.exists else ("0", 0, False)
+        seen, end = int(seen, 16), 0
+        for part in parts:
+            end = int(part["_end"].iloc[0])
+            first = part.sort_values(["_slot", value]).drop_duplicates("_slot")
+            for slot, v in zip(first["_slot"].tolist(), first[value].tolist()):
+                if not seen >> slot & 1:
+                    seen, total = seen | 1 << slot, total + int(v)
+        if seen.bit_count() == slots and not full:
+            full = True
+            if total < slots:
+                yield pd.DataFrame([[*key, total]], columns=[*keys, "date", "total"])
+        if end > state.getCurrentWatermarkMs():
+            state.update((f"{seen:x}", total, full))
+            state.setTimeoutTimestamp(end)
+        elif state.exists:
+            state.remove()
+
+    return t.groupBy(*keys, "_date").applyInPandasWithState(take, out, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def baseline_batch(archive: str, keys: Sequence[str], day: str, value: str, lookback: int = 35, **options) -> Callable[[DataFrame, int], None]:

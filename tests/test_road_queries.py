@@ -37,3 +37,34 @@ def test_every_part_is_a_source_and_a_unit(spark):
     far = {(min(k), max(k)): km + k[0] % 3 / 10 + k[1] % 3 / 10 for k, km in brute(spark, 3.0).items() if k[0] != k[1] and 0 < k[1] <= parts}
     got = {(r["a"], r["b"]): r["km"] for r in pairs}
     assert all(abs(got[k] - far[k]) < 1e-6 for k in got) and all(k in got for k, km in far.items() if km < 2.99)
+
+
+def test_a_round_writes_the_frontier_only(spark, monkeypatch):
+    """On a path from one source every round has a handful of open distances, however many are settled."""
+    from countflow.operators import matching
+
+    written, checkpoint = [], matching.checkpoint
+
+    def watched(df):
+        out = checkpoint(df)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(matching, "checkpoint", watched)
+    path = spark.createDataFrame([(i, i + 1, 1.0) for i in range(30)], "a long, b long, km double")
+    got = matching.bounded_shortest_paths(path, spark.createDataFrame([(0,)], "source long"), 25.0, bucket=2.0).collect()
+    assert {r["node"]: r["km"] for r in got} == {i: float(i) for i in range(26)}
+    assert max(written[1:]) <= 4 and sum(written[1:]) <= 4 * 26
+
+
+def test_detours_that_turn_out_shorter(spark):
+    """Many short edges beat a long one that was followed first; edges of no length; other widths give the same."""
+    from countflow.operators import matching
+
+    rows = [(0, 9, 8.0), *[(i, i + 1, 0.5) for i in range(9)], (9, 10, 0.0), (10, 11, 0.25), (20, 21, 1.0)]
+    edges = spark.createDataFrame(rows, "a long, b long, km double")
+    sources = spark.createDataFrame([(0,), (20,), (99,)], "source long")
+    for bucket in (None, 0.3, 100.0):
+        got = {(r["source"], r["node"]): r["km"] for r in matching.bounded_shortest_paths(edges, sources, 4.6, bucket=bucket).collect()}
+        assert got == {**{(0, i): i / 2 for i in range(10)}, (0, 10): 4.5, (20, 20): 0.0, (20, 21): 1.0, (99, 99): 0.0}
+    assert matching.bounded_shortest_paths(edges, sources.limit(0), 4.6).count() == 0

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from countflow import functions as fn
 from countflow.operators import aggregates as ag
-from countflow.operators import joins, matching, ordering
+from countflow.operators import joins, matching, ordering, quantiles
 from countflow.operators import statistics as stt
 from countflow.operators import windows as wn
-from countflow.plans.core import A5, CANDIDATES, SLOT, candidates, near
-from countflow.plans.views import KM, daily, five_minutes, flags, hourly, hourly_users, registry, sql, table, weather
+from countflow.plans.core import A5, CANDIDATES, candidates, near
+from countflow.plans.views import KM, daily, edges, five_minutes, flags, hourly, hourly_rain, hourly_ten, hourly_users, registry, sql, stations, table
 from countflow.session import checkpoint
 
 QUERIES: dict = {}
@@ -28,10 +28,18 @@ def query(name: str, oracle: str | None):
     return keep
 
 
-@query("q1_shape_of_a_day", sql("hourly", "SELECT isodow(ts) >= 6 AS off, hour(ts) AS h, round(avg(vehicles), 9) AS mean, count(vehicles) AS n FROM hourly GROUP BY 1, 2"))
+@query("q1_shape_of_a_day", sql("hourly", """, p AS (SELECT isodow(ts) >= 6 AS off, hour(ts) AS h, avg(vehicles) AS m, count(vehicles) AS n FROM hourly GROUP BY 1, 2),
+t AS (SELECT off, max(m) AS top, arg_max(h, m * 100 - h / 1e6) AS top_slot FROM p GROUP BY 1), r AS (SELECT p.off, h, top_slot, h - row_number() OVER (PARTITION BY p.off ORDER BY h) AS island FROM p JOIN t USING (off) WHERE m >= 0.93 * top),
+run AS (SELECT off, min(h) AS plateau_begin, max(h) AS plateau_end FROM r GROUP BY off, island, top_slot HAVING top_slot BETWEEN min(h) AND max(h)),
+a AS (SELECT off, arg_max(h, m * 100 - h / 1e6) FILTER (h BETWEEN 5 AND 11) AS morning, arg_max(h, m * 100 - h / 1e6) FILTER (h BETWEEN 14 AND 20) AS evening, max(m) FILTER (h BETWEEN 5 AND 11) AS mv, max(m) FILTER (h BETWEEN 14 AND 20) AS ev FROM p GROUP BY 1),
+w AS (SELECT a.off, any_value(morning) AS morning, any_value(evening) AS evening, coalesce(min(m) FILTER (h > morning AND h < evening) <= 0.9 * least(any_value(mv), any_value(ev)), false) AS two_rushes FROM a JOIN p USING (off) GROUP BY 1)
+SELECT off, h, round(m, 9) AS mean, n, plateau_begin, plateau_end, morning, evening, two_rushes FROM p JOIN run USING (off) JOIN w USING (off)"""))
 def _(s, d):
-    p = ag.profile_by_slot(hourly(s, d).withColumn("off", F.weekday("ts") >= 5), ["off"], F.hour("ts"), "vehicles", name="h")
-    return p.withColumn("mean", F.round("mean", 9))
+    """Workdays and days off: the mean of each hour, the plateau about the largest one, and the two rushes."""
+    p = checkpoint(ag.profile_by_slot(hourly(s, d).withColumn("off", F.weekday("ts") >= 5), ["off"], F.hour("ts"), "vehicles", name="h"))
+    run = wn.plateau_run(p, ["off"], "h", "mean").select("off", c("begin").alias("plateau_begin"), c("end").alias("plateau_end"))
+    rushes = wn.two_rushes(p, ["off"], "h", "mean").select("off", "morning", "evening", "two_rushes")
+    return p.withColumn("mean", F.round("mean", 9)).join(run, "off").join(rushes, "off")
 
 
 @query("q2_large_share", sql("daily", "SELECT CAST(isodow(date) - 1 AS INT) AS wd, round(sum(large) / sum(vehicles), 9) AS ratio FROM daily GROUP BY 1"))
@@ -39,10 +47,18 @@ def _(s, d):
     return ag.ratio_of_sums(daily(s, d).withColumn("wd", F.weekday("date")), ["wd"], "large", "vehicles").withColumn("ratio", F.round("ratio", 9))
 
 
-@query("q3_days_against_usual", sql("daily", ", x AS (SELECT date, vehicles / nullif(median(vehicles) OVER (PARTITION BY counter, isodow(date)), 0) AS r FROM daily) SELECT date, round(median(r), 9) AS ratio, count(r) AS n FROM x GROUP BY 1"))
+Q3 = """, x AS (SELECT date, vehicles / nullif(median(vehicles) OVER (PARTITION BY counter, isodow(date)), 0) AS r FROM daily), y AS (SELECT date, round(median(r), 9) AS ratio, count(r) AS n FROM x GROUP BY 1), z AS (SELECT * FROM y WHERE ratio >= 1.05),
+p1 AS (SELECT date FROM z ORDER BY ratio DESC, date LIMIT 1), z2 AS (SELECT z.* FROM z, p1 WHERE abs(z.date - p1.date) >= 7), p2 AS (SELECT date FROM z2 ORDER BY ratio DESC, date LIMIT 1), z3 AS (SELECT z2.* FROM z2, p2 WHERE abs(z2.date - p2.date) >= 7), p3 AS (SELECT date FROM z3 ORDER BY ratio DESC, date LIMIT 1)
+SELECT y.*, CAST(CASE WHEN date IN (FROM p1) THEN 1 WHEN date IN (FROM p2) THEN 2 WHEN date IN (FROM p3) THEN 3 END AS INT) AS peak FROM y"""
+
+
+@query("q3_days_against_usual", sql("daily", Q3))
 def _(s, d):
+    """Each day's counts over the usual ones of its weekday, the median over all counters, and which days are the highest peaks."""
     x = wn.group_median(daily(s, d).withColumn("wd", F.weekday("date")), ["counter", "wd"], "vehicles").withColumn("r", c("vehicles") / F.nullif(c("group_median"), F.lit(0)))
-    return x.groupBy("date").agg(F.round(F.median("r"), 9).alias("ratio"), F.count("r").alias("n"))
+    y = checkpoint(quantiles.medians(x, "r", ["date"], "ratio").withColumn("ratio", F.round("ratio", 9)).withColumn("g", F.lit("all")))
+    peaks = wn.separated_peaks(y, ["g"], "date", "ratio").select("date", c("rank").alias("peak"))
+    return y.join(peaks, "date", "left").select("date", "ratio", "n", "peak")
 
 
 @query("q4_heat_table", sql("hourly", "SELECT CAST(isodow(ts) - 1 AS INT) AS row, " + ", ".join(f"round(avg(vehicles) FILTER (hour(ts) = {h}), 9) AS c{h}" for h in range(24)) + " FROM hourly GROUP BY 1"))
@@ -59,52 +75,96 @@ def _(s, d):
     return joins.attach_dimension(top, names, ["counter"]).select("counter", "date", "vehicles", "group_median", F.round("_r", 9).alias("ratio"), "name")
 
 
-@query("q6_workday_profile", sql("hourly", "SELECT counter, h AS slot, mean, round(least(1.0, sqrt(m / quantile_cont(m, 0.99) OVER ())), 6) AS scaled FROM (SELECT counter, hour(ts) AS h, avg(vehicles) AS m, round(avg(vehicles), 9) AS mean FROM hourly WHERE isodow(ts) <= 5 GROUP BY 1, 2)"))
+#: A box around the southern half of the counters' positions.
+BOX = (130.0, 30.0, 150.0, 38.0)
+IN_BOX = "lon BETWEEN 130 AND 150 AND lat BETWEEN 30 AND 38"
+
+
+@query("q6_workday_profile", sql("hourly_ten registry", f""", b AS (SELECT counter FROM registry WHERE {IN_BOX}), p AS (SELECT '1h' AS res, counter, CAST(hour(ts) AS BIGINT) AS slot, avg(vehicles) AS m FROM hourly_ten WHERE isodow(ts) <= 5 AND counter IN (FROM b) GROUP BY 1, 2, 3
+UNION ALL SELECT '15m', counter, slot, avg(v) FROM (SELECT user_id % 10 + 1 AS counter, CAST(ts AS DATE) AS date, CAST(hour(ts) * 4 + minute(ts) // 15 AS BIGINT) AS slot, count(*) AS v FROM events WHERE isodow(ts) <= 5 GROUP BY 1, 2, 3) WHERE counter IN (FROM b) GROUP BY 1, 2, 3)
+SELECT res, counter, slot, round(m, 9) AS mean, round(least(1.0, sqrt(m / quantile_cont(m, 0.99) OVER (PARTITION BY res))), 6) AS scaled FROM p"""))
 def _(s, d):
-    p = ag.profile_by_slot(hourly(s, d).filter(fn.is_workday(F.weekday("ts"), F.lit(False))), ["counter"], F.hour("ts"), "vehicles")
-    return wn.sqrt_scale(p, "mean").select("counter", "slot", F.round("mean", 9).alias("mean"), F.round("scaled", 6).alias("scaled"))
+    """Workday profiles of the counters inside a box, by hour and by quarter hour, with a brightness of their own for each resolution."""
+    inside = registry(s, d).filter(fn.in_box(c("lon"), c("lat"), BOX)).select("counter")
+    e = table(s, d, "events").filter(fn.is_workday(F.weekday("ts"), F.lit(False))).withColumn("slot", (F.hour("ts") * 4 + F.floor(F.minute("ts") / 15)).cast("bigint"))
+    quarters = e.groupBy((c("user_id") % 10 + 1).alias("counter"), F.to_date("ts").alias("date"), "slot").agg(F.count("*").alias("vehicles"))
+    hours = hourly_ten(s, d).filter(fn.is_workday(F.weekday("ts"), F.lit(False)))
+    out = []
+    for res, rows, slot in (("1h", hours, F.hour("ts").cast("bigint")), ("15m", quarters, c("slot"))):
+        p = ag.profile_by_slot(joins.semi_filter(rows, inside, ["counter"]), ["counter"], slot, "vehicles")
+        out.append(wn.sqrt_scale(p, "mean").select(F.lit(res).alias("res"), "counter", "slot", F.round("mean", 9).alias("mean"), F.round("scaled", 6).alias("scaled")))
+    return out[0].unionByName(out[1])
 
 
-Q7 = """, x AS (SELECT counter, ts, vehicles, hour(ts) AS h, isodow(ts) >= 6 AS off, CAST(ts AS DATE) BETWEEN DATE '2024-01-12' AND DATE '2024-01-17' AS inside FROM hourly), u AS (SELECT counter, h, off, median(vehicles) AS usual FROM x WHERE NOT inside GROUP BY 1, 2, 3 HAVING count(vehicles) >= 3)"""
+Q7 = """, x AS (SELECT counter, ts, vehicles, hour(ts) AS h, isodow(ts) >= 6 AS off, CAST(ts AS DATE) BETWEEN DATE '2024-01-12' AND DATE '2024-01-17' AS inside FROM hourly_ten), u AS (SELECT counter, h, off, median(vehicles) AS usual FROM x WHERE NOT inside GROUP BY 1, 2, 3 HAVING count(vehicles) >= 3)"""
 
 
 def _busier(s, d):
     from countflow.operators.clean import in_periods
 
     period = s.sql("SELECT DATE '2024-01-13' AS first, DATE '2024-01-16' AS last")
-    x = in_periods(hourly(s, d), "ts", period, out="inside").withColumn("h", F.hour("ts")).withColumn("off", F.weekday("ts") >= 5)
+    x = in_periods(hourly_ten(s, d), "ts", period, out="inside").withColumn("h", F.hour("ts")).withColumn("off", F.weekday("ts") >= 5)
     usual = ag.usual_two_sided(x.filter("NOT inside"), ["counter", "h", "off"], "vehicles", 3, 0)
     return x.filter("inside").join(usual.drop("n"), ["counter", "h", "off"]).withColumn("ratio", c("vehicles") / F.nullif(c("usual"), F.lit(0)))
 
 
-@query("q7_busier_than_usual", sql("hourly", Q7 + " SELECT ts, round(avg((vehicles / nullif(usual, 0) > 1.1)::INT), 9) AS share, count(vehicles / nullif(usual, 0)) AS n FROM x JOIN u USING (counter, h, off) WHERE inside GROUP BY 1"))
+@query("q7_busier_than_usual", sql("hourly_ten", Q7 + """, y AS (SELECT ts, CAST(ts AS DATE) AS date, vehicles, usual, vehicles / nullif(usual, 0) AS r FROM x JOIN u USING (counter, h, off) WHERE inside), day AS (SELECT date, round(sum(vehicles) / nullif(sum(usual), 0), 9) AS day_ratio FROM y GROUP BY 1)
+SELECT ts, round(avg((r > 1.1)::INT), 9) AS share, count(r) AS n, any_value(day_ratio) AS day_ratio FROM y JOIN day USING (date) GROUP BY 1"""))
 def _(s, d):
-    return ag.share_where(_busier(s, d), c("ratio") > 1.1, ["ts"]).withColumn("share", F.round("share", 9))
+    """Each hour of a holiday period: the share of counters above their usual, and the day's sum over the usual sum."""
+    b = checkpoint(_busier(s, d).withColumn("date", F.to_date("ts")))
+    day = ag.ratio_of_sums(b, ["date"], "vehicles", "usual").select("date", F.round("ratio", 9).alias("day_ratio"))
+    hours = ag.share_where(b, c("ratio") > 1.1, ["ts"]).withColumn("share", F.round("share", 9))
+    return hours.withColumn("date", F.to_date("ts")).join(day, "date").drop("date")
 
 
-@query("q8_share_inside_box", sql("hourly", Q7 + " SELECT counter IN (SELECT min(counter) FROM hourly) AS in_box, round(avg((vehicles / nullif(usual, 0) > 1.1)::INT), 9) AS share, count(vehicles / nullif(usual, 0)) AS n FROM x JOIN u USING (counter, h, off) WHERE inside AND h BETWEEN 8 AND 19 GROUP BY 1"))
+@query("q8_share_inside_box", sql("hourly_ten registry", Q7 + f" SELECT {IN_BOX} AS in_box, round(avg((vehicles / nullif(usual, 0) > 1.1)::INT), 9) AS share, count(vehicles / nullif(usual, 0)) AS n FROM x JOIN u USING (counter, h, off) JOIN registry USING (counter) WHERE inside AND h BETWEEN 8 AND 19 GROUP BY 1"))
 def _(s, d):
-    b = _busier(s, d).filter(c("h").between(8, 19))
-    first = hourly(s, d).agg(F.min("counter").alias("_f"))
-    return ag.share_where(b.crossJoin(F.broadcast(first)).withColumn("in_box", c("counter") == c("_f")), c("ratio") > 1.1, ["in_box"]).withColumn("share", F.round("share", 9))
-
-
-RAIN = "CASE WHEN rain > -1 AND rain <= 0 THEN 'dry' WHEN rain > 0 AND rain <= 3 THEN 'light' WHEN rain > 3 AND rain <= 100 THEN 'heavy' END"
-
-
-@query("q9_rain_effect", sql("daily weather", f", x AS (SELECT d.date, {RAIN} AS class, isodow(d.date) >= 6 AS off, vehicles / nullif(median(vehicles) OVER (PARTITION BY d.counter), 0) AS r FROM daily d LEFT JOIN weather w ON w.station = d.counter AND w.date = d.date) SELECT class, off, count(r) AS n, CASE WHEN count(r) >= 5 THEN round(median(r), 9) END AS median FROM x WHERE r IS NOT NULL GROUP BY 1, 2"))
+    b = _busier(s, d).filter(c("h").between(8, 19)).join(registry(s, d).select("counter", "lat", "lon"), "counter")
+    return ag.share_where(b.withColumn("in_box", fn.in_box(c("lon"), c("lat"), BOX)), c("ratio") > 1.1, ["in_box"]).withColumn("share", F.round("share", 9))
+
+
+#: Kilometres to a station and to dry counters, least dry counters, least rows of a class.
+NEAR_KM, DRY_KM, LEAST_DRY, LEAST_ROWS = 400, 900, 2, 5
+RAIN = f"""{Q7.split(", u AS")[0]}, u AS (SELECT counter, h, off, median(vehicles) AS usual FROM x GROUP BY 1, 2, 3 HAVING count(vehicles) >= 3 AND median(vehicles) >= 1),
+known AS (SELECT * FROM registry WHERE counter IN (SELECT counter FROM hourly_ten)), near AS (SELECT a.counter, b.station FROM known a JOIN stations b ON {KM} <= {NEAR_KM} WHERE b.station IN (SELECT station FROM hourly_rain) QUALIFY row_number() OVER (PARTITION BY a.counter ORDER BY {KM}, b.station) = 1),
+y AS (SELECT counter, x.ts, off, vehicles / usual AS ratio, rain FROM x JOIN u USING (counter, h, off) JOIN near USING (counter) JOIN hourly_rain r ON r.station = near.station AND r.ts = x.ts),
+w AS (SELECT a.counter AS a, b.counter AS b FROM known a JOIN known b ON a.counter <> b.counter AND {KM} <= {DRY_KM}),
+rel AS (SELECT y.counter, y.ts, y.off, y.rain, y.ratio / median(o.ratio) AS effect FROM y JOIN w ON w.a = y.counter JOIN y o ON o.counter = w.b AND o.ts = y.ts AND o.rain = 0 WHERE y.rain > 0 GROUP BY ALL HAVING count(*) >= {LEAST_DRY} AND median(o.ratio) <> 0)"""
+RAIN = RAIN.replace("GROUP BY ALL HAVING", "GROUP BY y.counter, y.ts, y.off, y.rain, y.ratio HAVING")
+
+
+def _rain_effect(s, d):
+    """(counter, ts, off, rain, effect): each wet counter-hour's count over its usual one, against the same of the dry counters near it in that hour. Rain is that of the nearest station."""
+    x = hourly_ten(s, d).withColumn("h", F.hour("ts")).withColumn("off", F.weekday("ts") >= 5)
+    usual = ag.usual_two_sided(x, ["counter", "h", "off"], "vehicles", 3, 1).drop("n")
+    rain = hourly_rain(s, d)
+    known = joins.semi_filter(registry(s, d), x.select("counter").distinct(), ["counter"]).select("counter", "lat", "lon")
+    near = joins.nearest_within(known, joins.semi_filter(stations(s, d), rain.select("station").distinct(), ["station"]), "counter", "station", NEAR_KM).filter("station IS NOT NULL").select("counter", "station")
+    y = checkpoint(x.join(usual, ["counter", "h", "off"]).join(near, "counter").join(rain, ["station", "ts"]).select("counter", "ts", "off", "rain", (c("vehicles") / c("usual")).alias("ratio")))
+    pairs = joins.within_km(known, known, DRY_KM).filter("counter <> r_counter").select(c("counter").alias("a"), c("r_counter").alias("b"))
+    rel = wn.local_reference(y, pairs, "counter", "ts", "ratio", c("rain") > 0, LEAST_DRY)
+    return y.join(rel, ["counter", "ts"]).filter("effect IS NOT NULL").select("counter", "ts", "off", "rain", "effect")
+
+
+@query("q9_rain_effect", sql("hourly_ten registry stations hourly_rain", RAIN + f""", l AS (SELECT CASE WHEN rain <= 1 THEN 'light' WHEN rain <= 2 THEN 'middle' ELSE 'heavy' END AS class, off, effect FROM rel), k AS (SELECT class, CASE WHEN off THEN 'off' ELSE 'work' END AS kind, effect FROM l UNION ALL SELECT 'all', CASE WHEN off THEN 'off' ELSE 'work' END, effect FROM l UNION ALL SELECT 'all', 'all', effect FROM l)
+SELECT class, kind, count(*) AS n, CASE WHEN count(*) >= {LEAST_ROWS} THEN round(median(effect), 9) END AS median FROM k GROUP BY 1, 2"""))
 def _(s, d):
-    x = daily(s, d).join(weather(s, d).withColumnRenamed("station", "counter"), ["counter", "date"], "left")
-    x = wn.group_median(x, ["counter"], "vehicles").withColumn("r", c("vehicles") / F.nullif(c("group_median"), F.lit(0)))
-    x = x.withColumn("class", fn.band(c("rain"), [-1, 0, 3, 100], ["dry", "light", "heavy"])).withColumn("off", F.weekday("date") >= 5)
-    return ag.pooled_effect(x, ["class", "off"], "r", 5).withColumn("median", F.round("median", 9))
+    """The rain's effect by class of rain and kind of day, by kind of day, and over all."""
+    x = _rain_effect(s, d).withColumn("class", fn.band(c("rain"), [0, 1, 2, 3], ["light", "middle", "heavy"])).withColumn("kind", F.when(c("off"), "off").otherwise("work"))
+    both = F.array(F.struct("class", "kind"), F.struct(F.lit("all").alias("class"), "kind"), F.struct(F.lit("all").alias("class"), F.lit("all").alias("kind")))
+    x = x.select(F.explode(both).alias("k"), "effect").select("k.*", "effect")
+    return ag.pooled_effect(x, ["class", "kind"], "effect", LEAST_ROWS).withColumn("median", F.round("median", 9))
 
 
-@query("q10_rainiest_day", sql("daily weather", ", t AS (SELECT date FROM weather GROUP BY 1 ORDER BY sum(rain) DESC, date LIMIT 1) SELECT d.date, rain, count(*) AS n, round(median(vehicles), 9) AS median FROM daily d JOIN t USING (date) JOIN weather w ON w.station = d.counter AND w.date = d.date GROUP BY 1, 2"))
+@query("q10_rainiest_day", sql("hourly_ten registry stations hourly_rain", RAIN + """, full_day AS (SELECT CAST(ts AS DATE) AS date FROM hourly_rain GROUP BY 1 HAVING count(DISTINCT hour(ts)) = 24), t AS (SELECT CAST(ts AS DATE) AS date FROM rel WHERE CAST(ts AS DATE) IN (FROM full_day) GROUP BY 1 ORDER BY count(*) DESC, date LIMIT 1)
+SELECT ts, count(*) AS n, CASE WHEN count(*) >= 2 THEN round(median(effect), 9) END AS median FROM rel WHERE CAST(ts AS DATE) IN (FROM t) GROUP BY 1"""))
 def _(s, d):
-    top = ordering.top_n(weather(s, d).groupBy("date").agg(F.sum("rain").alias("_r")), 1, [F.desc("_r"), c("date")]).select("date")
-    x = daily(s, d).join(top, "date", "left_semi").join(weather(s, d).withColumnRenamed("station", "counter"), ["counter", "date"])
-    return ag.pooled_effect(x, ["date", "rain"], "vehicles", 1)
+    """Of the days with rain of all 24 hours that with most wet counter-hours: the median effect of each hour."""
+    x = checkpoint(_rain_effect(s, d).withColumn("date", F.to_date("ts")))
+    full = ag.coverage_by_day(hourly_rain(s, d), "ts", c("rain") > 0).filter("hours = 24").select("date")
+    top = ordering.top_n(joins.semi_filter(x, full, ["date"]).groupBy("date").agg(F.count("*").alias("_n")), 1, [F.desc("_n"), c("date")]).select("date")
+    return ag.pooled_effect(joins.semi_filter(x, top, ["date"]), ["ts"], "effect", 2).withColumn("median", F.round("median", 9))
 
 
 @query("q11_volume_map", sql("daily", ", t AS (SELECT date FROM daily GROUP BY 1 ORDER BY sum(vehicles) DESC, date LIMIT 1), x AS (SELECT counter, date, vehicles FROM daily JOIN t USING (date)) SELECT counter, date, vehicles, round((ln(1 + vehicles) - min(ln(1 + vehicles)) OVER ()) / (max(ln(1 + vehicles)) OVER () - min(ln(1 + vehicles)) OVER ()), 9) AS scaled FROM x"))
@@ -169,36 +229,73 @@ def _(s, d):
     return stt.ablation(f.filter("NOT is_test"), f.filter("is_test"), sets, "vehicles_lead1", trees=3, depth=3)
 
 
-@query("q16_distance_bands", sql("registry daily", f""", p AS (SELECT a.counter AS a, b.counter AS b, {KM} AS km FROM registry a JOIN registry b ON a.counter < b.counter AND {KM} <= 400 WHERE a.counter IN (SELECT counter FROM daily) AND b.counter IN (SELECT counter FROM daily)), r AS (SELECT a, b, km, corr(x.vehicles, y.vehicles) AS r FROM p JOIN daily x ON x.counter = a JOIN daily y ON y.counter = b AND y.date = x.date GROUP BY 1, 2, 3 HAVING count(*) >= 10)
-SELECT CASE WHEN km <= 200 THEN 'near' ELSE 'far' END AS band, count(r) AS n, round(median(r), 8) AS median FROM r WHERE r IS NOT NULL AND NOT isnan(r) GROUP BY 1"""))
-def _(s, d):
-    known = registry(s, d).join(daily(s, d).select("counter").distinct(), "counter", "left_semi").select("counter", "lat", "lon")
-    p = joins.within_km(known, known, 400).filter("counter < r_counter").select(c("counter").alias("a"), c("r_counter").alias("b"), "km")
-    r = stt.pair_correlation(daily(s, d), p, "counter", "date", "vehicles", 10).join(p, ["a", "b"]).filter(c("r").isNotNull() & ~F.isnan("r"))
-    return ag.pooled_effect(r.withColumn("band", fn.band(c("km"), [-1, 200, 400], ["near", "far"])), ["band"], "r", 1).withColumn("median", F.round("median", 8))
+#: Kilometres of a straight line and of roads that are looked at; a pair without a road counts as this far.
+LINE_KM, ROAD_KM, NO_ROAD = 400, 3, 6.0
+Q16 = f""", d2 AS (SELECT DISTINCT counter FROM daily), e AS (SELECT a, b, CAST(round(km * 10) AS INT) AS h FROM edges UNION SELECT b, a, CAST(round(km * 10) AS INT) FROM edges), way AS (SELECT counter AS source, counter AS node, 0 AS h FROM d2 UNION SELECT way.source, e.b, way.h + e.h FROM way JOIN e ON e.a = way.node WHERE way.h + e.h <= {10 * ROAD_KM}),
+road AS (SELECT source AS a, node AS b, min(h) / 10 AS road FROM way WHERE node IN (FROM d2) AND source < node GROUP BY 1, 2),
+p AS (SELECT a.counter AS a, b.counter AS b, {KM} AS km, a.nation = b.nation AS same FROM registry a JOIN registry b ON a.counter < b.counter AND {KM} <= {LINE_KM} WHERE a.counter IN (FROM d2) AND b.counter IN (FROM d2)),
+r AS (SELECT a, b, round(any_value(km), 6) AS km, any_value(same) AS same, round(corr(x.vehicles, y.vehicles), 9) AS r FROM p JOIN daily x ON x.counter = a JOIN daily y ON y.counter = b AND y.date = x.date GROUP BY 1, 2 HAVING count(*) >= 10),
+o AS (SELECT r.*, road, coalesce(road, {NO_ROAD}) AS far, CASE WHEN km <= 200 THEN 'near' ELSE 'far' END AS band FROM r LEFT JOIN road USING (a, b) WHERE r IS NOT NULL AND NOT isnan(r)),
+l AS (SELECT 'all' AS part, * FROM o UNION ALL SELECT 'with a road', * FROM o WHERE road IS NOT NULL UNION ALL SELECT 'other route', * FROM o WHERE road IS NOT NULL AND NOT same UNION ALL SELECT CASE WHEN road IS NULL THEN 'class none' WHEN road * 100 / km < 1.5 THEN 'class direct' ELSE 'class detour' END, * FROM o),
+k AS (SELECT part, band, r, rank() OVER (PARTITION BY part, band ORDER BY r) + (count(*) OVER (PARTITION BY part, band, r) - 1) / 2 AS kr, rank() OVER (PARTITION BY part, band ORDER BY far) + (count(*) OVER (PARTITION BY part, band, far) - 1) / 2 AS kf, rank() OVER (PARTITION BY part, band ORDER BY km) + (count(*) OVER (PARTITION BY part, band, km) - 1) / 2 AS kk FROM l)
+SELECT part, band, count(*) AS n, round(median(r), 8) AS median, CASE WHEN stddev_pop(kf) > 0 AND stddev_pop(kr) > 0 THEN round(corr(kr, kf), 7) END AS rho_road, CASE WHEN stddev_pop(kk) > 0 AND stddev_pop(kr) > 0 THEN round(corr(kr, kk), 7) END AS rho_line FROM k GROUP BY 1, 2"""
 
 
-PEAKS = "SELECT counter, max(v) / sum(v) AS p FROM (" + SLOT + ") GROUP BY 1"
+@query("q16_distance_bands", sql("edges registry daily", Q16).replace("WITH ", "WITH RECURSIVE ", 1))
+def _(s, d):
+    """Does the road distance tell more than the straight line about how alike two counters' series are? By band of the line: the median correlation and its rank correlations with either
+    distance, over all pairs, those with a road, those on other routes (nations) too, and by whether the road is direct (a road kilometre stands for a hundred of the line)."""
+    series = checkpoint(daily(s, d))
+    known = registry(s, d).join(series.select("counter").distinct(), "counter", "left_semi").select("counter", "nation", "lat", "lon")
+    p = joins.within_km(known, known, LINE_KM).filter("counter < r_counter").select(c("counter").alias("a"), c("r_counter").alias("b"), F.round("km", 6).alias("km"), (c("nation") == c("r_nation")).alias("same"))
+    p = checkpoint(p)
+    placed = known.select("counter", c("counter").alias("node"), F.lit(0.0).alias("offset"))
+    road = matching.pair_distance(matching.bounded_shortest_paths(edges(s, d), known.select(c("counter").alias("source")), float(ROAD_KM)), placed, float(ROAD_KM)).select("a", "b", F.round("km", 3).alias("road"))
+    r = stt.pair_correlation(series, p, "counter", "date", "vehicles", 10).filter(c("r").isNotNull() & ~F.isnan("r")).select("a", "b", F.round("r", 9).alias("r"))
+    o = r.join(p, ["a", "b"]).join(road, ["a", "b"], "left").withColumn("far", F.coalesce("road", F.lit(NO_ROAD))).withColumn("band", fn.band(c("km"), [-1, 200, LINE_KM], ["near", "far"]))
+    kind = F.when(c("road").isNull(), "class none").when(c("road") * 100 / c("km") < 1.5, "class direct").otherwise("class detour")
+    parts = F.array_compact(F.array(F.lit("all"), F.when(c("road").isNotNull(), "with a road"), F.when(c("road").isNotNull() & ~c("same"), "other route"), kind))
+    o = checkpoint(o.withColumn("part", F.explode(parts)))
+    rho = [stt.spearman(o, "r", x, ["part", "band"]).select("part", "band", F.round("rho", 7).alias(name)) for x, name in (("far", "rho_road"), ("km", "rho_line"))]
+    return ag.pooled_effect(o, ["part", "band"], "r", 1).withColumn("median", F.round("median", 8)).join(rho[0], ["part", "band"]).join(rho[1], ["part", "band"])
+
+
+def _survey(s, d):
+    """Each counter's survey: the share of its largest hour of the day's twelve, and the difference of its directions' large shares by lines."""
+    h = hourly_ten(s, d).filter(F.hour("ts").between(7, 18)).groupBy("counter", F.hour("ts").alias("h")).agg(F.sum("vehicles").alias("v"))
+    peak = h.groupBy("counter").agg((F.max("v") / F.sum("v")).alias("peak_s"))
+    return peak.join(ag.direction_share_gap(_directions(s, d, F.lit(1)), "counter", "up", "down", "large_up", "large_down").withColumnRenamed("gap", "gap_s"), "counter")
+
+
+def _directions(s, d, weight):
+    li = table(s, d, "lineitem").withColumn("_w", weight)
+    up, large = c("l_linestatus") == "O", c("l_quantity") > 40
+    pick = lambda cond: F.when(cond, c("_w")).otherwise(0)
+    return li.select(c("l_suppkey").alias("counter"), pick(up).alias("up"), pick(~up).alias("down"), pick(up & large).alias("large_up"), pick(~up & large).alias("large_down"))
+
+
+@query("q17_match_audit", sql("hourly_ten", """, g AS (SELECT counter, CAST(ts AS DATE) AS date, max(vehicles) / sum(vehicles) AS p FROM hourly_ten WHERE hour(ts) BETWEEN 7 AND 18 GROUP BY 1, 2 HAVING count(vehicles) = 12 AND sum(vehicles) > 0), pk AS (SELECT counter, median(p) AS peak_c FROM g GROUP BY 1),
+v AS (SELECT counter, hour(ts) AS h, sum(vehicles) AS v FROM hourly_ten WHERE hour(ts) BETWEEN 7 AND 18 GROUP BY 1, 2), ps AS (SELECT counter, max(v) / sum(v) AS peak_s FROM v GROUP BY 1),
+x AS (SELECT l_suppkey AS counter, sum(q) FILTER (up AND large) / sum(q) FILTER (up) - sum(q) FILTER (NOT up AND large) / sum(q) FILTER (NOT up) AS gap_c, count(*) FILTER (up AND large) / count(*) FILTER (up) - count(*) FILTER (NOT up AND large) / count(*) FILTER (NOT up) AS gap_s
+FROM (SELECT l_suppkey, CAST(l_quantity AS BIGINT) AS q, l_linestatus = 'O' AS up, l_quantity > 40 AS large FROM lineitem) GROUP BY 1), m AS (SELECT * FROM pk JOIN ps USING (counter) JOIN x USING (counter))
+SELECT count(*) AS n, round(avg((abs(peak_c - peak_s) > 0.1)::INT), 9) AS far, round(avg((sign(gap_c) = sign(gap_s))::INT) FILTER (abs(gap_c) >= 0.02), 9) AS agreement, count(*) FILTER (abs(gap_c) >= 0.02) AS with_gap FROM m"""))
+def _(s, d):
+    """Matches checked by figures that matching didn't use: peak shares over full days (A13) that are far from the survey's, and whether the directions' difference of large shares (A14) has the survey's sign."""
+    m = _matched(s, d)
+    far = stt.null_distribution(m, "counter", "peak_c", "peak_s", 0.1, 0).select("n", F.round("share", 9).alias("far"))
+    return far.crossJoin(F.broadcast(stt.sign_agreement(m, "gap_c", "gap_s", 0.02).select(F.round("agreement", 9).alias("agreement"), c("n").alias("with_gap"))))
 
 
-@query("q17_match_audit", sql("hourly_users daily", f""", p AS ({PEAKS.replace("hourly", "hourly_users")}), w AS (SELECT counter, sum(large) / sum(vehicles) AS own, avg(large / vehicles) AS other FROM daily GROUP BY 1), m AS (SELECT *, avg(own) OVER () AS mean FROM p JOIN w USING (counter))
-SELECT count(*) AS n, round(avg((abs(p - own) > 0.05)::INT), 9) AS far, round(avg((sign(own - mean) = sign(other - mean))::INT) FILTER (abs(own - mean) >= 0.001), 9) AS agreement FROM m"""))
-def _(s, d):
-    """Shares of counters whose two peak shares are far apart and whose directions agree; as it is, the pairing isn't shuffled (see m3_null_distribution for draws)."""
-    p = hourly_users(s, d).groupBy("counter", F.hour("ts").alias("h")).agg(F.sum("vehicles").alias("v")).groupBy("counter").agg((F.max("v") / F.sum("v")).alias("p"))
-    w = daily(s, d).groupBy("counter").agg((F.sum("large") / F.sum("vehicles")).alias("own"), F.avg(c("large") / c("vehicles")).alias("other"))
-    m = p.join(w, "counter")
-    m = m.crossJoin(F.broadcast(m.agg(F.avg("own").alias("mean")))).withColumn("a", c("own") - c("mean")).withColumn("b", c("other") - c("mean"))
-    far = stt.null_distribution(m, "counter", "p", "own", 0.05, 0).select("n", F.round("share", 9).alias("far"))
-    return far.crossJoin(F.broadcast(stt.sign_agreement(m, "a", "b", 0.001).select(F.round("agreement", 9).alias("agreement"))))
+def _matched(s, d):
+    peak = ag.peak_share(hourly_ten(s, d), "counter", "ts", "vehicles").select("counter", c("peak_share").alias("peak_c"))
+    gap = ag.direction_share_gap(_directions(s, d, c("l_quantity").cast("bigint")), "counter", "up", "down", "large_up", "large_down").withColumnRenamed("gap", "gap_c")
+    return checkpoint(peak.join(gap, "counter").join(_survey(s, d), "counter"))
 
 
 @query("q17_shuffled", None)
 def _(s, d):
-    """The same distance with shuffled partners, ten draws; draw 0 is the matched one."""
-    p = hourly_users(s, d).groupBy("counter", F.hour("ts").alias("h")).agg(F.sum("vehicles").alias("v")).groupBy("counter").agg((F.max("v") / F.sum("v")).alias("p"))
-    w = daily(s, d).groupBy("counter").agg((F.sum("large") / F.sum("vehicles")).alias("own"))
-    return stt.null_distribution(p.join(w, "counter"), "counter", "p", "own", 0.05, 10)
+    """How often the peak shares are far apart with shuffled partners, ten draws; draw 0 is the matched one."""
+    return stt.null_distribution(_matched(s, d), "counter", "peak_c", "peak_s", 0.1, 10)
 
 
 @query("q18_candidate_quality", sql("registry stations", f""", x AS (SELECT counter, cost, row_number() OVER (PARTITION BY counter ORDER BY cost, station) AS r FROM ({CANDIDATES}))

@@ -26,6 +26,18 @@ def hourly_users(spark, d) -> DataFrame:
     return dense_grid(n, ["counter"], "ts", F.lit(FIRST).cast("timestamp_ntz"), F.lit(LAST).cast("timestamp_ntz")).withColumn("vehicles", F.coalesce("vehicles", F.lit(0)))
 
 
+def hourly_ten(spark, d) -> DataFrame:
+    """counter (1 .. 10, by user), ts (hour), vehicles: as ``hourly_users``, with ten times the traffic a counter."""
+    n = table(spark, d, "events").groupBy((F.col("user_id") % 10 + 1).alias("counter"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts")).agg(F.count("*").alias("vehicles"))
+    return dense_grid(n, ["counter"], "ts", F.lit(FIRST).cast("timestamp_ntz"), F.lit(LAST).cast("timestamp_ntz")).withColumn("vehicles", F.coalesce("vehicles", F.lit(0)))
+
+
+def hourly_rain(spark, d) -> DataFrame:
+    """station (1 .. 10), ts (hour), rain (0 .. 3)."""
+    n = table(spark, d, "events").groupBy((F.floor(F.col("user_id") / 10) % 10 + 1).alias("station"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts")).agg(F.count("*").alias("_n"))
+    return n.select("station", "ts", ((F.col("_n") * 7 + F.hour("ts")) % 4).cast("int").alias("rain"))
+
+
 def five_minutes(spark, d) -> DataFrame:
     """source (event type), point (user), ts (5-minute mark), vehicles: the event's value without its fraction."""
     e = table(spark, d, "events")
@@ -87,6 +99,9 @@ VIEWS = {
 LEFT JOIN (SELECT event_type AS counter, date_trunc('hour', ts) AS ts, count(*) AS vehicles FROM events GROUP BY 1, 2) c USING (counter, ts)""",
     "hourly_users": f"""SELECT g.counter, g.ts, coalesce(c.vehicles, 0) AS vehicles FROM (SELECT counter, ts FROM (SELECT DISTINCT user_id % 100 + 1 AS counter FROM events), (SELECT unnest(generate_series(TIMESTAMP '{FIRST}', TIMESTAMP '{LAST}', INTERVAL 1 HOUR)) AS ts)) g
 LEFT JOIN (SELECT user_id % 100 + 1 AS counter, date_trunc('hour', ts) AS ts, count(*) AS vehicles FROM events GROUP BY 1, 2) c USING (counter, ts)""",
+    "hourly_ten": f"""SELECT g.counter, g.ts, coalesce(c.vehicles, 0) AS vehicles FROM (SELECT counter, ts FROM (SELECT DISTINCT user_id % 10 + 1 AS counter FROM events), (SELECT unnest(generate_series(TIMESTAMP '{FIRST}', TIMESTAMP '{LAST}', INTERVAL 1 HOUR)) AS ts)) g
+LEFT JOIN (SELECT user_id % 10 + 1 AS counter, date_trunc('hour', ts) AS ts, count(*) AS vehicles FROM events GROUP BY 1, 2) c USING (counter, ts)""",
+    "hourly_rain": "SELECT user_id // 10 % 10 + 1 AS station, date_trunc('hour', ts) AS ts, CAST((count(*) * 7 + hour(date_trunc('hour', ts))) % 4 AS INT) AS rain FROM events GROUP BY 1, 2",
     "five": "SELECT event_type AS source, user_id AS point, time_bucket(INTERVAL 5 MINUTE, ts) AS mark, ts, CAST(floor(value) AS BIGINT) AS vehicles FROM events",
     "daily": "SELECT l_suppkey AS counter, CAST(l_shipdate AS DATE) AS date, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS vehicles, CAST(coalesce(sum(CAST(l_quantity AS BIGINT)) FILTER (l_quantity > 40), 0) AS BIGINT) AS large, count(*) AS lines FROM lineitem GROUP BY 1, 2",
     "flags": """SELECT l_orderkey AS k, l_linenumber AS line, CASE WHEN l_linenumber % 7 <> 0 THEN l_returnflag = 'R' END AS f1, CASE WHEN l_linenumber % 7 <> 0 THEN l_linestatus = 'O' END AS f2,

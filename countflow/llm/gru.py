@@ -20,7 +20,11 @@ BLOCK = 4096  # rows that go through the class softmax at once
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """In place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def _log_share(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

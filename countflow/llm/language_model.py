@@ -4,7 +4,7 @@
 2. The most frequent words are known to every task (a fixed number of them); of the others only hashes travel.
 3. The network is trained on every training text once, in ``ROUNDS`` rounds over disjoint parts: each partition trains from the
    same weights, and the partitions' weights are averaged by the number of words.
-4. Every document is scored in one pass. What its rarer words add depends on their counts, which an equality join brings.
+4. Every text is read into symbols once, which are written; training and scoring read those. What a document's rarer words add depends on their counts, which an equality join brings.
 
 Words are known by 64-bit hashes; among 10**9 different words two share one with a chance of 3 %.
 """
@@ -150,13 +150,8 @@ def _network(lex: Lexicon, weights: np.ndarray | None) -> Gru:
     return net if weights is None else net.load(weights)
 
 
-def train(documents: DataFrame, text: str = "text", part: Column | None = None) -> LanguageModel:
-    """A model of all texts of ``documents``. ``part``: an integer column, 0 or more, that deals them to rounds (a hash of the text by default).
-
-    Null texts count as empty: the end token alone. Without documents the model knows no word and gives every token the same probability.
-    """
-    spark = documents.sparkSession
-    texts = documents.select(text_or_empty(text).alias("text"), F.pmod(part if part is not None else F.xxhash64(text), F.lit(ROUNDS)).alias("_round"))
+def lexicon_of(texts: DataFrame) -> tuple[int, int, Lexicon, DataFrame]:
+    """Number of tokens and of distinct ones over the column ``text``, the lexicon, and the table of all counts."""
     counts = checkpoint(count_words(texts))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     # only counts from the class at which the lexicon is full are sorted, not the whole vocabulary
@@ -175,35 +170,87 @@ def train(documents: DataFrame, text: str = "text", part: Column | None = None)
     for r in counts.groupBy("open").agg(F.sum(F.col("n") + F.lit(SMOOTH)).alias("m")).collect():
         mass[r["open"]] += r["m"]
     np.subtract.at(mass, kinds[:heads], np.where(n[:heads] > 0, n[:heads] + SMOOTH, 0))
-    lex = Lexicon(hashes, n, kinds, np.maximum(mass, SMOOTH))
-    weights = _network(lex, None).flat()
+    return int(total["n"]), int(total["v"]), Lexicon(hashes, n, kinds, np.maximum(mass, SMOOTH)), counts
+
+
+def encode(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """``rows`` with the column ``text`` read into what training and scoring need of it, written once: the other columns, ``_row`` (unique), ``n_tokens``, ``_symbols`` (packed 16-bit network symbols, the last one the end), ``_known`` and
+    ``_base`` (number and summed log counts of the lexicon's words), ``_more`` (log shares within open classes), and the hashes of the rarer words with how often each occurs. Null texts count as empty."""
+    shared = rows.sparkSession.sparkContext.broadcast(lexicon)
+    keep = [c for c in rows.columns if c != "text"]
+    at = rows.columns.index("text")
+    longs = T.ArrayType(T.LongType())
+    made = {"_row": T.LongType(), "n_tokens": T.LongType(), "_symbols": T.BinaryType(), "_known": T.LongType(), "_base": T.DoubleType(), "_more": T.DoubleType(), "_rare": longs, "_times": longs}
+    schema = T.StructType([*(rows.schema[c] for c in keep), *(T.StructField(n, t) for n, t in made.items())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lex = shared.value
+        reader, known, open_log = Reader(lex), len(lex.hashes), np.log10(lex.open_mass)
+        row = TaskContext.get().partitionId() << 34
+        for batch in batches:
+            for piece in slices(batch, at, 1 << 20):
+                out: dict[str, list] = {n: [] for n in made if n != "_row"}
+                for t in piece.column(at).to_pylist():
+                    numbers = reader.numbers(t)
+                    s, others = reader.symbols(numbers)
+                    seen = numbers[numbers < known]
+                    middle = seen[seen >= lex.heads]
+                    others, often = np.unique(others, return_counts=True)
+                    # of an open class the network gives the class; the word's share of it is its smoothed count
+                    more = float(lex.log_count[middle].sum() - open_log[s[s >= lex.heads] - lex.heads].sum())
+                    for n, v in zip(out, (len(s), s.astype("<u2").tobytes(), int((lex.counts[seen] > 0).sum()), float(lex.log_count[seen].sum()), more, others, often)):
+                        out[n].append(v)
+                    if len(reader.memo) > MEMO:
+                        reader.reset()
+                n = piece.num_rows
+                columns = [pa.array(np.arange(row, row + n), pa.int64()), pa.array(out["n_tokens"], pa.int64()), pa.array(out["_symbols"], pa.binary()), pa.array(out["_known"], pa.int64()), pa.array(out["_base"], pa.float64()), pa.array(out["_more"], pa.float64()), *(pa.array(out[c], pa.list_(pa.int64())) for c in ("_rare", "_times"))]
+                row += n
+                yield pa.RecordBatch.from_arrays([*(piece.column(piece.schema.get_field_index(c)) for c in keep), *columns], schema.names)
+
+    return checkpoint(rows.mapInArrow(run, schema))
+
+
+def learn(coded: DataFrame, lexicon: Lexicon) -> np.ndarray:
+    """The network's weights after ``ROUNDS`` rounds over the rows of ``coded``, which ``_round`` deals to them."""
+    weights = _network(lexicon, None).flat()
     for k in range(ROUNDS):
-        shared = spark.sparkContext.broadcast((lex, weights))
+        shared = coded.sparkSession.sparkContext.broadcast((lexicon, weights))
 
-        def learn(batches: Iterator[pa.RecordBatch], shared=shared) -> np.ndarray | None:
+        def part(batches: Iterator[pa.RecordBatch], shared=shared) -> np.ndarray | None:
             lex, start = shared.value
-            net, reader, held, size, seen = _network(lex, start), Reader(lex), [], 0, 0
+            net, held, size, seen = _network(lex, start), [], 0, 0
             for batch in batches:
-                for piece in slices(batch, 0, 1 << 20):
-                    for t in piece.column(0).to_pylist():
-                        held.append(reader.symbols(reader.numbers(t))[0].astype(np.int32))
-                        size += len(held[-1])
-                        if len(reader.memo) > MEMO:
-                            reader.reset()
-                        if size >= LOT:
-                            net.train(held)
-                            seen, size = seen + size, 0
-                            held.clear()
+                for packed in batch.column(0):
+                    held.append(np.frombuffer(packed.as_buffer(), "<u2").astype(np.int32))
+                    size += len(held[-1])
+                    if size >= LOT:
+                        net.train(held)
+                        seen, size = seen + size, 0
+                        held.clear()
             if held:
                 net.train(held)
                 seen += size
             return np.concatenate([net.flat() * seen, [seen]]) if seen else None
 
-        summed = sum_over_partitions(texts.filter(F.col("_round") == k).select("text"), learn)
+        summed = sum_over_partitions(coded.filter(F.col("_round") == k).select("_symbols"), part)
         shared.unpersist()
         if summed is not None:
             weights = summed[:-1] / summed[-1]
-    return LanguageModel(int(total["n"]), int(total["v"]), lex, weights, counts)
+    return weights
+
+
+def _round(part: Column | None, text: str) -> Column:
+    return F.pmod(part if part is not None else F.xxhash64(text), F.lit(ROUNDS)).cast("int")
+
+
+def train(documents: DataFrame, text: str = "text", part: Column | None = None) -> LanguageModel:
+    """A model of all texts of ``documents``. ``part``: an integer column, 0 or more, that deals them to rounds (a hash of the text by default).
+
+    Null texts count as empty: the end token alone. Without documents the model knows no word and gives every token the same probability.
+    """
+    texts = documents.select(text_or_empty(text).alias("text"), _round(part, text).alias("_round"))
+    tokens, distinct, lex, counts = lexicon_of(texts)
+    return LanguageModel(tokens, distinct, lex, learn(encode(texts, lex), lex), counts)
 
 
 def score(documents: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -213,78 +260,65 @@ def score(documents: DataFrame, model: LanguageModel, doc_id: str = "doc_id", te
     gives an empty result. Documents are scored in lots that a task's memory holds; the join brings counts of the rarer words only, once for each document that has the
     word. A word that no training text has may be in any number of documents: its rows are the large side of a join whose other side has each word once, so Spark's adaptive skew join (on by default) splits them.
     """
-    spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast((model.lexicon, model.weights.astype(np.float32)))
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    names = ["doc_id", "_row", "n_tokens", "_known", "_base", "_score", "_rare", "_times"]
-    schema = T.StructType([rows.schema["doc_id"], *(T.StructField(n, T.LongType()) for n in names[1:4]), T.StructField("_base", T.DoubleType()), T.StructField("_score", T.DoubleType()), T.StructField("_rare", T.ArrayType(T.LongType())), T.StructField("_times", T.ArrayType(T.LongType()))])
+    return score_encoded(encode(rows, model.lexicon), model)
+
+
+def score_encoded(coded: DataFrame, model: LanguageModel) -> DataFrame:
+    """As ``score``, of rows that ``encode`` has made with the model's lexicon and the column ``doc_id``."""
+    shared = coded.sparkSession.sparkContext.broadcast((model.lexicon, model.weights.astype(np.float32)))
+    plain = ["doc_id", "_row", "n_tokens", "_known", "_base", "_more"]
+    schema = T.StructType([*(coded.schema[c] for c in plain), T.StructField("_score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex, weights = shared.value
-        net, reader, known = _network(lex, weights), Reader(lex), len(lex.hashes)
-        open_log = np.log10(lex.open_mass)
-        row = TaskContext.get().partitionId() << 34
-        ids: list = []
+        net = _network(lex, weights)
+        held: list[pa.RecordBatch] = []
         symbols: list[np.ndarray] = []
-        known_n: list[int] = []
-        base: list[float] = []
-        more: list[float] = []
-        rare: list[np.ndarray] = []
-        times: list[np.ndarray] = []
-        kind, size = None, 0
+        size = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal row, size
-            n = len(ids)
-            logp = net.score(symbols) / np.log(10) + np.array(more)
-            out = [pa.array(ids, kind), pa.array(np.arange(row, row + n), pa.int64()), pa.array([len(s) for s in symbols], pa.int64()), pa.array(known_n, pa.int64()), pa.array(base, pa.float64()), pa.array(logp, pa.float64()), pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))]
-            row, size = row + n, 0
-            for x in (ids, symbols, known_n, base, more, rare, times):
-                x.clear()
-            return pa.RecordBatch.from_arrays(out, names)
+            nonlocal size
+            table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            logp = net.score(symbols) / np.log(10) + table.column(5).to_numpy()
+            held.clear()
+            symbols.clear()
+            size = 0
+            return pa.RecordBatch.from_arrays([*table.columns, pa.array(logp, pa.float64())], schema.names)
 
         for batch in batches:
-            kind = batch.schema.field(0).type
-            for piece in slices(batch, 1, 1 << 20):
-                for i, t in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
-                    numbers = reader.numbers(t)
-                    s, others = reader.symbols(numbers)
-                    seen = numbers[numbers < known]
-                    middle = seen[seen >= lex.heads]
-                    ids.append(i)
-                    symbols.append(s.astype(np.int32))
-                    known_n.append(int((lex.counts[seen] > 0).sum()))
-                    base.append(float(lex.log_count[seen].sum()))
-                    # of an open class the network gives the class; the word's share of it is its smoothed count
-                    more.append(float(lex.log_count[middle].sum() - open_log[s[s >= lex.heads] - lex.heads].sum()))
-                    others, often = np.unique(others, return_counts=True)
-                    rare.append(others)
-                    times.append(often)
-                    size += len(s)
-                    if len(reader.memo) > MEMO:
-                        reader.reset()
-                    if size >= LOT:
-                        yield flush()
-        if ids:
+            begin = 0
+            for i, packed in enumerate(batch.column(6)):
+                symbols.append(np.frombuffer(packed.as_buffer(), "<u2").astype(np.int32))
+                size += len(symbols[-1])
+                if size >= LOT or i + 1 == batch.num_rows:
+                    held.append(batch.select(range(6)).slice(begin, i + 1 - begin))
+                    begin = i + 1
+                if size >= LOT:
+                    yield flush()
+        if symbols:
             yield flush()
 
-    scored = checkpoint(rows.mapInArrow(run, schema))
-    others = scored.select("_row", F.explode(F.arrays_zip("_rare", "_times")).alias("w")).select("_row", F.col("w._rare").alias("hash"), F.col("w._times").alias("times"))
+    scored = coded.select(*plain, "_symbols").mapInArrow(run, schema)
+    others = coded.select("_row", F.explode(F.arrays_zip("_rare", "_times")).alias("w")).select("_row", F.col("w._rare").alias("hash"), F.col("w._times").alias("times"))
     found = others.join(model.counts.select("hash", "n"), "hash", "left")
-    added = found.groupBy("_row").agg(F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("_more_known"), F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(SMOOTH))).alias("_more"))
+    added = found.groupBy("_row").agg(F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("_more_known"), F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(SMOOTH))).alias("_rarer"))
     norm = float(np.log10(model.tokens + SMOOTH * (model.distinct + 1)))
-    more = F.coalesce("_more", F.lit(0.0))
-    return scored.drop("_rare", "_times").join(added, "_row", "left").select(
+    rarer = F.coalesce("_rarer", F.lit(0.0))
+    return scored.join(added, "_row", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("_known") + F.coalesce("_more_known", F.lit(0))).alias("n_known"),
-        (F.col("_base") + more - F.col("n_tokens") * F.lit(norm)).alias("base_score"),
-        (F.col("_score") + more).alias("score"),
+        (F.col("_base") + rarer - F.col("n_tokens") * F.lit(norm)).alias("base_score"),
+        (F.col("_score") + rarer).alias("score"),
     )
 
 
 def op1_lm_scoring(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     held_out = id_remainder("doc_id", 10) == 0
-    model = train(docs.filter(~held_out), part=F.xxhash64("doc_id"))
-    return score(docs, model).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
+    tokens, distinct, lex, counts = lexicon_of(docs.filter(~held_out).select(text_or_empty("text").alias("text")))
+    # every text is read into symbols once, for training and scoring
+    coded = encode(docs.withColumn("_round", F.when(~held_out, _round(F.xxhash64("doc_id"), "text"))), lex)
+    model = LanguageModel(tokens, distinct, lex, learn(coded, lex), counts)
+    return score_encoded(coded, model).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")

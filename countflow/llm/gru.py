@@ -171,9 +171,11 @@ class Gru:
             if fresh[t].any():
                 dh[fresh[t]] = 0
         d_recur = np.concatenate([k[0] for k in kept]).T @ back.reshape(-1, 3 * HIDDEN)
-        ids = x.ravel()
+        ids = x.ravel().astype(np.int16)  # short integers are sorted by their digits
         order = np.argsort(ids, kind="stable")
-        rows, first = np.unique(ids[order], return_index=True)
+        ids = ids[order]
+        first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        rows = ids[first].astype(np.int64)
         d_table = np.add.reduceat(gates.reshape(-1, 3 * HIDDEN)[order], first)
         self._update("table", np.clip(d_table, -1, 1), rate, rows)
         for name, g in (("recur", d_recur), *grads.items()):

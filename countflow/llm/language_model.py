@@ -38,7 +38,7 @@ SMOOTH = 0.1
 #: Tokens that a task trains on or scores at once.
 LOT = 4_000_000
 #: Different rarer words that a task remembers before it starts anew.
-MEMO = 200_000
+MEMO = 500_000
 
 
 def word_hash(word: bytes) -> int:

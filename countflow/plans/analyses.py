@@ -238,7 +238,7 @@ r AS (SELECT a, b, round(any_value(km), 6) AS km, any_value(same) AS same, round
 o AS (SELECT r.*, road, coalesce(road, {NO_ROAD}) AS far, CASE WHEN km <= 200 THEN 'near' ELSE 'far' END AS band FROM r LEFT JOIN road USING (a, b) WHERE r IS NOT NULL AND NOT isnan(r)),
 l AS (SELECT 'all' AS part, * FROM o UNION ALL SELECT 'with a road', * FROM o WHERE road IS NOT NULL UNION ALL SELECT 'other route', * FROM o WHERE road IS NOT NULL AND NOT same UNION ALL SELECT CASE WHEN road IS NULL THEN 'class none' WHEN road * 100 / km < 1.5 THEN 'class direct' ELSE 'class detour' END, * FROM o),
 k AS (SELECT part, band, r, rank() OVER (PARTITION BY part, band ORDER BY r) + (count(*) OVER (PARTITION BY part, band, r) - 1) / 2 AS kr, rank() OVER (PARTITION BY part, band ORDER BY far) + (count(*) OVER (PARTITION BY part, band, far) - 1) / 2 AS kf, rank() OVER (PARTITION BY part, band ORDER BY km) + (count(*) OVER (PARTITION BY part, band, km) - 1) / 2 AS kk FROM l)
-SELECT part, band, count(*) AS n, round(median(r), 8) AS median, CASE WHEN stddev_pop(kf) > 0 AND stddev_pop(kr) > 0 THEN round(corr(kr, kf), 7) END AS rho_road, CASE WHEN stddev_pop(kk) > 0 AND stddev_pop(kr) > 0 THEN round(corr(kr, kk), 7) END AS rho_line FROM k GROUP BY 1, 2"""
+SELECT part, band, count(*) AS n, round(median(r), 6) AS median, CASE WHEN stddev_pop(kf) > 0 AND stddev_pop(kr) > 0 THEN round(corr(kr, kf), 7) END AS rho_road, CASE WHEN stddev_pop(kk) > 0 AND stddev_pop(kr) > 0 THEN round(corr(kr, kk), 7) END AS rho_line FROM k GROUP BY 1, 2"""
 
 
 @query("q16_distance_bands", sql("edges registry daily", Q16).replace("WITH ", "WITH RECURSIVE ", 1))
@@ -257,7 +257,7 @@ def _(s, d):
     parts = F.array_compact(F.array(F.lit("all"), F.when(c("road").isNotNull(), "with a road"), F.when(c("road").isNotNull() & ~c("same"), "other route"), kind))
     o = checkpoint(o.withColumn("part", F.explode(parts)))
     rho = [stt.spearman(o, "r", x, ["part", "band"]).select("part", "band", F.round("rho", 7).alias(name)) for x, name in (("far", "rho_road"), ("km", "rho_line"))]
-    return ag.pooled_effect(o, ["part", "band"], "r", 1).withColumn("median", F.round("median", 8)).join(rho[0], ["part", "band"]).join(rho[1], ["part", "band"])
+    return ag.pooled_effect(o, ["part", "band"], "r", 1).withColumn("median", F.round("median", 6)).join(rho[0], ["part", "band"]).join(rho[1], ["part", "band"])
 
 
 def _survey(s, d):

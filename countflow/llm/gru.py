@@ -171,7 +171,7 @@ class Gru:
             if fresh[t].any():
                 dh[fresh[t]] = 0
         d_recur = np.concatenate([k[0] for k in kept]).T @ back.reshape(-1, 3 * HIDDEN)
-        ids = x.ravel().astype(np.int16)  # short integers are sorted by their digits
+        ids = x.ravel().astype(np.int16 if len(p["table"]) <= 1 << 15 else np.int32)  # short integers are sorted by their digits
         order = np.argsort(ids, kind="stable")
         ids = ids[order]
         first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))

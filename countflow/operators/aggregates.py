@@ -73,8 +73,10 @@ def duplicate_counts(df: DataFrame, key: Sequence[str], value: str) -> DataFrame
 
 
 def resolve_duplicates(df: DataFrame, key: Sequence[str], value: str) -> DataFrame:
-    """One row for each key whose rows agree; keys with different values, null included, are dropped."""
-    return duplicate_counts(df, key, value).filter("different = 1").select(*key, value)
+    """One row for each key whose rows agree; keys with different values, null included, are dropped. One aggregate of four figures, without a distinct count."""
+    few = df.groupBy(*key).agg(F.min(value).alias("_low"), F.max(value).alias("_high"), F.count(value).alias("_n"), F.count("*").alias("_rows"))
+    agree = (F.col("_n") == 0) | ((F.col("_n") == F.col("_rows")) & (F.col("_low") == F.col("_high")))
+    return few.filter(agree).select(*key, F.col("_high").alias(value))
 
 
 def partition_quality(df: DataFrame, partition: str, key: str, ts_ok: str, value: str, value_ok: str, ts: str) -> DataFrame:

@@ -16,14 +16,14 @@ def scores(spark):
     week = np.array([1.0, 1.02, 1.03, 1.05, 1.1, 0.8, 0.65])
     rows = []
     for k in range(12):
-        level = rng.uniform(500, 4000)
+        level = rng.uniform(900, 1100)
         for i in range(200):
             day = first + dt.timedelta(days=i)
             usual = level * week[day.weekday()]
             rows.append((k, day, float(round(usual * (1 + 0.001 * i) * rng.normal(1, 0.04))), float(usual), day.weekday() >= 5))
     df = spark.createDataFrame(rows, "counter int, date date, vehicles double, base double, off boolean")
     f = stt.time_split(stt.daily_features(df, ["counter"], "date", "vehicles", "base", "off"), "date", 40).withColumn("prev", F.col("prev_day_off").cast("int")).cache()
-    model = stt.fit_forecast(f.filter("NOT is_test"), ["lag1", "lag7", "lag14", "ratio7", "log_base", "weekday", "prev"], "y", trees=15, depth=4)
+    model = stt.fit_forecast(f.filter("NOT is_test"), ["lag1", "lag7", "lag14", "ratio7", "log_base", "weekday", "prev"], "y", trees=30, depth=4)
     scored = model.transform(f.filter("is_test")).withColumn("predicted", F.exp("prediction")).withColumn("last_week", F.exp("lag7")).withColumn("kind", F.when(F.col("off"), "off").otherwise("work"))
     from countflow.operators.aggregates import error_scores
 

@@ -121,7 +121,8 @@ def write(df: DataFrame, key: str, text: str, vocabulary: str, end_id: int | Non
                 ids = [word_bpe.ids_of(packed + end).astype(f"<u{width}").tobytes() for packed in coder.encode_batch(part.column(2).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary())], coded_schema.names)
 
-    coded = checkpoint(rows.mapInArrow(code, coded_schema)).repartitionByRange("key", "order").sortWithinPartitions("key", "order")
+    shared_dir(df.sparkSession)  # sets the folder of Spark's own checkpoints
+    coded = rows.mapInArrow(code, coded_schema).checkpoint().repartitionByRange("key", "order").sortWithinPartitions("key", "order")
     schema = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("stem", T.StringType()), T.StructField("n_docs", T.LongType()), T.StructField("n_ids", T.LongType()), T.StructField("first_key", kind.dataType), T.StructField("last_key", kind.dataType)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -35,7 +35,7 @@ def folder(spark: SparkSession) -> str:
 def raw_layer(s: SparkSession, d: str) -> str:
     """Events as gzip CSV files of text: time code, counter, vehicles; those of odd users with the columns in another order."""
     at = folder(s)
-    e = table(s, d, "events").select(F.date_format("ts", "yyyyMMddHHmm").alias("time"), F.lpad(c("user_id").cast("string"), 4, "0").alias("code"), F.floor("value").cast("string").alias("n"), F.lit("139").alias("lon"))
+    e = table(s, d, "events").select(F.date_format("ts", "yyyyMMddHHmm").alias("time"), F.lpad(c("user_id").cast("string"), F.greatest(F.lit(4), F.length(c("user_id").cast("string"))), F.lit("0")).alias("code"), F.floor("value").cast("string").alias("n"), F.lit("139").alias("lon"))
     odd = c("code").cast("int") % 2 == 1
     e.filter(~odd).write.option("header", True).option("compression", "gzip").csv(at)
     e.filter(odd).select("n", "lon", "code", "time").write.mode("append").option("header", True).csv(at)

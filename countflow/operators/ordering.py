@@ -33,6 +33,11 @@ def best_per_key(df: DataFrame, key: Sequence[str], score: Column, cols: Sequenc
     return df.groupBy(*key).agg(F.max_by(F.struct(*cols), score).alias("_b")).select(*key, *[F.col(f"_b.{c}").alias(c) for c in cols])
 
 
+def best_rows(df: DataFrame, key: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows of each key by ``order``."""
+    return df.withColumn("_r", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).filter(F.col("_r") <= n).drop("_r")
+
+
 def quantile_groups(df: DataFrame, value: str, q: int = 5, out: str = "group") -> DataFrame:
     """1 .. ``q`` by interpolated quantiles, right-closed, so equal values share a group."""
     from countflow.operators.quantiles import exact_quantiles

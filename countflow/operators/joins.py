@@ -110,12 +110,16 @@ def pairs_within_km(df: DataFrame, key: str, km: float, lat: str = "lat", lon: s
 
 def nearest_within(left: DataFrame, right: DataFrame, left_key: str, right_key: str, km: float, order: Column | None = None, eligible: Column | None = None, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """``left`` with ``{right_key}`` and ``{right_key}_km`` (two decimals) of the nearest eligible right row within ``km``; null where there is
-    none. Of equally near ones the first by ``order`` (by key, if not given)."""
+    none. Of equally near ones the first by ``order`` (by key, if not given).
+
+    Each place of ``left`` is looked up once, and of the right rows at one place only the first counts."""
     r = right if eligible is None else right.filter(eligible)
     r = r.withColumn("_order", order if order is not None else F.col(right_key))
-    pairs = within_km(left.select(left_key, lat, lon), r.select(right_key, lat, lon, "_order"), km, lat, lon)
-    best = pairs.groupBy(left_key).agg(F.min(F.struct("km", "r__order", F.col("r_" + right_key).alias("key"))).alias("_b"))
-    return left.join(best, left_key, "left").withColumn(right_key, F.col("_b.key")).withColumn(right_key + "_km", F.bround("_b.km", 2)).drop("_b")
+    first = r.groupBy(lat, lon).agg(F.min(F.struct("_order", F.col(right_key).alias("key"))).alias("_f"))
+    pairs = within_km(left.select(lat, lon).distinct(), first, km, lat, lon)
+    best = pairs.groupBy(place(lat, lon).alias("_place")).agg(F.min(F.struct("km", "r__f")).alias("_b"))
+    out = left.withColumn("_place", place(lat, lon)).join(best, "_place", "left").withColumn(right_key, F.col("_b.r__f.key")).withColumn(right_key + "_km", F.bround("_b.km", 2))
+    return out.select(*[c for c in left.columns if c not in (right_key, right_key + "_km")], right_key, right_key + "_km")
 
 
 def shift_join(df: DataFrame, keys: Sequence[str], date: str, cols: Sequence[str], days: int) -> DataFrame:
@@ -148,6 +152,8 @@ def swap_candidates(matches: DataFrame, key: str, own: str, other: str, check: C
     Containment is an equality join of towns with the substrings of addresses that are as long as some town. Without a ``check`` rows of equal texts are one class, and classes are paired instead of rows
     (``_swap_classes``). With one the pairs are taken in rounds: one that comes first at both its ends is taken, and those that touch it go; the rounds end when none is left.
     """
+    if check is None:
+        return _swap_classes(matches, key, own, other, least)
     row = F.struct(*[F.col(c) for c in matches.columns])
     m = matches.filter((F.char_length(own) >= least) & F.col(other).isNotNull() & ~F.contains(other, own)).select(F.col(key).alias("k"), F.col(own).alias("t"), F.col(other).alias("o"), row.alias("row"))
     lengths = m.agg(F.array_sort(F.collect_set(F.char_length("t"))).alias("_n"))  # one row
@@ -166,31 +172,6 @@ def swap_candidates(matches: DataFrame, key: str, own: str, other: str, check: C
     return taken
 
 
-def prefix_join(names: DataFrame, prefixes: DataFrame, name: str, prefix: str) -> DataFrame:
-    """``names`` with the longest ``prefix`` that each name begins with, null if none. Every prefix length that occurs is an equality join key."""
-    lengths = F.array_sort(F.array_distinct(F.collect_list(F.char_length(prefix))))
-    few = prefixes.select(prefix).distinct()
-    sized = names.crossJoin(F.broadcast(few.agg(lengths.alias("_n"))))  # one row
-    if check is None:
-        return _swap_classes(matches, key, own, other, least)
-    cut = sized.withColumn("_len", F.explode_outer("_n")).withColumn("_p", F.substr(name, F.lit(1), F.col("_len")))
-    hit = cut.join(few.withColumnRenamed(prefix, "_hit"), F.col("_p") == F.col("_hit"), "left")
-    return hit.groupBy(*names.columns).agg(F.max_by("_hit", F.when(F.col("_hit").isNotNull(), F.col("_len"))).alias(prefix))
-
-
-def full_outer_diff(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Keys that only one side has, with ``only_in`` left or right."""
-    x = a.select(*key).distinct().withColumn("_a", F.lit(True))
-    y = b.select(*key).distinct().withColumn("_b", F.lit(True))
-    both = x.join(y, list(key), "full_outer")
-    return both.filter(F.col("_a").isNull() | F.col("_b").isNull()).select(*key, F.when(F.col("_b").isNull(), "left").otherwise("right").alias("only_in"))
-
-
-def rule_chain(df: DataFrame, rules: Sequence[tuple[str, Column]], out: str = "reason") -> DataFrame:
-    """``df`` with the name of the first rule that rejects the row, null if none does. A rule that is unknown doesn't reject."""
-    reason = F.lit(None).cast("string")
-    for name, cond in reversed(rules):
-        reason = F.when(F.coalesce(cond, F.lit(False)), F.lit(name)).otherwise(reason)
 def _swap_classes(matches: DataFrame, key: str, own: str, other: str, least: int) -> DataFrame:
     """``swap_candidates`` by classes of rows with equal texts, for keys that no two rows share.
 
@@ -227,6 +208,29 @@ def _swap_classes(matches: DataFrame, key: str, own: str, other: str, least: int
         left = checkpoint(left.join(now.select(F.col("a").alias("k")).union(now.select("b")), "k", "left_anti"))
 
 
+def prefix_join(names: DataFrame, prefixes: DataFrame, name: str, prefix: str) -> DataFrame:
+    """``names`` with the longest ``prefix`` that each name begins with, null if none. Every prefix length that occurs is an equality join key."""
+    lengths = F.array_sort(F.array_distinct(F.collect_list(F.char_length(prefix))))
+    few = prefixes.select(prefix).distinct()
+    sized = names.crossJoin(F.broadcast(few.agg(lengths.alias("_n"))))  # one row
+    cut = sized.withColumn("_len", F.explode_outer("_n")).withColumn("_p", F.substr(name, F.lit(1), F.col("_len")))
+    hit = cut.join(few.withColumnRenamed(prefix, "_hit"), F.col("_p") == F.col("_hit"), "left")
+    return hit.groupBy(*names.columns).agg(F.max_by("_hit", F.when(F.col("_hit").isNotNull(), F.col("_len"))).alias(prefix))
+
+
+def full_outer_diff(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Keys that only one side has, with ``only_in`` left or right."""
+    x = a.select(*key).distinct().withColumn("_a", F.lit(True))
+    y = b.select(*key).distinct().withColumn("_b", F.lit(True))
+    both = x.join(y, list(key), "full_outer")
+    return both.filter(F.col("_a").isNull() | F.col("_b").isNull()).select(*key, F.when(F.col("_b").isNull(), "left").otherwise("right").alias("only_in"))
+
+
+def rule_chain(df: DataFrame, rules: Sequence[tuple[str, Column]], out: str = "reason") -> DataFrame:
+    """``df`` with the name of the first rule that rejects the row, null if none does. A rule that is unknown doesn't reject."""
+    reason = F.lit(None).cast("string")
+    for name, cond in reversed(rules):
+        reason = F.when(F.coalesce(cond, F.lit(False)), F.lit(name)).otherwise(reason)
     return df.withColumn(out, reason)
 
 

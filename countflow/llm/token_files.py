@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from countflow.llm import word_bpe
 from countflow.llm.mph import MinimalPerfectHash
 from countflow.llm.text import slices
-from countflow.session import checkpoint, shared_dir
+from countflow.session import checkpoint, shared_dir, shuffle_partitions
 
 MAGIC = b"CFTOKEN1"
 
@@ -110,8 +110,14 @@ def write(df: DataFrame, key: str, text: str, vocabulary: str, end_id: int | Non
     fs.create_dir(root, recursive=True)
     rows = df.select(F.col(key).alias("key"), F.xxhash64(text).alias("order"), F.col(text).alias("text"))
     kind = rows.schema["key"]
+    # the shards' ranges are found on keys alone, so that texts are encoded once, on their way to their shard
+    parts = shuffle_partitions(df.sparkSession)
+    at = F.struct("key", "order")
+    dealt = rows.select("key", "order").repartitionByRange(parts, "key", "order").groupBy(F.spark_partition_id().alias("p")).agg(F.min(at).alias("at"))
+    begins = dealt.agg(F.sort_array(F.collect_list("at")).alias("_begins"))  # one row, of as many ranges as there are shuffle partitions
+    rows = rows.crossJoin(F.broadcast(begins)).withColumn("part", F.greatest(F.lit(0), F.size(F.filter("_begins", lambda b: b <= at)) - 1)).drop("_begins")
     end = b"" if end_id is None else end_id.to_bytes(4, "little")
-    coded_schema = T.StructType([kind, T.StructField("order", T.LongType()), T.StructField("width", T.IntegerType()), T.StructField("ids", T.BinaryType())])
+    coded_schema = T.StructType([kind, T.StructField("order", T.LongType()), T.StructField("width", T.IntegerType()), T.StructField("ids", T.BinaryType()), T.StructField("part", T.IntegerType())])
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = word_bpe.tokenizer(vocabulary)
@@ -119,10 +125,9 @@ def write(df: DataFrame, key: str, text: str, vocabulary: str, end_id: int | Non
         for batch in batches:
             for part in slices(batch, 2, 1 << 20):
                 ids = [word_bpe.ids_of(packed + end).astype(f"<u{width}").tobytes() for packed in coder.encode_batch(part.column(2).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary())], coded_schema.names)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary()), part.column(3)], coded_schema.names)
 
-    shared_dir(df.sparkSession)  # sets the folder of Spark's own checkpoints
-    coded = rows.mapInArrow(code, coded_schema).checkpoint().repartitionByRange("key", "order").sortWithinPartitions("key", "order")
+    coded = rows.mapInArrow(code, coded_schema).repartitionById(parts, "part").sortWithinPartitions("key", "order")
     schema = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("stem", T.StringType()), T.StructField("n_docs", T.LongType()), T.StructField("n_ids", T.LongType()), T.StructField("first_key", kind.dataType), T.StructField("last_key", kind.dataType)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

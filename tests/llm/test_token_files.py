@@ -1,5 +1,6 @@
 import zlib
 
+from pyarrow.fs import FileSelector
 from test_packing import PATH, ids, packed
 
 from countflow.llm.token_files import ShardReader, op10_token_files, open_dir, read, write
@@ -35,3 +36,12 @@ def test_reader_refuses_absent_keys(spark, docs):
     assert not any(reader.find(list(range(10**6, 10**6 + 2000))))
     text = docs.filter(docs["doc_id"] == shard["first_key"]).first()["text"]
     assert reader.ids(reader.find([shard["first_key"]])[0][0]).tolist() == [*ids(text), 2]
+
+
+def test_ids_are_written_to_their_files_only(spark, docs):
+    """No copy of the ids waits in a checkpoint: texts are encoded on their way to their shard."""
+    fs, root = open_dir(spark.sparkContext._jsc.sc().getCheckpointDir().get())
+    rdds = lambda: {f.path for f in fs.get_file_info(FileSelector(root)) if "/rdd-" in f.path}
+    before = rdds()
+    write(docs, "doc_id", "text", PATH, 2, f"{shared_dir(spark)}/direct")
+    assert rdds() == before

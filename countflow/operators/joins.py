@@ -149,10 +149,10 @@ def swap_candidates(matches: DataFrame, key: str, own: str, other: str, check: C
     in its own for neither. ``check`` is a further condition on the structs x (the row a) and y (the row b). Of the pairs in order of (a, b), each is taken if neither of
     its ends is in one taken before.
 
-    Containment is an equality join of towns with the substrings of addresses that are as long as some town. Without a ``check`` rows of equal texts are one class, and classes are paired instead of rows
+    Containment is an equality join of towns with the substrings of addresses that are as long as some town. Without a ``check``, and if no two rows share a key, rows of equal texts are one class, and classes are paired instead of rows
     (``_swap_classes``). With one the pairs are taken in rounds: one that comes first at both its ends is taken, and those that touch it go; the rounds end when none is left.
     """
-    if check is None:
+    if check is None and not matches.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").limit(1).count():
         return _swap_classes(matches, key, own, other, least)
     row = F.struct(*[F.col(c) for c in matches.columns])
     m = matches.filter((F.char_length(own) >= least) & F.col(other).isNotNull() & ~F.contains(other, own)).select(F.col(key).alias("k"), F.col(own).alias("t"), F.col(other).alias("o"), row.alias("row"))

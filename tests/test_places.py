@@ -63,6 +63,9 @@ def test_swaps_of_classes(spark, monkeypatch):
     rows = [(i, str(rng.choice(towns)), " ".join(rng.choice(towns, 2))) for i in range(150)]
     df = spark.createDataFrame(rows, "k long, own string, other string")
     assert sorted(tuple(r) for r in joins.swap_candidates(df, "k", "own", "other").collect()) == swaps(rows)
+    # a key of two rows is taken once
+    twice = spark.createDataFrame([(1, "aa", "bb"), (1, "cc", "dd"), (2, "bb", "aa"), (3, "dd", "cc")], df.schema)
+    assert [tuple(r) for r in joins.swap_candidates(twice, "k", "own", "other").collect()] == [(1, 2)]
     rounds, write = [], joins.checkpoint
     monkeypatch.setattr(joins, "checkpoint", lambda t: rounds.append(1) or write(t))
     same = [(i, "aa" if i % 2 else "bb", "bb" if i % 2 else "aa") for i in range(400)]

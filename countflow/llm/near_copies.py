@@ -26,6 +26,8 @@ LEAST = (4, 5)
 ONE_IN, COMMON, MOST = 4, 2, 2_000_000
 #: Rounds in which each shingle's sets meet the first of them only; then what is left of a shingle's sets meets pair by pair, in blocks of about ``BLOCK`` sets.
 ROUNDS, BLOCK = 6, 64
+#: Rounds end early where the sets left make at most so many pairs for each time that one is at a shingle: then pairs cost less than another round's jobs.
+FEW = 8
 
 
 def shingle_set(text: str | None, size: int = SIZE) -> np.ndarray:
@@ -133,7 +135,7 @@ def similar_rows(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     shingles come last in the order; a Bloom filter tells which of the first ones may be in two sets, and only those are shuffled. Equal sets count as one from the start.
 
     A set that comes first at all its shingles stays, for what came before it there is gone or was compared with it. In a round such sets meet all others at their shingles; those
-    similar to them go, so a group of copies costs a pair for each of them. What is left after ``ROUNDS`` meets pair by pair, each shingle's sets in blocks that spread over tasks, and the
+    similar to them go, so a group of copies costs a pair for each of them. What is left after ``ROUNDS``, or once it makes few pairs, meets pair by pair, each shingle's sets in blocks that spread over tasks, and the
     similar pairs are settled in the same order.
     """
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
@@ -147,12 +149,15 @@ def similar_rows(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     met = checkpoint(maybe.groupBy("token", "kind").agg(F.min("doc_id").alias("id"), F.first("m").alias("m"), F.first("at").alias("at")))
     similar = lambda pairs: _similar(pairs, lambda need: _sets(_texts(rows, kinds, need), size))
     gone: list[DataFrame] = []
+    open_ = 1
     for _ in range(ROUNDS):
         met, dead = _settle_first(met, similar)
         gone += dead
-        if not met.limit(1).count():
+        left = met.groupBy("token").agg(F.count("*").alias("n")).agg(F.sum("n").alias("rows"), F.sum(F.expr("n * (n - 1) div 2")).alias("pairs")).first()
+        open_ = left["rows"] or 0
+        if not open_ or left["pairs"] <= FEW * open_:
             break
-    else:
+    if open_:
         gone += _settle_pairs(checkpoint(similar(checkpoint(_pairs(met)))))
     out = copies
     if gone:

@@ -94,3 +94,11 @@ def test_the_stage_leaves_no_similar_pair(spark, sf, docs):
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     left = [shingles(r["text"]) for r in corpus_pipeline.near_dedup(spark, frame, sf).collect()]
     assert not any(alike(x, y) for x, y in combinations(left, 2)) and len(left) >= 80
+
+
+def test_rounds_end_where_pairs_are_few(spark, monkeypatch):
+    """The driver plans one round, not six, where what is left makes few pairs."""
+    texts, rounds, settle = chains(), [], near_copies._settle_first
+    monkeypatch.setattr(near_copies, "_settle_first", lambda met, similar: rounds.append(1) or settle(met, similar))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"] for r in drop_similar(frame).collect()} == greedy(texts) and len(rounds) == 1

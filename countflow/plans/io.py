@@ -114,6 +114,7 @@ def _archives(s: SparkSession, d: str) -> str:
     import io
     import zipfile
 
+    import numpy as np
     import pandas as pd
     import pyarrow.fs as pafs
 
@@ -125,10 +126,13 @@ def _archives(s: SparkSession, d: str) -> str:
         fs.create_dir(root, recursive=True)
         body = io.BytesIO()
         with zipfile.ZipFile(body, "w", zipfile.ZIP_DEFLATED) as z:
-            for (supplier, line), own in rows.groupby(["l_suppkey", "l_linenumber"]):
-                names = {"l_orderkey": "番号", "n": "量"}
-                own = own[list(names)[:: 1 if line % 2 else -1]].rename(columns=names)
-                z.writestr(f"{supplier}-{line}.csv", own.to_csv(index=False, lineterminator="\r\n").encode("cp932"))
+            rows = rows.sort_values(["l_suppkey", "l_linenumber"], kind="stable")
+            supplier, line, order, n = (rows[x].to_numpy() for x in ("l_suppkey", "l_linenumber", "l_orderkey", "n"))
+            begin = np.flatnonzero(np.r_[True, (supplier[1:] != supplier[:-1]) | (line[1:] != line[:-1])])
+            for i, j in zip(begin, [*begin[1:], len(rows)]):
+                names, first, second = ("番号,量", order, n) if line[i] % 2 else ("量,番号", n, order)
+                body_lines = [names, *map("{},{}".format, first[i:j].tolist(), second[i:j].tolist()), ""]
+                z.writestr(f"{supplier[i]}-{line[i]}.csv", "\r\n".join(body_lines).encode("cp932"))
         with fs.open_output_stream(f"{root}/typeB_{key[0].lower()}{key[1]}_2026_08.zip", compression=None) as f:
             f.write(body.getvalue())
         return pd.DataFrame({"n": [len(rows)]})

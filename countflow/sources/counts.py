@@ -48,6 +48,12 @@ def read_layouts(spark: SparkSession, path: str | list[str], columns: Sequence[s
     if only is not None:
         lines = lines.withColumn("_name", F.regexp_extract("_file", "([^/]+)$", 1)).join(only.distinct(), "_name", "left_semi").drop("_name")
     headers = checkpoint(lines.filter("_at = 0").groupBy("_file").agg(F.min_by("value", "_n").alias("header")))
+    return rows_by_header(lines, headers, columns, layout, options, quoting)
+
+
+def rows_by_header(lines: DataFrame, headers: DataFrame, columns: Sequence[str], layout: Callable[[list[str], str], dict[str, str]], options: Mapping[str, str] | None = None, quoting: int = csv.QUOTE_MINIMAL) -> DataFrame:
+    """``lines`` (_file, value) of the files that ``headers`` (_file, header, once each; more columns are kept) name, each read by its file's header as in ``read_layouts``."""
+    spark, more = lines.sparkSession, [c for c in headers.columns if c not in ("_file", "header")]
     kinds = headers.groupBy("header").agg(F.min("_file").alias("file")).orderBy("header").collect()
     rows = None
     for k, kind in enumerate(kinds):
@@ -58,9 +64,9 @@ def read_layouts(spark: SparkSession, path: str | list[str], columns: Sequence[s
         row = F.transform(F.array(read), lambda r: F.struct(*[(r[f"c{found.index(of[c])}"] if c in of else F.lit(None).cast("string")).alias(c) for c in columns]))[0]
         rows = F.when(F.col("header") == kind["header"], row) if rows is None else rows.when(F.col("header") == kind["header"], row)
     if rows is None:
-        return spark.createDataFrame([], text_schema(["_file", *columns]))
+        return spark.createDataFrame([], text_schema(["_file", *more, *columns]))
     body = lines.filter("trim(value) <> ''").join(headers, "_file").filter("value <> header")
-    return body.select("_file", rows.alias("_r")).select("_file", "_r.*")
+    return body.select("_file", *more, rows.alias("_r")).select("_file", *more, "_r.*")
 
 
 def discover_partitions(spark: SparkSession, path: str, pattern: str = FILE_NAME) -> DataFrame:

@@ -50,6 +50,24 @@ def test_members_larger_than_a_piece(spark, tmp_path, monkeypatch):
     assert {(r["time"], r["point"], r["n"]) for r in rows} == {tuple(x.split(",")) for x in lines} | {("x", "y", "1")} and {r["region"] for r in rows} == {"osaka"}
 
 
+def test_many_members_are_few_files(spark, tmp_path, monkeypatch):
+    """A thousand members, with all kinds of line ends, blank and missing last lines and an empty one, cut at any place: as many text files as tasks, and each row of each member."""
+    (tmp_path / "in").mkdir()
+    ends, want = ["\r\n", "\n", "\r"], set()
+    for a in range(2):
+        with zipfile.ZipFile(tmp_path / "in" / f"typeB_osaka_{a}.zip", "w") as z:
+            for k in range(500):
+                rows = [(f"{a}-{k}", str(i)) for i in range(k % 4)]
+                lines = ["地点,量" if k % 2 else "量,地点", "", *[",".join(r if k % 2 else r[::-1]) for r in rows]]
+                z.writestr(f"{k}.csv", (ends[k % 3].join(lines) + ends[k % 3] * (k % 5)).encode("cp932") if k else b"")
+                want |= set(rows)
+    monkeypatch.setattr(archives, "PIECE", 7)
+    m = archives.read_archive_members(spark, str(tmp_path / "in"), r"\.csv$", r"typeB_([a-z]+)_", to=f"file://{tmp_path}/to")
+    assert m.filter("problem IS NULL").count() == 1000 and len(list((tmp_path / "to").glob("*"))) <= 2
+    rows = archives.read_detector_csv(m, {"地点": "point", "量": "n"}, ["point", "n"], []).collect()
+    assert {(r["point"], r["n"]) for r in rows} == want and len(rows) == len(want)
+
+
 def test_writers(spark, tmp_path):
     df = spark.sql("SELECT explode(sequence(TIMESTAMP_NTZ '2024-02-09', TIMESTAMP_NTZ '2024-02-22', INTERVAL 1 DAY)) AS ts").withColumn("k", F.lit(1)).withColumn("res", F.lit("1h"))
     counts.write_chunks(df, f"{tmp_path}/c", "ts", ["ts", "k"], "res")

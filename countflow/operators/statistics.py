@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from countflow.functions import log_ratio
@@ -124,13 +124,12 @@ def time_split(df: DataFrame, ts: str, days: int) -> DataFrame:
 
 def daily_features(df: DataFrame, keys: Sequence[str], date: str, value: str, base: str, day_off: str) -> DataFrame:
     """Log of the target, logs of the values 1, 7 and 14 days before (exactly), log ratio to the usual value a week before, yesterday's day_off, log of the usual value.
-    A key has one row a day. Each row goes to its own day and to those 1, 7 and 14 days later, so one shuffle brings all of them together."""
-    days, kept = (0, 1, 7, 14), list(dict.fromkeys((value, base, day_off)))
-    moved = df.select(*keys, date, *kept, F.explode(F.array(*[F.lit(k) for k in days])).alias("_s")).withColumn("_day", F.date_add(date, F.col("_s")))
-    at = lambda c, k: F.max(F.when(F.col("_s") == k, F.col(c)))
-    own = [at(c, 0).alias(c) for c in kept]
-    lags = [at(value, k).alias(f"_v{k}") for k in (1, 7, 14)] + [at(base, 7).alias("_b7"), at(day_off, 1).alias("_o1")]
-    g = moved.groupBy(*keys, F.col("_day").alias(date)).agg(F.count_if(F.col("_s") == 0).alias("_there"), *own, *lags).filter("_there > 0")
+    A key has one row a day. One shuffle brings a key's days together, each row once, and they are read in order of the day."""
+    kept = list(dict.fromkeys((value, base, day_off)))
+    days = Window.partitionBy(*keys).orderBy(F.unix_date(date))
+    ago = lambda c, k: F.max(c).over(days.rangeBetween(-k, -k))
+    lags = [ago(value, k).alias(f"_v{k}") for k in (1, 7, 14)] + [ago(base, 7).alias("_b7"), ago(day_off, 1).alias("_o1")]
+    g = df.select(*keys, date, *kept, *lags)
     log = lambda c: F.when(F.col(c) > 0, F.log(F.col(c).cast("double")))
     return g.select(
         *keys, date, *kept, log(value).alias("y"), log("_v1").alias("lag1"), log("_v7").alias("lag7"), log("_v14").alias("lag14"),

@@ -17,6 +17,8 @@ from countflow.operators.quantiles import average_ranks, exact_quantiles
 from countflow.operators.windows import lag_features
 from countflow.session import checkpoint
 
+#: Bins of a feature, as many as Spark's trees tell apart if nothing is set.
+BINS = 32
 #: Keys of a block, whose series a task holds with those of one other block as a table of keys by times.
 BLOCK = 512
 
@@ -146,17 +148,26 @@ def hourly_graph_features(df: DataFrame, edges: DataFrame, key: str, ts: str, va
 
 
 def fit_forecast(train: DataFrame, features: Sequence[str], target: str, trees: int = 40, depth: int = 5, seed: int = 7):
-    """A boosted-tree pipeline; missing features get their median and a mark of their own."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
+    """A boosted-tree pipeline; missing features get their median and a mark of their own, and each feature falls into ``BINS`` bins of about as many rows.
+
+    Trees tell rows apart by bins only, so rows that agree in all of them are one cell with their number as weight and the mean of their targets: squared errors differ by a constant, and the trees are those
+    of the rows. What the rounds of boosting read grows with the different cells, not with the rows."""
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.feature import Imputer, QuantileDiscretizer, SQLTransformer, VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
     marks = ", ".join(f"CAST({f} IS NULL AS DOUBLE) AS {f}_missing" for f in features)
     doubles = ", ".join(f"CAST({f} AS DOUBLE) AS {f}_in" for f in features)
     fill = Imputer(strategy="median", inputCols=[f"{f}_in" for f in features], outputCols=[f"{f}_filled" for f in features])
-    join = VectorAssembler(inputCols=[f"{f}_filled" for f in features] + [f"{f}_missing" for f in features], outputCol="_features")
-    gbt = GBTRegressor(featuresCol="_features", labelCol=target, predictionCol="prediction", maxIter=trees, maxDepth=depth, seed=seed)
-    return Pipeline(stages=[SQLTransformer(statement=f"SELECT *, {marks}, {doubles} FROM __THIS__"), fill, join, gbt]).fit(train.filter(F.col(target).isNotNull()))
+    cut = QuantileDiscretizer(numBuckets=BINS, inputCols=[f"{f}_filled" for f in features], outputCols=[f"{f}_bin" for f in features])
+    seen = [f"{f}_{x}" for x in ("bin", "missing") for f in features]
+    rows = train.filter(F.col(target).isNotNull()).select(*features, F.col(target).cast("double").alias("_target"))
+    binned = Pipeline(stages=[SQLTransformer(statement=f"SELECT *, {marks}, {doubles} FROM __THIS__"), fill, cut]).fit(rows)
+    join = VectorAssembler(inputCols=seen, outputCol="_features")
+    order = [(F.col(x) + 0.0).alias(x) for x in seen]  # as numbers: bins that are named by their column's metadata would be categories
+    cells = checkpoint(binned.transform(rows).groupBy(*order).agg(F.count("*").cast("double").alias("_weight"), F.avg("_target").alias("_target")))
+    gbt = GBTRegressor(featuresCol="_features", labelCol="_target", weightCol="_weight", predictionCol="prediction", maxIter=trees, maxDepth=depth, maxBins=BINS, seed=seed)
+    return PipelineModel([*binned.stages, join, gbt.fit(join.transform(cells))])
 
 
 def naive_forecasts(df: DataFrame, actual: str, last_week: str, usual: str, kind: str) -> DataFrame:
@@ -172,7 +183,7 @@ def ablation(train: DataFrame, test: DataFrame, sets: dict[str, Sequence[str]],
         scored = fit_forecast(train, features, target, **options).transform(test.filter(F.col(target).isNotNull()))
         one = scored.agg(F.avg(F.abs(F.col(target) - F.col("prediction"))).alias("mae"), F.count("*").alias("n")).select(F.lit(name).alias("features"), "mae", "n")
         out = one if out is None else out.unionByName(one)
-    first = next(iter(sets))
+    first, out = next(iter(sets)), checkpoint(out)  # a row for each set, read twice
     base = out.filter(F.col("features") == first).select(F.col("mae").alias("_base"))
     return out.crossJoin(base).select("features", "mae", "n", (1 - F.col("mae") / F.col("_base")).alias("gain"))
 

@@ -10,6 +10,7 @@ from countflow.operators import statistics as stt
 from countflow.operators import windows as wn
 from countflow.plans.core import CANDIDATES, NEAR, WEEK, candidates, near
 from countflow.plans.views import KM, daily, edges, flags, holidays, hourly_users, registry, sql, stations, table
+from countflow.session import checkpoint
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -237,7 +238,7 @@ def _(s, d):
 @query("m7_fit_forecast", None)
 def _(s, d):
     """The model of the days before the last 200, by counter and day of these: what it predicts of the logarithm."""
-    f = stt.time_split(_features(s, d), "date", 200).withColumn("prev", c("prev_day_off").cast("int"))
+    f = stt.time_split(checkpoint(_features(s, d)), "date", 200).withColumn("prev", c("prev_day_off").cast("int"))
     model = stt.fit_forecast(f.filter("NOT is_test"), ["lag1", "lag7", "lag14", "ratio7", "weekday", "prev"], "y", trees=5, depth=3)
     return model.transform(f.filter("is_test")).select("counter", "date", F.round("prediction", 6).alias("prediction"))
 
@@ -245,7 +246,7 @@ def _(s, d):
 @query("m9_ablation", None)
 def _(s, d):
     """Mean absolute error on the last 200 days with yesterday's value, and with those of the last weeks too."""
-    f = stt.time_split(_features(s, d), "date", 200)
+    f = stt.time_split(checkpoint(_features(s, d)), "date", 200)
     return stt.ablation(f.filter("NOT is_test"), f.filter("is_test"), {"yesterday": ["lag1"], "weeks": ["lag1", "lag7", "lag14"]}, "y", trees=5, depth=3)
 
 

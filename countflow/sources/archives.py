@@ -126,7 +126,7 @@ def read_detector_csv(members: DataFrame, spellings: Mapping[str, str], columns:
     """
     spark = members.sparkSession
     plain = lambda c: F.regexp_replace(c, "^\ufeff|\r$", "")
-    last = lambda c: F.regexp_extract(c, "([^/]+)$", 1)
+    last = lambda c: F.substring_index(c, "/", -1)  # noqa: E731 (a pattern that ends with $ would be tried from each place of the path, for each line)
     known = checkpoint(members.filter("file IS NOT NULL").select(last("file").alias("_file"), "region", "member", F.regexp_extract("file", "^(.*)/", 1).alias("folder"), plain("header").alias("header")))
     folders = [r["folder"] for r in known.select("folder").distinct().collect()]
     if not folders:

@@ -109,8 +109,12 @@ def _(s, d):
     return weather.read_stations_json(table(s, d, "supplier").select(body.alias("body")), "body").select("station_id", "lat")
 
 
+#: Rows of an archive, about.
+ARCHIVE = 100_000
+
+
 def _archives(s: SparkSession, d: str) -> str:
-    """A zip archive for each return flag, with a CSV member for each supplier and line number: line items, in one of two column orders."""
+    """Zip archives by return flag, with a CSV member for each supplier and line number: line items, in one of two column orders. A task makes one archive, of about ``ARCHIVE`` rows however many there are."""
     import io
     import zipfile
 
@@ -137,13 +141,13 @@ def _archives(s: SparkSession, d: str) -> str:
             f.write(body.getvalue())
         return pd.DataFrame({"n": [len(rows)]})
 
-    spread = li.withColumn("_part", c("l_suppkey") % 4)
+    spread = li.withColumn("_part", F.pmod(F.xxhash64("l_suppkey"), F.lit(max(4, -(-li.count() // (3 * ARCHIVE))))))
     spread.groupBy("l_returnflag", "_part").applyInPandas(pack, "n long").agg(F.sum("n")).collect()
     return at
 
 
 def _members(s: SparkSession, d: str) -> DataFrame:
-    return archives.read_archive_members(s, _archives(s, d), r"\.csv$", r"typeB_([a-z]+)\d_")
+    return archives.read_archive_members(s, _archives(s, d), r"\.csv$", r"typeB_([a-z]+)\d+_")
 
 
 @query("s7_archive_members", "SELECT lower(l_returnflag) AS region, l_suppkey || '-' || l_linenumber || '.csv' AS member, CAST(NULL AS VARCHAR) AS problem FROM lineitem GROUP BY ALL")

@@ -5,8 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from countflow.functions import haversine_km
 from countflow.operators.sets import assert_unique
@@ -17,6 +20,8 @@ DEGREE_KM = 111.0
 EARTH_KM = 6371.0
 #: Keys of one place that go together, about.
 LIST = 1000
+#: Differences of values that rounding may make equal.
+CLOSE = 1e-8
 
 
 def attach_dimension(df: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
@@ -124,6 +129,38 @@ def keys_within_km(left: DataFrame, right: DataFrame, left_key: str, right_key:
     return both.select("km", "_lefts", F.explode("_rights").alias("_r")).select("km", "_r", F.explode("_lefts").alias("_l")).select(F.col("_l._k").alias(left_key), F.col("_r._k").alias(right_key), "km")
 
 
+def closest_within_km(left: DataFrame, right: DataFrame, km: float, value: str, most: int, lat: str = "lat", lon: str = "lon", prefix: str = "r_") -> DataFrame:
+    """Pairs of rows as ``within_km`` (without the distance), but of a left row's partners only those whose ``value`` is among the ``most`` closest to its own, or as close up to ``CLOSE``. Values aren't null.
+
+    Places are compared once each. The rows near a place meet there in order of their values, where the closest are looked up, so no other pairs are made. Places of many left rows are dealt into parts.
+    """
+    left, right = (t.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()) for t in (left, right))
+    part = left.groupBy(lat, lon).agg(F.ceil(F.count("*") / (100 * LIST)).alias("_parts"))
+    own = left.join(part, [lat, lon]).withColumn("_part", F.pmod(F.xxhash64(value), F.col("_parts"))).drop("_parts")
+    near = near_places(left, right, km, lat, lon).select(F.col(f"place.{lat}").alias(lat), F.col(f"place.{lon}").alias(lon), F.col(f"r_place.{lat}").alias(prefix + lat), F.col(f"r_place.{lon}").alias(prefix + lon))
+    near = near.join(part, [lat, lon]).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1))).drop("_parts")
+    others = near.join(right.select([F.col(c).alias(prefix + c) for c in right.columns]), [prefix + lat, prefix + lon])
+    mine, theirs = left.columns, [prefix + c for c in right.columns]
+    schema = T.StructType([*left.select(mine).schema.fields, *others.select(theirs).schema.fields])
+
+    def closest(a: pa.Table, b: pa.Table) -> pa.Table:
+        x, y = a.column(value).to_numpy(), b.column(prefix + value).to_numpy()
+        order = np.argsort(y, kind="stable")
+        y = y[order]
+        at = np.searchsorted(y, x)[:, None] + np.arange(-most, most)
+        far = np.where((at >= 0) & (at < len(y)), np.abs(y.take(at, mode="clip") - x[:, None]) if len(y) else np.inf, np.inf)
+        reach = np.sort(far, axis=1)[:, most - 1] + CLOSE
+        low, high = np.searchsorted(y, x - reach, "left"), np.searchsorted(y, x + reach, "right")
+        n = high - low
+        l = np.repeat(np.arange(len(x)), n)
+        r = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+        a, b = a.select(mine).take(pa.array(l, pa.int64())), b.select(theirs).take(pa.array(order[r], pa.int64()))
+        return pa.table([*a.columns, *b.columns], schema=pa.schema([*a.schema, *b.schema]))
+
+    keys = [lat, lon, "_part"]
+    return own.groupBy(*keys).cogroup(others.groupBy(*keys)).applyInArrow(closest, schema)
+
+
 def nearest_within(left: DataFrame, right: DataFrame, left_key: str, right_key: str, km: float, order: Column | None = None, eligible: Column | None = None, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """``left`` with ``{right_key}`` and ``{right_key}_km`` (two decimals) of the nearest eligible right row within ``km``; null where there is
     none. Of equally near ones the first by ``order`` (by key, if not given).
